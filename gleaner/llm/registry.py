@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from gleaner.llm import simhash
+from gleaner.llm import simhash, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_benchmark_decontamination": winnow.OP9_SQL,
+}
