@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from gleaner.llm import simhash, winnow
+from gleaner.llm import quality, simhash, toxicity, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
+    "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
