@@ -34,53 +34,84 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
-def _spans(n: Column, length: int, make) -> Column:
+def _spans(n: Column, length: int, make, kind: str = "bigint") -> Column:
     """``make(i)`` for each start i of a span of that length among n; none if n is less."""
-    return F.when(n >= length, F.transform(F.sequence(F.lit(0), n - length), make)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(n >= length, F.transform(F.sequence(F.lit(0), n - length), make)).otherwise(F.array().cast(f"array<{kind}>"))
 
 
-def _gram(hashes: Column, length: int, salt: int | None = None):
-    return lambda i: F.xxhash64(*([F.lit(salt)] if salt else []), *[hashes[i + j] for j in range(length)])
+def _gram(hashes: Column, at: Column, length: int, salt: int | None = None) -> Column:
+    return F.xxhash64(*([F.lit(salt)] if salt else []), *[hashes[at + j] for j in range(length)])
 
 
-def _hashed(df: DataFrame, text: Column, short: list[int]) -> DataFrame:
-    """Adds word hashes ``h``, their number ``n``, gram hashes ``g`` and the kept ones ``fps``."""
+def _hashed(df: DataFrame, text: Column) -> DataFrame:
+    """Adds word hashes ``h``, their number ``n``, gram hashes ``g`` and the places ``kept`` of the least of each window.
+
+    Of equal hashes in a window the first is kept, on either side. Whoever explodes
+    these arrays takes ``explode_outer``: for ``explode`` the optimizer infers a
+    filter on the array and pushes it down with all the arrays that it comes from,
+    each computed anew inside the next one's lambda.
+    """
     df = df.select("*", words(text).alias("w")).select("*", F.transform("w", lambda x: F.xxhash64(x)).alias("h")).drop("w")
-    df = df.select("*", F.size("h").alias("n")).select("*", _spans(F.col("n"), K, _gram(F.col("h"), K)).alias("g"))
-    kept = _spans(F.size("g"), W, lambda i: F.least(*[F.col("g")[i + j] for j in range(W)]))
-    parts = [F.array_distinct(kept), *(F.array_distinct(_spans(F.col("n"), x, _gram(F.col("h"), x, x))) for x in short)]
-    return df.select("*", F.concat(*parts).alias("fps") if short else parts[0].alias("fps"))
+    df = df.select("*", F.size("h").alias("n")).select("*", _spans(F.col("n"), K, lambda i: _gram(F.col("h"), i, K)).alias("g"))
+    df = df.select("*", _spans(F.size("g"), W, lambda i: F.least(*[F.col("g")[i + j] for j in range(W)])).alias("least"))
+
+    def place(least: Column, i: Column) -> Column:
+        out = i + (W - 1)
+        for j in reversed(range(W - 1)):
+            out = F.when(F.col("g")[i + j] == least, i + j).otherwise(out)
+        return out
+
+    return df.select("*", F.array_distinct(F.transform("least", place)).alias("kept")).drop("least")
 
 
 def _benchmark(bench: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> tuple[DataFrame, list[int]]:
     """(fp, item, at, item_h): where each kept hash stands in each item; and the lengths of short items."""
     items = bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    items = _hashed(items, F.col("text"), []).where("n > 0").select("item", F.col("h").alias("item_h"), "n", "g", "fps")
-    long = items.where(F.col("n") >= WINDOW).select("item", "item_h", "g", F.explode("fps").alias("fp"))
-    at = F.filter(F.sequence(F.lit(0), F.size("g") - 1), lambda i: F.col("g")[i] == F.col("fp"))
-    parts = long.select("fp", "item", F.explode(at).alias("at"), "item_h")
+    items = _hashed(items, F.col("text")).where("n > 0").select("item", F.col("h").alias("item_h"), "n", "g", "kept")
+    parts = items.where(F.col("n") >= WINDOW).select("item", "item_h", "g", F.explode_outer("kept").alias("at")).where("at is not null").select(F.col("g")[F.col("at")].alias("fp"), "item", "at", "item_h")
     short = items.where(F.col("n") < WINDOW)
     lengths = sorted(r.n for r in short.select("n").distinct().collect())  # nine at most
     for x in lengths:
-        parts = parts.union(short.where(F.col("n") == x).select(_gram(F.col("item_h"), x, x)(F.lit(0)).alias("fp"), "item", F.lit(0).alias("at"), "item_h"))
+        parts = parts.union(short.where(F.col("n") == x).select(_gram(F.col("item_h"), F.lit(0), x, x).alias("fp"), "item", F.lit(0).alias("at"), "item_h"))
     return scratch.table(parts, "benchmark"), lengths
 
 
+def _keys(lengths: list[int]) -> Column:
+    """Integers for the places that a document offers, after -1 for the document itself: 16 * place + length of a short span."""
+    places = [F.array(F.lit(-1)), F.transform("kept", lambda i: i * 16)]
+    places += [_spans(F.col("n"), x, lambda i, x=x: i * 16 + x, "int") for x in lengths]
+    return F.concat(*places).alias("keys")
+
+
+def _fingerprint(lengths: list[int]) -> Column:
+    at = F.shiftright("key", 4)
+    out = F.when(F.col("key") % 16 == 0, F.col("g")[at])
+    for x in lengths:
+        out = out.when(F.col("key") % 16 == x, _gram(F.col("h"), at, x, x))
+    return F.when(F.col("key") >= 0, out)
+
+
+#: The words around a kept hash that a window with it can reach, and where they start.
+_FIRST = F.greatest(F.shiftright("key", 4) - (W - 1), F.lit(0))
+
+
+def _around() -> Column:
+    return F.when(F.col("key") >= 0, F.slice("h", _FIRST + 1, 2 * WINDOW - K))
+
+
 def _windows() -> Column:
-    """Starts of the windows in the document that match around a kept hash, with the item."""
-    h, item_h, at, g = F.col("h"), F.col("item_h"), F.col("at"), F.col("g")
-    size = F.least(F.size("item_h"), F.lit(WINDOW))
-    places = F.filter(F.sequence(F.lit(0), F.col("n") - K), lambda i: g[i] == F.col("fp"))
+    """Starts and sizes of the windows in the document that match an item around a kept hash."""
+    near, item_h, at, place = F.col("near"), F.col("item_h"), F.col("at"), F.shiftright("key", 4)
 
-    def around(i):
-        fits = lambda o: (o <= i) & (o <= at) & (i - o + WINDOW <= F.col("n")) & (at - o + WINDOW <= F.size("item_h"))
-        same = lambda o: F.when(fits(o), F.slice(h, i - o + 1, WINDOW) == F.slice(item_h, at - o + 1, WINDOW)).otherwise(F.lit(False))
-        return F.transform(F.filter(F.sequence(F.lit(0), F.lit(W - 1)), same), lambda o: i - o)
+    def same(o: Column) -> Column:
+        left = place - o - _FIRST
+        fits = (left >= 0) & (o <= at) & (left + WINDOW <= F.size(near)) & (at - o + WINDOW <= F.size(item_h))
+        return F.when(fits, F.slice(near, left + 1, WINDOW) == F.slice(item_h, at - o + 1, WINDOW)).otherwise(F.lit(False))
 
-    long = F.flatten(F.transform(places, around))
-    whole = F.filter(F.sequence(F.lit(0), F.col("n") - size), lambda i: F.slice(h, i + 1, size) == item_h)
-    starts = F.when(F.col("fp").isNull(), F.array().cast("array<int>")).when(F.size("item_h") >= WINDOW, long).otherwise(whole)
-    return F.transform(F.array_distinct(starts), lambda s: F.struct(s.alias("start"), size.alias("size")))
+    offsets = F.array(*[F.lit(o) for o in range(W)])
+    long = F.transform(F.filter(offsets, same), lambda o: F.struct((place - o).alias("start"), F.lit(WINDOW).alias("size")))
+    short = F.when(F.slice(near, place - _FIRST + 1, F.size(item_h)) == item_h, F.array(F.struct(place.alias("start"), F.size(item_h).alias("size"))))
+    return F.when(F.col("key") % 16 == 0, long).when(F.col("key") > 0, short)
 
 
 def decontaminate(
@@ -102,21 +133,28 @@ def decontaminate(
     found, lengths = _benchmark(bench, item_id_col, item_text_col, scratch)
     size = found.agg(F.coalesce(F.sum(8 * F.size("item_h") + 64), F.lit(0))).first()[0]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    rows = _hashed(rows, F.col("text"), lengths).drop("text")
-    # a null hash heads each document, so that those without a hit stay
-    keys = F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "fps")).alias("fp")
+    rows = _hashed(rows, F.col("text")).drop("text")
     if size <= broadcast_bytes:
-        hits = rows.select("row", "doc_id", "text_hash", "h", "n", "g", keys).join(F.broadcast(found), "fp", "left").where("fp is null or item_h is not null")
+        # explode, join, filter and the slice of near words are one generated stage: only rows of a hit are ever made
+        keyed = rows.select("row", "doc_id", "text_hash", "h", "n", "g", _keys(lengths))
+        keyed = keyed.select("row", "doc_id", "text_hash", "h", "n", "g", F.explode_outer("keys").alias("key")).withColumn("fp", _fingerprint(lengths))
+        hits = keyed.join(F.broadcast(found), "fp", "left").where("fp is null or item_h is not null")
     else:
         rows = scratch.table(rows, "words")
-        keyed = rows.select("row", F.explode("fps").alias("fp")).join(found, "fp").select("row", "fp", "item", "at", "item_h")
-        heads = rows.select("row", F.lit(None).cast("bigint").alias("fp"), F.lit(None).cast("string").alias("item"), F.lit(0).alias("at"), F.lit(None).cast("array<bigint>").alias("item_h"))
-        hits = rows.select("row", "doc_id", "text_hash", "h", "n", "g").join(keyed.union(heads), "row")
-    hits = hits.select("row", "doc_id", "text_hash", "n", "item", "fp", _windows().alias("windows")).where("fp is null or size(windows) > 0")
+        keyed = rows.select("row", "h", "g", _keys(lengths)).select("row", "h", "g", F.explode_outer("keys").alias("key")).select("row", "key", _fingerprint(lengths).alias("fp"))
+        matched = keyed.where("fp is not null").join(found, "fp").select("row", "key", "item", "at", "item_h")
+        heads = rows.select("row", F.lit(-1).alias("key"), F.lit(None).cast("string").alias("item"), F.lit(0).alias("at"), F.lit(None).cast("array<bigint>").alias("item_h"))
+        hits = rows.select("row", "doc_id", "text_hash", "h", "n").join(matched.union(heads), "row")
+    hits = hits.select("row", "doc_id", "text_hash", "n", "key", "item", "at", "item_h", _around().alias("near"))
+    hits = hits.select("row", "doc_id", "text_hash", "n", "item", _windows().alias("windows"))
     each = hits.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("n").alias("n"), F.flatten(F.collect_list("windows")).alias("windows"), F.collect_set("item").alias("items")
+        F.first("doc_id").alias("doc_id"),
+        F.first("text_hash").alias("text_hash"),
+        F.first("n").alias("n"),
+        F.flatten(F.collect_list("windows")).alias("windows"),
+        F.collect_set(F.when(F.size("windows") > 0, F.col("item"))).alias("items"),
     )
-    covered = F.array_distinct(F.flatten(F.transform(F.array_distinct("windows"), lambda x: F.sequence(x["start"], x["start"] + x["size"] - 1))))
+    covered = F.array_distinct(F.flatten(F.transform("windows", lambda x: F.sequence(x["start"], x["start"] + x["size"] - 1))))
     return each.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"), F.sort_array("items").alias("items"))
 
 
