@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from gleaner.llm import quality, simhash, toxicity, winnow
+from gleaner.llm import linededup, quality, simhash, toxicity, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op4_line_dedup": linededup.op4_line_dedup,
     "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": linededup.OP4_SQL,
     "op9_benchmark_decontamination": winnow.OP9_SQL,
 }
