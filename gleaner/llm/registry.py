@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, linededup, quality, simhash, toxicity, winnow
+from gleaner.llm import bpe, linededup, quality, shards, simhash, toxicity, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_sharding": shards.op3_sharding,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op6_bpe": bpe.op6_bpe,
     "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
