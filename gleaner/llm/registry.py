@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, linededup, quality, shards, simhash, toxicity, winnow
+from gleaner.llm import bpe, linededup, media, quality, shards, simhash, toxicity, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_sharding": shards.op3_sharding,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op6_bpe": bpe.op6_bpe,
+    "op7_media_columns": media.op7_media_columns,
     "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
