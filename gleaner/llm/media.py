@@ -31,8 +31,8 @@ WIDTH = 64
 #: Bytes of payload in an Arrow batch, about, and of an archive in a partition.
 BATCH_BYTES, RANGE_BYTES = 8 << 20, 32 << 20
 _MAGIC = b"GLMEDIA1"
-_ENTRY = struct.Struct("<QQIQqB")  # offset, length, crc32, bytes of text, id, whether there is an id
-_FOOTER = struct.Struct("<QQ8s")  # directory's offset, members, magic
+_ENTRY = "<QQIQqB"  # offset, length, crc32, bytes of text, id, whether there is an id
+_FOOTER = "<QQ8s"  # directory's offset, members, magic
 _PNG = b"\x89PNG\r\n\x1a\n"
 
 
@@ -108,11 +108,11 @@ def write_archives(docs: DataFrame, folder: str) -> None:
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 member = encode_png(payload(data))
                 out.write(member)
-                entries.append(_ENTRY.pack(at, len(member), zlib.crc32(member), len(data), key or 0, key is not None))
+                entries.append(struct.pack(_ENTRY, at, len(member), zlib.crc32(member), len(data), key or 0, key is not None))
                 at += len(member)
         if out is not None:
             out.write(b"".join(entries))
-            out.write(_FOOTER.pack(at, len(entries), _MAGIC))
+            out.write(struct.pack(_FOOTER, at, len(entries), _MAGIC))
             out.close()
             if fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:
                 fs.delete_file(f"{root}/{name}")  # of an earlier run of this task
@@ -162,10 +162,10 @@ class ArchiveReader(DataSourceReader):
         fs, _ = _open(self.folder)
         with fs.open_input_file(partition.path) as file:
             size = file.size()
-            start, members, magic = _FOOTER.unpack(file.read_at(_FOOTER.size, size - _FOOTER.size))
+            start, members, magic = struct.unpack(_FOOTER, file.read_at(struct.calcsize(_FOOTER), size - struct.calcsize(_FOOTER)))
             if magic != _MAGIC:
                 raise ValueError(f"{partition.path} isn't an archive")
-            entries = _ENTRY.iter_unpack(file.read_at(members * _ENTRY.size, start))
+            entries = struct.iter_unpack(_ENTRY, file.read_at(members * struct.calcsize(_ENTRY), start))
             ids, sizes, media, held = [], [], [], 0
             for at, n, crc, n_bytes, key, known in entries:
                 if not partition.start <= at < partition.end:
