@@ -5,8 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -75,3 +76,8 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def ascii_lower(text: Column) -> Column:
+    """Lower-cases A-Z alone; texts without other letters take the faster built-in."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, linededup, media, quality, shards, simhash, toxicity, winnow
+from gleaner.llm import bpe, licenses, linededup, media, quality, shards, simhash, toxicity, urlfilter, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_sharding": shards.op3_sharding,
     "op4_line_dedup": linededup.op4_line_dedup,
+    "op5_license_scan": licenses.op5_license_scan,
     "op6_bpe": bpe.op6_bpe,
     "op7_media_columns": media.op7_media_columns,
+    "op8_url_filters": urlfilter.op8_url_filters,
     "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": licenses.OP5_SQL,
+    "op8_url_filters": urlfilter.OP8_SQL,
     "op4_line_dedup": linededup.OP4_SQL,
     "op9_benchmark_decontamination": winnow.OP9_SQL,
 }

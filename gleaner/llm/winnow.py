@@ -17,7 +17,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.common import Scratch, fresh, table
+from gleaner.llm.common import Scratch, ascii_lower, fresh, table
 
 WINDOW = 10
 K = 5
@@ -29,9 +29,7 @@ BROADCAST_BYTES = 48 << 20
 
 def words(text: Column) -> Column:
     """Lower-cases A-Z alone and takes the words; null has none."""
-    text = F.coalesce(text, F.lit(""))
-    low = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def _spans(n: Column, length: int, make, kind: str = "bigint") -> Column:
