@@ -98,3 +98,13 @@ def render(source: str, steps: Steps, columns: list[str]) -> str:
     for name, expression in steps:
         source = f"(select *, {expression} as {name} from {source})"
     return f"select {', '.join(columns)} from {source}"
+
+
+def keep(df: DataFrame, condition: str) -> DataFrame:
+    """Rows that meet a condition over columns made by steps.
+
+    A plain filter would be pushed down through all the steps' projections and
+    take the whole chain of expressions along, each inlined wherever it is used.
+    A row number beside the columns holds the filter above them.
+    """
+    return df.withColumn("_row", F.monotonically_increasing_id()).where(f"({condition}) and _row >= 0").drop("_row")
