@@ -177,3 +177,96 @@ EMAIL = "[A-Za-z0-9._%+\\-]{1,64}@[A-Za-z0-9.\\-]{1,253}\\.[A-Za-z]{2,24}"
 OBFUSCATED = "(?i)([A-Za-z0-9._%+\\-]{1,64})\\s*[\\[(]\\s*\\bat\\b\\s*[\\])]\\s*([A-Za-z0-9.\\-]{1,64})\\s*[\\[(]\\s*\\bdot\\b\\s*[\\])]\\s*([A-Za-z]{2,8})"
 EMAIL_REJECTS = [".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", "x320", "x640", "x1024", "sentry", "example.com"]
 OBFUSCATED_CHARS, EMAIL_CHARS = 32_000, 256_000
+
+# Places.
+_COMMUNE = "[A-ZÀ-Ý][\\wÀ-ÿ'\\-]{1,30}(?:[ \\-][A-ZÀ-Ý][\\wÀ-ÿ'\\-]{1,30}){0,3}"
+URL_POSTAL = "(?i)(?:^|[/\\-])([a-z][a-z0-9\\-]{2,})-(\\d{5})(?:[/,?\\-]|$)|(?:^|[/\\-])(\\d{5})-([a-z][a-z0-9\\-]{2,})(?:[/,?\\-]|$)"
+TITLE_AT = f"(?:[\\s»])(?:à|a|au|aux|at)\\s+({_COMMUNE})"
+TITLE_POSTAL_FIRST = f"\\b(\\d{{5}})\\s+({_COMMUNE})\\b"
+TITLE_POSTAL_LAST = f"\\b({_COMMUNE})\\s*\\(?(\\d{{5}})\\)?\\b"
+BODY_POSTAL = f"\\b({_COMMUNE})\\s+(\\d{{5}})\\b"
+BODY_CHARS = 32_768
+BREADCRUMB = ".breadcrumb, .breadcrumbs, nav.breadcrumb, ol.breadcrumb, ul.breadcrumb, [itemtype*='BreadcrumbList'], [class*='breadcrumb' i], [class*='chemin' i]"
+AGENT_BREADCRUMB = ".breadcrumb, .breadcrumbs, [class*='breadcrumb' i]"
+PLACE_METAS = ["meta[property='og:locality']", "meta[property='place:location:locality']", "meta[name='geo.placename']"]
+DETAIL_URL = "(?i)(?:/\\d{5,}|-vp\\d{3,}|-vm\\d{3,}|/[a-z0-9-]{12,}-\\d{3,}|,[A-Z]{1,3}\\d{3,})"
+DESCRIPTOR = "(?i)€|eur(?:o|os)?|/\\s*mois|par\\s+mois|m\\s*[²2]|\\bm2\\b"
+SLUG_DESCRIPTOR = "(?i)€|^\\d+[a-z]?[²2]?$|\\bm2\\b|m\\s*[²2]|mois|^\\d+e$"
+URL_CATEGORIES = ["vente", "ventes", "location", "locations", "biens", "bien", "annonce", "annonces", "acheter", "louer", "vente-pro", "location-pro"]
+PROPERTY_TOKENS = BARE_TAILS
+NAV_LABELS = [
+    "maison", "maisons", "appartement", "appartements", "villa", "villas", "terrain", "terrains", "studio", "studios", "garage", "garages",
+    "parking", "parkings", "loft", "chalet", "chateau", "immeuble", "local", "bureau", "bureaux", "hotel", "ferme",
+    "vente", "ventes", "location", "locations", "a vendre", "a louer", "acheter", "louer", "buy", "rent", "achat",
+    "annonce", "annonces", "biens", "bien", "propriete", "proprietes", "property", "properties", "liste", "detail", "details", "page", "resultats", "results",
+    "accueil", "home", "contact", "agence", "agences", "equipe", "team", "actualites", "blog", "recherche", "search", "estimer", "estimation",
+    "financement", "simulateur", "simulation", "taux",
+    "bailleurs", "vendeurs", "acquereurs", "acheteurs", "locataires", "mandataire", "mandataires", "immobilier", "immobiliere",
+    "mes biens", "mes alertes", "mes favoris", "mes recherches", "mon compte", "mon espace", "espace client", "espace candidat", "connexion",
+    "se connecter", "deconnexion", "inscription", "dashboard", "bienvenue",
+    "transaction", "transactions", "decouvrir", "decouvrez", "voir", "voir plus", "voir tous", "voir tout", "tous les biens", "tous nos biens",
+    "derniers biens", "nouveautes", "nouveaute", "coup de coeur", "coups de coeur", "exclusivites", "exclusivite", "selection", "selections",
+    "nos biens", "nos selections", "nos exclusivites", "nos coups", "best of", "top", "top biens",
+    "vacances", "location vacances", "location saisonniere", "neuf", "programme", "programmes", "programme neuf", "programmes neufs", "dispositif",
+    "dispositifs", "aide", "aides", "investir", "investissement", "defiscalisation", "estimez", "evaluez", "evaluer", "estimez votre bien",
+    "vendre mon bien", "louer mon bien", "chambres", "chambre", "pieces", "piece", "neuve", "neuves", "neufs", "sale", "house", "for sale",
+]
+
+# Coordinates.
+_FLOAT = "[+-]?\\d{1,3}(?:\\.\\d+)?"
+LAT_KEY = f"(?i)(?:\"|\\b)(?:lat|latitude)(?:\"|\\b)\\s*[:=]\\s*({_FLOAT})"
+LNG_KEY = f"(?i)(?:\"|\\b)(?:lng|lon|long|longitude)(?:\"|\\b)\\s*[:=]\\s*({_FLOAT})"
+MAPBOX = f"center\\s*:\\s*\\[\\s*({_FLOAT})\\s*,\\s*({_FLOAT})\\s*\\]"
+LEAFLET = [f"L\\.(?:marker|latLng)\\(\\s*\\[?\\s*({_FLOAT})\\s*,\\s*({_FLOAT})\\s*\\]?", f"setView\\(\\s*\\[\\s*({_FLOAT})\\s*,\\s*({_FLOAT})\\s*\\]"]
+MAP_URLS = [f"[?&]ll=({_FLOAT}),({_FLOAT})", f"[?&]q=({_FLOAT}),({_FLOAT})", f"/@({_FLOAT}),({_FLOAT})"]
+PAIR = f"^\\s*({_FLOAT})\\s*,\\s*({_FLOAT})\\s*$"
+LAT_ATTRIBUTES, LNG_ATTRIBUTES = ["data-lat", "data-latitude"], ["data-lng", "data-lon", "data-long", "data-longitude"]
+PAIR_ATTRIBUTES = ["data-coords", "data-coord", "data-position", "data-latlng", "data-latlong", "data-geo"]
+LAT_METAS = ["meta[property='og:latitude']", "meta[property='place:location:latitude']"]
+LNG_METAS = ["meta[property='og:longitude']", "meta[property='place:location:longitude']"]
+POSITION_META = "meta[name='geo.position']"
+
+# Agents.
+AGENT_SELECTORS = [
+    "[itemprop='salesAgent']", "[itemprop='author']", "[data-agent-name]", "[data-agent]", "[data-conseiller]", "[data-negociateur]",
+    ".agent-card .name", ".agent-card__name", ".agent-name", ".agent-info .name", ".property-agent .name", ".contact-card .name", ".contact-card__name",
+    ".contact-bien .name", ".contact-bien__name", ".bloc-contact .name", ".card-contact .name", ".author-card .name", ".fiche-contact .name",
+    ".fiche-contact__name", ".team-member-name", ".team-member .name", ".bien-contact .name", ".bien-agent .name", ".bien-card .name",
+    ".commercial-name", ".consultant-name", ".negociateur-name", ".negociateur .name", ".conseiller-name", ".conseiller .name", ".responsable .name",
+    ".referent .name", ".intervenant .name", ".expert-immobilier .name", ".signature .name", ".signature-author", ".author .name",
+    "[itemprop='name'][itemtype*='Person']", "[itemprop='name'][itemtype*='RealEstateAgent']",
+]
+AGENT_ATTRIBUTES = ["data-agent-name", "data-agent", "data-conseiller", "data-negociateur", "content"]
+AGENT_CONTEXT = [
+    "agent", "agents", "team", "equipe", "contact-card", "contact_card", "contact-info", "contact_info", "property-agent", "property_agent",
+    "bien-contact", "bien_contact", "bien-agent", "bien_agent", "negociateur", "conseiller", "commercial", "sales-agent", "salesperson",
+    "fiche-contact", "fiche_contact", "contact-bien", "contact_bien", "bloc-contact", "bloc_contact", "card-contact", "card_contact", "author-card",
+    "author_card", "agent-card", "agent_card", "bien-card", "bien_card", "agent-info", "agent_info", "signature", "signature-author",
+    "signature_author", "responsable", "referent", "intervenant", "expert", "expert-immobilier", "expert_immobilier", "consultant", "proprietaire",
+    "vendeur", "agent-immobilier", "agent_immobilier", "nego", "author",
+]
+AGENT_DEPTH, LONGEST_NAME = 5, 80
+_ROLE = (
+    "agent(?:\\s+immobilier)?|n[ée]gociateur|conseiller(?:\\s+immobilier)?|commercial|consultant(?:\\s+immobilier)?|expert(?:\\s+immobilier)?|"
+    "responsable\\s+du\\s+bien|votre\\s+(?:conseiller|n[ée]gociateur|contact)|mandataire(?:\\s+immobilier)?|referent"
+)
+_NAME = "(?:M(?:me|lle|\\.)?\\s+|Mme\\s+|Mlle\\s+)?[A-ZÀ-Ý][\\wÀ-ÿ'\\-]+(?:\\s+[A-ZÀ-Ý][\\wÀ-ÿ'\\-]+){1,3}"
+AGENT_LABELS = [f"(?i)(?:{_ROLE})\\s*[:\\-–—]?\\s*({_NAME})", f"(?i)({_NAME})\\s*[\\-–—,]\\s*(?:{_ROLE})\\b"]
+HONORIFIC = "(?i)^(?:m\\.|mme|mlle|monsieur|madame|mademoiselle)\\s+"
+NAME_SHAPES = ["^[A-ZÀ-Ý][\\wÀ-ÿ'\\-]+(?:\\s+[A-ZÀ-Ý][\\wÀ-ÿ'\\-]+){1,3}$", "^(?:[A-ZÀ-Ý][\\wÀ-ÿ'\\-]+\\s+)?[A-ZÀ-Ý]{2,}(?:[\\-' ][A-ZÀ-Ý]{2,})*$"]
+NAME_JUNK = [
+    "contact", "contactez", "appeler", "appelez", "agence", "votre conseiller", "votre negociateur", "votre contact", "nous joindre",
+    "nous contacter", "telephone", "hotline", "service", "email", "horaires", "ouvert", "footer", "newsletter", "abonnez", "abonner", "independant",
+    "reseau", "mandataire", "rechercher", "recherche", "mon espace", "espace client", "connexion", "se connecter", "connectez", "menu", "accueil",
+    "bienvenue", "formulaire", "envoyer", "valider", "rappel", "rappelez", "callback", "call back", "toutes nos agences", "trouver une agence",
+    "plan du site", "mentions legales", "politique", "cookies", "estimer", "estimation", "simulateur", "financement", "deconnexion", "inscription",
+]
+
+# JSON-LD types and keys, lower-cased.
+LD_LISTING_TYPES = ["product", "realestatelisting", "singlefamilyresidence", "house", "apartment", "accommodation", "residence", "realestate"]
+LD_AGENT_TYPES = ["realestateagent", "person"]
+LD_PRICES = ["price", "lowprice", "highprice", "pricevalue"]
+LD_REFERENCES = ["sku", "productid", "identifier", "ref", "reference", "reference_id"]
+LD_PHONES = ["telephone", "phone", "phonenumber"]
+LD_DPE = ["energyefficiencycategory", "energyclass", "energyrating", "dperating", "epcrating", "epccategory"]
+LD_AGENT_PARENTS = ["author", "seller", "publisher", "provider", "agent"]
