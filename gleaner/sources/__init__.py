@@ -1 +1,91 @@
-"""See the README for what lives here."""
+"""Inputs: agency tables, caches, checkpoints, the public suffix list."""
+
+from __future__ import annotations
+
+import zipfile
+from functools import lru_cache
+from pathlib import Path
+
+import pandas as pd
+import pyspark
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+AGENCY_COLUMNS = ["company_name", "contact_person_last_name", "siren", "siret", "phone_1", "postalcode", "street", "city", "website"]
+REQUIRED = ["company_name", "contact_person_last_name", "phone_1", "postalcode", "city", "website"]
+
+
+class LoaderError(RuntimeError):
+    """The agency table is missing or lacks columns."""
+
+
+def read_agencies(spark: SparkSession, path: str) -> DataFrame:
+    """Agencies from CSV, all text, with ``seq`` in input order. Headers are checked without case, but read as they are."""
+    try:
+        header = spark.read.text(path).first()
+    except Exception as e:
+        raise LoaderError(f"input not found: {path}") from e
+    names = [c.strip().strip('"') for c in (header[0] if header else "").removeprefix("﻿").split(",")]
+    missing = [c for c in REQUIRED if c not in {n.lower() for n in names}]
+    if missing:
+        raise LoaderError(f"columns are missing: {missing}")
+    schema = StructType([StructField(n, StringType()) for n in names])
+    rows = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("multiLine", True).option("escape", '"').option("enforceSchema", True).csv(path)
+    for c in AGENCY_COLUMNS:
+        if c not in names:
+            rows = rows.withColumn(c, F.lit(None).cast("string"))
+    return rows.select(F.monotonically_increasing_id().alias("seq"), *AGENCY_COLUMNS)
+
+
+def _json_or(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The value of a whole JSON file; nothing if it is absent or isn't such JSON."""
+    try:
+        text = spark.read.text(path, wholetext=True)
+        text.schema  # noqa: B018
+    except Exception:
+        return spark.createDataFrame([], f"x {schema}")
+    return text.select(F.from_json("value", schema).alias("x")).where("x is not null")
+
+
+def read_geocode_cache(spark: SparkSession, path: str) -> DataFrame:
+    """``key, value`` of the cache; an empty value is a known miss."""
+    rows = _json_or(spark, path, "map<string,string>").select(F.explode("x").alias("key", "value"))
+    return rows.select(F.lower("key").alias("key"), F.coalesce("value", F.lit("")).alias("value"))
+
+
+def read_completed(spark: SparkSession, path: str) -> DataFrame:
+    rows = _json_or(spark, path, "struct<completed:array<string>>")
+    return rows.select(F.explode("x.completed").alias("d")).select(F.lower(F.trim("d")).alias("domain")).distinct()
+
+
+@lru_cache(1)
+def public_suffixes() -> frozenset[str]:
+    """Rules of the public suffix list that a Spark dependency ships, without its private part."""
+    jar = next((Path(pyspark.__file__).parent / "jars").glob("httpclient-4*.jar"))
+    with zipfile.ZipFile(jar) as z:
+        lines = z.read("mozilla/public-suffix-list.txt").decode().split("===BEGIN PRIVATE DOMAINS===")[0].splitlines()
+    return frozenset(x.strip() for x in lines if x.strip() and not x.startswith("//"))
+
+
+def registrable(host: str, rules: frozenset[str]) -> str:
+    """The label before a host's longest public suffix, with the suffix; the host itself where there is none."""
+    labels = host.split("@")[-1].split(":")[0].rstrip(".").lower().split(".")
+    for i in range(len(labels)):
+        name = ".".join(labels[i:])
+        if "!" + name in rules:
+            return name
+        if name in rules or "*." + ".".join(labels[i + 1 :]) in rules:
+            return ".".join(labels[i - 1 :]) if i else host
+    return host
+
+
+def registrable_domain(host):
+    """Column of registrable domains; the rules are a table of some ten thousand entries, whatever the input."""
+    rules = public_suffixes()
+
+    @F.pandas_udf("string")
+    def run(hosts: pd.Series) -> pd.Series:
+        known: dict[str, str] = {}
+        return hosts.map(lambda h: known.setdefault(h, registrable(h, rules)) if h else "")
+
+    return run(host)

@@ -1 +1,54 @@
-"""See the README for what lives here."""
+"""Incremental runs: listings arrive, each domain's deduplication state stays."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+KEYS = ["refs", "urls", "contents"]
+
+
+def _accept(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    held = json.loads(state.get[0]) if state.exists else [[], [], []]
+    refs, urls, contents = map(set, held)
+    rows = pd.concat(list(batches))
+    kept = []
+    for r in rows.sort_values("seq").itertuples(index=False):
+        ref = r.ref.lower()
+        if ref in refs or r.url_key in urls or (not ref and r.content in contents):
+            continue
+        for known, new in ((refs, ref), (urls, r.url_key), (contents, r.content)):
+            if new:
+                known.add(new)
+        kept.append(int(r.seq))
+    state.update((json.dumps([sorted(refs), sorted(urls), sorted(contents)]),))
+    yield pd.DataFrame({"domain": [key[0]] * len(kept), "seq": pd.Series(kept, dtype="int64")})
+
+
+def dedup_stream(listings: DataFrame) -> DataFrame:
+    """``listings(domain, seq, ref, url_key, content)`` stream -> accepted (domain, seq), by the same rule as the batch operator.
+
+    A domain's keys stay in the state store, so duplicates are found across batches and restarts.
+    """
+    rows = listings.where("domain <> ''").select("domain", "seq", "ref", "url_key", "content")
+    return rows.groupBy("domain").applyInPandasWithState(_accept, "domain string, seq long", "keys string", "append", GroupStateTimeout.NoTimeout)
+
+
+def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    last = state.get[0] if state.exists else None
+    out = []
+    for r in pd.concat(list(batches)).sort_values("seq").itertuples(index=False):
+        if r.reason != last:
+            out.append((key[0], int(r.seq), r.status, r.reason))
+        last = r.reason
+    state.update((last,))
+    yield pd.DataFrame(out, columns=["domain", "seq", "status", "reason"])
+
+
+def error_stream(outcomes: DataFrame) -> DataFrame:
+    """``outcomes(domain, seq, status, reason)`` stream -> rows whose reason isn't the domain's last one."""
+    return outcomes.groupBy("domain").applyInPandasWithState(_changes, "domain string, seq long, status string, reason string", "last string", "append", GroupStateTimeout.NoTimeout)
