@@ -15,6 +15,7 @@ from gleaner.functions.url import plain_registrable, url_steps
 from gleaner.operators import classify as cl, dedup, discovery, relational as rel
 from gleaner.operators.extract import extract_listings
 from gleaner.plans.report import report
+from gleaner.shared import Shared
 from gleaner.sources import read_agencies, read_completed, read_geocode_cache
 
 
@@ -32,7 +33,7 @@ class Engine:
     def sites(self, jobs: DataFrame, pages: DataFrame) -> DataFrame:
         """Each job's homepage with families, failure and suggested strategy; no page counts as no answer."""
         own = apply(jobs, url_steps(SPARK, "url", "j_")).select(*jobs.columns, F.col("j_host").alias("host"), F.col("j_canonical").alias("home"))
-        stored = apply(pages, url_steps(SPARK, "url")).select("domain", F.col("u_canonical").alias("home"), F.col("url").alias("page_url"), "html", "status")
+        stored = pages.select("domain", F.col("canonical").alias("home"), F.col("url").alias("page_url"), "html", "status")
         stored = dedup.first_of(stored, ["domain", "home"], ["page_url"])
         rows = own.join(stored, ["domain", "home"], "left")
         steps = [*cl.dynamic_steps(SPARK, "html"), ("html_head", "d_head"), *cl.family_steps(SPARK, "host", "html_head", "url"), ("failure", cl.status_reason("status"))]
@@ -40,26 +41,28 @@ class Engine:
 
     def run(self, agencies: DataFrame, pages: DataFrame, sitemaps: DataFrame | None = None, completed: DataFrame | None = None, cache: DataFrame | None = None) -> Outputs:
         """``agencies`` as the loader reads them; ``pages(url, html, status)``; ``sitemaps(domain, url, body)``."""
+        cut = Shared(self.spark).table
         jobs = rel.load_jobs(agencies)
         jobs = rel.pending(jobs, completed, self.config.limit) if completed is not None else jobs
-        stored = apply(pages, url_steps(SPARK, "url")).withColumn("domain", F.expr(plain_registrable(SPARK, "u_host"))).select("domain", "url", "html", "status")
-        stored = stored.join(jobs.select("domain"), "domain", "left_semi")
-        sites = self.sites(jobs, stored)
+        jobs = cut(jobs, "jobs")
+        stored = apply(pages, url_steps(SPARK, "url")).withColumn("domain", F.expr(plain_registrable(SPARK, "u_host"))).select("domain", "url", "html", "status", F.col("u_canonical").alias("canonical"))
+        stored = cut(stored.join(jobs.select("domain"), "domain", "left_semi"), "stored")
+        sites = cut(self.sites(jobs, stored), "sites")
         if sitemaps is None:
             locations = self.spark.createDataFrame([], "domain string, url string, order struct<level:int,up:bigint,pos:int>")
         else:
             roots = sitemaps.select("domain", "url", F.row_number().over(Window.partitionBy("domain").orderBy("url")).alias("seq"))
             locations = discovery.walk_sitemaps(roots, sitemaps, self.config.max_sitemap_depth)
         homes = sites.select("domain", F.coalesce("page_url", "url").alias("url"), "host", "html_head")
-        candidates = discovery.discover(homes, stored.select("domain", "url", "html"), locations, self.config)
-        details = apply(stored, url_steps(SPARK, "url")).withColumn("canonical", F.col("u_canonical"))
-        details = dedup.first_of(details.where(F.expr(cl.usable_response(SPARK, "status", "''", "html"))), ["domain", "canonical"], ["url"])
+        candidates = cut(discovery.discover(homes, stored.select("domain", "url", "html"), locations, self.config, cut), "candidates")
+        details = dedup.first_of(stored.where(F.expr(cl.usable_response(SPARK, "status", "''", "html"))), ["domain", "canonical"], ["url"])
         contacts = jobs.select("domain", *rel.CONTACTS)
         chosen = candidates.select("domain", "canonical", "rank").join(details.select("domain", "canonical", "url", "html"), ["domain", "canonical"]).join(contacts, "domain")
-        found = extract_listings(chosen.select("domain", "rank", "url", "html", *rel.CONTACTS))
+        found = cut(extract_listings(chosen.select("domain", "rank", "url", "html", *rel.CONTACTS)), "found")
         keyed = apply(found, [*url_steps(SPARK, "source_url"), ("content", content_key(SPARK, "location", "property_type", "surface_area", "price"))])
         keyed = keyed.select("domain", F.col("rank").alias("seq"), F.col("reference_id").alias("ref"), F.col("u_key").alias("url_key"), "content", *v.LISTING_FIELDS)
-        kept = keyed.join(dedup.three_tier(keyed), ["domain", "seq"], "left_semi")
+        keyed = cut(keyed, "keyed")
+        kept = cut(keyed.join(dedup.three_tier(keyed), ["domain", "seq"], "left_semi"), "kept")
         counts = kept.groupBy("domain").agg(F.count("*").alias("listing_count"))
         rows = sites.join(counts, "domain", "left").withColumn("listing_count", F.coalesce("listing_count", F.lit(0)))
         why = cl.empty_reason("failure", "strategy", str(self.config.renderer_available).lower())

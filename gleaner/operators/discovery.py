@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -16,7 +17,8 @@ from gleaner.operators.classify import classify_steps, family_steps
 from gleaner.operators.dedup import first_of
 from gleaner.operators.relational import expand_hubs, rank_candidates
 
-LISTING_HINT = r"(?i)(annonce|bien|listing|propert|vente|location|produit)"
+#: Fixed value: words in the URLs of sitemaps that list listings.
+LISTING_HINT = r"(?i)(annonce|annonces|vente|location|bien|biens|property|properties|listing|listings|maison|appartement|achat|propriete|immobilier)"
 
 
 def anchors(pages: DataFrame) -> DataFrame:
@@ -87,19 +89,21 @@ def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int) -> DataFrame:
     return hosts.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy("pos"))).where(F.col("rank") <= most).select("domain", F.col("u_host").alias("host"), "rank")
 
 
-def discover(sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config: EngineConfig) -> DataFrame:
+def discover(sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Ranked candidate pages of each domain: sitemap locations, then homepage anchors, expanded through hubs.
 
-    ``sites(domain, url, host, html_head)``, ``pages(domain, url, html)``, ``sitemap_urls(domain, url, order)``.
+    ``sites(domain, url, host, html_head)``, ``pages(domain, url, html)``, ``sitemap_urls(domain, url, order)``. ``cut``
+    writes a table and reads it again, between the phases.
     """
     home = anchors(sites.join(pages, ["domain", "url"]).select("domain", "url", "html"))
     from_map = sitemap_urls.select("domain", F.col("url").alias("dst"), F.row_number().over(Window.partitionBy("domain").orderBy("order")).alias("seq"))
+    home = cut(home, "home")
     both = from_map.unionByName(home.select("domain", "dst", (F.col("pos") + 1_000_000).alias("seq")))
-    seeds = classified(both).select("domain", F.col("canonical").alias("url"), "kind", "seq")
-    edges = apply(anchors(pages), url_steps(SPARK, "src", "s_")).withColumn("src", F.col("s_canonical")).select("domain", "src", "pos", "dst")
-    edges = classified(edges).select("domain", "src", F.col("canonical").alias("dst"), "kind", "pos")
-    found = expand_hubs(seeds, edges, config.seed_expansion_depth, config.max_hub_pages)
+    seeds = cut(classified(both).select("domain", F.col("canonical").alias("url"), "kind", "seq"), "seeds")
+    edges = apply(cut(anchors(pages), "anchors"), url_steps(SPARK, "src", "s_")).withColumn("src", F.col("s_canonical")).select("domain", "src", "pos", "dst")
+    edges = cut(classified(cut(edges, "links")).select("domain", "src", F.col("canonical").alias("dst"), "kind", "pos"), "edges")
+    found = cut(expand_hubs(seeds, edges, config.seed_expansion_depth, config.max_hub_pages), "reached")
     scored = apply(found.join(sites.select("domain", "host", "html_head"), "domain"), [*classify_steps(SPARK), *family_steps(SPARK, "host", "html_head", "url")])
     order = F.row_number().over(Window.partitionBy("domain").orderBy("depth", "seq"))
     scored = scored.select("domain", order.alias("seq"), F.col("url").alias("canonical"), F.when(F.col("score") > 0, F.col("score") + F.col("boost")).otherwise(F.col("score")).alias("score"))
-    return rank_candidates(scored, config.max_listing_urls)
+    return rank_candidates(cut(scored, "scored"), config.max_listing_urls)
