@@ -38,7 +38,7 @@ def _spans(n: Column, length: int, make, kind: str = "bigint") -> Column:
 
 
 def _gram(hashes: Column, at: Column, length: int, salt: int | None = None) -> Column:
-    return F.xxhash64(*([F.lit(salt)] if salt else []), *[hashes[at + j] for j in range(length)])
+    return F.xxhash64(*([F.lit(salt)] if salt else []), *[F.get(hashes, at + j) for j in range(length)])
 
 
 def _hashed(df: DataFrame, text: Column) -> DataFrame:
@@ -51,12 +51,12 @@ def _hashed(df: DataFrame, text: Column) -> DataFrame:
     """
     df = df.select("*", words(text).alias("w")).select("*", F.transform("w", lambda x: F.xxhash64(x)).alias("h")).drop("w")
     df = df.select("*", F.size("h").alias("n")).select("*", _spans(F.col("n"), K, lambda i: _gram(F.col("h"), i, K)).alias("g"))
-    df = df.select("*", _spans(F.size("g"), W, lambda i: F.least(*[F.col("g")[i + j] for j in range(W)])).alias("least"))
+    df = df.select("*", _spans(F.size("g"), W, lambda i: F.least(*[F.get(F.col("g"), i + j) for j in range(W)])).alias("least"))
 
     def place(least: Column, i: Column) -> Column:
         out = i + (W - 1)
         for j in reversed(range(W - 1)):
-            out = F.when(F.col("g")[i + j] == least, i + j).otherwise(out)
+            out = F.when(F.get(F.col("g"), i + j) == least, i + j).otherwise(out)
         return out
 
     return df.select("*", F.array_distinct(F.transform("least", place)).alias("kept")).drop("least")
@@ -66,7 +66,7 @@ def _benchmark(bench: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
     """(fp, item, at, item_h): where each kept hash stands in each item; and the lengths of short items."""
     items = bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
     items = _hashed(items, F.col("text")).where("n > 0").select("item", F.col("h").alias("item_h"), "n", "g", "kept")
-    parts = items.where(F.col("n") >= WINDOW).select("item", "item_h", "g", F.explode_outer("kept").alias("at")).where("at is not null").select(F.col("g")[F.col("at")].alias("fp"), "item", "at", "item_h")
+    parts = items.where(F.col("n") >= WINDOW).select("item", "item_h", "g", F.explode_outer("kept").alias("at")).where("at is not null").select(F.get(F.col("g"), F.col("at")).alias("fp"), "item", "at", "item_h")
     short = items.where(F.col("n") < WINDOW)
     lengths = sorted(r.n for r in short.select("n").distinct().collect())  # nine at most
     for x in lengths:
@@ -77,24 +77,29 @@ def _benchmark(bench: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
 def _keys(lengths: list[int]) -> Column:
     """Integers for the places that a document offers, after -1 for the document itself: 16 * place + length of a short span."""
     places = [F.array(F.lit(-1)), F.transform("kept", lambda i: i * 16)]
-    places += [_spans(F.col("n"), x, lambda i, x=x: i * 16 + x, "int") for x in lengths]
+
+    def short(length: int) -> Column:
+        return _spans(F.col("n"), length, lambda i: i * 16 + length, "int")
+
+    places += [short(x) for x in lengths]
     return F.concat(*places).alias("keys")
 
 
 def _fingerprint(lengths: list[int]) -> Column:
     at = F.shiftright("key", 4)
-    out = F.when(F.col("key") % 16 == 0, F.col("g")[at])
+    out = F.when(F.col("key") % 16 == 0, F.get(F.col("g"), at))
     for x in lengths:
         out = out.when(F.col("key") % 16 == x, _gram(F.col("h"), at, x, x))
     return F.when(F.col("key") >= 0, out)
 
 
-#: The words around a kept hash that a window with it can reach, and where they start.
-_FIRST = F.greatest(F.shiftright("key", 4) - (W - 1), F.lit(0))
+def _first() -> Column:
+    """Where the words start that a window with the kept hash can reach."""
+    return F.greatest(F.shiftright("key", 4) - (W - 1), F.lit(0))
 
 
 def _around() -> Column:
-    return F.when(F.col("key") >= 0, F.slice("h", _FIRST + 1, 2 * WINDOW - K))
+    return F.when(F.col("key") >= 0, F.slice("h", _first() + 1, 2 * WINDOW - K))
 
 
 def _windows() -> Column:
@@ -102,13 +107,13 @@ def _windows() -> Column:
     near, item_h, at, place = F.col("near"), F.col("item_h"), F.col("at"), F.shiftright("key", 4)
 
     def same(o: Column) -> Column:
-        left = place - o - _FIRST
+        left = place - o - _first()
         fits = (left >= 0) & (o <= at) & (left + WINDOW <= F.size(near)) & (at - o + WINDOW <= F.size(item_h))
         return F.when(fits, F.slice(near, left + 1, WINDOW) == F.slice(item_h, at - o + 1, WINDOW)).otherwise(F.lit(False))
 
     offsets = F.array(*[F.lit(o) for o in range(W)])
     long = F.transform(F.filter(offsets, same), lambda o: F.struct((place - o).alias("start"), F.lit(WINDOW).alias("size")))
-    short = F.when(F.slice(near, place - _FIRST + 1, F.size(item_h)) == item_h, F.array(F.struct(place.alias("start"), F.size(item_h).alias("size"))))
+    short = F.when(F.slice(near, place - _first() + 1, F.size(item_h)) == item_h, F.array(F.struct(place.alias("start"), F.size(item_h).alias("size"))))
     return F.when(F.col("key") % 16 == 0, long).when(F.col("key") > 0, short)
 
 
