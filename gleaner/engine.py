@@ -16,7 +16,7 @@ from gleaner.operators import classify as cl, dedup, discovery, relational as re
 from gleaner.operators.extract import extract_listings
 from gleaner.plans.report import report
 from gleaner.shared import Shared
-from gleaner.sources import read_agencies, read_completed, read_geocode_cache
+from gleaner.sources import mark_completed, read_agencies, read_completed, read_geocode_cache
 
 
 @dataclass
@@ -99,7 +99,10 @@ def main(args: list[str] | None = None) -> None:
     engine = Engine(spark, EngineConfig(limit=a.limit, keep_outputs=a.keep_outputs, reset_checkpoint=a.reset_checkpoint))
     done = read_completed(spark, a.checkpoint) if a.checkpoint and not a.reset_checkpoint else spark.createDataFrame([], "domain string")
     cache = read_geocode_cache(spark, a.geocode_cache) if a.geocode_cache else None
-    print(engine.write(engine.run(read_agencies(spark, a.agencies), spark.read.parquet(a.pages), completed=done, cache=cache), a.output))
+    out = engine.run(read_agencies(spark, a.agencies), spark.read.parquet(a.pages), completed=done, cache=cache)
+    print(engine.write(out, a.output))
+    if a.checkpoint:
+        mark_completed(out.summary, a.checkpoint, a.reset_checkpoint)
 
 
 if __name__ == "__main__":

@@ -54,10 +54,19 @@ def read_geocode_cache(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_completed(spark: SparkSession, path: str) -> DataFrame:
+    """Completed domains, from a JSON file or from the Parquet folder that ``mark_completed`` appends to."""
+    try:
+        return spark.read.parquet(path).select(F.lower(F.trim("domain")).alias("domain")).distinct()
+    except Exception:  # no such folder yet, or a JSON file
+        pass
     rows = _json_or(spark, path, "struct<completed:array<string>>")
     return rows.select(F.explode("x.completed").alias("d")).select(F.lower(F.trim("d")).alias("domain")).distinct()
 
 
+def mark_completed(summary: DataFrame, path: str, reset: bool = False) -> None:
+    summary.select(F.lower(F.trim("domain")).alias("domain")).where("domain <> ''").write.mode("overwrite" if reset else "append").parquet(path)
+
+
 @lru_cache(1)
 def public_suffixes() -> frozenset[str]:
     """Rules of the public suffix list that a Spark dependency ships, without its private part."""
