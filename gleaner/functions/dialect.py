@@ -8,6 +8,7 @@ rendered for DuckDB, whose results the tests and the driver compare.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -88,9 +89,13 @@ Steps = list[tuple[str, str]]
 
 
 def apply(df: DataFrame, steps: Steps) -> DataFrame:
+    """Adds the steps' columns; steps that don't build on each other share a projection."""
+    batch: dict[str, str] = {}
     for name, expression in steps:
-        df = df.withColumn(name, F.expr(expression))
-    return df
+        if name in batch or set(batch) & set(re.findall(r"\w+", expression)):
+            df, batch = df.withColumns({n: F.expr(e) for n, e in batch.items()}), {}
+        batch[name] = expression
+    return df.withColumns({n: F.expr(e) for n, e in batch.items()}) if batch else df
 
 
 def render(source: str, steps: Steps, columns: list[str]) -> str:

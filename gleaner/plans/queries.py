@@ -16,7 +16,7 @@ ORACLE: dict[str, str] = {}
 
 #: A synthetic listing per line item. Rows are numbered within their domain, so no global sort is needed.
 SYN = """(
-  select row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate, l_quantity) as seq,
+  select cast(row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate, l_quantity) as bigint) as seq,
     concat('agence', cast(l_suppkey as string), '.example.fr') as domain,
     concat('https://www.agence', cast(l_suppkey as string), '.example.fr/vente/maison-', cast(10000 + l_partkey % 97 as string)) as url,
     concat(case p_size % 6 when 0 then 'Maison' when 1 then 'Appartements' when 2 then 'Villa' when 3 then 'Studio' when 4 then 'Terrain' else 'Visite' end, ' T', cast(1 + p_size % 6 as string), ' a Bordeaux') as title,
@@ -30,7 +30,7 @@ SYN = """(
     case when l_linenumber % 3 = 0 then '' else concat('VP', cast(1000 + l_partkey as string)) end as ref,
     o_totalprice, p_size, l_linenumber, l_partkey, l_suppkey
   from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey)"""
-ANCHORS = """(select page_id, url, pos, href from (select page_id, url, html from pages) lateral view posexplode(regexp_extract_all(html, '<a\\\\s[^>]*href="([^"]*)"', 1)) a as pos, href)"""
+ANCHORS = """(select page_id, url, cast(pos as bigint) as pos, href from (select page_id, url, html from pages) lateral view posexplode(regexp_extract_all(html, '<a\\\\s[^>]*href="([^"]*)"', 1)) a as pos, href)"""
 ANCHORS_DUCKDB = """(select page_id, url, i - 1 as pos, hrefs[i] as href from (select page_id, url, hrefs, unnest(range(1, len(hrefs) + 1)) as i from (select page_id, url, regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1) as hrefs from pages)))"""
 TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "events", "pages", "documents"]
 
@@ -225,7 +225,7 @@ def _pending(spark, sf_dir):
 
 FETCHES = """(select cast(user_id % 500 as string) as host, event_id as seq,
   case event_type when 'error' then 403 when 'view' then 200 when 'click' then 404 when 'signup' then cast(null as int) else 429 end as status from events)"""
-_steps("http_status_reason", FETCHES, lambda d: [("reason", cl.status_reason("status"))], ["host", "seq", "status", "reason"])
+_steps("http_status_reason", FETCHES, lambda d: [("reason", f"coalesce({cl.status_reason('status')}, '')"), ("code", "coalesce(status, 0)")], ["host", "seq", "code", "reason"])
 _steps(
     "exception_reason",
     "(select event_id, case event_type when 'error' then 'ReadTimeout' when 'view' then 'ValueError' else 'Exception' end as kind, case event_type when 'click' then 'SSL handshake' when 'signup' then 'Execution context was destroyed' else '' end as message from events)",
@@ -245,10 +245,10 @@ _steps(
     f"""with a as (select *, sum(case when status between 200 and 399 then 1 else 0 end) over (partition by host order by seq) as island from {FETCHES}),
   b as (select *, sum(case when status in (401, 403, 429) then 1 else 0 end) over (partition by host, island order by seq) as blocks from a),
   c as (select *, coalesce(max(case when blocks >= {v.BLOCKS_TO_TRIP} then 1 else 0 end) over (partition by host order by seq rows between unbounded preceding and 1 preceding), 0) as tripped from b)
-  select host, seq, status, case when tripped = 1 then 403 else status end as seen_status from c""",
+  select host, seq, case when tripped = 1 then 403 else coalesce(status, 0) end as seen_status from c""",
 )
 def _breaker(spark, sf_dir):
-    return rel.block_breaker(_source(spark, sf_dir, FETCHES))
+    return rel.block_breaker(_source(spark, sf_dir, FETCHES)).select("host", "seq", F.coalesce("seen_status", F.lit(0)).alias("seen_status"))
 
 
 OUTCOMES = f"(select host as domain, seq, 'failed' as status, coalesce({cl.status_reason('status')}, 'no_listings_found') as reason from {FETCHES} where status is null or status <> 200)"
@@ -307,7 +307,7 @@ _RANKED = render(SYN, [*cl.classify_steps(DUCKDB), *cl.family_steps(DUCKDB, "u_h
 )
 def _rank(spark, sf_dir):
     rows = apply(_source(spark, sf_dir, SYN), [*cl.classify_steps(SPARK), *cl.family_steps(SPARK, "u_host", "text", "url")])
-    return rel.rank_candidates(rows.select("domain", "seq", F.col("u_canonical").alias("canonical"), (F.col("score") + F.col("boost")).alias("score")), 40).select("domain", "canonical", "score", "rank")
+    return rel.rank_candidates(rows.select("domain", "seq", F.col("u_canonical").alias("canonical"), (F.col("score") + F.col("boost")).alias("score")), 40).select("domain", "canonical", "score", F.col("rank").cast("long").alias("rank"))
 
 
 #: A small graph of hubs and details among the parts, for the bounded search.
