@@ -10,6 +10,7 @@ from gleaner import vocabulary as v
 from gleaner.functions import text as tx, url as ux
 from gleaner.functions.dialect import DUCKDB, SPARK, Dialect, Steps, apply, keep, render
 from gleaner.operators import classify as cl, dedup, relational as rel, resolve as rs
+from gleaner.shared import Shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -145,7 +146,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = listings(spark, sf_dir)
+    rows = Shared(spark).table(listings(spark, sf_dir), "listings")  # read twice, resolved once
     return rows.join(dedup.three_tier(rows), ["domain", "seq"], "left_semi")
 
 
