@@ -1,0 +1,157 @@
+"""Near copies by the exact Jaccard similarity of their word shingles.
+
+All pairs at 0.8 or more are found, none by chance: under any one order of all
+shingles, two sets this similar share one of the first fifth (and one more) of
+their members. Only these prefixes are joined. The order puts the shingles that
+a bounded sample shows to be common last; it decides the cost, never the result.
+
+Pairs are checked by their whole sets in two rounds: each set with the leader of
+each of its keys, then what these links leave in different components. So a
+dense ball of near copies isn't expanded into all its pairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from gleaner.llm.common import Scratch
+from gleaner.llm.components import components
+from gleaner.llm.simhash import keep_least
+
+WORDS = 5
+#: Texts that the order of shingles is drawn from, and shingles it names at most (16 bytes each, sent to the driver).
+SAMPLE_TEXTS, COMMON = 5_000, 100_000
+#: Buckets of a set's histogram. The sum of two histograms' lesser counts is never less than the sets' overlap.
+BUCKETS = 128
+
+
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not tokens:
+        return np.empty(0, np.int64)
+    grams = map(b" ".join, zip(*(tokens[i:] for i in range(words)))) if len(tokens) >= words else [b" ".join(tokens)]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), np.uint64).view(np.int64))
+
+
+def _set_id(a: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(a.tobytes()) - (1 << 63)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays), pa.int64()))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, len(batch), 500):
+            yield batch.slice(i, 500)
+
+
+def _whole(words: int):
+    """(s, shingles) of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            sets = [shingle_set(t, words) for t in part["text"].to_pylist()]
+            yield pa.record_batch([pa.array(map(_set_id, sets), pa.int64()), _lists(sets)], ["s", "shingles"])
+
+    return run
+
+
+def _prefixes(words: int, common: np.ndarray, counts: np.ndarray):
+    """(doc_id, text_hash, s, n, counts, prefix): counts of shingles by bucket, and the first n - ceil(0.8 n) + 1 shingles by (sampled count, hash)."""
+
+    def prefix(a: np.ndarray) -> np.ndarray:
+        n = len(a)
+        if n and len(common):
+            where = np.minimum(np.searchsorted(common, a), len(common) - 1)
+            a = a[np.argsort(np.where(common[where] == a, counts[where], 0), kind="stable")]
+        return a[: n - (4 * n + 4) // 5 + 1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            sets = [shingle_set(t, words) for t in part["text"].to_pylist()]
+            ids, sizes = pa.array(map(_set_id, sets), pa.int64()), pa.array(map(len, sets), pa.int32())
+            hist = pa.array([np.bincount(a & (BUCKETS - 1), minlength=BUCKETS).astype(np.int32) for a in sets], pa.list_(pa.int32()))
+            yield pa.record_batch([part["doc_id"], part["text_hash"], ids, sizes, hist, _lists([prefix(a) for a in sets])], ["doc_id", "text_hash", "s", "n", "counts", "prefix"])
+
+    return run
+
+
+def _may(n: Column, at: Column, m: Column, to: Column) -> Column:
+    """Whether sets of n and m shingles that first meet at these places can reach 0.8."""
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * F.least(n - at, m - to) >= 4 * (n + m))
+
+
+def _checked(pairs: DataFrame, made: DataFrame, texts: DataFrame, words: int, scratch: Scratch, name: str) -> DataFrame:
+    """Of ``pairs(u, v)`` of sets those with a Jaccard similarity of 0.8 or more."""
+    pairs = scratch.table(pairs, f"found-{name}")
+    ends = pairs.select(F.col("u").alias("s")).union(pairs.select("v")).distinct()
+    hist = scratch.table(made.select("s", "n", "counts").join(ends, "s", "left_semi").dropDuplicates(["s"]), f"counts-{name}")
+    for end, n, counts in (("u", "n", "x"), ("v", "m", "y")):
+        pairs = pairs.join(hist.select(F.col("s").alias(end), F.col("n").alias(n), F.col("counts").alias(counts)), end)
+    most = F.aggregate(F.zip_with("x", "y", lambda a, b: F.least(a, b)), F.lit(0), lambda a, x: a + x)
+    pairs = scratch.table(pairs.where(9 * most >= 4 * (F.col("n") + F.col("m"))).select("u", "v"), f"pairs-{name}")
+    needed = pairs.select(F.col("u").alias("s")).union(pairs.select("v")).distinct()
+    # one text of each set; its shingles are made again rather than kept for all texts
+    needed = scratch.table(made.join(needed, "s", "left_semi").groupBy("s").agg(F.min("text_hash").alias("text_hash")).select("text_hash"), f"needed-{name}")
+    sets = texts.join(needed, "text_hash", "left_semi").dropDuplicates(["text_hash"]).select("text")
+    sets = scratch.table(sets.mapInArrow(_whole(words), "s long, shingles array<long>"), f"sets-{name}")
+    both = pairs.join(sets.select(F.col("s").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("s").alias("v"), F.col("shingles").alias("b")), "v")
+    alike = 9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))
+    return scratch.table(both.where(alike).select("u", "v"), f"links-{name}")
+
+
+def _order(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are common in a sample of the texts, sorted, and their counts."""
+    chosen = texts.select("text_hash").distinct().orderBy("text_hash").limit(SAMPLE_TEXTS)
+    sample = texts.join(F.broadcast(chosen), "text_hash", "left_semi").dropDuplicates(["text_hash"]).select("text").mapInArrow(_whole(words), "s long, shingles array<long>")
+    common = sample.select(F.explode("shingles").alias("key")).groupBy("key").count().where("count >= 3").orderBy(F.desc("count"), "key").limit(COMMON)
+    common = sorted((r.key, r["count"]) for r in common.collect())
+    return np.array([k for k, _ in common], np.int64), np.array([c for _, c in common], np.int64)
+
+
+def _links(made: DataFrame, texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(u, v) with the components of all pairs of distinct sets at 0.8 or more."""
+    rows = made.select("s", "n", F.posexplode("prefix").alias("at", "key"))
+    of_key = Window.partitionBy("key")
+    rows = rows.withColumn("a", F.min("s").over(of_key)).withColumn("b", F.max("s").over(of_key)).where("a <> b")
+    rows = scratch.table(rows.select("key", "s", "n", "at").distinct(), "shared")
+
+    leads = rows.groupBy("key").agg(F.min(F.struct("s", "n", "at")).alias("lead"))
+    led = rows.join(leads, "key").where(F.col("s") != F.col("lead.s")).where(_may(F.col("n"), F.col("at"), F.col("lead.n"), F.col("lead.at")))
+    first = _checked(led.select(F.col("s").alias("u"), F.col("lead.s").alias("v")).distinct(), made, texts, words, scratch, "leads")
+
+    roots = components(first, scratch, "led").withColumnRenamed("node", "s")
+    left = scratch.table(rows.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s")), "rooted")
+    apart = left.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    left = left.join(apart, "key", "left_semi")
+    other = left.select("key", F.col("s").alias("t"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("root").alias("other"))
+    pairs = left.join(other, "key").where("root < other").where(_may(F.col("n"), F.col("at"), F.col("m"), F.col("to")))
+    pairs = pairs.select(F.greatest("s", "t").alias("u"), F.least("s", "t").alias("v")).distinct()
+    return first.union(_checked(pairs, made, texts, words, scratch, "rest"))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """Of each group of near copies the row with the least ``doc_id`` stays, with all its columns.
+
+    Texts are linked at a Jaccard similarity of 0.8 or more of their sets of word
+    shingles; a group is what links reach. Texts without words are alike. Null and
+    repeated ids are treated as by ``simhash.keep_one``.
+    """
+    scratch = Scratch(docs.sparkSession, "shingles")
+    kind = dict(docs.dtypes)["doc_id"]
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    order = _prefixes(words, *_order(texts, words))
+    made = scratch.table(texts.mapInArrow(order, f"doc_id {kind}, text_hash long, s long, n int, counts array<int>, prefix array<long>"), "documents")
+    found = components(_links(made, texts, words, scratch), scratch).select(F.col("node").alias("s"), "root")
+    rows = scratch.table(made.select("doc_id", "text_hash", "s").join(found, "s", "left").select("doc_id", "text_hash", F.coalesce("root", "s").alias("root")), "roots")
+    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return keep_least(docs, rows.join(least, "root"))

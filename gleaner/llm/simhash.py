@@ -168,10 +168,14 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     Of rows that repeat this id and its text one stays. A group of which no row
     has an id keeps a row for each of its texts.
     """
+    return keep_least(docs, _grouped(docs, "doc_id", "text", words, radius))
+
+
+def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``keep_one`` keeps, by ``found(doc_id, text_hash, component_id)``."""
     scratch = Scratch(docs.sparkSession, "keep")
     key, text_hash, rank = fresh(docs, "key", "text_hash", "rank")
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    found = _grouped(docs, "doc_id", "text", words, radius)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(named("doc_id").alias(key), F.col("text_hash").alias(text_hash)).distinct()
     rows = docs.withColumn(key, named("doc_id")).withColumn(text_hash, F.xxhash64("text"))
     rows = rows.join(scratch.table(kept, "kept"), [key, text_hash], "left_semi")

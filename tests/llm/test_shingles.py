@@ -1,0 +1,83 @@
+"""The pipeline's near-dedup stage against brute force over all pairs."""
+
+import random
+
+import corpus_pipeline
+from gleaner.llm import shingles
+
+
+def _grams(text):
+    t = text.lower().split()
+    return {tuple(t[i : i + 5]) for i in range(len(t) - 4)} if len(t) >= 5 else {tuple(t)} if t else set()
+
+
+def _alike(a, b):
+    return not (a or b) or (bool(a & b) and 5 * len(a & b) >= 4 * len(a | b))
+
+
+def _copy(rng, text, share):
+    out = text.split()
+    for i in range(len(out)):
+        if rng.random() < share:
+            out[i] = f"neu{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+def texts(seed=5):
+    rng = random.Random(seed)
+    vocab = [f"wort{i}" for i in range(400)]
+    # a passage that half of all texts share, and texts without any copy
+    common = " ".join(rng.choices(vocab, k=30))
+    out = []
+    for k in range(60):
+        base = " ".join(rng.choices(vocab, k=rng.choice([4, 6, 12, 40, 150, 400])))
+        base = f"{base} {common}" if k % 2 else base
+        out += [base, *(_copy(rng, base, s) for s in (0.005, 0.02, 0.03, 0.045))]
+    return [*out, None, "", " \n", "a b", "A  b"]
+
+
+def kept_by_brute_force(found):
+    sets = [_grams(t or "") for t in found]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            if _alike(sets[i], sets[j]):
+                links += 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i for i in range(len(sets)) if find(i) == i}, links
+
+
+def test_all_near_copies_go(spark, monkeypatch):
+    found = texts()
+    want, links = kept_by_brute_force(found)
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert links > 100 and got.columns == docs.columns and {r.doc_id for r in got.collect()} == want
+    # the order of shingles never decides the result
+    monkeypatch.setattr(shingles, "SAMPLE_TEXTS", 0)
+    assert {r.doc_id for r in shingles.keep_one(docs).collect()} == want
+
+
+def test_threshold(spark):
+    words = [f"w{i}" for i in range(22)]
+    # 18 shingles; 16 of 20 (0.8) are shared with the second, 15 of 21 with the third
+    base, at, below = words, [*words[:20], "x", "y"], [*words[:19], "x", "y", "z"]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(at)), (3, " ".join(below[::-1]))], "doc_id long, text string")
+    assert _alike(_grams(" ".join(base)), _grams(" ".join(at))) and {r.doc_id for r in shingles.keep_one(docs).collect()} == {1, 3}
+
+
+def test_nulls_and_repeated_ids(spark):
+    schema = "doc_id long, text string, shingles string, s long"
+    rows = [(1, "a b c d"), (2, "a b c d"), (2, "a b c d"), (3, None), (None, "x y z"), (None, None), (4, ""), (8, "A b  c d")]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], schema)
+    kept = shingles.keep_one(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3]
+    assert shingles.keep_one(docs.limit(0)).count() == 0
