@@ -9,6 +9,7 @@ identifiers, the first rule that occurs takes its sentences, and so on.
 
 from __future__ import annotations
 
+import re
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -83,18 +84,39 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))), lambda s: s != "")
 
 
+# In a text without A-Z these letters mark where it is cut: P for good, L at a line's end inside a paragraph.
+_SENTENCE_END = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+$"
+_BLANK = r"(?>\r\n|\r|\n)[^a-z0-9P]*(?>\r\n|\r|\n)"
+
+
+def _marked(text: Column) -> Column:
+    """Normalised text with its cuts: a sentence's end or lines without letters and digits (P), any other line's end (L)."""
+    out = ascii_lower(F.coalesce(text, F.lit("")))
+    for pattern, mark in ((_SENTENCE_END, " P "), (_BLANK, " P "), (r"[\r\n]+", " L "), ("[^a-z0-9PL]+", " ")):
+        out = F.regexp_replace(out, pattern, mark)
+    return F.concat(F.lit("P "), out, F.lit(" P"))
+
+
+def _wrapped(known: dict[str, str]) -> str:
+    """Matches known sentences from cut to cut, the longest first, over any line ends within."""
+    longest = sorted(known.values(), key=lambda s: -len(s))
+    return f"(?<=[PL] {{1,2}})(?:{'|'.join(' (?:L )?'.join(map(re.escape, s.split())) for s in longest)})(?= {{1,2}}[PL])"
+
+
 def license_scan(docs: DataFrame, known: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     """``doc_id, n_sentences, sentence_ids, licenses``, a row per document.
 
     ``sentence_ids`` are the known sentences in their order, with repetitions;
     ``licenses`` the distinct licences in the order of the rules that matched.
     Null and empty texts have no sentences. Rows that repeat an id each get a
-    row. A licence text that is cut by line breaks within sentences isn't known.
-    Other columns are ignored.
+    row. Sentences are known whether or not they are wrapped over the lines of a
+    paragraph; ``n_sentences`` counts what lies between cuts, with each line's end
+    as a cut. Other columns are ignored.
     """
     known, rules = known or SENTENCES, rules or RULES
     ids = F.create_map(*[F.lit(x) for i, s in known.items() for x in (s, i)])
-    found = docs.select("doc_id", sentences(F.col("text")).alias("s")).select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.filter(F.transform("s", lambda s: ids[s]), lambda i: i.isNotNull()).alias("ids"))
+    hits = F.regexp_extract_all(_marked(F.col("text")), F.lit(_wrapped(known)), F.lit(0))
+    found = docs.select("doc_id", F.size(sentences(F.col("text"))).cast("long").alias("n_sentences"), F.transform(hits, lambda s: ids[F.replace(s, F.lit(" L"), F.lit(""))]).alias("ids"))
     found = found.withColumn("seq", F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), ""))
     table_of_rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in seq)).alias("seq")) for name, seq in rules])
 
