@@ -89,6 +89,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("agencies")
     p.add_argument("pages", help="Parquet with url, html, status")
     p.add_argument("output")
+    p.add_argument("--sitemaps", help="Parquet with domain, url, body")
     p.add_argument("--checkpoint")
     p.add_argument("--geocode-cache")
     p.add_argument("--limit", type=int)
@@ -99,7 +100,8 @@ def main(args: list[str] | None = None) -> None:
     engine = Engine(spark, EngineConfig(limit=a.limit, keep_outputs=a.keep_outputs, reset_checkpoint=a.reset_checkpoint))
     done = read_completed(spark, a.checkpoint) if a.checkpoint and not a.reset_checkpoint else spark.createDataFrame([], "domain string")
     cache = read_geocode_cache(spark, a.geocode_cache) if a.geocode_cache else None
-    out = engine.run(read_agencies(spark, a.agencies), spark.read.parquet(a.pages), completed=done, cache=cache)
+    sitemaps = spark.read.parquet(a.sitemaps) if a.sitemaps else None
+    out = engine.run(read_agencies(spark, a.agencies), spark.read.parquet(a.pages), sitemaps, completed=done, cache=cache)
     print(engine.write(out, a.output))
     if a.checkpoint:
         mark_completed(out.summary, a.checkpoint, a.reset_checkpoint)
