@@ -6,8 +6,8 @@ the population counts of their four 16-bit lanes; two fingerprints within
 differences, so all other tile pairs are skipped without a look. The tile pairs
 that remain are compared whole with numpy's exclusive-or and bit counts.
 
-A tile holds about ``TILE`` fingerprints at most: full cells are salted, and
-each salt is a join key of its own. Of each tile pair only edges enough to keep
+Full cells are salted into tiles of bounded size, and each salt is a join key of
+its own. Of each tile pair only edges enough to keep
 its components are emitted, never all pairs, so a dense ball of near copies
 stays linear in its size.
 """
@@ -21,13 +21,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.llm.common import Scratch, fresh, table
+from gleaner.llm.common import Scratch, fresh, join_counted, table
 from gleaner.llm.components import components
 
-#: Fingerprints in a tile, about.
-TILE = 4096
+#: Fingerprints in a tile: a full cell is dealt out to about eight, within these bounds.
+TILE, LARGEST_TILE = 4096, 65536
 LANES = 4
 _CHUNK = 1 << 16
 
@@ -68,67 +68,84 @@ def _offsets(radius: int) -> list[int]:
     return sorted(x for d in near if (x := sum(v << (5 * i) for i, v in enumerate(d))) >= 0)
 
 
+def edges_of(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that keep the components of a boolean matrix between rows 0..R-1 and columns R..R+C-1: all if they are few, else a forest."""
+    r, c = np.nonzero(near)
+    rows, columns = near.shape
+    if len(r) <= 4 * (rows + columns):
+        return r, c + rows
+    none = rows + columns
+    label_a, label_b = np.arange(rows), np.arange(rows, none)
+    while True:
+        new_a = np.minimum(label_a, np.where(near, label_b[None, :], none).min(axis=1))
+        new_b = np.minimum(label_b, np.where(near, new_a[:, None], none).min(axis=0))
+        if (new_a == label_a).all() and (new_b == label_b).all():
+            return np.arange(none), np.concatenate([label_a, label_b])
+        label_a, label_b = new_a, new_b
+
+
 def links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that keep the components of all pairs of a and b within the radius."""
-    nodes = np.concatenate([a, b])
-    step = max(1, (1 << 20) // max(1, len(b)))
-    label_b = np.arange(len(a), len(a) + len(b), dtype=np.int64)
-    left, right = [], []
+    """Edges that keep the components of all pairs of a and b within the radius, as places in a, then b.
+
+    Both hold a fingerprint to a row, a 64-bit word of it to a column.
+    """
+    a_words, b_words = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    step = max(1, (1 << 18) // max(1, len(b)))
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for i in range(0, len(a), step):
-        near = np.bitwise_count(a[i : i + step, None] ^ b[None, :]) <= radius
+        apart = np.bitwise_count(a_words[0, i : i + step, None] ^ b_words[0, None, :]).astype(np.uint16)
+        for x, y in zip(a_words[1:], b_words[1:], strict=True):
+            apart += np.bitwise_count(x[i : i + step, None] ^ y[None, :])
+        near = apart <= radius
         if same:
             near[np.arange(near.shape[0]), np.arange(i, i + near.shape[0])] = False
-        r, c = np.nonzero(near)
-        if len(r) <= 4 * sum(near.shape):
-            left.append(r + i)
-            right.append(c + len(a))
-            continue
-        label_a, none = np.arange(i, i + near.shape[0], dtype=np.int64), len(nodes)
-        while True:
-            new_a = np.minimum(label_a, np.where(near, label_b[None, :], none).min(axis=1))
-            new_b = np.minimum(label_b, np.where(near, new_a[:, None], none).min(axis=0))
-            if (new_a == label_a).all() and (new_b == label_b).all():
-                break
-            label_a, label_b = new_a, new_b
-        left += [np.arange(i, i + near.shape[0]), np.arange(len(a), len(nodes))]
-        right += [label_a, label_b]
-    if not left:
-        return nodes[:0], nodes[:0]
-    u, v = nodes[np.concatenate(left)], nodes[np.concatenate(right)]
-    return u[u != v], v[u != v]
-
-
-def _compare(radius: int):
+        place = np.concatenate([np.arange(i, i + near.shape[0]), np.arange(len(a), len(a) + len(b))])
+        for side, found in zip((left, right), edges_of(near), strict=True):
+            side.append(place[found])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _compare(words: int, radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = {n: batch.column(n) for n in ("a", "b", "same")}
-            flat = {n: (col[n].values.to_numpy().view(np.uint64), col[n].offsets.to_numpy()) for n in ("a", "b")}
-            for k, same in enumerate(col["same"].to_pylist()):
-                x, y = (v[o[k] : o[k + 1]] for v, o in (flat["a"], flat["b"]))
-                u, v = links(x, y, same, radius)
-                if len(u):
-                    yield pa.record_batch({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
+            flat = {n: (batch.column(n).values.to_numpy(), batch.column(n).offsets.to_numpy()) for n in ("a", "b", "fp_a", "fp_b")}
+            for k, same in enumerate(batch.column("same").to_pylist()):
+                x, y, fx, fy = (v[o[k] : o[k + 1]] for v, o in (flat[n] for n in ("a", "b", "fp_a", "fp_b")))
+                i, j = links(fx.view(np.uint64).reshape(-1, words), fy.view(np.uint64).reshape(-1, words), same, radius)
+                nodes = np.concatenate([x, y])
+                keep = nodes[i] != nodes[j]
+                if keep.any():
+                    yield pa.record_batch({"u": pa.array(nodes[i][keep]), "v": pa.array(nodes[j][keep])})
 
     return run
 
 
-def linked(nodes: DataFrame, scratch: Scratch, radius: int = 2) -> DataFrame:
-    """Distinct fingerprints ``(fp)`` -> edges ``(u, v)`` with the components of all links within the radius."""
-    cell = F.lit(0)
-    for i in range(LANES):
-        cell = cell + F.shiftleft(F.bit_count(F.shiftrightunsigned("fp", 16 * i).bitwiseAND(0xFFFF)), 5 * i)
-    keyed = nodes.select("fp", cell.alias("cell"))
-    # at most 17 ** LANES = 83,521 rows, whatever the input: safe to broadcast
-    cells = scratch.table(keyed.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("salts")).coalesce(1), "cells")
-    tiles = scratch.table(
-        keyed.join(F.broadcast(cells), "cell").withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int")).groupBy("cell", "salt").agg(F.collect_list("fp").alias("fps")), "tiles"
-    )
-    near = tiles.select("cell", "salt", F.col("fps").alias("a"), F.explode(F.array(*[F.lit(x) for x in _offsets(radius)])).alias("off"))
+def linked(nodes: DataFrame, offsets: list[int], scratch: Scratch, radius: int, words: int = 1) -> DataFrame:
+    """``nodes(node, fp, cell)`` -> edges ``(u, v)`` with the components of all links within the radius.
+
+    ``fp`` is an array of 64-bit words. Fingerprints within the radius must lie in
+    cells that differ by one of the ``offsets`` (0 and positive ones; the other
+    direction is met from the other side). The number of cells must be bounded.
+    """
+    size = F.greatest(F.lit(TILE), F.least(F.lit(LARGEST_TILE), F.col("n") / 8))
+    cells = scratch.table(nodes.groupBy("cell").agg(F.count("*").alias("n")).select("cell", F.ceil(F.col("n") / size).cast("int").alias("salts")).coalesce(1), "cells")
+    salted = nodes.join(F.broadcast(cells), "cell").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+    tiles = salted.groupBy("cell", "salt").agg(F.collect_list(F.struct("node", "fp")).alias("m"))
+    tiles = scratch.table(tiles.select("cell", "salt", F.col("m.node").alias("ids"), F.flatten("m.fp").alias("fps")), "tiles")
+    near = tiles.select("cell", "salt", F.col("ids").alias("a"), F.col("fps").alias("fp_a"), F.explode(F.array(*[F.lit(x) for x in offsets])).alias("off"))
     near = near.withColumn("to", F.col("cell") + F.col("off")).join(F.broadcast(cells.withColumnRenamed("cell", "to")), "to")
     near = near.withColumn("to_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).where("off > 0 or salt <= to_salt")
-    other = tiles.select(F.col("cell").alias("to"), F.col("salt").alias("to_salt"), F.col("fps").alias("b"))
-    pairs = near.join(other, ["to", "to_salt"]).select("a", "b", F.expr("off = 0 and salt = to_salt").alias("same"))
-    return pairs.mapInArrow(_compare(radius), "u long, v long")
+    other = tiles.select(F.col("cell").alias("to"), F.col("salt").alias("to_salt"), F.col("ids").alias("b"), F.col("fps").alias("fp_b"))
+    pairs = near.join(other, ["to", "to_salt"]).select("a", "b", "fp_a", "fp_b", F.expr("off = 0 and salt = to_salt").alias("same"))
+    return pairs.mapInArrow(_compare(words, radius), "u long, v long")
+
+
+def lane_cell(fp: Column) -> Column:
+    """The population counts of a fingerprint's four lanes, five bits each; at most 17 ** LANES = 83,521 values."""
+    cell = F.lit(0)
+    for i in range(LANES):
+        cell = cell + F.shiftleft(F.bit_count(F.shiftrightunsigned(fp, 16 * i).bitwiseAND(0xFFFF)), 5 * i)
+    return cell
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int) -> DataFrame:
@@ -136,13 +153,14 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, radius: in
     scratch = Scratch(docs.sparkSession, "simhash")
     text = F.col(text_col)
     made = scratch.table(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), fingerprint_column(text, words).alias("fp")), "documents")
-    nodes = scratch.table(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    found = components(linked(nodes, scratch, radius), scratch).withColumnRenamed("node", "fp")
+    nodes = scratch.table(made.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
+    edges = linked(nodes.select(F.col("fp").alias("node"), F.array("fp").alias("fp"), lane_cell(F.col("fp")).alias("cell")), _offsets(radius), scratch, radius)
+    found = components(edges, scratch).withColumnRenamed("node", "fp")
     # a root isn't a node of `found`; it stands for itself, as fingerprints without links do
-    roots = scratch.table(nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    roots = scratch.table(nodes.join(found, "fp", "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root")), "roots")
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = scratch.table(roots.join(least, "root").select("fp", "component_id"), "known")
-    return made.join(known, "fp")
+    known = scratch.table(roots.join(least, "root").select("fp", "n", "component_id"), "known")
+    return join_counted(made, known, "fp", "n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
@@ -163,16 +181,16 @@ def op1_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
-    """Of each group of linked documents the row with the least ``doc_id`` stays, with all its columns.
-
-    Of rows that repeat this id and its text one stays. A group of which no row
-    has an id keeps a row for each of its texts.
-    """
+    """Of each group of linked documents the row with the least ``doc_id`` stays, see ``keep_least``."""
     return keep_least(docs, _grouped(docs, "doc_id", "text", words, radius))
 
 
 def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``keep_one`` keeps, by ``found(doc_id, text_hash, component_id)``."""
+    """Of each group in ``found(doc_id, text_hash, component_id)`` the row of ``docs`` with the least ``doc_id``, with all its columns.
+
+    Of rows that repeat this id and its text one stays. A group of which no row
+    has an id keeps a row for each of its texts.
+    """
     scratch = Scratch(docs.sparkSession, "keep")
     key, text_hash, rank = fresh(docs, "key", "text_hash", "rank")
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleaner.llm import bpe, components, licenses, linededup, media, quality, simhash, toxicity, winnow
@@ -48,13 +49,14 @@ def test_tiles_keep_components(spark, dense):
     fps = np.unique([base[i % len(base)] ^ np.bitwise_or.reduce(np.uint64(1) << f.astype(np.uint64)) for i, f in enumerate(flips)])
     near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
     want = _union(len(fps), zip(*np.nonzero(np.triu(near, 1)), strict=True))
-    u, v = simhash.links(fps, fps, True, 2)
+    u, v = simhash.links(fps[:, None], fps[:, None], True, 2)
     at = {x: i for i, x in enumerate(fps.tolist())}
-    assert _union(len(fps), [(at[a], at[b]) for a, b in zip(u.tolist(), v.tolist(), strict=True)]) == want
+    assert _union(len(fps), zip((u % len(fps)).tolist(), (v % len(fps)).tolist(), strict=True)) == want
     if dense:
         return
-    nodes = spark.createDataFrame(pd.DataFrame({"fp": fps.view(np.int64)}))
-    edges = simhash.linked(nodes, Scratch(spark, "test"), 2).toPandas()
+    nodes = spark.createDataFrame(pd.DataFrame({"node": fps.view(np.int64)}))
+    nodes = nodes.select("node", F.array("node").alias("fp"), simhash.lane_cell(F.col("node")).alias("cell"))
+    edges = simhash.linked(nodes, simhash._offsets(2), Scratch(spark, "test"), 2).toPandas()
     pairs = [(at[a & (1 << 64) - 1], at[b & (1 << 64) - 1]) for a, b in zip(edges.u.tolist(), edges.v.tolist(), strict=True)]
     assert _union(len(fps), pairs) == want
 
