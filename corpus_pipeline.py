@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import bpe, linededup, shingles, toxicity, winnow
+from gleaner.llm import bpe, linededup, nearcopies, toxicity, winnow
 from gleaner.llm.common import Scratch, table
 
 
@@ -25,8 +25,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: Jaccard 0.8 or more of five-word shingles."""
-    return shingles.keep_one(docs)
+    """One document of each group of near copies stays: SimHash candidates with a Jaccard similarity of 0.8 or more of five-word shingles."""
+    return nearcopies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
