@@ -1,28 +1,40 @@
 """Sharding by balanced label propagation.
 
 Documents with equal texts are linked. Labels start from hashes of the ids and
-are kept for each group and shard as a cell with a count, not for each document,
-so a group with a third of all rows is a few rows. In every round a cell is
-drawn to the shard that holds most of its group, and moves as far as that
-shard's quota of linked documents has room, small groups first; a cell at the
-edge of the quota moves in part. Unlinked documents cost no edge wherever they
-are: they are placed last and fill all shards exactly, so the counts of rows
-differ by one at most (law ``rows``).
+are counted for each group and shard, not kept for each document, so a group with
+a third of all rows is one row. In every round a group that isn't settled is
+drawn to the shard that holds most of its documents among those with room for the
+whole of it (of equal ones a hash decides), or to any with room, and a shard
+takes what is drawn to it up to its quota, large groups first; who finds no place
+there is drawn elsewhere in the next round. Groups larger than a shard fill whole
+ones. Unlinked documents cost no edge wherever they are: they and the groups that
+fit nowhere whole are placed last and fill all shards exactly, so the counts of
+rows differ by one at most (law ``rows``).
 
 Quotas need ranks among all rows. They are taken in two levels: sums over a
-bounded number of buckets, which are broadcast, and windows within buckets.
+bounded number of buckets, which are broadcast, and windows within buckets; the
+number of buckets grows with the rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.llm.common import Scratch, table
 
 SHARDS = 8
-ROUNDS = 3
-#: Parts of a group that are ranked apart, and buckets of the two-level sums.
-PARTS, BUCKETS = 64, 256
+#: Rounds end once they settle less than this share of the linked documents.
+GAIN = 0.0005
+#: Parts of a group that are ranked apart, and buckets of the two-level sums, by rows: least, most, rows in each.
+PARTS, BUCKETS = (64, 4096, 1 << 20), (256, 1 << 15, 1 << 18)
+
+
+def _number(of: tuple[int, int, int], rows: int) -> int:
+    least, most, each = of
+    return max(least, min(most, rows // each))
 
 
 def _before(df: DataFrame, groups: list[str], bucket: str, order: list[str], n: str, name: str) -> DataFrame:
@@ -43,61 +55,65 @@ def _at(values: list[int], shard: Column) -> Column:
 
 
 def _size_class(n: Column) -> Column:
-    """Orders small groups first; 16 hash buckets to a class, 64 classes at most."""
-    return (F.floor(F.log2(n)) * 16 + F.pmod(F.xxhash64("g"), F.lit(16))).cast("int")
-
-
-def _propagate(cells: DataFrame, quota: list[int], scratch: Scratch, rounds: int) -> DataFrame:
-    """``cells(g, shard, n, total)`` of linked documents after the rounds, none over a shard's quota."""
-    merged = lambda df: df.groupBy("g", "shard").agg(F.sum("n").alias("n"), F.first("total").alias("total"))
-    used = lambda df: {r.shard: r.n for r in df.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # noqa: E731  a number for each shard
-    for k in range(rounds):
-        drawn = cells.groupBy("g").agg(F.max_by("shard", F.struct("n", -F.col("shard"))).alias("to"))
-        moves = scratch.table(cells.join(drawn, "g").withColumn("class", _size_class(F.col("total"))), f"moves-{k}")
-        stays = used(moves.where("shard = to"))
-        there = used(cells)
-        # what comes in fits beside all that is there now, so no order of moves can overfill a shard
-        room = [max(0, quota[s] - max(there.get(s, 0), stays.get(s, 0))) for s in range(len(quota))]
-        going = _before(moves.where("shard <> to"), ["to"], "class", ["g", "shard"], "n", "start")
-        going = going.withColumn("take", F.greatest(F.lit(0), F.least(F.col("n"), _at(room, F.col("to")) - F.col("start"))))
-        parts = [
-            moves.where("shard = to").select("g", "shard", "n", "total"),
-            going.where("take > 0").select("g", F.col("to").alias("shard"), F.col("take").alias("n"), "total"),
-            going.where("n > take").select("g", "shard", (F.col("n") - F.col("take")).alias("n"), "total"),
-        ]
-        cells = scratch.table(merged(parts[0].union(parts[1]).union(parts[2])), f"cells-{k}")
-    return cells
-
-
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """Orders large groups first; 16 hash buckets to a class, 64 classes at most."""
+    return ((63 - F.floor(F.log2(n))) * 16 + F.pmod(F.xxhash64("g"), F.lit(16))).cast("int")
+
+
+def _propagate(groups: DataFrame, quota: list[int], scratch: Scratch) -> list[DataFrame]:
+    """``groups(g, total, labels)`` of linked documents, with counts by shard -> tables ``(g, shard, n)`` of what each round settled, within the quotas."""
+    room, settled = list(quota), []
+    left = groups.withColumn("left", F.col("total"))
+    linked = groups.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    for k in count():
+        tie = lambda x: F.xxhash64("g", x, F.lit(k))
+        fits = lambda x: _at(room, x) >= F.col("left")
+        own = F.array_max(F.transform(F.filter("labels", lambda x: fits(x["shard"])), lambda x: F.struct(x["n"], tie(x["shard"]), x["shard"].alias("to"))))["to"]
+        any_ = F.array_max(F.transform(F.filter(F.array(*[F.lit(s) for s in range(len(room))]), fits), lambda x: F.struct(tie(x), x.alias("to"))))["to"]
+        large = F.col("total") > max(quota)
+        widest = F.lit(max(range(len(room)), key=lambda s: room[s])) if max(room) else F.lit(None).cast("int")
+        drawn = left.withColumn("to", F.coalesce(own, any_, F.when(large, widest)).cast("int")).where("to is not null").withColumn("class", _size_class(F.col("left")))
+        drawn = _before(drawn, ["to"], "class", ["g"], "left", "start")
+        free = F.greatest(F.lit(0), _at(room, F.col("to")) - F.col("start"))
+        drawn = drawn.withColumn("take", F.when((F.col("left") <= free) | large, F.least(F.col("left"), free)).otherwise(0))
+        drawn = scratch.table(drawn.select("g", "total", "labels", "left", "to", "take"), f"drawn-{k}")
+        taken = {r["to"]: r["n"] for r in drawn.groupBy("to").agg(F.sum("take").alias("n")).collect()}  # a number for each shard
+        settled.append(drawn.where("take > 0").select("g", F.col("to").alias("shard"), F.col("take").alias("n")))
+        room = [r - taken.get(s, 0) for s, r in enumerate(room)]
+        if sum(taken.values()) <= GAIN * linked:
+            return settled
+        left = drawn.where("left > take").select("g", "total", "labels", (F.col("left") - F.col("take")).alias("left"))
+
+
+def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot``, a row per document.
 
-    Counts of rows in any two shards differ by one at most, and slots count from
-    0 in each shard. A null text counts as an empty one, with size 1. Null and
-    repeated ids are placed like others. An empty table gives an empty result;
+    Equal texts are kept together as far as propagation finds room. Counts of rows in any two shards differ by one at most, and slots count from
+    0 in each shard. A null text counts as an empty one, with size 1. Null and repeated ids are placed like others. An empty table gives an empty result;
     other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "shards")
     text = F.coalesce("text", F.lit(""))
     made = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("g"))
-    made = scratch.table(made.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(PARTS)).cast("int")), "documents")
+    # rows without an id are told apart by their place
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64(F.lit(1), "doc_id"))
+    made = scratch.table(made.withColumn("key", key), "documents")
+    total = made.count()
+    parts_of, buckets = _number(PARTS, total), _number(BUCKETS, total)
+    made = made.withColumn("part", F.pmod("key", F.lit(parts_of)).cast("int")).drop("key")
     parts = scratch.table(made.groupBy("g", "part").agg(F.count("*").alias("n")), "parts")
-    total = parts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     quota = [total // shards + (s < total % shards) for s in range(shards)]
     groups = parts.groupBy("g").agg(F.sum("n").alias("total"))
-    first = parts.join(groups.where("total > 1"), "g").groupBy("g", (F.col("part") % shards).alias("shard")).agg(F.sum("n").alias("n"), F.first("total").alias("total"))
-    cells = _propagate(scratch.table(first, "first"), quota, scratch, rounds)
-
-    # what is still over a quota, where nearly all documents are linked, is placed with the unlinked ones
-    cells = _before(cells.withColumn("class", _size_class(F.col("total"))), ["shard"], "class", ["g"], "n", "start")
-    cells = scratch.table(cells.withColumn("fits", F.greatest(F.lit(0), F.least(F.col("n"), _at(quota, F.col("shard")) - F.col("start")))).select("g", "shard", "n", "fits"), "placed")
+    labels = parts.groupBy("g", (F.col("part") % shards).alias("shard")).agg(F.sum("n").alias("n"))
+    labels = labels.groupBy("g").agg(F.sum("n").alias("total"), F.collect_list(F.struct("shard", "n")).alias("labels"))  # one for each shard at most
+    settled = _propagate(scratch.table(labels.where("total > 1"), "linked"), quota, scratch)
+    cells = scratch.table(reduce(DataFrame.union, settled).groupBy("g", "shard").agg(F.sum("n").alias("fits")), "settled")
     placed = {r.shard: r.n for r in cells.groupBy("shard").agg(F.sum("fits").alias("n")).collect()}
     room = [quota[s] - placed.get(s, 0) for s in range(shards)]
     ends = [sum(room[: s + 1]) for s in range(shards)]
 
-    own = cells.where("fits > 0").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("shard", "fits"))).alias("own"))  # one for each shard at most
+    own = cells.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("shard", "fits"))).alias("own"))  # one for each shard at most
     plan = groups.join(own, "g", "left").withColumn("own", F.coalesce("own", F.array().cast("array<struct<shard:int,fits:bigint>>")))
-    plan = plan.withColumn("held", F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x["fits"])).withColumn("bucket", F.pmod(F.xxhash64(F.lit(2), "g"), F.lit(BUCKETS)).cast("int"))
+    plan = plan.withColumn("held", F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x["fits"])).withColumn("bucket", F.pmod(F.xxhash64(F.lit(2), "g"), F.lit(buckets)).cast("int"))
     plan = scratch.table(plan.withColumn("free", F.col("total") - F.col("held")), "plan")
     plan = _before(plan, [], "bucket", ["g"], "free", "free_start").select("g", "own", "held", "free_start")
 
@@ -116,7 +132,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
         lambda a, x: F.struct(F.when((a["shard"] < 0) & (F.col("rank") < a["end"] + x["fits"]), x["shard"]).otherwise(a["shard"]).alias("shard"), (a["end"] + x["fits"]).alias("end")),
     )["shard"]
     rows = rows.withColumn("shard", F.when(F.col("rank") < F.col("held"), walk).otherwise(filled).cast("int"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("g", "rank"), F.lit(BUCKETS)).cast("int")).withColumn("one", F.lit(1))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("g", "rank"), F.lit(buckets)).cast("int")).withColumn("one", F.lit(1))
     rows = scratch.table(rows.select("doc_id", "size", "text_crc32", "g", "rank", "shard", "bucket", "one"), "rows")
     return _before(rows, ["shard"], "bucket", ["g", "rank"], "one", "slot").select("doc_id", "size", "text_crc32", "shard", "slot")
 
