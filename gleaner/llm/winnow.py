@@ -3,9 +3,11 @@
 Both sides hash their words, hash every ``K`` consecutive word hashes, and keep
 the least hash of every ``W`` consecutive ones. Any shared span of
 ``K + W - 1 = 10`` words then shares a kept hash at the same place, so the join
-of kept hashes misses no window of ten words. Each hit is extended: the ten
-words of every window around it are compared on both sides, by their 64-bit
-word hashes.
+of kept hashes misses no window of ten words. Each hit is extended:
+the windows of ten words around it are hashed whole, 128 bits of their word
+hashes, and joined with the distinct windows of the benchmark. A window that many
+items share, such as a template's, is one row; items come in last, by the sets
+of items that windows stand for, so a document meets each set once.
 
 Items of fewer than ten words are one window each; for the lengths that occur
 (nine at most) documents also offer all their spans of that many words.
@@ -23,7 +25,7 @@ WINDOW = 10
 K = 5
 W = WINDOW - K + 1
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
-#: Largest fingerprint table that is broadcast, in bytes of its arrays; larger ones are joined by shuffle.
+#: Largest fingerprints and windows of a benchmark that are broadcast, in bytes; larger ones are joined by shuffle.
 BROADCAST_BYTES = 48 << 20
 
 
@@ -62,16 +64,30 @@ def _hashed(df: DataFrame, text: Column) -> DataFrame:
     return df.select("*", F.array_distinct(F.transform("least", place)).alias("kept")).drop("least")
 
 
-def _benchmark(bench: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> tuple[DataFrame, list[int]]:
-    """(fp, item, at, item_h): where each kept hash stands in each item; and the lengths of short items."""
+def _window(words_: Column) -> list[Column]:
+    """Two hashes of a window's word hashes."""
+    return [F.xxhash64(F.lit(1), words_).alias("a"), F.xxhash64(F.lit(2), words_).alias("b")]
+
+
+def _benchmark(bench: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, list[int]]:
+    """Kept hashes ``(fp)``; distinct windows ``(a, b, set)``; items of each set ``(set, item)``; and the lengths of short items."""
     items = bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    items = _hashed(items, F.col("text")).where("n > 0").select("item", F.col("h").alias("item_h"), "n", "g", "kept")
-    parts = items.where(F.col("n") >= WINDOW).select("item", "item_h", "g", F.explode_outer("kept").alias("at")).where("at is not null").select(F.get(F.col("g"), F.col("at")).alias("fp"), "item", "at", "item_h")
-    short = items.where(F.col("n") < WINDOW)
+    items = scratch.table(_hashed(items, F.col("text")).where("n > 0").select("item", "h", "n", "g", "kept"), "items")
+    long, short = items.where(F.col("n") >= WINDOW), items.where(F.col("n") < WINDOW)
+    prints = long.select(F.explode_outer(F.transform("kept", lambda i: F.get(F.col("g"), i))).alias("fp")).where("fp is not null")
     lengths = sorted(r.n for r in short.select("n").distinct().collect())  # nine at most
     for x in lengths:
-        parts = parts.union(short.where(F.col("n") == x).select(_gram(F.col("item_h"), F.lit(0), x, x).alias("fp"), "item", F.lit(0).alias("at"), "item_h"))
-    return scratch.table(parts, "benchmark"), lengths
+        prints = prints.union(short.where(F.col("n") == x).select(_gram(F.col("h"), F.lit(0), x, x).alias("fp")))
+    whole = long.select("item", F.explode_outer(_spans(F.col("n"), WINDOW, lambda i: F.slice("h", i + 1, WINDOW), "array<bigint>")).alias("w")).union(short.select("item", "h"))
+    windows = scratch.table(whole.select(*_window(F.col("w")), "item").distinct(), "windows")
+    # windows of the same items share a set, named after the least of them
+    mark = F.coalesce(F.xxhash64("item"), F.lit(0))
+    each = windows.groupBy("a", "b").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark)).alias("y"))
+    named = scratch.table(each.select("*", F.struct("a", "b").alias("w")).select("w", "n", "x", "y"), "each")
+    least = named.groupBy("n", "x", "y").agg(F.min("w").alias("set"))
+    named = scratch.table(named.join(least, ["n", "x", "y"]).select("w.*", "set"), "named")
+    sets = windows.where("item is not null").join(named.where("a = set.a and b = set.b"), ["a", "b"]).select("set", "item")
+    return scratch.table(prints.distinct(), "prints"), named, scratch.table(sets, "sets"), lengths
 
 
 def _keys(lengths: list[int]) -> Column:
@@ -103,18 +119,16 @@ def _around() -> Column:
 
 
 def _windows() -> Column:
-    """Starts and sizes of the windows in the document that match an item around a kept hash."""
-    near, item_h, at, place = F.col("near"), F.col("item_h"), F.col("at"), F.shiftright("key", 4)
+    """Starts, sizes and hashes of the document's windows around a kept hash."""
+    near, place = F.col("near"), F.shiftright("key", 4)
 
-    def same(o: Column) -> Column:
-        left = place - o - _first()
-        fits = (left >= 0) & (o <= at) & (left + WINDOW <= F.size(near)) & (at - o + WINDOW <= F.size(item_h))
-        return F.when(fits, F.slice(near, left + 1, WINDOW) == F.slice(item_h, at - o + 1, WINDOW)).otherwise(F.lit(False))
+    def window(start: Column, size: Column) -> Column:
+        words_ = F.slice(near, start - _first() + 1, size)
+        return F.struct(start.alias("start"), size.alias("size"), *_window(words_))
 
-    offsets = F.array(*[F.lit(o) for o in range(W)])
-    long = F.transform(F.filter(offsets, same), lambda o: F.struct((place - o).alias("start"), F.lit(WINDOW).alias("size")))
-    short = F.when(F.slice(near, place - _first() + 1, F.size(item_h)) == item_h, F.array(F.struct(place.alias("start"), F.size(item_h).alias("size"))))
-    return F.when(F.col("key") % 16 == 0, long).when(F.col("key") > 0, short)
+    starts = F.filter(F.sequence(_first(), place), lambda i: i - _first() + WINDOW <= F.size(near))
+    long = F.transform(starts, lambda i: window(i, F.lit(WINDOW)))
+    return F.when(F.col("key") % 16 == 0, long).when(F.col("key") > 0, F.array(window(place, F.col("key") % 16)))
 
 
 def decontaminate(
@@ -133,32 +147,35 @@ def decontaminate(
     but isn't listed. Items that repeat an id count once. Either table may be empty.
     """
     scratch = Scratch(docs.sparkSession, "winnow")
-    found, lengths = _benchmark(bench, item_id_col, item_text_col, scratch)
-    size = found.agg(F.coalesce(F.sum(8 * F.size("item_h") + 64), F.lit(0))).first()[0]
+    prints, known, sets, lengths = _benchmark(bench, item_id_col, item_text_col, scratch)
+    small = 16 * prints.count() + 64 * known.count() <= broadcast_bytes
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     rows = _hashed(rows, F.col("text")).drop("text")
-    if size <= broadcast_bytes:
+    ids = ["row", "doc_id", "text_hash", "n"]
+    met = [F.collect_set(F.when(F.col("set").isNotNull(), F.struct("start", "size"))).alias("windows"), F.collect_set("set").alias("sets")]
+
+    def windows(hits: DataFrame, *columns: str) -> DataFrame:
+        hits = hits.select(*columns, "key", _around().alias("near")).select(*columns, "key", F.explode_outer(_windows()).alias("w"))
+        return hits.select(*columns, "key", "w.*")
+
+    if small:
         # explode, join, filter and the slice of near words are one generated stage: only rows of a hit are ever made
-        keyed = rows.select("row", "doc_id", "text_hash", "h", "n", "g", _keys(lengths))
-        keyed = keyed.select("row", "doc_id", "text_hash", "h", "n", "g", F.explode_outer("keys").alias("key")).withColumn("fp", _fingerprint(lengths))
-        hits = keyed.join(F.broadcast(found), "fp", "left").where("fp is null or item_h is not null")
+        keyed = rows.select(*ids, "h", "g", _keys(lengths)).select(*ids, "h", "g", F.explode_outer("keys").alias("key")).withColumn("fp", _fingerprint(lengths))
+        hits = keyed.join(F.broadcast(prints.withColumn("print", F.lit(True))), "fp", "left").where("fp is null or print")
+        hits = windows(hits, *ids).join(F.broadcast(known), ["a", "b"], "left").where("key < 0 or set is not null")
+        each = hits.groupBy("row").agg(*[F.first(c).alias(c) for c in ids[1:]], *met)
     else:
         rows = scratch.table(rows, "words")
         keyed = rows.select("row", "h", "g", _keys(lengths)).select("row", "h", "g", F.explode_outer("keys").alias("key")).select("row", "key", _fingerprint(lengths).alias("fp"))
-        matched = keyed.where("fp is not null").join(found, "fp").select("row", "key", "item", "at", "item_h")
-        heads = rows.select("row", F.lit(-1).alias("key"), F.lit(None).cast("string").alias("item"), F.lit(0).alias("at"), F.lit(None).cast("array<bigint>").alias("item_h"))
-        hits = rows.select("row", "doc_id", "text_hash", "h", "n").join(matched.union(heads), "row")
-    hits = hits.select("row", "doc_id", "text_hash", "n", "key", "item", "at", "item_h", _around().alias("near"))
-    hits = hits.select("row", "doc_id", "text_hash", "n", "item", _windows().alias("windows"))
-    each = hits.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("text_hash").alias("text_hash"),
-        F.first("n").alias("n"),
-        F.flatten(F.collect_list("windows")).alias("windows"),
-        F.collect_set(F.when(F.size("windows") > 0, F.col("item"))).alias("items"),
-    )
+        matched = keyed.where("fp is not null").join(prints, "fp").select("row", "key")
+        hits = windows(rows.select("row", "h").join(matched, "row"), "row").where("a is not null").join(known, ["a", "b"])
+        each = rows.select(ids).join(hits.groupBy("row").agg(*met), "row", "left")
     covered = F.array_distinct(F.flatten(F.transform("windows", lambda x: F.sequence(x["start"], x["start"] + x["size"] - 1))))
-    return each.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"), F.sort_array("items").alias("items"))
+    n_hit = F.coalesce(F.array_size(covered), F.lit(0)).cast("long")
+    each = scratch.table(each.select("row", "doc_id", "text_hash", F.col("n").cast("long").alias("n_words"), n_hit.alias("n_hit"), "sets"), "each")
+    listed = each.where("n_hit > 0").select("row", F.explode("sets").alias("set")).join(sets, "set").groupBy("row").agg(F.collect_set("item").alias("items"))
+    found = each.join(listed, "row", "left")
+    return found.select("doc_id", "text_hash", "n_words", "n_hit", F.sort_array(F.coalesce("items", F.array().cast("array<string>"))).alias("items"))
 
 
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -95,6 +95,17 @@ def test_urls(spark):
     assert urlfilter.filter_urls(captures.limit(0), entries).count() == 0 and urlfilter.filter_urls(captures, entries.limit(0)).where("listed").count() == 0
 
 
+def test_a_template_of_many_items(spark):
+    """Windows that items share are met once by each document; all items are listed."""
+    template = "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14"
+    bench = spark.range(400).selectExpr("id as item_id", f"concat('{template} ', 'x', id, ' y z')  as text")
+    docs = spark.range(60).selectExpr("id as doc_id", f"concat('a b ', '{template}', case when id = 7 then ' x7 y z' else ' c' end) as text")
+    for limit in (winnow.BROADCAST_BYTES, 0):
+        rows = winnow.decontaminate(docs, bench, broadcast_bytes=limit).collect()
+        assert len(rows) == 60 and {(r.n_words, r.n_hit) for r in rows if r.doc_id != 7} == {(17, 14)}
+        assert all(r["items"] == sorted(map(str, range(400))) for r in rows) and [r.n_hit for r in rows if r.doc_id == 7] == [17]
+
+
 def test_decontamination(docs, none, bench):
     for limit in (winnow.BROADCAST_BYTES, 0):
         rows = winnow.decontaminate(docs, bench, broadcast_bytes=limit).collect()
