@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from string import ascii_lowercase, ascii_uppercase
@@ -15,11 +16,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is made
-    and set, so that later calls find the same one.
+    Only under a local master, as in tests, a temporary folder is made and set
+    where none is named; on a cluster that would be each machine's own.
     """
     found = spark.conf.get(CHECKPOINT_DIR, None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="gleaner-")
         spark.conf.set(CHECKPOINT_DIR, found)
         spark.sparkContext.setCheckpointDir(found)
@@ -78,6 +81,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def id_key(column: str) -> Column:
+    """An id of any type as text that is never null and never equal for a null and another id."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
+
+
 def join_counted(big: DataFrame, small: DataFrame, key: str, n: str, share: float = 0.001) -> DataFrame:
     """``big`` joined with ``small(key, n, ...)``, which says how many rows of ``big`` have each key.
 

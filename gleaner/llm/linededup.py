@@ -24,9 +24,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.common import Scratch, fresh, table
+from gleaner.llm.common import Scratch, fresh, id_key, table
 
 SEGMENTS = 8
+#: Shorter lines, such as numbers and labels, are replaced by equal ones alone.
+NEAR_CHARS = 20
 #: Line hashes that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 _PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51
@@ -105,10 +107,10 @@ def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
     names = ["key", "role", "h", "doc_id", "text_hash", "at"]
 
-    def made(rows: list) -> pa.RecordBatch:
+    def made(rows: list, kind: pa.DataType) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), kind, pa.int64(), pa.int32())
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 6, kinds, strict=True)], names)
 
     for batch in batches:
@@ -118,9 +120,9 @@ def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for key, role in variant_keys(line, [divmod(x, SEGMENTS) for x in places]):
                 out.append((key, role, *own))
                 if len(out) >= 50_000:
-                    yield made(out)
+                    yield made(out, batch["doc_id"].type)
                     out = []
-        yield made(out)
+        yield made(out, batch["doc_id"].type)
 
 
 def near_earlier(docs: DataFrame, firsts: DataFrame, scratch: Scratch, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -137,7 +139,7 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, scratch: Scratch, broadcast
     places = _shared(scratch.table(keyed, "segments"), "level", "segment").distinct()
     places = places.groupBy("h").agg(F.collect_list(F.col("level") * SEGMENTS + F.col("segment")).alias("places"))  # 16 at most
     lines = scratch.table(texts.join(places, "h").join(firsts.select("h", "first.*"), "h"), "lines")
-    variants = scratch.table(lines.repartition("h").mapInArrow(_emit_variants, "key long, role int, h long, doc_id long, text_hash long, at int"), "variants")
+    variants = scratch.table(lines.repartition("h").mapInArrow(_emit_variants, f"key long, role int, h long, doc_id {dict(lines.dtypes)['doc_id']}, text_hash long, at int"), "variants")
     place = F.struct("doc_id", "text_hash", "at", "h")
     leads = variants.groupBy("key", "role").agg(F.min(place).alias("lead"))
     # a substitution looks to substitutions, the longer line to the shorter one and back
@@ -148,9 +150,11 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, scratch: Scratch, broadcast
     return pairs.where(F.levenshtein("line", "other_line", 1).between(0, 1)).select("h").distinct()
 
 
-def line_dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def line_dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """``docs`` with each text less the lines that an earlier one, equal or within one edit, replaces.
 
+    Within one edit counts between lines of ``near_chars`` characters or more.
+
     Adds ``n_lines`` and ``n_dropped``. A line is compared without the spaces
     around it; it comes earlier by (doc_id, hash of the text, line number), nulls
     first, and goes if an earlier distinct line is within one edit, kept or not.
@@ -159,15 +163,15 @@ def line_dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFra
     empty result. Other columns pass through, whatever their names.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = _lines(base).withColumn("keys", _halves(F.col("line")))
+    base = docs.select("doc_id", "text")
+    keys = F.when(F.char_length("line") >= near_chars, _halves(F.col("line"))).otherwise(F.array().cast("array<bigint>"))
+    made = _lines(base).withColumn("keys", keys)
     firsts = scratch.table(made.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("first"), F.first("keys").alias("keys")), "firsts")
     gone = scratch.table(near_earlier(base, firsts, scratch, broadcast_rows), "gone")
     id_col, hash_col, kept_col, lines_col = fresh(docs, "id", "text_hash", "kept", "lines")
-    named = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
     kept = firsts.select("h", "first.*").join(gone, "h", "left_anti").groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias(kept_col))
-    kept = kept.select(named(F.col("doc_id")).alias(id_col), F.col("text_hash").alias(hash_col), kept_col)
-    rows = docs.withColumn(id_col, named(F.col("doc_id").cast("long"))).withColumn(hash_col, F.xxhash64("text")).join(scratch.table(kept, "kept"), [id_col, hash_col], "left")
+    kept = kept.select(id_key("doc_id").alias(id_col), F.col("text_hash").alias(hash_col), kept_col)
+    rows = docs.withColumn(id_col, id_key("doc_id")).withColumn(hash_col, F.xxhash64("text")).join(scratch.table(kept, "kept"), [id_col, hash_col], "left")
     rows = rows.withColumn(lines_col, F.split("text", "\n")).withColumn(kept_col, F.coalesce(kept_col, F.array().cast("array<int>")))
     lines = F.col(lines_col)
     blank = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(lines[i]) == "")
@@ -179,21 +183,22 @@ def line_dedup(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """``line_dedup`` of whole ``documents``, the texts as digests."""
     found = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-OP4_SQL = """
+OP4_SQL = f"""
 with l as (
   select doc_id, i, trim(lines[i]) as line
   from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null))
 ),
 f as (select line, length(line) as n, min((doc_id, i)) as first from l where line <> '' group by line),
 k as (
-  select line, n, first, n as level, 'p' || substring(line, 1, n // 2) as key from f
-  union all select line, n, first, n, 's' || substring(line, n // 2 + 1) from f
-  union all select line, n, first, n + 1, 'p' || substring(line, 1, (n + 1) // 2) from f
-  union all select line, n, first, n + 1, 's' || substring(line, greatest((n + 1) // 2, 1)) from f
+  select line, n, first, n as level, 'p' || substring(line, 1, n // 2) as key from f where n >= {NEAR_CHARS}
+  union all select line, n, first, n, 's' || substring(line, n // 2 + 1) from f where n >= {NEAR_CHARS}
+  union all select line, n, first, n + 1, 'p' || substring(line, 1, (n + 1) // 2) from f where n >= {NEAR_CHARS}
+  union all select line, n, first, n + 1, 's' || substring(line, greatest((n + 1) // 2, 1)) from f where n >= {NEAR_CHARS}
 ),
 p as (
   select distinct a.line as line, b.line as other, a.n as n, b.n as m

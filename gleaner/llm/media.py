@@ -1,12 +1,14 @@
 """Media columns: payloads in archives, read by a custom Spark data source.
 
 ``write_archives`` packs each payload, as an 8-bit grey PNG 64 samples wide,
-into archive files in a shared folder, one file per task: members one after
-another, then a directory of (offset, length, crc32), then a fixed-size footer.
-The data source ``gleaner_media`` lists the archives of a folder, plans
-partitions by byte ranges over them, and streams the members that start in a
-range as Arrow batches of bounded size. A member whose bytes don't match its
-directory entry is read again by its offset, alone, on a new handle.
+into archive files in a shared folder, one file per task: members (an id, then
+the media) one after another, then a directory of fixed-size entries, then a
+footer. A manifest names the archives of the tasks that Spark counted, so what a
+lost task or its twin has left is never read. The data source ``gleaner_media``
+plans partitions by byte ranges over the archives, finds a range's entries by
+bisection of the directory, and streams the members that start in it as Arrow
+batches of bounded size. A member whose bytes don't match its entry is read again
+by its offset, alone, on a new handle.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import struct
 import time
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +34,8 @@ WIDTH = 64
 #: Bytes of payload in an Arrow batch, about, and of an archive in a partition.
 BATCH_BYTES, RANGE_BYTES = 8 << 20, 32 << 20
 _MAGIC = b"GLMEDIA1"
-_ENTRY = "<QQIQqB"  # offset, length, crc32, bytes of text, id, whether there is an id
+_MANIFEST = "_manifest"
+_ENTRY = "<QQIQi"  # offset, length, crc32, bytes of text, bytes of the id (-1: no id)
 _FOOTER = "<QQ8s"  # directory's offset, members, magic
 _PNG = b"\x89PNG\r\n\x1a\n"
 
@@ -82,44 +86,48 @@ def features(data: bytes) -> str:
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
+    """The file system of a folder and its path there. Hadoop's names of S3 are known too; credentials come from the environment."""
+    scheme, _, rest = uri.partition("://")
+    if not rest:
+        return pafs.FileSystem.from_uri("file://" + uri.removeprefix("file:"))
+    return pafs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme)}://{rest}")
 
 
 def write_archives(docs: DataFrame, folder: str) -> None:
-    """Writes an archive per task into ``folder``, a shared one. Empty tasks write none.
+    """Writes an archive per task into ``folder``, a shared one, and the manifest. Empty tasks write none.
 
-    An archive gets its final name only once it is whole and its task commits
-    nothing else, so a lost task leaves no archive; a task that runs twice would
-    leave two, so names are those of partitions and the later one replaces the first.
+    Every attempt of a task has a file of its own. The names of those that count,
+    one for each task, reach the driver, which writes the manifest last.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         fs, root = _open(folder)
-        context = TaskContext.get()
-        name = f"part-{context.partitionId():05d}"
-        started, out, entries, at = f"{root}/.{name}-{uuid.uuid4().hex}", None, [], 0
+        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
+        out, entries, at = None, [], 0
         for batch in batches:
-            for key, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            for key, text in zip(batch["doc_id"], batch["text"], strict=True):
                 if out is None:
                     fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(started)
+                    out = fs.open_output_stream(f"{root}/{name}")
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                member = encode_png(payload(data))
+                head = (key.as_py() or "").encode("utf-8", "surrogatepass")
+                member = head + encode_png(payload(data))
                 out.write(member)
-                entries.append(struct.pack(_ENTRY, at, len(member), zlib.crc32(member), len(data), key or 0, key is not None))
+                entries.append(struct.pack(_ENTRY, at, len(member), zlib.crc32(member), len(data), len(head) if key.is_valid else -1))
                 at += len(member)
         if out is not None:
             out.write(b"".join(entries))
             out.write(struct.pack(_FOOTER, at, len(entries), _MAGIC))
             out.close()
-            if fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:
-                fs.delete_file(f"{root}/{name}")  # of an earlier run of this task
-            fs.move(started, f"{root}/{name}")
-        yield pa.record_batch({"members": pa.array([len(entries)], pa.int64())})
+            yield pa.record_batch({"name": [name]})
 
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, "members long").agg(F.sum("members")).collect()
+    names = sorted(r.name for r in docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInArrow(pack, "name string").collect())
+    fs, root = _open(folder)
+    fs.create_dir(root, recursive=True)
+    with fs.open_output_stream(f"{root}/{_MANIFEST}") as out:
+        out.write("\n".join(names).encode())
 
 
 @dataclass
@@ -136,11 +144,16 @@ class ArchiveReader(DataSourceReader):
         self.folder, self.range_bytes, self.batch_bytes, self.attempts = folder, range_bytes, batch_bytes, attempts
 
     def partitions(self) -> list[InputPartition]:
-        """By the archives' sizes alone; their directories are read where the members are."""
+        """By the archives' sizes alone; their directories are read where the members are. Without a manifest all files of the folder are archives."""
         fs, root = _open(self.folder)
-        found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        if fs.get_file_info(f"{root}/{_MANIFEST}").type == pafs.FileType.File:
+            with fs.open_input_file(f"{root}/{_MANIFEST}") as f:
+                names = f.read().decode().split()
+            found = fs.get_file_info([f"{root}/{n}" for n in names])
+        else:
+            found = [x for x in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if x.base_name[:1] not in "._"]
         out: list[InputPartition] = []
-        for x in sorted((x for x in found if x.type == pafs.FileType.File and not x.base_name.startswith(".")), key=lambda x: x.path):
+        for x in sorted(found, key=lambda x: x.path):
             out += [ByteRange(x.path, at, at + self.range_bytes) for at in range(0, x.size, self.range_bytes)]
         return out or [ByteRange("", 0, 0)]
 
@@ -165,14 +178,16 @@ class ArchiveReader(DataSourceReader):
             start, members, magic = struct.unpack(_FOOTER, file.read_at(struct.calcsize(_FOOTER), size - struct.calcsize(_FOOTER)))
             if magic != _MAGIC:
                 raise ValueError(f"{partition.path} isn't an archive")
-            entries = struct.iter_unpack(_ENTRY, file.read_at(members * struct.calcsize(_ENTRY), start))
+            each = struct.calcsize(_ENTRY)
+            offsets = _Offsets(file, start, members)
+            low, high = bisect_left(offsets, partition.start), bisect_left(offsets, partition.end)
+            entries = struct.iter_unpack(_ENTRY, file.read_at((high - low) * each, start + low * each))
             ids, sizes, media, held = [], [], [], 0
-            for at, n, crc, n_bytes, key, known in entries:
-                if not partition.start <= at < partition.end:
-                    continue
-                ids.append(key if known else None)
+            for at, n, crc, n_bytes, n_id in entries:
+                member = self._member(fs, file, partition.path, at, n, crc)
+                ids.append(member[:n_id].decode("utf-8", "surrogatepass") if n_id >= 0 else None)
                 sizes.append(n_bytes)
-                media.append(self._member(fs, file, partition.path, at, n, crc))
+                media.append(member[max(n_id, 0) :])
                 held += n
                 if held >= self.batch_bytes:
                     yield _batch(ids, sizes, media)
@@ -181,6 +196,19 @@ class ArchiveReader(DataSourceReader):
                 yield _batch(ids, sizes, media)
 
 
+class _Offsets:
+    """The members' offsets in a directory, read one by one."""
+
+    def __init__(self, file, start: int, members: int):
+        self.file, self.start, self.members = file, start, members
+
+    def __len__(self) -> int:
+        return self.members
+
+    def __getitem__(self, k: int) -> int:
+        return struct.unpack("<Q", self.file.read_at(8, self.start + k * struct.calcsize(_ENTRY)))[0]
+
+
 class _Kept:
     """Keeps a file open that its owner will close."""
 
@@ -195,11 +223,11 @@ class _Kept:
 
 
 def _batch(ids: list, sizes: list[int], media: list[bytes]) -> pa.RecordBatch:
-    return pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "media": pa.array(media, pa.binary())})
+    return pa.record_batch({"doc_id": pa.array(ids, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "media": pa.array(media, pa.binary())})
 
 
 class ArchiveSource(DataSource):
-    """``spark.read.format("gleaner_media").load(folder)``: doc_id, bytes of text and the stored bytes of each member.
+    """``spark.read.format("gleaner_media").load(folder)``: id (as text), bytes of text and the stored bytes of each member.
 
     Options: ``range_bytes``, ``batch_bytes``, ``attempts`` for each member.
     """
@@ -209,7 +237,7 @@ class ArchiveSource(DataSource):
         return "gleaner_media"
 
     def schema(self) -> str:
-        return "doc_id long, n_bytes long, media binary"
+        return "doc_id string, n_bytes long, media binary"
 
     def reader(self, schema) -> ArchiveReader:
         get = self.options.get
@@ -223,7 +251,7 @@ def read_archives(spark: SparkSession, folder: str, **options) -> DataFrame:
 
 def media_features(media: DataFrame) -> DataFrame:
     """Digests and features of the source's rows, from the stored bytes alone."""
-    fields = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    fields = "doc_id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,13 +273,16 @@ def media_columns(docs: DataFrame) -> DataFrame:
 
     A null or empty text is stored as 64 bytes 0, with ``n_bytes`` 0. Rows that
     repeat an id each get a row, a null id stays null, and equal texts have equal
-    values. An empty table gives an empty result; other columns are ignored.
+    values. Ids of any type that text can stand for are kept. An empty table gives
+    an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     folder = Scratch(spark, "media").path("archives")
     write_archives(docs, folder)
-    return media_features(read_archives(spark, folder))
+    found = media_features(read_archives(spark, folder))
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def op7_media_columns(spark, sf_dir: str) -> DataFrame:
+    """``media_columns`` of whole ``documents``."""
     return media_columns(table(spark, sf_dir, "documents"))

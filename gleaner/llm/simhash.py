@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.llm.common import Scratch, fresh, join_counted, table
+from gleaner.llm.common import Scratch, fresh, id_key, join_counted, table
 from gleaner.llm.components import components
 
 #: Fingerprints in a tile: a full cell is dealt out to about eight, within these bounds.
@@ -176,6 +176,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op1_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """``near_duplicates`` of whole ``documents`` at three words and two bits, fingerprints in 16 hexadecimal digits."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -193,9 +194,8 @@ def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "keep")
     key, text_hash, rank = fresh(docs, "key", "text_hash", "rank")
-    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(named("doc_id").alias(key), F.col("text_hash").alias(text_hash)).distinct()
-    rows = docs.withColumn(key, named("doc_id")).withColumn(text_hash, F.xxhash64("text"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key("doc_id").alias(key), F.col("text_hash").alias(text_hash)).distinct()
+    rows = docs.withColumn(key, id_key("doc_id")).withColumn(text_hash, F.xxhash64("text"))
     rows = rows.join(scratch.table(kept, "kept"), [key, text_hash], "left_semi")
     # the join has dealt and sorted rows by these columns already
     window = Window.partitionBy(key, text_hash).orderBy(text_hash)

@@ -19,7 +19,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.common import Scratch, ascii_lower, fresh, table
+from gleaner.llm.common import Scratch, ascii_lower, fresh, id_key, table
 
 WINDOW = 10
 K = 5
@@ -193,10 +193,9 @@ def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
 def keep_uncontaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """Documents without a hit, with all their columns; rows without an id too."""
     key, text_hash = fresh(docs, "key", "text_hash")
-    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    hit = decontaminate(docs, bench).where("n_hit > 0").select(named("doc_id").alias(key), F.col("text_hash").alias(text_hash)).distinct()
+    hit = decontaminate(docs, bench).where("n_hit > 0").select(id_key("doc_id").alias(key), F.col("text_hash").alias(text_hash)).distinct()
     hit = Scratch(docs.sparkSession, "hit").table(hit, "hit")
-    return docs.withColumn(key, named("doc_id")).withColumn(text_hash, F.xxhash64("text")).join(hit, [key, text_hash], "left_anti").select(docs.columns)
+    return docs.withColumn(key, id_key("doc_id")).withColumn(text_hash, F.xxhash64("text")).join(hit, [key, text_hash], "left_anti").select(docs.columns)
 
 
 _WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '{WORD}')"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import bpe, licenses, linededup, media, quality, shards, simhash, toxicity, urlfilter, winnow
+from gleaner.llm import bpe, common, licenses, linededup, media, quality, shards, simhash, toxicity, urlfilter, winnow
 
 SCHEMA = "doc_id long, text string, lang string, n_chars long, fp long, score double, `row` string, kept string"
 LONG = "mot " * 30_000
@@ -67,6 +67,31 @@ def test_lines(docs, none):
     assert linededup.line_dedup(none).count() == 0
 
 
+def test_ids_of_any_type(spark):
+    """Ids are text, one of them the word null."""
+    line = "a long line that two documents share, but for one letter"
+    rows = [("b", f"{line}x\none"), ("a", f"{line}\ntwo"), ("null", "one\n1\n2"), (None, "one\n3")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: r.text for r in linededup.line_dedup(docs).collect()}
+    # short lines that differ stay, equal ones go; the null id comes first
+    assert got == {None: "one\n3", "a": f"{line}\ntwo", "b": "", "null": "1\n2"}
+    assert {r.doc_id for r in media.media_columns(docs).collect()} == {"a", "b", "null", None}
+    assert {r.doc_id for r in simhash.keep_one(docs.union(docs)).collect()} == {"a", "b", "null", None}
+    assert shards.shard(docs).count() == 4
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master = "local-cluster[3,2,1024]"
+
+    with pytest.raises(RuntimeError, match="share"):
+        common.shared_dir(Cluster)
+
+
 def test_licenses(docs, none):
     rows = licenses.license_scan(docs).collect()
     assert len(rows) == len(TEXTS) and all(r.licenses == [] for r in rows) and licenses.license_scan(none).count() == 0
