@@ -1,6 +1,12 @@
 """Licence texts as they are distributed: hard-wrapped, with titles, numbered clauses and comment marks."""
 
+import random
 import textwrap
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+import pytest
 
 from gleaner.llm import licenses
 
@@ -50,3 +56,35 @@ def test_titles_and_paragraphs(spark):
     got = _scan(spark, texts)
     assert got[0] == (["mit-title", "mit-grant", "mit-notice", "mit-warranty"], ["MIT"])
     assert got[1:] == [(["mit-title-full"], ["MIT"]), (["mit-released"], ["MIT"]), (["mit-title-the"], ["MIT"]), ([], []), ([], []), (["apache-licensed"], ["Apache-2.0"])]
+
+
+def _both(spark, texts):
+    """The operator's rows and those of the SQL, which finds sentences by words and gaps, not by the operator's pattern."""
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    want = duckdb.connect().register("documents", documents).execute(licenses.OP5_SQL).fetchall()
+    rows = licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return sorted((r.doc_id, r.n_sentences, ",".join(r.sentence_ids), ",".join(r.licenses)) for r in rows), sorted(want)
+
+
+def test_like_the_sql(spark):
+    known = {i: s.replace(":", ";\n") for i, s in licenses.SENTENCES.items()}
+    rng = random.Random(4)
+    texts = [textwrap.fill(s, rng.choice([25, 60, 9999])).capitalize() + rng.choice(["", ".", ";", " ...", ".\n\n"]) for s in known.values()]
+    texts += [rng.choice(["\n", "\n\n", ". ", " ", "\r\n# ", "\n \t\n"]).join(rng.sample(texts, 4)) for _ in range(80)]
+    texts += ["// SPDX-License-Identifier: MIT\ncode", "SPDX-License-Identifier:\n Apache-2.0", "SPDX-License-Identifier: GPL-2.0 WITH x", "", None, ". . .\n", "MIT License" * 3]
+    got, want = _both(spark, texts)
+    assert got == want
+    names = {r[0]: r[3] for r in got}
+    assert [names[len(texts) - 7 + k] for k in range(3)] == ["MIT", "Apache-2.0", ""]
+    assert all(r[2] == i for r, i in zip(got, known, strict=False) if "\n" not in texts[r[0]].strip())
+
+
+WHOLE = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+
+
+def test_whole_texts_as_shipped(spark):
+    found = [(n, p) for n in WHOLE if (p := Path("/usr/share/common-licenses", n)).exists()]
+    if not found:
+        pytest.skip("this machine has no licence texts")
+    got, want = _both(spark, [p.read_text(errors="replace") for _, p in found])
+    assert got == want and [r[3] for r in got] == [WHOLE[n] for n, _ in found]
