@@ -14,7 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.llm.common import table
+from gleaner.llm.common import Scratch, table
+
+#: Keys with more than this share of all that captures offer are handled apart; they are fewer than 1 / HOT_SHARE.
+HOT_SHARE = 0.001
 
 
 def _month(day: Column) -> Column:
@@ -51,21 +54,29 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``captures(id, url, fetched)`` -> ``id, listed, n_entries, entry``, a row per capture.
 
     ``n_entries`` counts the active patterns that cover the URL and ``entry`` is
-    the longest (of equal lengths the first in order). A null URL or day, or a URL
-    without a host, is never listed. Rows that repeat an id each get a row.
+    the longest (of equal lengths the first in order). Hosts are compared without
+    case, paths with it. A null URL or day, or a URL without a host, is never
+    listed. Rows that repeat an id each get a row. Other columns are ignored.
     """
-    rows = captures.select(F.monotonically_increasing_id().alias("row"), "id", "url", "fetched")
-    span = captures.agg(F.min("fetched").alias("low"), F.max("fetched").alias("high")).first()
-    head = F.array(F.lit(None).cast("string"))  # so that a capture without a match stays
-    keys = F.when(F.col("fetched").isNotNull() & F.col("url").isNotNull(), F.concat(head, F.array_distinct(keys_of(F.col("url"))))).otherwise(head)
-    offered = rows.select("row", "id", "fetched", F.explode(keys).alias("pattern")).withColumn("month", _month(F.col("fetched")))
+    scratch = Scratch(captures.sparkSession, "urls")
+    rows = scratch.table(captures.select(F.monotonically_increasing_id().alias("row"), "id", "url", "fetched"), "captures")
+    span = rows.agg(F.min("fetched").alias("low"), F.max("fetched").alias("high")).first()
+    known = rows.where("fetched is not null and url is not null")
+    offered = known.select("row", "fetched", F.explode(F.array_distinct(keys_of(F.col("url")))).alias("pattern")).withColumn("month", _month(F.col("fetched")))
     active = intervals(entries).where(F.col("since") <= F.lit(span.high)).withColumn("first", F.greatest(_month(F.col("since")), _month(F.lit(span.low))))
     active = active.withColumn("last", F.least(_month(F.coalesce(F.date_sub("until", 1), F.lit(span.high))), _month(F.lit(span.high)))).where("first <= last")
-    active = active.select("pattern", "since", "until", F.explode(F.sequence("first", "last")).alias("month")).select("pattern", "since", "until", "month", F.lit(True).alias("active"))
-    joined = offered.join(active.alias("e"), ["pattern", "month"], "left").where("pattern is null or active")
-    joined = joined.where("pattern is null or (fetched >= since and (until is null or fetched < until))")
-    each = joined.groupBy("row").agg(F.first("id").alias("id"), F.count("pattern").alias("n_entries"), F.min(F.when(F.col("pattern").isNotNull(), F.struct(-F.char_length("pattern"), F.col("pattern").alias("pattern")))).alias("best"))
-    return each.select("id", (F.col("n_entries") > 0).alias("listed"), "n_entries", F.col("best.pattern").alias("entry"))
+    active = scratch.table(active.select("pattern", "since", "until", F.explode(F.sequence("first", "last")).alias("month")), "active")
+    # keys that many captures offer, such as a common suffix, are few: what the list has of them is broadcast, the rest goes unseen
+    key = ["pattern", "month"]
+    counts = scratch.table(offered.groupBy(key).agg(F.count("*").alias("n")), "counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(counts.where(F.col("n") > max(1, int(total * HOT_SHARE))).select(key))
+    joined = offered.join(F.broadcast(active.join(hot, key)), key).unionByName(offered.join(hot, key, "left_anti").join(active, key))
+    joined = joined.where("fetched >= since and (until is null or fetched < until)")
+    best = F.min(F.struct(-F.char_length("pattern"), F.col("pattern").alias("pattern"))).alias("best")
+    each = rows.select("row", "id").join(joined.groupBy("row").agg(F.count("*").alias("n_entries"), best), "row", "left")
+    n = F.coalesce("n_entries", F.lit(0))
+    return each.select("id", (n > 0).alias("listed"), n.cast("long").alias("n_entries"), F.col("best.pattern").alias("entry"))
 
 
 def sample_list(pages: DataFrame) -> DataFrame:
@@ -81,6 +92,7 @@ def sample_list(pages: DataFrame) -> DataFrame:
 
 
 def op8_url_filters(spark, sf_dir: str) -> DataFrame:
+    """``filter_urls`` of all ``pages`` against ``sample_list``, fetched on days given by their ids."""
     pages = table(spark, sf_dir, "pages")
     captures = pages.select(F.col("page_id").alias("id"), "url", F.date_add(F.lit("2023-01-01").cast("date"), (F.col("page_id") * 37 % 730).cast("int")).alias("fetched"))
     found = filter_urls(captures, sample_list(pages))

@@ -1,7 +1,9 @@
 """Null, empty, long, repeated and tied rows, clashing column names and empty tables, for every operator and stage."""
 
 import hashlib
+import random
 import zlib
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +122,32 @@ def test_urls(spark):
     assert urlfilter.filter_urls(captures.limit(0), entries).count() == 0 and urlfilter.filter_urls(captures, entries.limit(0)).where("listed").count() == 0
 
 
+def test_urls_by_hand(spark, monkeypatch):
+    """Captures with hot hosts and suffixes, long paths and clashing columns against a plain loop over the list."""
+    rng = random.Random(6)
+    day = lambda n: date(2024, 1, 1) + timedelta(n)
+    hosts = ["a.com", "B.a.com", "c.b.a.com", "hot.org", "hot.org", "hot.org", "x.co.uk"]
+    paths = ["", "/", "/en", "/EN", "/en/x?q=/fr", "/en//x/", "/" + "y/" * 3000]
+    rows = [(i, f"http{'s' * (i % 2)}://{rng.choice(hosts)}{rng.choice(paths)}", day(rng.randrange(120)), "k", 1) for i in range(300)]
+    log = [(rng.choice(["a.com", "com", "b.a.com", "hot.org", "hot.org/en", "hot.org/en/x", "a.com/EN", "org", "nowhere.net"]), rng.choice(["add", "add", "remove"]), day(rng.randrange(-40, 130))) for _ in range(60)]
+    want = {}
+    for i, url, fetched, *_ in rows:
+        host, _, path = url.split("://")[1].partition("/")
+        host, parts = host.lower(), [x for x in path.split("?")[0].split("/") if x]
+        keys = {".".join(host.split(".")[k:]) for k in range(host.count(".") + 1)} | {"/".join([host, *parts[: k + 1]]) for k in range(len(parts))}
+        hits = []
+        for pattern in keys:
+            before = sorted((since, action) for p, action, since in log if p == pattern and since <= fetched)
+            if before and before[-1][1] == "add":
+                hits.append(pattern)
+        want[i] = (len(hits), min(hits, key=lambda p: (-len(p), p)) if hits else None)
+    captures = spark.createDataFrame(rows, "id long, url string, fetched date, pattern string, row int")
+    entries = spark.createDataFrame(log, "pattern string, action string, since date")
+    for share in (urlfilter.HOT_SHARE, 0.05, 1.0):
+        monkeypatch.setattr(urlfilter, "HOT_SHARE", share)
+        assert {r.id: (r.n_entries, r.entry) for r in urlfilter.filter_urls(captures, entries).collect()} == want
+
+
 def test_a_template_of_many_items(spark):
     """Windows that items share are met once by each document; all items are listed."""
     template = "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14"
