@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm.common import Scratch, join_counted
 from gleaner.llm.components import components
-from gleaner.llm.simhash import edges_of, keep_least, linked
+from gleaner.llm.simhash import forest, keep_least, linked
 
 WORDS, LEAST = 5, 0.8
 #: Width of the SimHash, in words of 64 bits, and the bits by which candidates may differ.
@@ -113,12 +113,12 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least:
     flat, owner = np.concatenate([np.empty(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes)
     _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
     common = count[code] > 1
-    _, code = np.unique(code[common], return_inverse=True)
+    kinds, code = np.unique(code[common], return_inverse=True)
     owner, order = owner[common], np.argsort(code, kind="stable")
     code, owner = code[order], owner[order]
     overlap = np.zeros((len(left), len(right)), np.float32)
-    width = max(1, (1 << 22) // max(1, len(sets)))
-    for at in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+    width = min(max(1, (1 << 22) // max(1, len(sets))), max(1, len(kinds)))
+    for at in range(0, len(kinds), width):
         lo, hi = np.searchsorted(code, [at, at + width])
         held = np.zeros((len(sets), width), np.float32)
         held[owner[lo:hi], code[lo:hi] - at] = 1
@@ -142,11 +142,10 @@ def _meet(least: float):
             left, right = (place, place) if (sides[group] == 0).all() else (place[sides[group] == 1], place[sides[group] == 2])
             if not len(left) or not len(right) or len(group) < 2:
                 continue
-            i, j = edges_of(similar(sets, left, right, least))
-            nodes = ids[group][np.concatenate([left, right])]
-            keep = nodes[i] != nodes[j]
-            u.append(nodes[i][keep])
-            v.append(nodes[j][keep])
+            i, j = np.nonzero(similar(sets, left, right, least))
+            i, j = forest(left[i], right[j], len(group))
+            u.append(ids[group][i])
+            v.append(ids[group][j])
         return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
 
     return run

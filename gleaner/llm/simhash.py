@@ -68,41 +68,39 @@ def _offsets(radius: int) -> list[int]:
     return sorted(x for d in near if (x := sum(v << (5 * i) for i, v in enumerate(d))) >= 0)
 
 
-def edges_of(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that keep the components of a boolean matrix between rows 0..R-1 and columns R..R+C-1: all if they are few, else a forest."""
-    r, c = np.nonzero(near)
-    rows, columns = near.shape
-    if len(r) <= 4 * (rows + columns):
-        return r, c + rows
-    none = rows + columns
-    label_a, label_b = np.arange(rows), np.arange(rows, none)
+def forest(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer than ``n`` edges with the components of the edges (u, v) among n nodes: from each node to the least of its component."""
+    label = np.arange(n)
     while True:
-        new_a = np.minimum(label_a, np.where(near, label_b[None, :], none).min(axis=1))
-        new_b = np.minimum(label_b, np.where(near, new_a[:, None], none).min(axis=0))
-        if (new_a == label_a).all() and (new_b == label_b).all():
-            return np.arange(none), np.concatenate([label_a, label_b])
-        label_a, label_b = new_a, new_b
+        low, new = np.minimum(label[u], label[v]), label.copy()
+        for x in (u, v, label[u], label[v]):
+            np.minimum.at(new, x, low)
+        new = new[new]
+        if (new == label).all():
+            moved = np.nonzero(label != np.arange(n))[0]
+            return moved, label[moved]
+        label = new
 
 
 def links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that keep the components of all pairs of a and b within the radius, as places in a, then b.
+    """A forest with the components of all pairs of a and b within the radius, as places in a, then b.
 
     Both hold a fingerprint to a row, a 64-bit word of it to a column.
     """
-    a_words, b_words = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    a_words, b_words, n = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T), len(a) + len(b)
     step = max(1, (1 << 18) // max(1, len(b)))
-    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    u = v = np.empty(0, np.int64)
+    # the same tile twice is one set of nodes
+    shift = 0 if same else len(a)
     for i in range(0, len(a), step):
         apart = np.bitwise_count(a_words[0, i : i + step, None] ^ b_words[0, None, :]).astype(np.uint16)
         for x, y in zip(a_words[1:], b_words[1:], strict=True):
             apart += np.bitwise_count(x[i : i + step, None] ^ y[None, :])
-        near = apart <= radius
-        if same:
-            near[np.arange(near.shape[0]), np.arange(i, i + near.shape[0])] = False
-        place = np.concatenate([np.arange(i, i + near.shape[0]), np.arange(len(a), len(a) + len(b))])
-        for side, found in zip((left, right), edges_of(near), strict=True):
-            side.append(place[found])
-    return np.concatenate(left), np.concatenate(right)
+        r, c = np.nonzero(apart <= radius)
+        u, v = np.concatenate([u, r + i]), np.concatenate([v, c + shift])
+        if len(u) > 4 * n:
+            u, v = forest(u, v, n)
+    return forest(u, v, n)
 
 
 def _compare(words: int, radius: int):

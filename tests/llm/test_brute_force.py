@@ -52,8 +52,13 @@ def test_tiles_keep_components(spark, dense):
     near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
     want = _union(len(fps), zip(*np.nonzero(np.triu(near, 1)), strict=True))
     u, v = simhash.links(fps[:, None], fps[:, None], True, 2)
+    assert len(u) < len(fps)
     at = {x: i for i, x in enumerate(fps.tolist())}
     assert _union(len(fps), zip((u % len(fps)).tolist(), (v % len(fps)).tolist(), strict=True)) == want
+    half = len(fps) // 2
+    u, v = simhash.links(fps[:half, None], fps[half:, None], False, 2)
+    across = [(i, j) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True) if i < half <= j]
+    assert len(u) < len(fps) and _union(len(fps), zip(u.tolist(), v.tolist(), strict=True)) == _union(len(fps), across)
     if dense:
         return
     nodes = spark.createDataFrame(pd.DataFrame({"node": fps.view(np.int64)}))
