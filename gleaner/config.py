@@ -12,8 +12,15 @@ class EngineConfig:
     seed_expansion_depth: int = 2
     max_hub_pages: int = 6
     max_franchise_hosts: int = 8
+    max_rendered_details: int = 3
+    max_html_chars: int = 3_000_000
     renderer_available: bool = False
     geocoding: bool = True
     limit: int | None = None
     keep_outputs: bool = False
     reset_checkpoint: bool = False
+    listings_name: str = "listings_consolidated"
+    error_log_name: str = "error_log"
+    domain_summary_name: str = "domain_status_summary"
+    report_name: str = "report"
+    max_files_per_trigger: int = 1

@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from gleaner.functions.dialect import SPACE, Dialect, Steps
 
-# Letters that are left once accents are taken off, for Latin text.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ²"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY2"
+
+def _decomposed(c: str) -> str:
+    """What compatibility decomposition leaves of a character without its combining marks."""
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
+#: Characters below U+3000 and full-width ones that decompose to a single other one, what it is, and the combining marks.
+_CHANGED = [c for i in (*range(0x80, 0x3000), *range(0xFF01, 0xFF5F)) if len(_decomposed(c := chr(i))) == 1 and _decomposed(c) != c]
+_MARKS = "".join(c for i in range(0x300, 0x3000) if unicodedata.combining(c := chr(i)))
+_FROM, _TO = "".join(_CHANGED) + _MARKS, "".join(map(_decomposed, _CHANGED))
+#: Those that decompose to several and occur in texts.
+_SEVERAL = {c: _decomposed(c) for c in "…ﬀﬁﬂﬃﬄĳĲ½¼¾№℃™"}
 NULLISH = ["", "nan", "none", "null", "n/a"]
 
 
 def strip_accents(d: Dialect, x: str) -> str:
-    return f"translate({x}, {d.lit(ACCENTED)}, {d.lit(PLAIN)})"
+    """Compatibility decomposition without combining marks. The oracle's own function decomposes canonically alone, so it gets the rest by name."""
+    if not d.spark:
+        return f"strip_accents(replace(replace({x}, '²', '2'), chr(160), ' '))"
+    out = f"translate({x}, {d.lit(_FROM)}, {d.lit(_TO)})"
+    for c, plain in _SEVERAL.items():
+        out = f"replace({out}, {d.lit(c)}, {d.lit(plain)})"
+    return f"case when octet_length({x}) = char_length({x}) then {x} else {out} end"
 
 
 def normalize(d: Dialect, x: str) -> str:

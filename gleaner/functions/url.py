@@ -50,10 +50,10 @@ def probe_variants(d: Dialect, prefix: str = "u_") -> str:
     return f"case when {prefix}host = '' then {none} else {made} end"
 
 
-def plain_registrable(d: Dialect, host: str) -> str:
-    """The last two labels of a host: the registrable domain under a one-label public suffix."""
-    name = d.sub(d.sub(host, "^.*@"), ":[0-9]*$")
-    return f"case when {d.has(name, '[.]')} then {d.ext(name, '([^.]+[.][^.]+)$', 1)} else {name} end"
+def under_domain(host: str, domain: str) -> str:
+    """Whether a host belongs to a registrable domain, for Spark."""
+    name = f"regexp_replace(regexp_replace({host}, '^.*@', ''), ':[0-9]*$', '')"
+    return f"({domain} <> '' and ({name} = {domain} or endswith({name}, concat('.', {domain}))))"
 
 
 def bucket(d: Dialect, host: str, n: int) -> str:

@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gleaner.shared import Shared
+
+#: Rows of a domain that are folded in order, and rounds of joins at most for larger ones.
+FOLD_ROWS, ROUNDS = 20_000, 30
+
 
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -17,31 +26,71 @@ def intra_domain(df: DataFrame) -> DataFrame:
     return first_of(df.withColumn("dedup_on", key), ["domain", "dedup_on"], ["seq"]).drop("dedup_on")
 
 
-def three_tier(df: DataFrame) -> DataFrame:
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Accepted (domain, seq) of rows that are sorted by domain and place; holds the keys of one domain's accepted rows."""
+    last, refs, urls, contents = None, set(), set(), set()
+    for batch in batches:
+        domains, seqs = [], []
+        for domain, seq, ref, url, content in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+            if domain != last:
+                last, refs, urls, contents = domain, set(), set(), set()
+            if (ref and ref in refs) or (url and url in urls) or (not ref and content and content in contents):
+                continue
+            refs.add(ref)
+            urls.add(url)
+            contents.add(content)
+            domains.append(domain)
+            seqs.append(seq)
+        yield pa.record_batch({"domain": pa.array(domains, pa.string()), "seq": pa.array(seqs, pa.int64())})
+
+
+def _round(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that no undecided row before them can reject, and of the others those that these don't reject.
+
+    A row meets the least place of each of its keys, so hot keys are counted before they are shuffled.
+    """
+    parts = [F.struct(F.lit(k).alias("kind"), F.col(c).alias("key"), on.alias("checks")) for k, c, on in ((1, "ref", F.lit(True)), (2, "url_key", F.lit(True)), (3, "content", F.col("ref") == ""))]
+    keys = rows.select("domain", "seq", F.explode(F.array(*parts)).alias("k")).select("domain", "seq", "k.*").where("key <> ''")
+    on = ["domain", "kind", "key"]
+    first = keys.groupBy(on).agg(F.min("seq").alias("first"))
+    behind = keys.join(first, on).where("checks and first < seq").select("domain", "seq").distinct()
+    free = rows.join(behind, ["domain", "seq"], "left_anti")
+    taken = keys.join(free.select("domain", "seq"), ["domain", "seq"], "left_semi").groupBy(on).agg(F.min("seq").alias("taken"))
+    gone = keys.join(taken, on).where("checks and taken < seq").select("domain", "seq").distinct()
+    return free.select("domain", "seq"), rows.join(free, ["domain", "seq"], "left_anti").join(gone, ["domain", "seq"], "left_anti")
+
+
+def three_tier(df: DataFrame, fold_rows: int = FOLD_ROWS, rounds: int = ROUNDS) -> DataFrame:
     """Greedy ordered deduplication of ``listings(domain, seq, ref, url_key, content)``; returns the accepted rows' (domain, seq).
 
     In each domain's order a row is rejected if its reference was accepted
     before, or its URL key was, or, for a row without a reference, its content
-    was; accepted rows record all their keys, rejected ones none. Rows without a
-    domain are all accepted and record nothing.
+    was; accepted rows record all their keys, rejected ones none. Null keys count
+    as empty. Rows without a domain are all accepted and record nothing. Places
+    are unique within a domain.
 
-    The fold runs in the JVM over each domain's rows, which are few by nature: a
-    site yields at most ``EngineConfig.max_listing_urls`` of them in a run.
+    Domains of up to ``fold_rows`` rows, which all sites are by nature, are folded
+    in order, a partition's domains one after another. Larger domains first go
+    through joins that decide all rows that nothing undecided comes before, until
+    what is left of each is small or ``rounds`` are over.
     """
-    row = F.struct("seq", F.lower("ref").alias("ref"), "url_key", "content")
-    empty = F.array().cast("array<string>")
-    start = F.struct(empty.alias("refs"), empty.alias("urls"), empty.alias("contents"), F.array().cast("array<bigint>").alias("kept"))
-
-    def step(a, x):
-        seen = F.array_contains(a["refs"], x["ref"]) | F.array_contains(a["urls"], x["url_key"]) | ((x["ref"] == "") & F.array_contains(a["contents"], x["content"]))
-        grown = lambda old, new: F.when(seen | (new == ""), old).otherwise(F.concat(old, F.array(new)))
-        return F.struct(
-            grown(a["refs"], x["ref"]).alias("refs"),
-            grown(a["urls"], x["url_key"]).alias("urls"),
-            grown(a["contents"], x["content"]).alias("contents"),
-            F.when(seen, a["kept"]).otherwise(F.concat(a["kept"], F.array(x["seq"].cast("bigint")))).alias("kept"),
-        )
-
-    known = df.where("domain <> ''").groupBy("domain").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    kept = known.select("domain", F.explode(F.aggregate("rows", start, step, lambda a: a["kept"])).alias("seq"))
-    return kept.union(df.where("domain = ''").select("domain", F.col("seq").cast("bigint")))
+    keys = [F.coalesce(c, F.lit("")).alias(c) for c in ("url_key", "content")]
+    rows = df.select(F.coalesce("domain", F.lit("")).alias("domain"), F.col("seq").cast("bigint").alias("seq"), F.lower(F.coalesce("ref", F.lit(""))).alias("ref"), *keys)
+    kept = [rows.where("domain = ''").select("domain", "seq")]
+    left = rows.where("domain <> ''")
+    sizes = left.groupBy("domain").agg(F.count("*").alias("n"))
+    most = sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    if most > fold_rows:
+        cut = Shared(df.sparkSession).table
+        large = F.broadcast(sizes.where(F.col("n") > fold_rows).select("domain"))  # fewer than all rows by ``fold_rows``
+        small, left = left.join(large, "domain", "left_anti"), cut(left.join(large, "domain", "left_semi"), "large")
+        for k in range(rounds):
+            free, rest = _round(left)
+            kept.append(cut(free, f"free-{k}"))
+            left = cut(rest, f"left-{k}")
+            if (left.groupBy("domain").count().agg(F.max("count")).first()[0] or 0) <= fold_rows:
+                break
+        left = small.union(left)
+    order = ["domain", "seq", "ref", "url_key", "content"]
+    folded = left.select(order).repartition("domain").sortWithinPartitions(*order).mapInArrow(_fold, "domain string, seq bigint")
+    return reduce(DataFrame.union, [folded, *kept])

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gleaner import vocabulary as v
 from gleaner.functions.dialect import SPARK, apply
 from gleaner.functions.text import clean
-from gleaner.functions.url import plain_registrable, url_steps
+from gleaner.functions.url import url_steps
 from gleaner.operators.dedup import first_of
+from gleaner.sources import registrable_domain
 
 CONTACTS = ["agency_name", "agent_name", "phone", "city", "postalcode"]
 
@@ -19,7 +20,7 @@ def clean_agencies(agencies: DataFrame) -> DataFrame:
     rows = agencies.select("seq", *[F.expr(clean(SPARK, old)).alias(new) for old, new in names.items()])
     rows = rows.withColumn("agency_name", F.when(F.col("agency_name") == "", "Unknown Agency").otherwise(F.col("agency_name")))
     rows = apply(rows, url_steps(SPARK, "website"))
-    return rows.select("seq", *CONTACTS, F.col("u_full").alias("url"), F.expr(plain_registrable(SPARK, "u_host")).alias("domain"))
+    return rows.select("seq", *CONTACTS, F.col("u_full").alias("url"), registrable_domain(F.col("u_host")).alias("domain"))
 
 
 def load_jobs(agencies: DataFrame) -> DataFrame:
@@ -87,8 +88,9 @@ def expand_hubs(seeds: DataFrame, anchors: DataFrame, depth: int, budget: int) -
         hubs = hubs.where(F.col("_n") + used <= budget).select("domain", "url", F.col("seq").alias("hub_seq"))
         here = hubs.groupBy("domain").agg(F.count("*").alias("spent"))
         spent = here if spent is None else spent.union(here).groupBy("domain").agg(F.sum("spent").alias("spent"))
-        out = hubs.join(anchors, (hubs.domain == anchors.domain) & (hubs.url == anchors.src)).select(hubs.domain, F.col("dst").alias("url"), "kind", (F.col("hub_seq") * 100_000 + F.col("pos")).alias("seq"))
-        level = first_of(out.where("kind <> 'reject'").join(seen, ["domain", "url"], "left_anti"), ["domain", "url"], ["seq"])
+        out = hubs.join(anchors, (hubs.domain == anchors.domain) & (hubs.url == anchors.src)).select(hubs.domain, F.col("dst").alias("url"), "kind", "hub_seq", "pos")
+        level = first_of(out.where("kind <> 'reject'").join(seen, ["domain", "url"], "left_anti"), ["domain", "url"], ["hub_seq", "pos"])
+        level = level.select("domain", "url", "kind", F.row_number().over(Window.partitionBy("domain").orderBy("hub_seq", "pos", "url")).cast("bigint").alias("seq"))
         seen = seen.union(level.select("domain", "url"))
         found = found.union(level.where("kind = 'detail'").select("domain", "url", F.lit(round_ + 1).alias("depth"), "seq"))
     return found

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -12,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 class Shared:
     """Writes a phase's table once and reads it again; the folder goes when the process ends.
 
-    The folder is in ``spark.checkpoint.dir``; only where that is unset, as in
-    tests, a temporary one is made and set.
+    The folder is in ``spark.checkpoint.dir``; only under a local master, as in
+    tests, a temporary one is made and set where that is unset.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             folder = "file://" + tempfile.mkdtemp(prefix="gleaner-")
             spark.conf.set("spark.checkpoint.dir", folder)
         self.root = f"{folder.rstrip('/')}/gleaner-run-{uuid.uuid4().hex[:12]}"

@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pandas as pd
 import pyspark
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 AGENCY_COLUMNS = ["company_name", "contact_person_last_name", "siren", "siret", "phone_1", "postalcode", "street", "city", "website"]
@@ -21,10 +21,9 @@ class LoaderError(RuntimeError):
 
 def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     """Agencies from CSV, all text, with ``seq`` in input order. Headers are checked without case, but read as they are."""
-    try:
-        header = spark.read.text(path).first()
-    except Exception as e:
-        raise LoaderError(f"input not found: {path}") from e
+    if "*" not in path and _kind(spark, path) == "absent":
+        raise LoaderError(f"input not found: {path}")
+    header = spark.read.text(path).first()
     names = [c.strip().strip('"') for c in (header[0] if header else "").removeprefix("﻿").split(",")]
     missing = [c for c in REQUIRED if c not in {n.lower() for n in names}]
     if missing:
@@ -34,45 +33,86 @@ def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     for c in AGENCY_COLUMNS:
         if c not in names:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
-    return rows.select(F.monotonically_increasing_id().alias("seq"), *AGENCY_COLUMNS)
+    # files in the order of their paths, rows in that of their file, whatever partitions they are read by
+    rows = rows.withColumn("_path", F.col("_metadata.file_path")).withColumn("_row", F.monotonically_increasing_id())
+    paths = rows.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")) - 1)  # a row for each file
+    seq = F.shiftleft(F.col("_file").cast("long"), 33) + F.col("_row") % (1 << 33)
+    return rows.join(F.broadcast(paths), "_path").select(seq.alias("seq"), *AGENCY_COLUMNS)
+
+
+def _kind(spark: SparkSession, path: str) -> str:
+    """``file``, ``folder`` or ``absent``; a storage error is raised."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return "absent"
+    return "folder" if fs.getFileStatus(hadoop).isDirectory() else "file"
 
 
 def _json_or(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The value of a whole JSON file; nothing if it is absent or isn't such JSON."""
-    try:
-        text = spark.read.text(path, wholetext=True)
-        text.schema  # noqa: B018
-    except Exception:
+    if _kind(spark, path) == "absent":
         return spark.createDataFrame([], f"x {schema}")
-    return text.select(F.from_json("value", schema).alias("x")).where("x is not null")
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("x")).where("x is not null")
 
 
 def read_geocode_cache(spark: SparkSession, path: str) -> DataFrame:
-    """``key, value`` of the cache; an empty value is a known miss."""
-    rows = _json_or(spark, path, "map<string,string>").select(F.explode("x").alias("key", "value"))
+    """``key, value`` of the cache, a JSON file or the folder of JSON lines that ``write_geocode_cache`` makes; an empty value is a known miss."""
+    lines = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("x")) if _kind(spark, path) == "folder" else _json_or(spark, path, "map<string,string>")
+    rows = lines.select(F.explode("x").alias("key", "value"))
     return rows.select(F.lower("key").alias("key"), F.coalesce("value", F.lit("")).alias("value"))
 
 
+def write_geocode_cache(cache: DataFrame, path: str) -> None:
+    """Replaces the cache: a JSON object a line, in the order of the keys, each with one key."""
+    rows = cache.groupBy(F.lower("key").alias("key")).agg(F.max("value").alias("value")).orderBy("key")
+    new = path.rstrip("/") + ".new"
+    rows.select(F.to_json(F.create_map("key", F.coalesce("value", F.lit("")))).alias("value")).write.mode("overwrite").text(new)
+    replace_folder(cache.sparkSession, new, path)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Puts a folder that is written whole in the place of another one."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = make(path.rstrip("/") + ".old")
+    if fs.exists(make(path)):
+        fs.delete(old, True)
+        fs.rename(make(path), old)
+    if not fs.rename(make(new), make(path)):
+        raise OSError(f"{new} can't be renamed to {path}")
+    fs.delete(old, True)
+
+
 def read_completed(spark: SparkSession, path: str) -> DataFrame:
     """Completed domains, from a JSON file or from the Parquet folder that ``mark_completed`` appends to."""
-    try:
-        return spark.read.parquet(path).select(F.lower(F.trim("domain")).alias("domain")).distinct()
-    except Exception:  # no such folder yet, or a JSON file
-        pass
+    if _kind(spark, path) == "folder":
+        return spark.read.schema("domain string").parquet(path).select(F.lower(F.trim("domain")).alias("domain")).distinct()
     rows = _json_or(spark, path, "struct<completed:array<string>>")
     return rows.select(F.explode("x.completed").alias("d")).select(F.lower(F.trim("d")).alias("domain")).distinct()
 
 
 def mark_completed(summary: DataFrame, path: str, reset: bool = False) -> None:
-    summary.select(F.lower(F.trim("domain")).alias("domain")).where("domain <> ''").write.mode("overwrite" if reset else "append").parquet(path)
-
-
-@lru_cache(1)
-def public_suffixes() -> frozenset[str]:
-    """Rules of the public suffix list that a Spark dependency ships, without its private part."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("httpclient-4*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        lines = z.read("mozilla/public-suffix-list.txt").decode().split("===BEGIN PRIVATE DOMAINS===")[0].splitlines()
+    """Adds the summary's domains to the completed ones, sorted."""
+    done = summary.select(F.lower(F.trim("domain")).alias("domain")).where("domain <> ''").distinct()
+    done.orderBy("domain").write.mode("overwrite" if reset else "append").parquet(path)
+
+
+@lru_cache(4)
+def public_suffixes(path: str = "") -> frozenset[str]:
+    """Rules of a public suffix list without its private part; by default of the list that one of Spark's own jars holds."""
+    if path:
+        text = Path(path).read_text(encoding="utf-8")
+    else:
+        name = "mozilla/public-suffix-list.txt"
+        for jar in sorted((Path(pyspark.__file__).parent / "jars").glob("httpclient*.jar")):
+            with zipfile.ZipFile(jar) as z:
+                if name in z.namelist():
+                    text = z.read(name).decode()
+                    break
+        else:
+            raise FileNotFoundError("no jar of Spark holds a public suffix list; name a file")
+    lines = text.split("===BEGIN PRIVATE DOMAINS===")[0].splitlines()
     return frozenset(x.strip() for x in lines if x.strip() and not x.startswith("//"))
 
 
@@ -88,9 +128,15 @@ def registrable(host: str, rules: frozenset[str]) -> str:
     return host
 
 
-def registrable_domain(host):
+def with_domain(rows: DataFrame, host: str = "u_host", out: str = "domain") -> DataFrame:
+    """Adds the registrable domain of a host column, found once for each distinct host."""
+    hosts = rows.select(host).distinct()
+    return rows.join(hosts.withColumn(out, registrable_domain(F.col(host))), host, "left")
+
+
+def registrable_domain(host, path: str = ""):
     """Column of registrable domains; the rules are a table of some ten thousand entries, whatever the input."""
-    rules = public_suffixes()
+    rules = public_suffixes(path)
 
     @F.pandas_udf("string")
     def run(hosts: pd.Series) -> pd.Series:

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 KEYS = ["refs", "urls", "contents"]
@@ -50,5 +50,6 @@ def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
 
 
 def error_stream(outcomes: DataFrame) -> DataFrame:
-    """``outcomes(domain, seq, status, reason)`` stream -> rows whose reason isn't the domain's last one."""
-    return outcomes.groupBy("domain").applyInPandasWithState(_changes, "domain string, seq long, status string, reason string", "last string", "append", GroupStateTimeout.NoTimeout)
+    """``outcomes(domain, seq, status, reason)`` stream -> rows whose reason isn't the domain's last one; blank domains drop out."""
+    rows = outcomes.withColumn("domain", F.lower(F.trim("domain"))).where("domain <> ''").select("domain", "seq", "status", "reason")
+    return rows.groupBy("domain").applyInPandasWithState(_changes, "domain string, seq long, status string, reason string", "last string", "append", GroupStateTimeout.NoTimeout)

@@ -96,16 +96,15 @@ PROPERTY_TYPES = [
     ("garage", 4, ["garages", "garage"]), ("parking", 4, ["parkings", "parking"]), ("local", 4, ["locaux", "local"]),
     ("terrain", 5, ["terrains", "terrain"]),
 ]
-_PRO, _IN = "/(?:vente|location)s?-pro/[^/]*/", "/(?:vente|location)/[0-9]*-?[a-z\\-]+/"
 PROPERTY_SEGMENTS = [
-    (_PRO + "bureaux\\b", "bureau"), (_PRO + "locaux\\b", "local"), (_PRO + "(?:entrepots?|commerces?|fonds-de-commerce)\\b", "local commercial"),
-    (_PRO + "garages?\\b", "garage"), (_PRO + "parkings?\\b", "parking"), (_PRO + "immeubles?\\b", "immeuble"),
+    ("/(?:vente|location)s?-pro/[^/]*/bureaux\\b", "bureau"), ("/(?:vente|location)s?-pro/[^/]*/locaux\\b", "local"), ("/(?:vente|location)s?-pro/[^/]*/(?:entrepots?|commerces?|fonds-de-commerce)\\b", "local commercial"),
+    ("/(?:vente|location)s?-pro/[^/]*/garages?\\b", "garage"), ("/(?:vente|location)s?-pro/[^/]*/parkings?\\b", "parking"), ("/(?:vente|location)s?-pro/[^/]*/immeubles?\\b", "immeuble"),
     ("/ventes?-maisons?\\b", "maison"), ("/ventes?-appartements?\\b", "appartement"), ("/ventes?-villas?\\b", "villa"), ("/ventes?-studios?\\b", "studio"),
     ("/ventes?-immeubles?\\b", "immeuble"), ("/ventes?-terrains?\\b", "terrain"), ("/ventes?-locaux\\b", "local"), ("/ventes?-bureaux\\b", "bureau"),
     ("/ventes?-garages?\\b", "garage"), ("/ventes?-parkings?\\b", "parking"), ("/locations?-maisons?\\b", "maison"), ("/locations?-appartements?\\b", "appartement"),
-    (_IN + "maisons?(?:/|$)", "maison"), (_IN + "appartements?(?:/|$)", "appartement"), (_IN + "villas?(?:/|$)", "villa"), (_IN + "terrains?(?:/|$)", "terrain"),
-    (_IN + "bureaux\\b", "bureau"), (_IN + "locaux\\b", "local"), (_IN + "(?:entrepots?|commerces?|fonds-de-commerce)\\b", "local commercial"),
-    (_IN + "garages?\\b", "garage"), (_IN + "parkings?\\b", "parking"),
+    ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/maisons?(?:/|$)", "maison"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/appartements?(?:/|$)", "appartement"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/villas?(?:/|$)", "villa"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/terrains?(?:/|$)", "terrain"),
+    ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/bureaux\\b", "bureau"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/locaux\\b", "local"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/(?:entrepots?|commerces?|fonds-de-commerce)\\b", "local commercial"),
+    ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/garages?\\b", "garage"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/parkings?\\b", "parking"),
 ]
 
 # Prices.
@@ -270,3 +269,8 @@ LD_REFERENCES = ["sku", "productid", "identifier", "ref", "reference", "referenc
 LD_PHONES = ["telephone", "phone", "phonenumber"]
 LD_DPE = ["energyefficiencycategory", "energyclass", "energyrating", "dperating", "epcrating", "epccategory"]
 LD_AGENT_PARENTS = ["author", "seller", "publisher", "provider", "agent"]
+
+# Places of sitemaps, their line in robots.txt, and words in the URLs of those that list listings.
+SITEMAP_PATHS = ["/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml"]
+SITEMAP_LINE = "(?im)^\\s*sitemap\\s*:\\s*(\\S+)"
+LISTING_HINT = "(?i)(annonce|annonces|vente|location|bien|biens|property|properties|listing|listings|maison|appartement|achat|propriete|immobilier)"

@@ -2,7 +2,7 @@ import pytest
 
 from gleaner.functions import text, url
 from gleaner.functions.dialect import SPARK, apply
-from gleaner.operators import classify, resolve
+from gleaner.operators import classify, extract, resolve
 from gleaner.sources import public_suffixes, registrable
 
 
@@ -32,6 +32,9 @@ def test_prices(spark, raw, amount):
 
 def test_normalize_and_percent(spark):
     assert run(spark, [("  ChÂTEAU \xa0 m²",)], "x string", [("y", text.normalize(SPARK, "x"))], "y") == ["chateau m2"]
+    folded = [("Cha\u0302teau",), ("Szőlő ŁÓDŹ",), ("Ｆｕｌｌ ﬁn… №",), ("ñandú ĳ",)]
+    want = [extract.fold(x) for x, in folded]
+    assert run(spark, folded, "x string", [("y", text.normalize(SPARK, "x"))], "y") == want == ["chateau", "szolo łodz", "full fin... no", "nandu ij"]
     assert run(spark, [(1, 16), (0, 0)], "a long, b long", [("y", text.percent(SPARK, "a", "b"))], "y") == ["6.2%", "0.0%"]
 
 

@@ -55,3 +55,52 @@ def test_loader(spark, tmp_path):
     assert {tuple(r) for r in read_geocode_cache(spark, str(tmp_path / "cache.json")).collect()} == {("nice", "1.0, 2.0"), ("x", "")}
     (tmp_path / "done.json").write_text("{broken")
     assert read_completed(spark, str(tmp_path / "done.json")).count() == 0
+
+
+def test_large_domains_go_by_rounds(spark):
+    """A domain beyond the fold's bound gives what the fold gives; keys that many rows share are no matter."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("domain"),
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 4 == 0, "").otherwise(F.concat(F.lit("R"), (F.xxhash64("id") % 5000).cast("string"))).alias("ref"),
+        F.when(F.col("id") % 7 == 0, None).otherwise((F.xxhash64("id", F.lit(1)) % 6000).cast("string")).alias("url_key"),
+        F.when(F.col("id") % 5 == 0, "same").otherwise((F.xxhash64("id", F.lit(2)) % 900).cast("string")).alias("content"),
+    )
+    want = sorted(map(tuple, dedup.three_tier(rows, fold_rows=10**9).collect()))
+    assert 3000 < len(want) < 29_000
+    assert sorted(map(tuple, dedup.three_tier(rows, fold_rows=5000).collect())) == want
+    assert sorted(map(tuple, dedup.three_tier(rows, fold_rows=0, rounds=3).collect())) == want
+
+
+def test_registrable_domains(spark):
+    names = "seq long, company_name string, contact_person_last_name string, phone_1 string, postalcode string, city string, website string"
+    df = spark.createDataFrame([(0, "A", "", "", "", "", "https://www.one.co.uk/x"), (1, "B", "", "", "", "", "two.co.uk"), (2, "C", "", "", "", "", "b.two.co.uk")], names)
+    assert {(r.domain, r.rows_merged) for r in rel.load_jobs(df).collect()} == {("one.co.uk", 1), ("two.co.uk", 2)}
+
+
+def test_hubs_four_deep(spark):
+    seeds = spark.createDataFrame([("d", "h0", "hub", 1)], "domain string, url string, kind string, seq long")
+    edges = [("d", f"h{i}", f"h{i + 1}", "hub", 200_000) for i in range(6)] + [("d", f"h{i}", f"p{i}", "detail", 150_000 + i) for i in range(7)]
+    found = rel.expand_hubs(seeds, spark.createDataFrame(edges, "domain string, src string, dst string, kind string, pos int"), 4, 10).collect()
+    assert {(r.url, r.depth) for r in found} == {("p0", 2), ("p1", 3), ("p2", 4), ("p3", 5)}
+
+
+def test_files_in_order_and_storage_errors(spark, tmp_path):
+    from gleaner.sources import mark_completed, read_agencies, read_completed, read_geocode_cache, write_geocode_cache
+
+    head = "company_name,contact_person_last_name,siren,siret,phone_1,postalcode,street,city,website\n"
+    for k, n in ((2, 400), (1, 3)):
+        (tmp_path / f"in{k}.csv").write_text(head + "".join(f"{k}-{i:03d},,,,,,,,\n" for i in range(n)))
+    rows = read_agencies(spark, str(tmp_path / "in*.csv")).orderBy("seq").collect()
+    assert [r.company_name for r in rows] == [f"1-{i:03d}" for i in range(3)] + [f"2-{i:03d}" for i in range(400)]
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "part-0.parquet").write_bytes(b"damaged")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_completed(spark, str(tmp_path / "done")).collect()
+    assert read_completed(spark, str(tmp_path / "nothing")).count() == 0
+    mark_completed(spark.createDataFrame([("b",), (" A",), ("b",), ("",)], "domain string"), str(tmp_path / "marks"))
+    assert [r.domain for r in spark.read.parquet(str(tmp_path / "marks")).collect()] == ["a", "b"]
+    cache = str(tmp_path / "cache")
+    for value in ("", "1.0, 2.0"):
+        write_geocode_cache(spark.createDataFrame([("Nice", value), ("x", None)], "key string, value string"), cache)
+        assert {tuple(r) for r in read_geocode_cache(spark, cache).collect()} == {("nice", value), ("x", "")}
