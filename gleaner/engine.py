@@ -11,12 +11,12 @@ from gleaner import vocabulary as v
 from gleaner.config import EngineConfig
 from gleaner.functions.dialect import SPARK, apply
 from gleaner.functions.text import content_key
-from gleaner.functions.url import plain_registrable, url_steps
+from gleaner.functions.url import url_steps
 from gleaner.operators import classify as cl, dedup, discovery, relational as rel
 from gleaner.operators.extract import extract_listings
-from gleaner.plans.report import report
+from gleaner.plans.report import report, report_head
 from gleaner.shared import Shared
-from gleaner.sources import mark_completed, read_agencies, read_completed, read_geocode_cache
+from gleaner.sources import AGENCY_COLUMNS, mark_completed, read_agencies, read_completed, read_geocode_cache, replace_folder, with_domain
 
 
 @dataclass
@@ -27,61 +27,152 @@ class Outputs:
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, config: EngineConfig | None = None):
+    """``resolvers`` and ``families`` add to the vocabulary's: generators of tiers by field, and tuples as in ``vocabulary.FAMILIES``."""
+
+    def __init__(self, spark: SparkSession, config: EngineConfig | None = None, resolvers: dict | None = None, families: list | None = None):
         self.spark, self.config = spark, config or EngineConfig()
+        self.resolvers, self.families = resolvers, [*v.FAMILIES, *(families or [])]
 
     def sites(self, jobs: DataFrame, pages: DataFrame) -> DataFrame:
-        """Each job's homepage with families, failure and suggested strategy; no page counts as no answer."""
-        own = apply(jobs, url_steps(SPARK, "url", "j_")).select(*jobs.columns, F.col("j_host").alias("host"), F.col("j_canonical").alias("home"))
-        stored = pages.select("domain", F.col("canonical").alias("home"), F.col("url").alias("page_url"), "html", "status")
-        stored = dedup.first_of(stored, ["domain", "home"], ["page_url"])
-        rows = own.join(stored, ["domain", "home"], "left")
-        steps = [*cl.dynamic_steps(SPARK, "html"), ("html_head", "d_head"), *cl.family_steps(SPARK, "host", "html_head", "url"), ("failure", cl.status_reason("status"))]
-        return apply(rows, [*steps, ("strategy", cl.strategy("failure", "looks_dynamic"))]).select(*own.columns, "page_url", "html_head", "families", "failure", "strategy")
-
-    def run(self, agencies: DataFrame, pages: DataFrame, sitemaps: DataFrame | None = None, completed: DataFrame | None = None, cache: DataFrame | None = None) -> Outputs:
-        """``agencies`` as the loader reads them; ``pages(url, html, status)``; ``sitemaps(domain, url, body)``."""
-        cut = Shared(self.spark).table
+        """Each job's homepage with families, failure and suggested strategy; no page counts as no answer.
+
+        The homepage is the first that answers of https before http, www. before bare.
+        """
+        parts = apply(jobs, url_steps(SPARK, "url", "j_")).select(*jobs.columns, F.col("j_host").alias("host"), F.expr("substring(j_canonical, length(j_scheme) + 1)").alias("home"))
+        stored = apply(pages, url_steps(SPARK, "url")).select("domain", F.expr("substring(canonical, length(u_scheme) + 1)").alias("home"), F.col("url").alias("page_url"), "html", "status", "u_scheme", "u_netloc")
+        stored = stored.withColumn("silent", F.col("status").isNull()).withColumn("variant", F.expr("case when u_scheme = 'https' then 0 else 2 end + case when u_netloc like 'www.%' then 0 else 1 end"))
+        stored = dedup.first_of(stored, ["domain", "home"], ["silent", "variant", "page_url"]).select("domain", "home", "page_url", "html", "status")
+        rows = parts.join(stored, ["domain", "home"], "left")
+        steps = [*cl.dynamic_steps(SPARK, "html"), ("html_head", "d_head"), *cl.family_steps(SPARK, "host", "html_head", "url", self.families), ("failure", cl.status_reason("status"))]
+        return apply(rows, [*steps, ("strategy", cl.strategy("failure", "looks_dynamic"))]).select(*jobs.columns, "host", "page_url", "html_head", "families", "failure", "strategy")
+
+    def gather(self, sites: DataFrame, pages: DataFrame, locations: DataFrame, rendered: DataFrame | None, cut) -> DataFrame:
+        """Publishable listings of ``sites`` with ``domain, rank``: from ``pages``, and where a detail has none, from at most a few rendered ones."""
+        homes = sites.select("domain", F.coalesce("page_url", "url").alias("url"), "host", "html_head")
+        read = pages if rendered is None else pages.unionByName(rendered)
+        found = discovery.discover(homes, read.select("domain", "url", "html"), locations, self.config, cut, self.families)
+        found = cut(found.select("domain", "canonical", "rank"), "candidates")
+        lacking = sites.join(found.select("domain").distinct(), "domain", "left_anti")
+        found = found.union(discovery.franchise_candidates(lacking, pages, self.config, cut, self.families).select("domain", "canonical", "rank"))
+        usable = F.expr(cl.usable_response(SPARK, "status", "''", "html"))
+        details = dedup.first_of(pages.where(usable), ["domain", "canonical"], ["url"])
+        chosen = cut(found.join(details.select("domain", "canonical", "url", "html"), ["domain", "canonical"]), "chosen")
+        if rendered is not None:
+            more = found.join(chosen.select("domain", "canonical"), ["domain", "canonical"], "left_anti")
+            more = more.join(dedup.first_of(rendered.where("html <> ''"), ["domain", "canonical"], ["url"]).select("domain", "canonical", "url", "html"), ["domain", "canonical"])
+            nth = F.row_number().over(Window.partitionBy("domain").orderBy("rank"))
+            chosen = chosen.unionByName(more.withColumn("nth", nth).where(F.col("nth") <= self.config.max_rendered_details).drop("nth"))
+        chosen = chosen.join(sites.select("domain", *rel.CONTACTS), "domain")
+        return cut(extract_listings(chosen.select("domain", "rank", "url", "html", *rel.CONTACTS), self.resolvers), "found")
+
+    def run(
+        self,
+        agencies: DataFrame,
+        pages: DataFrame,
+        sitemaps: DataFrame | None = None,
+        completed: DataFrame | None = None,
+        cache: DataFrame | None = None,
+        robots: DataFrame | None = None,
+        rendered: DataFrame | None = None,
+    ) -> Outputs:
+        """``agencies`` as the loader reads them; ``pages(url, html, status)``; ``sitemaps(domain, url, body)``, ``robots(domain, url, body)``.
+
+        ``rendered(url, html)`` are pages as a browser shows them: they are used for
+        blocked sites, and for those whose fetched pages yield nothing. Without
+        ``robots`` every stored sitemap is a start, else those that it names and the
+        well-known ones.
+        """
+        shared = Shared(self.spark).table
         jobs = rel.load_jobs(agencies)
         jobs = rel.pending(jobs, completed, self.config.limit) if completed is not None else jobs
-        jobs = cut(jobs, "jobs")
-        stored = apply(pages, url_steps(SPARK, "url")).withColumn("domain", F.expr(plain_registrable(SPARK, "u_host"))).select("domain", "url", "html", "status", F.col("u_canonical").alias("canonical"))
-        stored = cut(stored.join(jobs.select("domain"), "domain", "left_semi"), "stored")
-        sites = cut(self.sites(jobs, stored), "sites")
+        jobs = shared(jobs, "jobs")
+
+        def own(found: DataFrame) -> DataFrame:
+            rows = with_domain(apply(found, url_steps(SPARK, "url"))).select("domain", "url", F.substring("html", 1, self.config.max_html_chars).alias("html"), "status", F.col("u_canonical").alias("canonical"))
+            return rows.join(jobs.select("domain"), "domain", "left_semi")
+
+        stored = shared(own(pages), "stored")
+        sites = shared(self.sites(jobs, stored), "sites")
         if sitemaps is None:
             locations = self.spark.createDataFrame([], "domain string, url string, order struct<level:int,up:bigint,pos:int>")
         else:
-            roots = sitemaps.select("domain", "url", F.row_number().over(Window.partitionBy("domain").orderBy("url")).alias("seq"))
-            locations = discovery.walk_sitemaps(roots, sitemaps, self.config.max_sitemap_depth)
-        homes = sites.select("domain", F.coalesce("page_url", "url").alias("url"), "host", "html_head")
-        candidates = cut(discovery.discover(homes, stored.select("domain", "url", "html"), locations, self.config, cut), "candidates")
-        details = dedup.first_of(stored.where(F.expr(cl.usable_response(SPARK, "status", "''", "html"))), ["domain", "canonical"], ["url"])
-        contacts = jobs.select("domain", *rel.CONTACTS)
-        chosen = candidates.select("domain", "canonical", "rank").join(details.select("domain", "canonical", "url", "html"), ["domain", "canonical"]).join(contacts, "domain")
-        found = cut(extract_listings(chosen.select("domain", "rank", "url", "html", *rel.CONTACTS)), "found")
+            all_ = sitemaps.select("domain", "url", F.row_number().over(Window.partitionBy("domain").orderBy("url")).alias("seq"))
+            roots = all_ if robots is None else discovery.sitemap_roots(sites, sitemaps, robots)
+            locations = shared(discovery.walk_sitemaps(roots, sitemaps, self.config.max_sitemap_depth), "locations")
+        static = self.gather(sites.where("failure is null"), stored, locations, None, lambda df, name: shared(df, f"static-{name}"))
+        found, counts = static, static.groupBy("domain").agg(F.count("*").alias("static_found")).withColumn("rendered_found", F.lit(0))
+        if rendered is not None:
+            shown = shared(own(rendered.withColumn("status", F.lit(200))), "rendered")
+            left = sites.where("failure is null or failure = 'blocked_403'").join(counts.select("domain"), "domain", "left_anti").drop("page_url", "html_head", "failure", "strategy", "families", "host")
+            both = shown.unionByName(stored.join(shown.select("domain", "canonical").distinct(), ["domain", "canonical"], "left_anti"))
+            left = shared(self.sites(left, both), "left")
+            second = self.gather(left, stored, locations, shown, lambda df, name: shared(df, f"rendered-{name}"))
+            found = found.unionByName(second)
+            counts = counts.unionByName(second.groupBy("domain").agg(F.count("*").alias("rendered_found")).withColumn("static_found", F.lit(0).cast("bigint")))
         keyed = apply(found, [*url_steps(SPARK, "source_url"), ("content", content_key(SPARK, "location", "property_type", "surface_area", "price"))])
         keyed = keyed.select("domain", F.col("rank").alias("seq"), F.col("reference_id").alias("ref"), F.col("u_key").alias("url_key"), "content", *v.LISTING_FIELDS)
-        keyed = cut(keyed, "keyed")
-        kept = cut(keyed.join(dedup.three_tier(keyed), ["domain", "seq"], "left_semi"), "kept")
-        counts = kept.groupBy("domain").agg(F.count("*").alias("listing_count"))
-        rows = sites.join(counts, "domain", "left").withColumn("listing_count", F.coalesce("listing_count", F.lit(0)))
-        why = cl.empty_reason("failure", "strategy", str(self.config.renderer_available).lower())
+        keyed = shared(keyed, "keyed")
+        kept = shared(keyed.join(dedup.three_tier(keyed), ["domain", "seq"], "left_semi"), "kept")
+        written = kept.groupBy("domain").agg(F.count("*").alias("listing_count"))
+        rows = sites.join(counts, "domain", "left").join(written, "domain", "left").na.fill(0, ["static_found", "rendered_found", "listing_count"])
+        why = cl.empty_reason("failure", "strategy", str(self.config.renderer_available or rendered is not None).lower())
         rows = rows.withColumn("status", F.when(F.col("listing_count") > 0, "success").otherwise("failed")).withColumn("reason", F.when(F.col("listing_count") > 0, "").otherwise(F.expr(why)))
-        summary = rows.select("domain", "status", "listing_count", "reason", "strategy", F.lit("0.00").alias("duration_seconds"))
-        nowhere = rel.no_website(agencies).select(F.lower("agency_name").alias("domain"), F.lit("failed").alias("status"), F.lit("no_website").alias("reason"))
-        errors = nowhere.union(rows.where("status = 'failed'").select("domain", "status", "reason"))
+        rows = shared(rows.withColumn("used", F.expr(cl.used_strategy("failure", "static_found", "rendered_found"))), "outcomes")
+        summary = rows.select("domain", "status", "listing_count", "reason", F.col("used").alias("strategy"), F.lit("0.00").alias("duration_seconds"))
+        nowhere = rel.no_website(agencies).select(F.col("agency_name").alias("domain"), F.lit("failed").alias("status"), F.lit("no_website").alias("reason"))
+        outcomes = nowhere.withColumn("seq", F.lit(0).cast("bigint")).unionByName(rows.where("status = 'failed'").select("domain", "status", "reason", (F.col("job_seq") + 1).alias("seq")))
+        errors = shared(rel.error_log(outcomes).select("domain", "status", "reason"), "errors")
         listings = kept.select(*v.LISTING_FIELDS)
         return Outputs(rel.fill_coordinates(listings, cache) if cache is not None and self.config.geocoding else listings, errors, summary)
 
-    def write(self, out: Outputs, folder: str) -> str:
-        """Listings, errors and summary as CSV, and the report, which is returned."""
-        mode = "append" if self.config.keep_outputs else "overwrite"
-        for name, df in (("listings_consolidated", out.listings), ("error_log", out.errors), ("domain_status_summary", out.summary)):
-            df.write.mode(mode).option("header", True).option("emptyValue", "").csv(f"{folder}/{name}")
-        read = lambda n, df: self.spark.read.schema(df.schema).option("header", True).option("nullValue", "\0").option("emptyValue", "").csv(f"{folder}/{n}").na.fill("")
-        text = report(read("listings_consolidated", out.listings), read("domain_status_summary", out.summary), read("error_log", out.errors))
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/report")
-        return text
+    def _read(self, folder: str, name: str, columns: list[str]) -> DataFrame:
+        schema = ", ".join(f"`{c}` {'bigint' if c == 'listing_count' else 'string'}" for c in columns)
+        rows = self.spark.read.schema(schema).option("header", True).option("nullValue", "\0").option("emptyValue", "").option("multiLine", True).option("escape", '"')
+        return rows.csv(f"{folder}/{name}").na.fill("")
+
+    def _save(self, df: DataFrame, path: str, mode: str) -> None:
+        df.write.mode(mode).option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+
+    def write(self, out: Outputs, folder: str, mode: str | None = None) -> str:
+        """Listings, errors and summary as CSV, and the report in sorted text files; returns the report's head, without the failed domains."""
+        c = self.config
+        mode = mode or ("append" if c.keep_outputs else "overwrite")
+        for name, df in ((c.listings_name, out.listings), (c.error_log_name, out.errors), (c.domain_summary_name, out.summary)):
+            self._save(df, f"{folder}/{name}", mode)
+        return self.report(folder)
+
+    def report(self, folder: str) -> str:
+        """Writes the report of what the folder holds, and returns its head."""
+        c = self.config
+        summary = ["domain", "status", "listing_count", "reason", "strategy", "duration_seconds"]
+        held = self._read(folder, c.listings_name, v.LISTING_FIELDS), self._read(folder, c.domain_summary_name, summary), self._read(folder, c.error_log_name, v.ERROR_FIELDS)
+        report(*held).orderBy("place").select(F.col("line").alias("value")).write.mode("overwrite").text(f"{folder}/{c.report_name}")
+        return report_head(*held)
+
+    def fill_written(self, folder: str, cache: DataFrame) -> None:
+        """Rewrites the listings with the coordinates that the cache has by now: a new version is written whole, then takes the old one's place."""
+        path = f"{folder}/{self.config.listings_name}"
+        filled = rel.fill_coordinates(self._read(folder, self.config.listings_name, v.LISTING_FIELDS), cache)
+        self._save(filled.select(*v.LISTING_FIELDS), f"{path}.new", "overwrite")
+        replace_folder(self.spark, f"{path}.new", path)
+
+    def stream(self, agencies: str, pages: DataFrame, folder: str, checkpoint: str, **more):
+        """Runs over agency files as they arrive, ``max_files_per_trigger`` at a time; returns the streaming query.
+
+        Each batch's outputs are appended and its domains marked as completed, so a
+        domain is done once, across batches and restarts. A batch that is replayed
+        after a crash finds its domains completed where they were marked.
+        """
+        done = f"{checkpoint.rstrip('/')}-completed"
+        rows = self.spark.readStream.schema(", ".join(f"{c} string" for c in AGENCY_COLUMNS)).option("header", True).option("maxFilesPerTrigger", self.config.max_files_per_trigger).csv(agencies)
+
+        def batch(df: DataFrame, _: int) -> None:
+            new = Shared(self.spark).table(df.select(F.monotonically_increasing_id().alias("seq"), *AGENCY_COLUMNS), "agencies")
+            out = self.run(new, pages, completed=read_completed(self.spark, done), **more)
+            self.write(out, folder, "append")
+            mark_completed(out.summary, done)
+
+        return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def main(args: list[str] | None = None) -> None:
@@ -90,6 +181,9 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("pages", help="Parquet with url, html, status")
     p.add_argument("output")
     p.add_argument("--sitemaps", help="Parquet with domain, url, body")
+    p.add_argument("--robots", help="Parquet with domain, url, body")
+    p.add_argument("--rendered", help="Parquet with url, html")
+    p.add_argument("--log-level", default="WARN", choices=["DEBUG", "INFO", "WARN", "ERROR"])
     p.add_argument("--checkpoint")
     p.add_argument("--geocode-cache")
     p.add_argument("--limit", type=int)
@@ -97,11 +191,12 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--reset-checkpoint", action="store_true")
     a = p.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
+    spark.sparkContext.setLogLevel(a.log_level)
     engine = Engine(spark, EngineConfig(limit=a.limit, keep_outputs=a.keep_outputs, reset_checkpoint=a.reset_checkpoint))
     done = read_completed(spark, a.checkpoint) if a.checkpoint and not a.reset_checkpoint else spark.createDataFrame([], "domain string")
     cache = read_geocode_cache(spark, a.geocode_cache) if a.geocode_cache else None
-    sitemaps = spark.read.parquet(a.sitemaps) if a.sitemaps else None
-    out = engine.run(read_agencies(spark, a.agencies), spark.read.parquet(a.pages), sitemaps, completed=done, cache=cache)
+    sitemaps, robots, rendered = (spark.read.parquet(x) if x else None for x in (a.sitemaps, a.robots, a.rendered))
+    out = engine.run(read_agencies(spark, a.agencies), spark.read.parquet(a.pages), sitemaps, completed=done, cache=cache, robots=robots, rendered=rendered)
     print(engine.write(out, a.output))
     if a.checkpoint:
         mark_completed(out.summary, a.checkpoint, a.reset_checkpoint)

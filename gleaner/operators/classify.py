@@ -55,14 +55,15 @@ def classify_steps(d: Dialect, url: str = "url") -> Steps:
     ]
 
 
-def family_steps(d: Dialect, host: str, html: str, url: str) -> Steps:
-    """``families`` of a site by host or markers, comma-joined in their order, and ``boost`` of a URL from them."""
+def family_steps(d: Dialect, host: str, html: str, url: str, known: list | None = None) -> Steps:
+    """``families`` of a site by host or markers, comma-joined in their order, and ``boost`` of a URL from them. ``known`` replaces the families of the vocabulary."""
     steps, boost = [], []
-    for name, hosts, markers, urls, _ in v.FAMILIES:
+    known = v.FAMILIES if known is None else known
+    for name, hosts, markers, urls, _ in known:
         tests = ([d.has(host, "(?i)(" + "|".join(hosts) + ")")] if hosts else []) + [d.has(html, "(?i)(" + "|".join(markers) + ")")]
         steps.append((f"f_{name}", f"({' or '.join(tests)})"))
         boost.append(f"case when f_{name} and {d.has(url, '(?i)(' + '|'.join(urls) + ')')} then {v.FAMILY_BOOST} else 0 end")
-    names = ", ".join(f"case when f_{f[0]} then '{f[0]}' end" for f in v.FAMILIES)
+    names = ", ".join(f"case when f_{f[0]} then '{f[0]}' end" for f in known)
     return [*steps, ("families", f"concat_ws(',', {names})"), ("boost", " + ".join(boost))]
 
 
@@ -98,6 +99,23 @@ def strategy(reason: str, dynamic: str) -> str:
     return f"case when {reason} = 'blocked_403' then 'dynamic' when {reason} = 'site_not_reachable' then 'none' when {dynamic} then 'dynamic' else 'static' end"
 
 
+def used_strategy(failure: str, static_found: str, rendered_found: str) -> str:
+    """What a domain's listings came from: blocked sites are only rendered, others are rendered where static pages yield nothing."""
+    return (
+        f"case when {failure} = 'site_not_reachable' then 'none' when {failure} = 'blocked_403' then case when {rendered_found} > 0 then 'dynamic' else 'none' end "
+        f"when {static_found} = 0 and {rendered_found} > 0 then 'hybrid' else 'static' end"
+    )
+
+
+def interrupted_reason(d: Dialect, event: str, reachable: str, name: str, message: str) -> str:
+    """Why a domain's work ended early: ``event`` is timeout or crash; ``reachable`` whether its host had answered (null: it wasn't asked)."""
+    known = f"coalesce({reachable}, false)"
+    return (
+        f"case {event} when 'timeout' then case when {known} then 'no_listings_found' else 'site_not_reachable' end "
+        f"when 'crash' then case when {known} then 'parsing_failed' else {exception_reason(d, name, message)} end end"
+    )
+
+
 def empty_reason(reason: str, suggested: str, renderer: str) -> str:
     """Why a domain has no listings."""
     return f"case when {reason} = 'blocked_403' then 'blocked_403' when {suggested} = 'dynamic' and not {renderer} then 'dynamic_js_required' when {reason} = 'site_not_reachable' then 'site_not_reachable' else 'no_listings_found' end"

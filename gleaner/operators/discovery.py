@@ -11,16 +11,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gleaner import vocabulary as v
 from gleaner.config import EngineConfig
 from gleaner.functions.dialect import SPARK, apply, keep
-from gleaner.functions.url import plain_registrable, url_steps
+from gleaner.functions.url import under_domain, url_steps
 from gleaner.html import parse
 from gleaner.operators.classify import classify_steps, family_steps
 from gleaner.operators.dedup import first_of
 from gleaner.operators.relational import expand_hubs, rank_candidates
 
-#: Fixed value: words in the URLs of sitemaps that list listings.
-LISTING_HINT = r"(?i)(annonce|annonces|vente|location|bien|biens|property|properties|listing|listings|maison|appartement|achat|propriete|immobilier)"
-
-
 def anchors(pages: DataFrame) -> DataFrame:
     """``pages(domain, url, html)`` -> each ``a[href]`` in order: ``domain, src, pos, dst``, made absolute."""
 
@@ -42,7 +38,7 @@ def anchors(pages: DataFrame) -> DataFrame:
 
 def classified(links: DataFrame, url: str = "dst") -> DataFrame:
     """Links within their domain, with ``canonical``, ``score`` and ``kind``."""
-    rows = apply(links, [*classify_steps(SPARK, url), ("own", f"{plain_registrable(SPARK, 'u_host')} = domain")])
+    rows = apply(links, [*classify_steps(SPARK, url), ("own", under_domain("u_host", "domain"))])
     rows = keep(rows, "own and seed_kind <> 'reject'")
     return rows.withColumn("canonical", F.col("u_canonical")).withColumn("kind", F.col("seed_kind")).select(*links.columns, "canonical", "score", "kind")
 
@@ -67,29 +63,71 @@ def walk_sitemaps(roots: DataFrame, bodies: DataFrame, depth: int) -> DataFrame:
         here = level.join(locs, (level.domain == locs.domain) & (level.url == locs.src)).select(level.domain, "loc", "is_index", "pos", level.seq.alias("up"))
         out = here.where("not is_index").select("domain", F.col("loc").alias("url"), F.struct(F.lit(k).alias("level"), "up", "pos").alias("order"))
         found = out if found is None else found.union(out)
-        rank = Window.partitionBy("domain").orderBy(F.desc(F.col("loc").rlike(LISTING_HINT)), F.length("loc"), "up", "pos")
+        rank = Window.partitionBy("domain").orderBy(F.desc(F.col("loc").rlike(v.LISTING_HINT)), F.length("loc"), "up", "pos")
         level = here.where("is_index").withColumn("seq", F.row_number().over(rank).cast("long")).select("domain", F.col("loc").alias("url"), "seq")
         level = first_of(level.join(seen, ["domain", "url"], "left_anti"), ["domain", "url"], ["seq"])
         seen = seen.union(level.select("domain", "url"))
     return first_of(found, ["domain", "url"], ["order"])
 
 
-def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int) -> DataFrame:
-    """Branch hosts of franchise sites: ``sites(domain, host, family)`` whose family has index pages among ``pages(domain, url, html)``.
+def sitemap_candidates(sites: DataFrame) -> DataFrame:
+    """Well-known places of sitemaps of ``sites(domain, url)``: ``domain, seq, url``. With and without www. they are the same places, so one of each stays."""
+    rows = apply(sites.select("domain", "url"), url_steps(SPARK, "url"))
+    places = F.posexplode(F.array(*[F.lit(p) for p in v.SITEMAP_PATHS])).alias("seq", "path")
+    return rows.where("u_host <> ''").select("domain", "u_scheme", "u_host", places).select("domain", F.col("seq").cast("long").alias("seq"), F.concat("u_scheme", F.lit("://www."), "u_host", "path").alias("url"))
+
+
+def robots_sitemaps(robots: DataFrame) -> DataFrame:
+    """Sitemaps that ``robots(domain, url, body)`` names, the first of each canonical URL: ``domain, seq, url``."""
+    found = F.posexplode(F.regexp_extract_all("body", F.lit(v.SITEMAP_LINE), F.lit(1))).alias("pos", "found")
+    rows = apply(robots.select("domain", F.col("url").alias("src"), found), url_steps(SPARK, "found"))
+    rows = first_of(rows.where("u_canonical <> ''").withColumn("url", F.trim("found")), ["domain", "u_canonical"], ["src", "pos"])
+    return rows.select("domain", F.row_number().over(Window.partitionBy("domain").orderBy("src", "pos")).cast("long").alias("seq"), "url")
+
 
-    Of a domain the first index path with a page counts, and at most ``most`` other hosts that it links.
+def sitemap_roots(sites: DataFrame, bodies: DataFrame, robots: DataFrame | None = None) -> DataFrame:
+    """``domain, url, seq`` of the stored sitemaps to start from: those in robots.txt, then well-known places, matched by canonical URL."""
+    wanted = sitemap_candidates(sites).withColumn("seq", F.col("seq") + 1_000_000)
+    wanted = wanted if robots is None else robots_sitemaps(robots).unionByName(wanted)
+    wanted = apply(wanted, url_steps(SPARK, "url", "w_")).select("domain", "seq", F.col("w_canonical").alias("place"))
+    stored = apply(bodies.select("domain", "url"), url_steps(SPARK, "url")).select("domain", "url", F.col("u_canonical").alias("place"))
+    return first_of(stored.join(wanted, ["domain", "place"]), ["domain", "url"], ["seq"]).select("domain", "url", "seq")
+
+
+def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int, known: list | None = None) -> DataFrame:
+    """Branch hosts of franchise sites: ``sites(domain, host, families)``, with index pages among ``pages(domain, canonical, url, html)``.
+
+    The first of a site's families that has index paths counts, of its paths the
+    first with a page on the registrable domain, and at most ``most`` other hosts
+    that this page links.
     """
-    paths = [(name, k, path) for name, _, _, _, index in v.FAMILIES for k, path in enumerate(index)]
+    families = v.FAMILIES if known is None else known
+    paths = [(name, k, path.rstrip("/")) for name, _, _, _, index in families for k, path in enumerate(index)]
     index = sites.sparkSession.createDataFrame(paths, "family string, k int, path string")
-    wanted = sites.join(F.broadcast(index), "family").withColumn("url", F.concat(F.lit("https://"), "host", "path"))
-    stored = first_of(wanted.join(pages.select("domain", "url", "html"), ["domain", "url"]), ["domain"], ["k"])
+    named = sites.select("domain", F.posexplode(F.split("families", ",")).alias("nth", "family"))
+    named = first_of(named.join(F.broadcast(index.select("family").distinct()), "family"), ["domain"], ["nth"])
+    wanted = named.join(F.broadcast(index), "family").withColumn("canonical", F.concat(F.lit("https://"), "domain", "path"))
+    stored = first_of(wanted.join(pages.select("domain", "canonical", "url", "html"), ["domain", "canonical"]), ["domain"], ["k", "url"])
     rows = apply(anchors(stored.select("domain", "url", "html")), url_steps(SPARK, "dst"))
-    rows = rows.join(sites.select("domain", "host"), "domain").where(F.expr(plain_registrable(SPARK, "u_host")) == F.col("domain")).where("u_host <> host")
+    rows = rows.join(sites.select("domain", "host"), "domain").where(under_domain("u_host", "domain")).where("u_host <> host")
     hosts = rows.groupBy("domain", "u_host").agg(F.min("pos").alias("pos"))
     return hosts.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy("pos"))).where(F.col("rank") <= most).select("domain", F.col("u_host").alias("host"), "rank")
 
 
-def discover(sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def franchise_candidates(sites: DataFrame, pages: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame], known: list | None = None) -> DataFrame:
+    """Ranked candidates from the homepages of franchise branches, for ``sites(domain, host, html_head, families)`` that have none of their own."""
+    branches = cut(franchise_hosts(sites.where("families <> ''"), pages, config.max_franchise_hosts, known), "branches")
+    homes = branches.select("domain", "rank", F.concat(F.lit("https://"), "host", F.lit("/")).alias("canonical")).join(pages.select("domain", "canonical", "url", "html"), ["domain", "canonical"])
+    homes = first_of(homes, ["domain", "rank"], ["url"])
+    links = cut(anchors(homes.select("domain", "url", "html")).join(homes.select("domain", F.col("url").alias("src"), "rank"), ["domain", "src"]), "branch_links")
+    rows = apply(links.join(sites.select("domain", "host", "html_head"), "domain"), [*classify_steps(SPARK, "dst"), *family_steps(SPARK, "host", "html_head", "dst", known), ("own", under_domain("u_host", "domain"))])
+    rows = keep(rows, "own")
+    order = F.row_number().over(Window.partitionBy("domain").orderBy("rank", "pos"))
+    boosted = F.when(F.col("score") > 0, F.col("score") + F.col("boost")).otherwise(F.col("score"))
+    return rank_candidates(cut(rows.select("domain", order.alias("seq"), F.col("u_canonical").alias("canonical"), boosted.alias("score")), "branch_scored"), config.max_listing_urls)
+
+
+def discover(sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame], known: list | None = None) -> DataFrame:
     """Ranked candidate pages of each domain: sitemap locations, then homepage anchors, expanded through hubs.
 
     ``sites(domain, url, host, html_head)``, ``pages(domain, url, html)``, ``sitemap_urls(domain, url, order)``. ``cut``
@@ -103,7 +141,7 @@ def discover(sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config
     edges = apply(cut(anchors(pages), "anchors"), url_steps(SPARK, "src", "s_")).withColumn("src", F.col("s_canonical")).select("domain", "src", "pos", "dst")
     edges = cut(classified(cut(edges, "links")).select("domain", "src", F.col("canonical").alias("dst"), "kind", "pos"), "edges")
     found = cut(expand_hubs(seeds, edges, config.seed_expansion_depth, config.max_hub_pages), "reached")
-    scored = apply(found.join(sites.select("domain", "host", "html_head"), "domain"), [*classify_steps(SPARK), *family_steps(SPARK, "host", "html_head", "url")])
+    scored = apply(found.join(sites.select("domain", "host", "html_head"), "domain"), [*classify_steps(SPARK), *family_steps(SPARK, "host", "html_head", "url", known)])
     order = F.row_number().over(Window.partitionBy("domain").orderBy("depth", "seq"))
     scored = scored.select("domain", order.alias("seq"), F.col("url").alias("canonical"), F.when(F.col("score") > 0, F.col("score") + F.col("boost")).otherwise(F.col("score")).alias("score"))
     return rank_candidates(cut(scored, "scored"), config.max_listing_urls)

@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from gleaner import vocabulary as v
 from gleaner.functions.dialect import SPARK, apply, keep
-from gleaner.functions.url import plain_registrable, url_steps
+from gleaner.functions.url import url_steps
 from gleaner.html import Node, parse
 from gleaner.operators.classify import publishable
+from gleaner.sources import registrable_domain
 
 FIELDS = ["price", "reference_id", "property_type", "surface_area", "rooms", "bedrooms", "dpe_rating", "location", "coordinates", "phone_number", "email", "agent_name"]
 
@@ -546,10 +547,13 @@ RESOLVERS: dict[str, Callable[[Page], Tiers]] = {
 }
 
 
-def resolve(page: Page) -> dict[str, str]:
-    """All fields of a page; a resolver that fails leaves its field empty."""
+Resolver = Callable[[Page], Tiers]
+
+
+def resolve(page: Page, resolvers: dict[str, Resolver] | None = None) -> dict[str, str]:
+    """All fields of a page; a resolver that fails leaves its field empty. Those given replace or add to the known ones."""
     out = {}
-    for name, resolver in RESOLVERS.items():
+    for name, resolver in {**RESOLVERS, **(resolvers or {})}.items():
         try:
             out[name] = next((x for x in resolver(page) if x), "")
         except Exception:  # one field's failure must not take the row with it
@@ -560,26 +564,31 @@ def resolve(page: Page) -> dict[str, str]:
 JOB = ["domain", "agency_name", "agent_name", "phone", "city", "postalcode"]
 
 
-def extract_fields(pages: DataFrame) -> DataFrame:
-    """``pages(url, html, job fields)`` with a column for each resolved field. Nulls count as empty."""
+def extract_fields(pages: DataFrame, resolvers: dict[str, Resolver] | None = None) -> DataFrame:
+    """``pages(url, html, job fields)`` with a column for each resolved field. Nulls count as empty.
+
+    ``resolvers`` are generators of tiers by field: they replace those of known
+    fields, and other fields get columns of their own.
+    """
     job = [c for c in JOB if c in pages.columns]
+    names = [*FIELDS, *(f for f in resolvers or {} if f not in FIELDS)]
 
-    @F.pandas_udf(", ".join(f"{f} string" for f in FIELDS))
+    @F.pandas_udf(", ".join(f"`{f}` string" for f in names))
     def run(url: pd.Series, html: pd.Series, jobs: pd.DataFrame) -> pd.DataFrame:
-        rows = [resolve(Page(u or "", h or "", {k: x or "" for k, x in j.items()})) for u, h, j in zip(url, html, jobs.to_dict("records"), strict=True)]
-        return pd.DataFrame(rows, columns=FIELDS)
+        rows = [resolve(Page(u or "", h or "", {k: x or "" for k, x in j.items()}), resolvers) for u, h, j in zip(url, html, jobs.to_dict("records"), strict=True)]
+        return pd.DataFrame(rows, columns=names)
 
     made = F.struct(*[F.col(c) for c in job]) if job else F.struct(F.lit("").alias("domain"))
-    return pages.withColumn("_fields", run("url", "html", made)).select(*[c for c in pages.columns if c not in FIELDS], "_fields.*")
+    return pages.withColumn("_fields", run("url", "html", made)).select(*[c for c in pages.columns if c not in names], "_fields.*")
 
 
-def extract_listings(pages: DataFrame) -> DataFrame:
+def extract_listings(pages: DataFrame, resolvers: dict[str, Resolver] | None = None) -> DataFrame:
     """Publishable listings of pages, in the listing's columns after those of the page."""
     agency = F.coalesce("agency_name", F.lit("")) if "agency_name" in pages.columns else F.lit("")
     own = pages.withColumn("_agency", agency).withColumn("_domain", F.col("domain") if "domain" in pages.columns else F.lit(""))
-    rows = apply(extract_fields(own), url_steps(SPARK, "url"))
+    rows = apply(extract_fields(own, resolvers), url_steps(SPARK, "url"))
     rows = rows.withColumn("agency_name", F.col("_agency")).withColumn("source_url", F.when(F.col("u_canonical") == "", F.col("url")).otherwise(F.col("u_canonical")))
-    rows = rows.withColumn("source_domain", F.coalesce(F.expr(f"nullif({plain_registrable(SPARK, 'u_host')}, '')"), F.col("_domain")))
+    rows = rows.withColumn("source_domain", F.coalesce(F.nullif(registrable_domain(F.col("u_host")), F.lit("")), F.col("_domain")))
     rows = rows.withColumn("_publishable", F.expr(publishable(SPARK)))
     first = [c for c in pages.columns if c not in v.LISTING_FIELDS]
     return keep(rows, "_publishable").select(*first, *v.LISTING_FIELDS)

@@ -1,4 +1,4 @@
-"""The end-of-run report, from aggregates of a bounded number of rows."""
+"""The end-of-run report: aggregates of a bounded number of rows, and a line for each failed domain, which stays distributed."""
 
 from __future__ import annotations
 
@@ -9,10 +9,6 @@ from gleaner.functions.dialect import SPARK
 from gleaner.functions.text import escape_cell, percent
 from gleaner.operators.relational import field_completeness, top_domains
 
-#: Failed domains that the report names at most; the error log has them all.
-MOST_FAILURES = 1000
-
-
 def _table(df: DataFrame, headers: list[str]) -> str:
     cells = df.select(*[F.expr(escape_cell(SPARK, f"cast(`{c}` as string)")).alias(c) for c in df.columns])
     rows = [" | ".join(r) for r in cells.collect()]
@@ -30,12 +26,12 @@ def failure_reasons(summary: DataFrame) -> DataFrame:
     return summary.where(reason != "").groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
 
 
-def report(listings: DataFrame, summary: DataFrame, errors: DataFrame) -> str:
-    """Markdown with an overview, field completeness, top domains, failure reasons and failed domains."""
+def report_head(listings: DataFrame, summary: DataFrame, errors: DataFrame) -> str:
+    """Markdown with an overview, field completeness, top domains, failure reasons, and the heading of the failed domains."""
     counts = status_counts(summary).first()
     filled = field_completeness(listings)
     order = F.array_position(F.array(*[F.lit(f) for f in v.LISTING_FIELDS]), F.col("field"))
-    top, reasons, failed = top_domains(listings), failure_reasons(summary), errors.select(*v.ERROR_FIELDS).limit(MOST_FAILURES)
+    top, reasons = top_domains(listings), failure_reasons(summary)
     parts = [
         "# Listing Report\n\n## Overview",
         f"- Total domains processed: `{counts.total}`\n- Successful domains: `{counts.success}`\n- Failed domains: `{counts.failed}`"
@@ -44,6 +40,15 @@ def report(listings: DataFrame, summary: DataFrame, errors: DataFrame) -> str:
         "## Field Completeness\n" + _table(filled.orderBy(order), ["Field", "Filled rows", "Fill rate"]),
         "## Top Successful Domains\n" + (_table(top, ["Domain", "Listings"]) if not top.isEmpty() else "_No listings were extracted._"),
         "## Failure Reasons\n" + (_table(reasons, ["Reason", "Count"]) if not reasons.isEmpty() else "_No failures._"),
-        "## Failed Domains\n" + (_table(failed, ["Domain", "Status", "Reason"]) if not failed.isEmpty() else "_No failed domains._"),
+        "## Failed Domains\n" + ("| Domain | Status | Reason |\n| --- | --- | --- |" if not errors.isEmpty() else "_No failed domains._"),
     ]
-    return "\n\n".join(parts) + "\n"
+    return "\n\n".join(parts)
+
+
+def report(listings: DataFrame, summary: DataFrame, errors: DataFrame) -> DataFrame:
+    """``place, line``: the lines of the whole report; ``place`` sorts them, failed domains by their names."""
+    spark = listings.sparkSession
+    head = spark.createDataFrame([(f"0{i:06d}", x) for i, x in enumerate(report_head(listings, summary, errors).split("\n"))], "place string, line string")
+    cells = [F.expr(escape_cell(SPARK, f"cast(`{c}` as string)")) for c in v.ERROR_FIELDS]
+    failed = errors.select(F.concat(F.lit("1"), F.concat_ws("\t", *v.ERROR_FIELDS)).alias("place"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    return head.union(failed)

@@ -95,3 +95,42 @@ def test_engine(spark, tmp_path):
     assert {(r.domain, r.reason) for r in out.errors.collect()} == {("b", "no_website"), ("gone.fr", "site_not_reachable")}
     text = engine.write(out, str(tmp_path / "out"))
     assert "Total listings written: `1`" in text and "| agency.fr | 1 |" in text
+    lines = [r.value for f in sorted((tmp_path / "out" / "report").glob("part*")) for r in spark.read.text(str(f)).collect()]
+    assert lines[0] == "# Listing Report" and lines[-2:] == ["| b | failed | no_website |", "| gone.fr | failed | site_not_reachable |"]
+
+
+def test_engine_logs_a_reason_once_and_takes_own_parts(spark, tmp_path):
+    from gleaner.config import EngineConfig
+    from gleaner.engine import Engine
+
+    names = "seq long, company_name string, contact_person_last_name string, phone_1 string, postalcode string, city string, website string"
+    agencies = spark.createDataFrame([(k, "", "", "", "", "", w) for k, w in enumerate(["", "null", "", "one.co.uk", "two.co.uk"])], names)
+    home = '<html><body><main class="ours"><a href="/vente/maison-bordeaux-33000-ref-VP12345">x</a><a href="/item/xyzzy1234">y</a></main></body></html>'
+    pages = [(f"https://{d}.co.uk/", home, 200) for d in ("one", "two")] + [("https://two.co.uk/vente/maison-bordeaux-33000-ref-VP12345", FULL.replace('"geo": {"latitude": 44.84, "longitude": -0.58}, ', ""), 200)]
+
+    def nine(page):
+        yield "9"
+
+    engine = Engine(spark, EngineConfig(error_log_name="log"), resolvers={"rooms": nine}, families=[("ours", [], ["class=.ours"], ["/item/"], [])])
+    out = engine.run(agencies, spark.createDataFrame(pages, "url string, html string, status int"))
+    assert sorted((r.domain, r.reason) for r in out.errors.collect()) == [("one.co.uk", "no_listings_found"), ("unknown agency", "no_website")]
+    assert [(r.source_domain, r.rooms, r.coordinates) for r in out.listings.collect()] == [("two.co.uk", "9", "")]
+    folder = str(tmp_path / "out")
+    engine.write(out, folder)
+    assert spark.read.option("header", True).csv(f"{folder}/log").count() == 2
+    engine.fill_written(folder, spark.createDataFrame([("bordeaux 33000", "1.0, 2.0")], "key string, value string"))
+    assert [r.coordinates for r in spark.read.option("header", True).csv(f"{folder}/listings_consolidated").collect()] == ["1.0, 2.0"]
+
+
+def test_runs_over_arriving_files(spark, tmp_path):
+    from gleaner.engine import Engine
+
+    home = '<html><body><main><a href="/vente/maison-bordeaux-33000-ref-VP12345">x</a></main></body></html>'
+    pages = spark.createDataFrame([(f"https://{d}.fr{p}", h, 200) for d in "ab" for p, h in (("/", home), ("/vente/maison-bordeaux-33000-ref-VP12345", FULL))], "url string, html string, status int")
+    (tmp_path / "in").mkdir()
+    head = "company_name,contact_person_last_name,siren,siret,phone_1,postalcode,street,city,website\n"
+    for k, sites in enumerate((["a.fr"], ["a.fr", "b.fr"])):
+        (tmp_path / "in" / f"{k}.csv").write_text(head + "".join(f"A,,,,,,,,{s}\n" for s in sites))
+        Engine(spark).stream(str(tmp_path / "in"), pages, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        rows = spark.read.option("header", True).csv(str(tmp_path / "out" / "listings_consolidated")).collect()
+        assert sorted(r.source_domain for r in rows) == [s for s in ("a.fr", "b.fr")][: k + 1]
