@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +12,7 @@ from gleaner.functions import text as tx, url as ux
 from gleaner.functions.dialect import DUCKDB, SPARK, Dialect, Steps, apply, keep, render
 from gleaner.operators import classify as cl, dedup, relational as rel, resolve as rs
 from gleaner.shared import Shared
+from gleaner.sources import with_domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,9 +39,8 @@ TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "event
 
 
 def _source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    for t in TABLES:
-        if t in sql:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    """A query in parentheses over the supplied tables, which are read where they are; no view is made or replaced."""
+    sql = re.sub(rf"\b(from|join) ({'|'.join(TABLES)})\b", rf"\1 parquet.`{sf_dir}/\2.parquet` as \2", sql)
     return spark.sql(f"select * from {sql}")
 
 
@@ -77,14 +78,6 @@ _steps(
 )
 _absolute = lambda d: [("absolute", f"case when href like '/%' and href not like '//%' then concat({d.ext('url', '^[a-z]+://[^/?#]*')}, href) else href end")]
 _steps("anchor_harvest", ANCHORS, _absolute, ["page_id", "pos", "href", "absolute"], ANCHORS_DUCKDB)
-_steps(
-    "anchor_same_domain",
-    ANCHORS,
-    lambda d: [*_absolute(d), *_url(d), ("own", ux.plain_registrable(d, "u_host")), *ux.url_steps(d, "absolute", "a_"), ("other", ux.plain_registrable(d, "a_host"))],
-    ["page_id", "pos", "absolute", "other"],
-    ANCHORS_DUCKDB,
-    "own = other",
-)
 _steps("sitemap_locs", "(select page_id, concat('<urlset><url><loc> ', replace(url, '&', '&amp;'), '</loc></url></urlset>') as body from pages)", lambda d: [("locs", d.join(" ", d.every("body", "<loc>\\s*([^<]*)", 1)))], ["page_id", "locs"])
 _steps("robots_sitemaps", "(select page_id, concat('User-agent: *', chr(10), ' Sitemap : ', url, chr(10)) as body from pages)", lambda d: [("sitemaps", d.join(" ", d.every("body", "(?im)^\\s*sitemap\\s*:\\s*(\\S+)", 1)))], ["page_id", "sitemaps"])
 
@@ -198,11 +191,11 @@ AGENCIES = """(
   select s_suppkey as seq, case when s_suppkey % 11 = 0 then 'null' else s_name end as company_name, case when s_suppkey % 3 = 0 then 'NaN' else concat('Agent ', cast(s_suppkey as string)) end as contact_person_last_name,
     case when s_suppkey % 4 = 0 then 'n/a' else concat('05', cast(10000000 + s_suppkey * 7 as string)) end as phone_1, cast(33000 + s_suppkey % 100 as string) as postalcode,
     concat(' Ville', cast(s_suppkey % 13 as string)) as city,
-    case when s_suppkey % 7 = 0 then ' ' when s_suppkey % 2 = 0 then concat('HTTPS://www.Agence', cast(s_suppkey % 20 as string), '.example.fr/') else concat('agence', cast(s_suppkey % 20 as string), '.example.fr') end as website
+    case when s_suppkey % 7 = 0 then ' ' when s_suppkey % 2 = 0 then concat('HTTPS://www.Agence', cast(s_suppkey % 20 as string), '.co.uk/') when s_suppkey % 5 = 0 then concat('a.b.agence', cast(s_suppkey % 20 as string), '.com.au') else concat('agence', cast(s_suppkey % 20 as string), '.fr') end as website
   from supplier)"""
 _LOAD = f"""
 a as (select seq, {', '.join(f"{tx.clean(DUCKDB, c)} as {n}" for c, n in (('company_name', 'name'), ('contact_person_last_name', 'agent_name'), ('phone_1', 'phone'), ('city', 'city'), ('postalcode', 'postalcode'), ('website', 'website')))} from {AGENCIES}),
-b as (select seq, case when name = '' then 'Unknown Agency' else name end as agency_name, agent_name, phone, city, postalcode, u_full as url, {ux.plain_registrable(DUCKDB, 'u_host')} as domain from ({render('a', ux.url_steps(DUCKDB, 'website'), ['*'])})),
+b as (select seq, case when name = '' then 'Unknown Agency' else name end as agency_name, agent_name, phone, city, postalcode, u_full as url, regexp_extract(u_host, '(agence[0-9]+[.](?:co[.]uk|com[.]au|fr))$', 1) as domain from ({render('a', ux.url_steps(DUCKDB, 'website'), ['*'])})),
 jobs as (select domain, min(seq) as job_seq, arg_min(url, seq) as url, {', '.join(f'(list({c} order by length({c}) desc, seq))[1] as {c}' for c in rel.CONTACTS)}, count(*) as rows_merged from b where domain <> '' group by domain)"""
 
 
@@ -216,10 +209,10 @@ def _no_website(spark, sf_dir):
     return rel.no_website(_source(spark, sf_dir, AGENCIES))
 
 
-_DONE = "(select distinct concat('AGENCE', cast(s_suppkey % 5 as string), '.example.fr') as domain from supplier)"
+_DONE = "(select distinct concat('AGENCE', cast(s_suppkey % 9 as string), case when s_suppkey % 2 = 0 then '.co.uk' else '.fr ' end) as domain from supplier)"
 
 
-@_query("jobs_pending", f"with {_LOAD} select * from jobs where domain not in (select lower(domain) from {_DONE}) order by job_seq limit 8")
+@_query("jobs_pending", f"with {_LOAD} select * from jobs where domain not in (select lower(trim(domain)) from {_DONE}) order by job_seq limit 8")
 def _pending(spark, sf_dir):
     return rel.pending(rel.load_jobs(_source(spark, sf_dir, AGENCIES)), _source(spark, sf_dir, _DONE), 8)
 
@@ -273,9 +266,21 @@ _summary = lambda d: [
     ("suggested", cl.strategy("failure", "fetched % 2 = 0")),
     ("status", "case when listing_count > 2 then 'success' else 'failed' end"),
     ("reason", f"case when listing_count > 2 then '' else {cl.empty_reason('failure', 'suggested', 'false')} end"),
-    ("strategy", "case when suggested = 'static' and listing_count > 4 then 'hybrid' else suggested end"),
+    ("strategy", cl.used_strategy("failure", "listing_count", "fetched % 4")),
 ]
 _steps("domain_summary", _SUMMARY, _summary, ["domain", "status", "listing_count", "reason", "strategy"])
+# written apart from the operators
+ORACLE["domain_summary"] = f"""
+select domain, if(listing_count > 2, 'success', 'failed') as status, listing_count,
+  if(listing_count > 2, '', if(blocked = 1, 'blocked_403', if(gone = 0 and fetched % 2 = 0, 'dynamic_js_required', if(gone = 1, 'site_not_reachable', 'no_listings_found')))) as reason,
+  if(blocked = 1, if(fetched % 4 > 0, 'dynamic', 'none'), if(gone = 1, 'none', if(listing_count = 0 and fetched % 4 > 0, 'hybrid', 'static'))) as strategy
+from {_SUMMARY}"""
+
+INTERRUPTED = """(select event_id, case when event_id % 3 = 0 then 'timeout' else 'crash' end as event, case event_id % 5 when 0 then true when 1 then false end as reachable,
+  case event_type when 'error' then 'ReadTimeout' else 'ValueError' end as kind, case event_type when 'click' then 'frame was detached' when 'view' then 'SSL' else '' end as message from events)"""
+_steps("interrupted_reason", INTERRUPTED, lambda d: [("reason", cl.interrupted_reason(d, "event", "reachable", "kind", "message"))], ["event_id", "reason"])
+ORACLE["interrupted_reason"] = f"""select event_id, if(event_id % 3 = 0, if(event_id % 5 = 0, 'no_listings_found', 'site_not_reachable'), if(event_id % 5 = 0, 'parsing_failed',
+  if(kind = 'ReadTimeout' or message = 'SSL', 'site_not_reachable', if(message <> '', 'dynamic_js_required', 'parsing_failed')))) as reason from {INTERRUPTED}"""
 
 
 @_query("success_rate", f"select total, success, {tx.percent(DUCKDB, 'success', 'total')} as rate from (select count(*) as total, count(*) filter (status = 'success') as success from ({render(_SUMMARY, _summary(DUCKDB), ['*'])}))")
@@ -311,6 +316,33 @@ def _rank(spark, sf_dir):
     return rel.rank_candidates(rows.select("domain", "seq", F.col("u_canonical").alias("canonical"), (F.col("score") + F.col("boost")).alias("score")), 40).select("domain", "canonical", "score", F.col("rank").cast("long").alias("rank"))
 
 
+
+
+@_query(
+    "anchor_same_domain",
+    f"""select page_id, pos, absolute, other from (
+      select page_id, pos, absolute, regexp_extract(u_host, '([^.]+[.][^.]+)$', 1) as own, regexp_extract(a_host, '([^.]+[.][^.]+)$', 1) as other
+      from ({render(ANCHORS_DUCKDB, [*_absolute(DUCKDB), *_url(DUCKDB), *ux.url_steps(DUCKDB, "absolute", "a_")], ["*"])})) where own = other and own <> ''""",
+)
+def _same_domain(spark, sf_dir):
+    rows = apply(_source(spark, sf_dir, ANCHORS), [*_absolute(SPARK), *_url(SPARK), *ux.url_steps(SPARK, "absolute", "a_")])
+    rows = with_domain(with_domain(rows.select("page_id", "pos", "absolute", "u_host", "a_host"), "u_host", "own"), "a_host", "other")
+    return rows.where("own = other and own <> ''").select("page_id", "pos", "absolute", "other")
+
+
+# Hosts under suffixes of one and more labels, wildcards and exceptions, and their registrable domains.
+HOSTS = [
+    ("www.foo.bar.example.co.uk", "example.co.uk"), ("example.com.au:8080", "example.com.au"), ("a.b.example.fr", "example.fr"), ("site.github.io", "github.io"),
+    ("x.y.city.kawasaki.jp", "city.kawasaki.jp"), ("x.y.other.kawasaki.jp", "y.other.kawasaki.jp"), ("www.ck", "www.ck"), ("a.b.c.ck", "b.c.ck"), ("localhost", "localhost"), ("user@m.agence.gouv.fr", "agence.gouv.fr"),
+]
+_HOSTS = f"(select page_id, case page_id % {len(HOSTS)} {' '.join(f'when {k} then {chr(39)}{h}{chr(39)}' for k, (h, _) in enumerate(HOSTS))} end as host from pages)"
+
+
+@_query("registrable_domain", f"select page_id, case page_id % {len(HOSTS)} {' '.join(f'when {k} then {chr(39)}{r}{chr(39)}' for k, (_, r) in enumerate(HOSTS))} end as domain from pages")
+def _registrable(spark, sf_dir):
+    return with_domain(_source(spark, sf_dir, _HOSTS), "host").select("page_id", "domain")
+
+
 #: A small graph of hubs and details among the parts, for the bounded search.
 _EDGES = """(select concat('d', cast(p_partkey % 50 as string)) as domain, concat('h', cast(p_partkey % 7 as string)) as src,
   case when p_size % 3 = 0 then concat('h', cast(p_size % 7 as string)) else concat('p', cast(p_size as string)) end as dst,
@@ -329,3 +361,15 @@ _SEEDS = "(select distinct concat('d', cast(p_partkey % 50 as string)) as domain
 )
 def _bfs(spark, sf_dir):
     return rel.expand_hubs(_source(spark, sf_dir, _SEEDS), _source(spark, sf_dir, _EDGES), 2, 6).select("domain", "url", "depth")
+
+
+@_query(
+    "hub_bfs_deep",
+    f"""with recursive a as (select domain, src, dst, min(pos) as pos from {_EDGES} where kind = 'hub' group by all),
+  r as (select domain, url, 1 as depth from {_SEEDS} union select r.domain, a.dst, r.depth + 1 from r join a on a.domain = r.domain and a.src = r.url where r.depth < 4),
+  hubs as (select domain, url, min(depth) as depth from r group by all),
+  d as (select e.domain, e.dst as url, min(h.depth) + 1 as depth from hubs h join {_EDGES} e on e.domain = h.domain and e.src = h.url where e.kind = 'detail' group by all)
+  select domain, url, depth from d""",
+)
+def _bfs_deep(spark, sf_dir):
+    return rel.expand_hubs(_source(spark, sf_dir, _SEEDS), _source(spark, sf_dir, _EDGES), 4, 100).select("domain", "url", "depth")
