@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from gleaner import vocabulary as v
 from gleaner.config import EngineConfig
 from gleaner.functions.dialect import SPARK, apply
-from gleaner.functions.text import content_key
+from gleaner.functions.text import content_steps
 from gleaner.functions.url import url_steps
 from gleaner.operators import classify as cl, dedup, discovery, relational as rel
 from gleaner.operators.extract import extract_listings
@@ -109,7 +109,7 @@ class Engine:
             second = self.gather(left, stored, locations, shown, lambda df, name: shared(df, f"rendered-{name}"))
             found = found.unionByName(second)
             counts = counts.unionByName(second.groupBy("domain").agg(F.count("*").alias("rendered_found")).withColumn("static_found", F.lit(0).cast("bigint")))
-        keyed = apply(found, [*url_steps(SPARK, "source_url"), ("content", content_key(SPARK, "location", "property_type", "surface_area", "price"))])
+        keyed = apply(found, [*url_steps(SPARK, "source_url"), *content_steps(SPARK, "location", "property_type", "surface_area", "price")])
         keyed = keyed.select("domain", F.col("rank").alias("seq"), F.col("reference_id").alias("ref"), F.col("u_key").alias("url_key"), "content", *v.LISTING_FIELDS)
         keyed = shared(keyed, "keyed")
         kept = shared(keyed.join(dedup.three_tier(keyed), ["domain", "seq"], "left_semi"), "kept")
@@ -190,7 +190,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--keep-outputs", action="store_true")
     p.add_argument("--reset-checkpoint", action="store_true")
     a = p.parse_args(args)
-    spark = SparkSession.builder.getOrCreate()
+    spark = SparkSession.builder.config("spark.sql.codegen.hugeMethodLimit", "8000").getOrCreate()  # longer methods would be interpreted
     spark.sparkContext.setLogLevel(a.log_level)
     engine = Engine(spark, EngineConfig(limit=a.limit, keep_outputs=a.keep_outputs, reset_checkpoint=a.reset_checkpoint))
     done = read_completed(spark, a.checkpoint) if a.checkpoint and not a.reset_checkpoint else spark.createDataFrame([], "domain string")

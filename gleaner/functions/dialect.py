@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, functions as F
 #: Unicode white space, as Python's ``\\s`` has it, for inside a character class.
 SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
+SPACES = "".join(c for i in range(0x3001) if (c := chr(i)).isspace())
+_OTHER = r"\t\n\f\r" + SPACE.removeprefix(r"\s")
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -42,7 +45,10 @@ class Dialect:
         return f"regexp_replace({x}, {self.lit(pattern)}, {self.lit(by)})" if self.spark else f"regexp_replace({x}, {self.lit(pattern)}, {self.lit(by.replace('$', chr(92)))}, 'g')"
 
     def within(self, x: str, words) -> str:
-        """Whether any of the words occurs in x."""
+        """Whether any of the words occurs in x; many words are one pattern, so that generated code stays small."""
+        words = list(words)
+        if len(words) > 12:
+            return self.has(x, "|".join(re.escape(w) for w in words))
         return "(" + " or ".join(f"contains({x}, {self.lit(w)})" for w in words) + ")"
 
     def among(self, x: str, words) -> str:
@@ -74,11 +80,21 @@ class Dialect:
         return f"array({', '.join(items)})" if self.spark else f"[{', '.join(items)}]"
 
     def collapse(self, x: str) -> str:
-        """Runs of white space to a space, none at either end."""
-        return self.strip(self.sub(x, f"[{SPACE}]+", " "))
+        """Runs of white space to a space, none at either end. Single spaces, which are most of them, aren't matched."""
+        return f"trim({self.sub(x, f'[{_OTHER}][{SPACE}]*| [{SPACE}]+', ' ')})"
+
+    def strip(self, x: str, chars: str = SPACES, side: str = "both") -> str:
+        """Without the characters (white space) at the ends; ``side`` may be leading or trailing."""
+        if self.spark:
+            return f"trim({side} {self.lit(chars)} from {x})"
+        return f"{ {'both': 'trim', 'leading': 'ltrim', 'trailing': 'rtrim'}[side]}({x}, {self.lit(chars)})"
+
+    def before(self, x: str, sep: str) -> str:
+        """What comes before the first separator; all of it without one."""
+        return f"substring_index({x}, {self.lit(sep)}, 1)" if self.spark else f"split_part({x}, {self.lit(sep)}, 1)"
 
-    def strip(self, x: str) -> str:
-        return self.sub(x, f"^[{SPACE}]+|[{SPACE}]+$")
+    def after_last(self, x: str, sep: str) -> str:
+        return f"substring_index({x}, {self.lit(sep)}, -1)" if self.spark else f"split_part({x}, {self.lit(sep)}, -1)"
 
     def int(self, x: str) -> str:
         return f"try_cast({x} as bigint)"

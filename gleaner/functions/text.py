@@ -65,11 +65,12 @@ def price_steps(d: Dialect, raw: str, out: str) -> Steps:
     ]
 
 
-def content_key(d: Dialect, location: str, kind: str, surface: str, price: str) -> str:
+def content_steps(d: Dialect, location: str, kind: str, surface: str, price: str, out: str = "content") -> Steps:
     """Digest of what a listing says, over the parts that aren't empty; empty if none is."""
     parts = [normalize(d, f"coalesce({x}, '')") for x in (location, kind, surface)] + [d.strip(f"coalesce({price}, '')")]
-    joined = f"concat_ws('|', {', '.join(f'nullif({p}, {chr(39) * 2})' for p in parts)})"
-    return f"case when {joined} = '' then '' else sha1({joined}) end"
+    names = [f"_{out}{k}" for k in range(len(parts))]
+    joined = f"concat_ws('|', {', '.join(f'nullif({n}, {chr(39) * 2})' for n in names)})"
+    return [*zip(names, parts, strict=True), (f"_{out}", joined), (out, f"case when _{out} = '' then '' else sha1(_{out}) end")]
 
 
 def escape_cell(d: Dialect, x: str) -> str:

@@ -8,26 +8,34 @@ LANGUAGES = ["en", "fr", "de", "es", "it"]
 
 
 def ensure_scheme(d: Dialect, x: str) -> str:
-    v = d.strip(f"coalesce({x}, '')")
-    known = d.ext(v, "^([hH][tT][tT][pP][sS]?)://", 1)
-    return f"case when {d.among(f'lower({v})', ['', 'nan', 'none', 'null'])} then '' when {known} <> '' then concat(lower({known}), substring({v}, length({known}) + 1)) else concat('https://', {d.sub(v, '^/+')}) end"
+    """A URL with its scheme in lower case, https where it has none; empty for spelled-out nulls. ``x`` is stripped already."""
+    n = f"case lower(substring({x}, 1, 8)) when 'https://' then 5 else case lower(substring({x}, 1, 7)) when 'http://' then 4 else 0 end end"
+    return f"case when {d.among(f'lower({x})', ['', 'nan', 'none', 'null'])} then '' when {n} > 0 then concat(lower(substring({x}, 1, {n})), substring({x}, {n} + 1)) else concat('https://', {d.strip(x, '/', 'leading')}) end"
 
 
 def url_steps(d: Dialect, url: str, prefix: str = "u_") -> Steps:
-    """Parts of a URL: scheme, netloc, host (without www.), path, params, query; then canonical, key and the classifier's path."""
+    """Parts of a URL: scheme, netloc, host (without www.), path, params, query; then canonical, key and the classifier's path.
+
+    Cuts at single characters, which cost far less than patterns.
+    """
     p = lambda name: prefix + name
-    www = "^www[.]"
     language = f"^([a-z]+://[^/]*)/({'|'.join(LANGUAGES)})/"
+    after = lambda x, head, n: f"substring({x}, length({head}) + {n + 1})"
     return [
-        (p("full"), ensure_scheme(d, url)),
-        (p("scheme"), d.ext(p("full"), "^([a-z]+)://", 1)),
-        (p("netloc"), f"lower({d.ext(p('full'), '^[a-z]+://([^/?#]*)', 1)})"),
-        (p("host"), d.sub(p("netloc"), www)),
-        (p("rest"), d.ext(p("full"), "^[a-z]+://[^/?#]*([^?#]*)", 1)),
-        (p("params"), d.ext(p("rest"), "^(?:.*/)?[^/;]*;([^/]*)$", 1)),
-        (p("path"), f"case when {p('params')} <> '' then {d.ext(p('rest'), '^((?:.*/)?[^/;]*);', 1)} when {p('rest')} = '' then '/' else {p('rest')} end"),
-        (p("query"), d.ext(p("full"), "^[^?#]*[?]([^#]*)", 1)),
-        (p("short"), f"case when {p('path')} = '/' then '/' else {d.sub(p('path'), '/+$')} end"),
+        (p("raw"), d.strip(f"coalesce({url}, '')")),
+        (p("full"), ensure_scheme(d, p("raw"))),
+        (p("scheme"), d.before(p("full"), "://")),
+        (p("away"), after(p("full"), p("scheme"), 3)),
+        (p("site"), d.before(d.before(d.before(p("away"), "/"), "?"), "#")),
+        (p("netloc"), f"lower({p('site')})"),
+        (p("host"), f"case when {p('netloc')} like 'www.%' then substring({p('netloc')}, 5) else {p('netloc')} end"),
+        (p("whole"), d.before(after(p("away"), p("site"), 0), "#")),
+        (p("rest"), d.before(p("whole"), "?")),
+        (p("query"), after(p("whole"), p("rest"), 1)),
+        (p("last"), d.after_last(p("rest"), "/")),
+        (p("params"), after(p("last"), d.before(p("last"), ";"), 1)),
+        (p("path"), f"case when {p('params')} <> '' then substring({p('rest')}, 1, length({p('rest')}) - length({p('params')}) - 1) when {p('rest')} = '' then '/' else {p('rest')} end"),
+        (p("short"), f"case when {p('path')} = '/' then '/' else {d.strip(p('path'), '/', 'trailing')} end"),
         (p("tail"), f"concat(case when {p('params')} <> '' then concat(';', {p('params')}) else '' end, case when {p('query')} <> '' then concat('?', {p('query')}) else '' end)"),
         (p("canonical"), f"case when {p('full')} = '' then '' else concat({p('scheme')}, '://', {p('host')}, {p('short')}, {p('tail')}) end"),
         (p("key"), d.sub(f"lower({p('canonical')})", language, "$1/")),

@@ -76,12 +76,13 @@ def three_tier(df: DataFrame, fold_rows: int = FOLD_ROWS, rounds: int = ROUNDS)
     """
     keys = [F.coalesce(c, F.lit("")).alias(c) for c in ("url_key", "content")]
     rows = df.select(F.coalesce("domain", F.lit("")).alias("domain"), F.col("seq").cast("bigint").alias("seq"), F.lower(F.coalesce("ref", F.lit(""))).alias("ref"), *keys)
+    cut = Shared(df.sparkSession).table
+    rows = cut(rows, "keys")  # read several times, however costly the listings are
     kept = [rows.where("domain = ''").select("domain", "seq")]
     left = rows.where("domain <> ''")
     sizes = left.groupBy("domain").agg(F.count("*").alias("n"))
     most = sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     if most > fold_rows:
-        cut = Shared(df.sparkSession).table
         large = F.broadcast(sizes.where(F.col("n") > fold_rows).select("domain"))  # fewer than all rows by ``fold_rows``
         small, left = left.join(large, "domain", "left_anti"), cut(left.join(large, "domain", "left_semi"), "large")
         for k in range(rounds):

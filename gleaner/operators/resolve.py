@@ -15,12 +15,17 @@ def first_filled(*values: str) -> str:
     return "coalesce(" + ", ".join(f"nullif({x}, '')" for x in values) + ", '')"
 
 
+def unless(filled: str, value: str) -> str:
+    """A value that is worked out only where an earlier tier has left the field empty."""
+    return f"case when {filled} <> '' then '' else {value} end"
+
+
 def surface_steps(d: Dialect, text: str = "text") -> Steps:
     steps: Steps = []
     for name, pattern in (("sl", v.SURFACE_LABEL), ("so", v.SURFACE_LOOSE)):
-        dotted, dots = f"{name}_dotted", f"{name}_dots"
+        dotted, dots, raw = f"{name}_dotted", f"{name}_dots", f"replace({d.strip(d.ext(text, pattern, 1), side='trailing')}, ' ', '')"
         steps += [
-            (name, f"replace({d.sub(d.ext(text, pattern, 1), '[' + SPACE + ']+$')}, ' ', '')"),
+            (name, raw if name == "sl" else unless("sl_value", raw)),
             (dotted, f"replace(replace({name}, {d.lit(chr(160))}, ''), ',', '.')"),
             (dots, f"length({dotted}) - length(replace({dotted}, '.', ''))"),
             (
@@ -39,10 +44,10 @@ def _bounded(d: Dialect, x: str, low: int, minus: int = 0) -> str:
 
 def rooms_steps(d: Dialect, text: str = "text", title: str = "title", h1: str = "h1", url: str = "url") -> Steps:
     hay = f"concat_ws(' ', {title}, {h1}, {url})"
-    pair = lambda pattern: f"concat({d.ext(text, pattern, 1)}, {d.ext(text, pattern, 2)})"  # noqa: E731  one of the two is empty
     return [
-        ("r_rooms", pair(v.ROOMS)),
-        ("r_beds", pair(v.BEDROOMS)),
+        # the one number in a match, before or after the word
+        ("r_rooms", digits_only(d, d.ext(text, v.ROOMS))),
+        ("r_beds", digits_only(d, d.ext(text, v.BEDROOMS))),
         ("r_t", d.ext(hay, v.T_ROOMS, 1)),
         ("rooms", first_filled(_bounded(d, "r_rooms", 1), _bounded(d, "r_t", 1))),
         ("bedrooms", first_filled(_bounded(d, "r_beds", 0), _bounded(d, "r_t", 1, 1))),
@@ -97,23 +102,20 @@ def _best_type(d: Dialect, x: str) -> str:
 
 def property_steps(d: Dialect, title: str = "title", h1: str = "h1", url: str = "url") -> Steps:
     path = d.ext(url, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-    segments = "case " + " ".join(f"when {d.has('p_path', p)} then {d.lit(name)}" for p, name in v.PROPERTY_SEGMENTS) + " else '' end"
+    segments = f"case when not {d.has('p_path', '|'.join(p for p, _ in v.PROPERTY_SEGMENTS))} then '' " + " ".join(f"when {d.has('p_path', p)} then {d.lit(name)}" for p, name in v.PROPERTY_SEGMENTS) + " else '' end"
     texts = [("p_title", title), ("p_h1", h1), ("p_url", url)]
     return [
         ("p_path", f"lower({path})"),
         ("p_segment", segments),
-        *[(name, normalize(d, f"coalesce({x}, '')")) for name, x in texts],
-        *[(name + "_best", _best_type(d, name)) for name, _ in texts],
-        ("property_type", first_filled("p_segment", "p_title_best", "p_h1_best", "p_url_best")),
+        *[step for (name, x), last in zip(texts, ["p_segment", "p_title_best", "p_h1_best"], strict=True) for step in ((name, unless(last, normalize(d, f"coalesce({x}, '')"))), (name + "_best", f"case when {last} <> '' then {last} else {_best_type(d, name)} end"))],
+        ("property_type", "p_url_best"),
     ]
 
 
-def phone_number(d: Dialect, raw: str) -> str:
-    """French numbers in ten digits; empty for what can't be one."""
-    digits = digits_only(d, raw)
+def phone_number(raw: str, digits: str, rest: str) -> str:
+    """French numbers in ten digits; empty for what can't be one. ``rest`` are the digits without two leading zeros."""
     plus = f"{raw} like '+33%'"
     nine = lambda x: f"case when length({x}) = 9 then concat('0', {x}) else '' end"
-    rest = f"case when {digits} like '00%' then substring({digits}, 3) else {digits} end"
     return (
         f"case when {digits} = '' then '' when {plus} then {nine(f'substring({digits}, 3)')} when {digits} like '0033%' then {nine(f'substring({digits}, 5)')} "
         f"when {digits} like '33%' and length({digits}) = 11 then concat('0', substring({digits}, 3)) when length({rest}) < 8 or length({rest}) > 10 then '' "
@@ -122,8 +124,17 @@ def phone_number(d: Dialect, raw: str) -> str:
 
 
 def phone_steps(d: Dialect, text: str = "text") -> Steps:
-    found = [(f"ph_raw{k}", d.strip(d.ext(text, p, 1))) for k, p in enumerate([*v.PHONE_LABELS, v.PHONE_FREE])]
-    return [*found, *[(f"ph{k}", phone_number(d, f"ph_raw{k}")) for k in range(3)], ("phone_number", first_filled("ph0", "ph1", "ph2"))]
+    steps: Steps = []
+    for k, pattern in enumerate([*v.PHONE_LABELS, v.PHONE_FREE]):
+        raw = d.strip(d.ext(text, pattern, 1))
+        number = phone_number(f"ph_raw{k}", f"ph_digits{k}", f"ph_rest{k}")
+        steps += [
+            (f"ph_raw{k}", unless(f"ph{k - 1}", raw) if k else raw),
+            (f"ph_digits{k}", digits_only(d, f"ph_raw{k}")),
+            (f"ph_rest{k}", f"case when ph_digits{k} like '00%' then substring(ph_digits{k}, 3) else ph_digits{k} end"),
+            (f"ph{k}", f"case when ph{k - 1} <> '' then ph{k - 1} else {number} end" if k else number),
+        ]
+    return [*steps, ("phone_number", f"ph{k}")]
 
 
 def email_steps(d: Dialect, text: str = "text", html: str = "html") -> Steps:
@@ -137,18 +148,23 @@ def email_steps(d: Dialect, text: str = "text", html: str = "html") -> Steps:
 
     steps: Steps = []
     for k, source in enumerate((text, html)):
-        steps.append((f"em_spelled{k}", d.first(d.where(d.each(d.every(f"substring({source}, 1, {v.OBFUSCATED_CHARS})", v.OBFUSCATED), spelled), good))))
-    steps.append(("em_plain", d.first(d.where(d.every(f"substring({html}, 1, {v.EMAIL_CHARS})", v.EMAIL), good))))
+        # the mark in brackets is looked for first, as it starts with a rare character
+        steps.append((f"em_head{k}", f"substring({source}, 1, {v.OBFUSCATED_CHARS})"))
+        found = d.first(d.where(d.each(d.every(f"em_head{k}", v.OBFUSCATED), spelled), good))
+        value = f"case when {d.has(f'em_head{k}', v.OBFUSCATED_MARK)} then {found} else '' end"
+        steps.append((f"em_spelled{k}", unless("em_spelled0", value) if k else value))
+    steps.append(("em_head", f"substring({html}, 1, {v.EMAIL_CHARS})"))
+    steps.append(("em_plain", f"case when em_spelled0 <> '' or em_spelled1 <> '' then '' when contains(em_head, '@') then {d.first(d.where(d.every('em_head', v.EMAIL), good))} else '' end"))
     return [*steps, ("email", first_filled("em_spelled0", "em_spelled1", "em_plain"))]
 
 
 def dpe_steps(d: Dialect, text: str = "text") -> Steps:
-    return [("dpe_text", normalize(d, f"coalesce({text}, '')")), ("dpe_rating", "upper(" + first_filled(*[d.ext("dpe_text", p, 1) for p in v.DPE_LABELS]) + ")")]
+    found = [f"case when {d.within('dpe_text', words)} then {d.ext('dpe_text', p, 1)} else '' end" for p, words in zip(v.DPE_LABELS, v.DPE_WORDS, strict=True)]
+    return [("dpe_text", normalize(d, f"coalesce({text}, '')")), ("dpe_rating", "upper(" + first_filled(*found) + ")")]
 
 
-def _price(d: Dialect, x: str) -> str:
-    raw = d.ext(x, f"[0-9][0-9{SPACE}.,]*")
-    digits = digits_only(d, raw)
+def _price(d: Dialect, raw: str, digits: str) -> str:
+    """Digits of an amount as it was captured; empty if it is no sale price."""
     runs = d.join(",", d.every(raw, "[0-9]+"))
     apart = f"length({digits}) > 7 and contains({runs}, ',') and not {d.has(runs, '^[0-9]{1,3}(,[0-9]{3})*$')}"
     return f"case when length({digits}) between 1 and 9 and not ({apart}) and {d.int(digits)} between {v.LEAST_PRICE} and {v.MOST_PRICE} then {digits} else '' end"
@@ -158,7 +174,16 @@ def price_steps(d: Dialect, text: str = "text") -> Steps:
     """The first labelled amount that is a sale price. The label is itself a price label to amounts of few digits only if it recurs in the capture."""
 
     def good(x: str) -> str:
-        small = f"length({_price(d, x)}) > {v.SMALL_DIGITS} or {d.has(x, v.CURRENCY_OR_LABEL)}"
-        return f"not {d.has(x, v.ON_REQUEST)} and not {d.has(x, v.PER_AREA)} and {_price(d, x)} <> '' and ({small})"
+        small = f"length({x}.price) > {v.SMALL_DIGITS} or {d.has(f'{x}.label', v.CURRENCY_OR_LABEL)}"
+        return f"{x}.price <> '' and not {d.has(f'{x}.label', v.ON_REQUEST)} and not {d.has(f'{x}.label', v.PER_AREA)} and ({small})"
+
+    def struct(**parts: str) -> str:
+        return f"named_struct({', '.join(f'{chr(39)}{n}{chr(39)}, {x}' for n, x in parts.items())})" if d.spark else "{" + ", ".join(f"'{n}': {x}" for n, x in parts.items()) + "}"
 
-    return [("pr_labels", d.every(text, v.PRICE_LABEL, 1)), ("pr_first", d.first(d.where("pr_labels", good))), ("price", _price(d, "pr_first"))]
+    amount = f"[0-9][0-9{SPACE}.,]*"
+    return [
+        ("pr_labels", d.each(d.every(text, v.PRICE_LABEL, 1), lambda x: struct(label=x, raw=d.ext(x, amount)))),
+        ("pr_digits", d.each("pr_labels", lambda x: struct(label=f"{x}.label", raw=f"{x}.raw", digits=digits_only(d, f"{x}.raw")))),
+        ("pr_prices", d.each("pr_digits", lambda x: struct(label=f"{x}.label", price=_price(d, f"{x}.raw", f"{x}.digits")))),
+        ("price", d.first(d.each(d.where("pr_prices", good), lambda x: f"{x}.price"))),
+    ]

@@ -121,7 +121,7 @@ def _listing(d: Dialect) -> Steps:
         ("coordinates", "''"),
         ("source_url", "u_canonical"),
         ("source_domain", "domain"),
-        ("content", tx.content_key(d, "location", "property_type", "surface_area", "price")),
+        *tx.content_steps(d, "location", "property_type", "surface_area", "price"),
         ("publishable", cl.publishable(d)),
     ]
 

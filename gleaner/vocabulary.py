@@ -133,6 +133,7 @@ DPE_LABELS = [
     "(?i)\\b(?:classe(?:ment)?|etiquette)(?:\\s+energie|\\s+energetique)?\\b\\s*[:\\-]?\\s*([A-G])\\b",
     "(?i)\\bconsommation(?:\\s+energetique)?\\b\\s*[:\\-]?\\s*([A-G])\\b",
 ]
+DPE_WORDS = [["dpe"], ["diagnostic"], ["class", "etiquette"], ["consommation"]]
 DPE_ATTRIBUTES = ["data-dpe", "data-classe-energie", "data-classe-dpe", "data-energy-class", "data-energie"]
 DPE_ALT = "(?i)(?:dpe|etiquette\\s+energie|classe\\s+energie)[\\s\\-:]*(?:lettre\\s+)?([A-G])\\b"
 DPE_CLASS = "(?i)(?:^|[\\s\\-_])(?:dpe|classe|class|letter|lettre|energy)[\\s\\-_]?([A-G])(?:[\\s\\-_]|$)"
@@ -174,6 +175,7 @@ PHONE_LABELS = [
 PHONE_FREE = "((?:0|\\+33|0033)[\\s.\\-]?[1-9](?:[\\s.\\-]?[0-9]{2}){4})"
 EMAIL = "[A-Za-z0-9._%+\\-]{1,64}@[A-Za-z0-9.\\-]{1,253}\\.[A-Za-z]{2,24}"
 OBFUSCATED = "(?i)([A-Za-z0-9._%+\\-]{1,64})\\s*[\\[(]\\s*\\bat\\b\\s*[\\])]\\s*([A-Za-z0-9.\\-]{1,64})\\s*[\\[(]\\s*\\bdot\\b\\s*[\\])]\\s*([A-Za-z]{2,8})"
+OBFUSCATED_MARK = "(?i)[\\[(]\\s*at\\b"
 EMAIL_REJECTS = [".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", "x320", "x640", "x1024", "sentry", "example.com"]
 OBFUSCATED_CHARS, EMAIL_CHARS = 32_000, 256_000
 
