@@ -4,13 +4,16 @@ The automaton reads token sequences and accepts those that BPE itself makes. It
 is compiled by adding one gadget per merge, in order of rank: for the merge
 (u, v) every state with an arc u into a state with an arc v gets an arc uv; uv
 leads to a copy of v's state as it is then; and u's state loses its arc v. So a
-state is known by the token last read. States are kept as tables, not as copies:
-which arcs a state lost and when, whose copy it is and since when, from which
-arc a new arc comes. A transition looks only these up.
-
-A text has exactly one accepted path, so a word is encoded by following arcs
-that spell it, longest labels first, back from dead ends. Decoding emits the
-arcs' labels.
+state is known by the token last read, and has an arc for nearly every token:
+written out, the table would have some 2.4 billion cells. It is kept as gadgets
+(which arcs a state lost and when, whose copy it is and since when, from which
+arc a new arc comes), and a cell is worked out from them once, when it is first
+asked for.
+
+Words are read by a second deterministic table, of the arcs' labels with failure
+links, which names all labels that end at a symbol. BPE has exactly one path for
+every prefix of a word, so exactly one of them continues the path that the prefix
+before it has; nothing is ever taken back. Decoding emits the arcs' labels.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import json
 import unicodedata
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -31,9 +35,12 @@ from gleaner.llm.common import table
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words whose ids are remembered in a worker; beyond that it starts anew.
 REMEMBERED = 200_000
+#: Cells of the transition table that are kept in a worker; beyond that it starts anew.
+REMEMBERED_CELLS = 1_000_000
 
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _NEVER = 1 << 40
+_END = "\ue000"
 
 
 def byte_symbols() -> list[str]:
@@ -70,7 +77,13 @@ class Automaton:
                 continue
             self.lost[u, v] = rank
         self.arcs = {t: i for t, i in vocab.items() if i not in dead}
-        self.longest = max(map(len, self.arcs))
+        # labels by their symbols, with one symbol of its own for a word's end
+        self.labels = ahocorasick.Automaton()
+        for t, i in self.arcs.items():
+            spelled = t.removesuffix(self.end) + _END if self.end and t.endswith(self.end) else t
+            self.labels.add_word(spelled, (i, len(spelled)))
+        self.labels.make_automaton()
+        self.cells: dict[int, bool] = {}
         self.symbols = {b: s for b, s in enumerate(byte_symbols())}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words: dict[str, bytes] = {}
@@ -88,28 +101,31 @@ class Automaton:
             else:  # a copy of the state of its right part, from before that merge
                 state, before = self.right[state], made[state]
 
+    def has(self, state: int, arc: int) -> bool:
+        """A cell of the transition table."""
+        cell = state * len(self.label) + arc
+        found = self.cells.get(cell)
+        if found is None:
+            if len(self.cells) >= REMEMBERED_CELLS:
+                self.cells.clear()
+            found = self.cells[cell] = self.allows(state, arc)
+        return found
+
     def path(self, word: str) -> list[int]:
         """The accepted path that spells the word, given in byte symbols."""
-        n, arcs, end = len(word), self.arcs, self.end
-        out: list[int] = []
-        starts, tries = [0], [min(n, self.longest)]
-        while starts[-1] < n:
-            i, size = starts[-1], tries[-1]
-            while size > 0:
-                t = arcs.get(word[i : i + size] + end if i + size == n else word[i : i + size])
-                size -= 1
-                if t is not None and (not out or self.allows(out[-1], t)):
-                    break
-            else:  # a dead end: take back the last arc
-                starts.pop()
-                tries.pop()
-                out.pop()
-                continue
-            tries[-1] = size
-            out.append(t)
-            starts.append(i + size + 1)
-            tries.append(min(n - starts[-1], self.longest))
-        return out
+        if self.end:
+            word += _END
+        state, size = [-1] * (len(word) + 1), [0] * (len(word) + 1)
+        for at, (arc, n) in self.labels.iter(word):
+            at += 1
+            start = at - n
+            if state[at] < 0 and (start == 0 or (state[start] >= 0 and self.has(state[start], arc))):
+                state[at], size[at] = arc, n
+        out, at = [], len(word)
+        while at:
+            out.append(state[at])
+            at -= size[at]
+        return out[::-1]
 
     def _word(self, word: str) -> bytes:
         found = np.array(self.path(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.symbols)), "<u4").tobytes()
@@ -178,4 +194,5 @@ def digests(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:
+    """``digests`` of whole ``documents``."""
     return digests(table(spark, sf_dir, "documents"))
