@@ -9,32 +9,56 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
+
+    Only under a local master, as in tests, a temporary folder is made and set
+    where none is named; on a cluster that would be each machine's own.
+    """
+    found = spark.conf.get(CHECKPOINT_DIR, None)
+    if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="gleaner-")
+        spark.conf.set(CHECKPOINT_DIR, found)
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that this run wrote into the shared folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
 
 class Shared:
-    """Writes a phase's table once and reads it again; the folder goes when the process ends.
+    """Tables in the shared folder: written once, read again, so they survive the loss of any executor.
 
-    The folder is in ``spark.checkpoint.dir``; only under a local master, as in
-    tests, a temporary one is made and set where that is unset.
+    ``drop`` deletes those that no later read needs; the others go when the Python
+    process ends.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, name: str = "run"):
         self.spark = spark
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not re.match(r"local(\[|$)", spark.sparkContext.master):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            folder = "file://" + tempfile.mkdtemp(prefix="gleaner-")
-            spark.conf.set("spark.checkpoint.dir", folder)
-        self.root = f"{folder.rstrip('/')}/gleaner-run-{uuid.uuid4().hex[:12]}"
+        self.root = f"{shared_dir(spark)}/gleaner-{name}-{uuid.uuid4().hex[:12]}"
         atexit.register(self._end)
 
     def _end(self) -> None:
         try:
-            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # the JVM may be gone already
+            drop_path(self.spark, self.root)
+        except Exception:  # the JVM may be gone already; the folder is the cluster's scratch space
             pass
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+        path = self.path(name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        drop_path(self.spark, self.path(name))
