@@ -2,67 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import tempfile
-import uuid
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
+from gleaner.shared import Shared
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    Only under a local master, as in tests, a temporary folder is made and set
-    where none is named; on a cluster that would be each machine's own.
-    """
-    found = spark.conf.get(CHECKPOINT_DIR, None)
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="gleaner-")
-        spark.conf.set(CHECKPOINT_DIR, found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a table that this run wrote into the shared folder."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-class Scratch:
-    """Tables in the shared folder that cut lineage: written once, read again.
-
-    They survive the loss of any executor. ``close`` deletes those that no
-    later read needs; the others go when the Python process ends.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/gleaner-{name}-{uuid.uuid4().hex[:12]}"
-        atexit.register(self._end)
-
-    def _end(self) -> None:
-        try:
-            drop_path(self.spark, self.root)
-        except Exception:  # the JVM may be gone already; the folder is the cluster's scratch space
-            pass
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        drop_path(self.spark, self.path(name))
+#: Tables in the shared folder that cut lineage.
+Scratch = Shared
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

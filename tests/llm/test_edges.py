@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import bpe, common, licenses, linededup, media, quality, shards, simhash, toxicity, urlfilter, winnow
+from gleaner.llm import bpe, licenses, linededup, media, quality, shards, simhash, toxicity, urlfilter, winnow
+from gleaner.shared import shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, n_chars long, fp long, score double, `row` string, kept string"
 LONG = "mot " * 30_000
@@ -91,7 +92,7 @@ def test_a_cluster_needs_a_shared_folder():
             master = "local-cluster[3,2,1024]"
 
     with pytest.raises(RuntimeError, match="share"):
-        common.shared_dir(Cluster)
+        shared_dir(Cluster)
 
 
 def test_licenses(docs, none):
