@@ -153,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: in
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted``, a row per document.
 
-    Null and empty texts are scored by their statistics, mostly 0. Rows that
+    Null and empty texts are scored by their statistics, mostly 0; a score of 0.5
+    counts as label 1, so without labels all do. Rows that
     repeat an id each get a row; a null id isn't held out. Other columns are
     ignored.
     """
@@ -166,4 +167,5 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:
+    """``quality`` of whole ``documents``, learnt from ``labels`` outside the held-out third."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

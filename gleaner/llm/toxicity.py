@@ -125,7 +125,8 @@ def score_column(model: Machine, text: Column | str) -> Column:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted``, a row per document.
 
-    Null and empty texts have the score of no terms. Rows that repeat an id each
+    Null and empty texts have the score of no terms; a score of 0.5 counts as
+    label 1. Rows that repeat an id each
     get a row; a null id isn't held out. Other columns are ignored.
     """
     model = fit(docs, labels)
@@ -134,6 +135,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
+    """``toxicity`` of whole ``documents``, learnt from ``labels`` outside the held-out fifth."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -5,6 +5,7 @@ import random
 import zlib
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,12 @@ def test_toxicity_and_quality(docs, none, labels):
     assert toxicity.keep_clean(docs, labels.limit(0)).columns == docs.columns
 
 
+def test_ties_count_as_label_1(docs, labels, monkeypatch):
+    assert {(r.score, r.predicted) for r in quality.quality(docs, labels.limit(0)).collect()} == {(0.5, 1)}
+    monkeypatch.setattr(toxicity, "fit", lambda *a: toxicity.Machine(0.0, {}, np.zeros(0), np.zeros((0, toxicity.FACTORS))))
+    assert {(r.score, r.predicted) for r in toxicity.toxicity(docs, labels).collect()} == {(0.5, 1)} and toxicity.keep_clean(docs, labels).count() == 0
+
+
 def test_shards(docs, none):
     rows = shards.shard(docs).collect()
     counts = [sum(r.shard == s for r in rows) for s in range(8)]
