@@ -135,6 +135,15 @@ for _field in CASES:
     _extraction(_field)
 
 
+@_query(
+    "extract_pages",
+    """select page_id, '' as reference_id, '' as coordinates, '' as dpe_rating from pages""",
+)
+def _extract_pages(spark, sf_dir):
+    """All twelve fields of the supplied pages, which hold none of these three; its time is that of extraction over whole pages."""
+    return extract.extract_fields(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "reference_id", "coordinates", "dpe_rating")
+
+
 # --- discovery ---------------------------------------------------------------
 
 _SITES = "(select cast(s_suppkey as string) as s, concat('site', cast(s_suppkey as string), '.fr') as domain, concat('https://www.site', cast(s_suppkey as string), '.fr/') as url from supplier)"

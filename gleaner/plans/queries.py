@@ -38,8 +38,23 @@ ANCHORS_DUCKDB = """(select page_id, url, i - 1 as pos, hrefs[i] as href from (s
 TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "events", "pages", "documents"]
 
 
+_MADE: dict[tuple[str, str], DataFrame] = {}
+
+
 def _source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A query in parentheses over the supplied tables, which are read where they are; no view is made or replaced."""
+    """A query in parentheses over the supplied tables, which are read where they are; no view is made or replaced.
+
+    The synthetic listings, which many queries take, are written once in a session.
+    """
+    if sql == SYN:
+        key = spark.sparkContext.applicationId, sf_dir
+        if key not in _MADE:
+            _MADE[key] = Shared(spark).table(_read(spark, sf_dir, sql), "listings")
+        return _MADE[key]
+    return _read(spark, sf_dir, sql)
+
+
+def _read(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     sql = re.sub(rf"\b(from|join) ({'|'.join(TABLES)})\b", rf"\1 parquet.`{sf_dir}/\2.parquet` as \2", sql)
     return spark.sql(f"select * from {sql}")
 
