@@ -127,18 +127,22 @@ class Engine:
 
     def _read(self, folder: str, name: str, columns: list[str]) -> DataFrame:
         schema = ", ".join(f"`{c}` {'bigint' if c == 'listing_count' else 'string'}" for c in columns)
-        rows = self.spark.read.schema(schema).option("header", True).option("nullValue", "\0").option("emptyValue", "").option("multiLine", True).option("escape", '"')
+        rows = self.spark.read.schema(schema).option("header", True).option("nullValue", "\0").option("emptyValue", "").option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True)
         return rows.csv(f"{folder}/{name}").na.fill("")
 
     def _save(self, df: DataFrame, path: str, mode: str) -> None:
         df.write.mode(mode).option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
-    def write(self, out: Outputs, folder: str, mode: str | None = None) -> str:
-        """Listings, errors and summary as CSV, and the report in sorted text files; returns the report's head, without the failed domains."""
+    def write(self, out: Outputs, folder: str, batch: int | None = None) -> str:
+        """Listings, errors and summary as CSV, and the report in sorted text files; returns the report's head, without the failed domains.
+
+        A ``batch`` has folders of its own in those of the tables, which are replaced
+        if it is written again.
+        """
         c = self.config
-        mode = mode or ("append" if c.keep_outputs else "overwrite")
+        mode, part = ("append" if c.keep_outputs else "overwrite", "") if batch is None else ("overwrite", f"/batch-{batch:09d}")
         for name, df in ((c.listings_name, out.listings), (c.error_log_name, out.errors), (c.domain_summary_name, out.summary)):
-            self._save(df, f"{folder}/{name}", mode)
+            self._save(df, f"{folder}/{name}{part}", mode)
         return self.report(folder)
 
     def report(self, folder: str) -> str:
@@ -159,18 +163,19 @@ class Engine:
     def stream(self, agencies: str, pages: DataFrame, folder: str, checkpoint: str, **more):
         """Runs over agency files as they arrive, ``max_files_per_trigger`` at a time; returns the streaming query.
 
-        Each batch's outputs are appended and its domains marked as completed, so a
-        domain is done once, across batches and restarts. A batch that is replayed
-        after a crash finds its domains completed where they were marked.
+        Each batch's outputs are added and its domains marked as completed with its
+        number, so a domain is done once, across batches and restarts. A batch that is
+        replayed after a crash does its own domains anew and replaces its outputs.
         """
         done = f"{checkpoint.rstrip('/')}-completed"
         rows = self.spark.readStream.schema(", ".join(f"{c} string" for c in AGENCY_COLUMNS)).option("header", True).option("maxFilesPerTrigger", self.config.max_files_per_trigger).csv(agencies)
 
-        def batch(df: DataFrame, _: int) -> None:
+        def batch(df: DataFrame, number: int) -> None:
             new = Shared(self.spark).table(df.select(F.monotonically_increasing_id().alias("seq"), *AGENCY_COLUMNS), "agencies")
-            out = self.run(new, pages, completed=read_completed(self.spark, done), **more)
-            self.write(out, folder, "append")
-            mark_completed(out.summary, done)
+            before = read_completed(self.spark, done, but=f"batch-{number:09d}")
+            out = self.run(new, pages, completed=before, **more)
+            self.write(out, folder, number)
+            mark_completed(out.summary, f"{done}/batch-{number:09d}", reset=True)
 
         return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

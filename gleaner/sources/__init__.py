@@ -84,10 +84,12 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     fs.delete(old, True)
 
 
-def read_completed(spark: SparkSession, path: str) -> DataFrame:
-    """Completed domains, from a JSON file or from the Parquet folder that ``mark_completed`` appends to."""
+def read_completed(spark: SparkSession, path: str, but: str = "") -> DataFrame:
+    """Completed domains, from a JSON file or from the Parquet folder that ``mark_completed`` appends to, less those in its subfolder ``but``."""
     if _kind(spark, path) == "folder":
-        return spark.read.schema("domain string").parquet(path).select(F.lower(F.trim("domain")).alias("domain")).distinct()
+        rows = spark.read.schema("domain string").option("recursiveFileLookup", True).parquet(path)
+        rows = rows.where(~F.col("_metadata.file_path").contains(f"/{but}/")) if but else rows
+        return rows.select(F.lower(F.trim("domain")).alias("domain")).distinct()
     rows = _json_or(spark, path, "struct<completed:array<string>>")
     return rows.select(F.explode("x.completed").alias("d")).select(F.lower(F.trim("d")).alias("domain")).distinct()
 

@@ -132,5 +132,10 @@ def test_runs_over_arriving_files(spark, tmp_path):
     for k, sites in enumerate((["a.fr"], ["a.fr", "b.fr"])):
         (tmp_path / "in" / f"{k}.csv").write_text(head + "".join(f"A,,,,,,,,{s}\n" for s in sites))
         Engine(spark).stream(str(tmp_path / "in"), pages, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-        rows = spark.read.option("header", True).csv(str(tmp_path / "out" / "listings_consolidated")).collect()
-        assert sorted(r.source_domain for r in rows) == [s for s in ("a.fr", "b.fr")][: k + 1]
+        rows = spark.read.option("header", True).option("recursiveFileLookup", True).csv(str(tmp_path / "out" / "listings_consolidated")).collect()
+        assert sorted(r.source_domain for r in rows) == ["a.fr", "b.fr"][: k + 1]
+    # the second batch again, as after a crash before its commit
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "commits" / name).unlink()
+    Engine(spark).stream(str(tmp_path / "in"), pages, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert Engine(spark)._read(str(tmp_path / "out"), "listings_consolidated", ["price"]).count() == 2
