@@ -1,8 +1,10 @@
 """Connected components by alternating star operations over an edge table.
 
-Each round is two joins and two aggregations on the edges alone; rounds are
-written to the shared folder, so lineage stays short and nothing is collected
-but two numbers that tell whether a round changed anything.
+Each round is two aggregations and two joins on the edges alone. Their results
+are written to the shared folder, so lineage and plans stay short, and a join
+meets two written tables: partitions with a large star's centre are split by the
+adaptive plan. Nothing is collected but two numbers that tell whether a round
+changed anything.
 """
 
 from __future__ import annotations
@@ -12,21 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner.llm.common import Scratch
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Large star: every larger neighbour of u, and u, point to u's least neighbour."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    larger = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return larger.where("u <> v").distinct()
-
-
-def _small(edges: DataFrame) -> DataFrame:
-    """Small star: u (the larger end of each edge) and its smaller neighbours point to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-
-
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """``edges(u, v)`` of longs -> ``(node, root)``: root is the least node of the component.
 
@@ -42,5 +29,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         if tuple(state) == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen, k = tuple(state), k + 1
-        now = scratch.table(_small(_star(now)), f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
+        # large star: every larger neighbour of u, and u, point to u's least neighbour
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-least-{k}")
+        star = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        star = scratch.table(star.distinct(), f"{name}-star-{k}")
+        # small star: u (the larger end of each edge) and its smaller neighbours point to the least of them
+        lower = scratch.table(star.groupBy("u").agg(F.min("v").alias("m")), f"{name}-lower-{k}")
+        moved = star.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = scratch.table(moved.union(lower.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{name}-{k}")
+        for used in (f"{name}-{k - 1}", f"{name}-least-{k}", f"{name}-star-{k}", f"{name}-lower-{k}"):
+            scratch.drop(used)

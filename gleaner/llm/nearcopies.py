@@ -221,8 +221,8 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: float = LEAST, radiu
     members = groups.join(nodes.select("s", "n", "text_hash"), "s")
     found = components(checked(members, texts.select("text_hash", "text"), words, least, scratch), scratch).withColumnRenamed("node", "s")
     roots = scratch.table(nodes.select("s", "rows", "least").join(found, "s", "left").withColumn("root", F.coalesce("root", "s")), "roots")
-    least_id = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = scratch.table(roots.join(least_id, "root").select("s", "rows", "component_id"), "known")
+    least_id = scratch.table(roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes")), "least")
+    known = scratch.table(join_counted(roots, least_id, "root", "nodes").select("s", "rows", "component_id"), "known")
     return join_counted(made.select("s", "doc_id", "text_hash"), known, "s", "rows").select("doc_id", "text_hash", "component_id")
 
 

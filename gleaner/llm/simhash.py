@@ -156,8 +156,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, radius: in
     found = components(edges, scratch).withColumnRenamed("node", "fp")
     # a root isn't a node of `found`; it stands for itself, as fingerprints without links do
     roots = scratch.table(nodes.join(found, "fp", "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root")), "roots")
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = scratch.table(roots.join(least, "root").select("fp", "n", "component_id"), "known")
+    least = scratch.table(roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes")), "least")
+    known = scratch.table(join_counted(roots, least, "root", "nodes").select("fp", "n", "component_id"), "known")
     return join_counted(made, known, "fp", "n")
 
 
