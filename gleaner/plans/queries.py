@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleaner import vocabulary as v
 from gleaner.functions import text as tx, url as ux
@@ -153,8 +153,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("seq", "domain", F.col("u_key").alias("url_key"), "ref", "content", *v.LISTING_FIELDS)
 
 
-def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Shared(spark).table(listings(spark, sf_dir), "listings")  # read twice, resolved once
+def accepted(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFrame:
+    """These columns of the listings that the ordered dedup keeps; the listings are resolved once, and no other columns are written."""
+    rows = Shared(spark).table(listings(spark, sf_dir).select("domain", "seq", "ref", "url_key", "content", *columns), "listings")
     return rows.join(dedup.three_tier(rows), ["domain", "seq"], "left_semi")
 
 
@@ -194,12 +195,14 @@ _FIELDS_SQL = " union all ".join(f"select '{f}' as field, count(*) filter (trim(
 
 @_query("field_completeness", f"with {_FOLD}, c as ({_FIELDS_SQL}) select field, filled, {tx.percent(DUCKDB, 'filled', 'total')} as rate from c")
 def field_completeness(spark, sf_dir):
-    return rel.field_completeness(accepted(spark, sf_dir))
+    # a field counts if it isn't blank, so a mark stands for its text
+    filled = [F.when(F.trim(f) != "", "x").otherwise("").alias(f) for f in v.LISTING_FIELDS]
+    return rel.field_completeness(accepted(spark, sf_dir, *filled))
 
 
 @_query("top_domains", f"with {_FOLD} select lower(trim(source_domain)) as domain, count(*) as listings from accepted group by 1 order by 2 desc, 1 limit 25")
 def _top(spark, sf_dir):
-    return rel.top_domains(accepted(spark, sf_dir))
+    return rel.top_domains(accepted(spark, sf_dir, "source_domain"))
 
 
 AGENCIES = """(
