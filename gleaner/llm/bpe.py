@@ -34,9 +34,9 @@ from gleaner.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words whose ids are remembered in a worker; beyond that it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Cells of the transition table that are kept in a worker; beyond that it starts anew.
-REMEMBERED_CELLS = 400_000
+REMEMBERED_CELLS = 200_000
 
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _NEVER = 1 << 40
