@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from functools import lru_cache
 
@@ -34,7 +35,7 @@ from gleaner.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words whose ids are remembered in a worker; beyond that it starts anew.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 #: Cells of the transition table that are kept in a worker; beyond that it starts anew.
 REMEMBERED_CELLS = 200_000
 
@@ -116,11 +117,19 @@ class Automaton:
         if self.end:
             word += _END
         state, size = [-1] * (len(word) + 1), [0] * (len(word) + 1)
-        for at, (arc, n) in self.labels.iter(word):
-            at += 1
-            start = at - n
-            if state[at] < 0 and (start == 0 or (state[start] >= 0 and self.has(state[start], arc))):
-                state[at], size[at] = arc, n
+        known, width = self.cells.get, len(self.label)
+        for last, (arc, n) in self.labels.iter(word):
+            at = last + 1
+            if state[at] >= 0:
+                continue
+            if at > n:
+                before = state[at - n]
+                if before < 0:
+                    continue
+                found = known(before * width + arc)
+                if not (self.has(before, arc) if found is None else found):
+                    continue
+            state[at], size[at] = arc, n
         out, at = [], len(word)
         while at:
             out.append(state[at])
@@ -128,7 +137,10 @@ class Automaton:
         return out[::-1]
 
     def _word(self, word: str) -> bytes:
-        found = np.array(self.path(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.symbols)), "<u4").tobytes()
+        # printable ASCII stands for itself
+        spelled = word if word.isascii() and word.isprintable() else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.symbols)
+        path = self.path(spelled)
+        found = struct.pack(f"<{len(path)}I", *path)
         if len(self.words) >= REMEMBERED:
             self.words.clear()
         self.words[word] = found
