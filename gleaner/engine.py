@@ -16,7 +16,8 @@ from gleaner.operators import classify as cl, dedup, discovery, relational as re
 from gleaner.operators.extract import extract_listings
 from gleaner.plans.report import report, report_head
 from gleaner.shared import Shared
-from gleaner.sources import AGENCY_COLUMNS, mark_completed, read_agencies, read_completed, read_geocode_cache, replace_folder, with_domain
+from gleaner.sources import AGENCY_COLUMNS, mark_completed, read_agencies, read_completed, read_geocode_cache, replace_folder
+from gleaner.sources.suffixes import with_domain
 
 
 @dataclass

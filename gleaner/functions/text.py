@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import html5
 
-from gleaner.functions.dialect import SPACE, Dialect, Steps
+from gleaner.functions.dialect import SPACE, SPARK, Dialect, Steps
 
 
 def _decomposed(c: str) -> str:
@@ -84,3 +85,29 @@ def percent(d: Dialect, part: str, total: str) -> str:
     value = f"cast({part} as double) / {total} * 100"
     shown = f"format_string('%.1f%%', bround({value}, 1))" if d.spark else f"printf('%.1f%%', {value})"
     return f"case when {total} <= 0 then '0.0%' else {shown} end"
+
+
+def decode_steps(x: str, out: str) -> Steps:
+    """Spark: text of an element's inner source: CDATA sections as they stand, character references decoded, no white space at the ends.
+
+    Decimal, hexadecimal and all named references count, and as HTML has it those of the older names without a
+    semicolon too. Numbers that name no character give U+FFFD, those from 128 to 159 the characters of windows-1252.
+    """
+    d, named = SPARK, sorted(k for k in html5 if k.endswith(";"))
+    older = "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
+    unit = chr(0x1F)
+    table = f"map_from_arrays(split({d.lit(unit.join(named))}, {d.lit(unit)}), split({d.lit(unit.join(html5[k] for k in named))}, {d.lit(unit)}))"
+    c1 = [(chr(b), bytes([b]).decode("cp1252", "replace")) for b in range(0x80, 0xA0)]
+    c1 = [(a, b) for a, b in c1 if b != "\ufffd"]
+    digits = "case when r.ref rlike '^#[xX]' then conv(regexp_extract(r.ref, '^#[xX]0*([0-9a-fA-F]+)', 1), 16, 10) else regexp_extract(r.ref, '^#0*([0-9]+)', 1) end"
+    number = f"coalesce(try_cast({digits} as bigint), 1114112)"
+    char = f"translate(decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32'), {d.lit(''.join(a for a, _ in c1))}, {d.lit(''.join(b for _, b in c1))})"
+    # an array of one number binds it for the test and the character
+    numeric = f"transform(array({number}), n -> case when n = 0 or n > 1114111 or n between 55296 and 57343 then {d.lit(chr(0xFFFD))} else {char} end)[0]"
+    bare = f"case when r.old <> '' then concat(try_element_at({table}, concat(r.old, ';')), substring(r.rest, length(r.old) + 1)) else concat('&', r.rest) end"
+    name = f"case r.ref when 'amp;' then '&' when 'lt;' then '<' when 'gt;' then '>' when 'quot;' then '\"' when 'apos;' then {d.lit(chr(39))} else try_element_at({table}, r.ref) end"
+    refs = f"transform(slice(split({x}, '&'), 2, 1000000000), p -> struct(p as rest, regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[0-9A-Za-z]+;)', 0) as ref, regexp_extract(p, {d.lit(f'^({older})')}, 0) as old))"
+    decoded = f"transform({refs}, r -> case when r.ref like '#%' then concat({numeric}, substring(r.rest, length(r.ref) + 1)) else coalesce(concat({name}, substring(r.rest, length(r.ref) + 1)), {bare}) end)"
+    plain = f"case when contains({x}, '&') then concat(substring_index({x}, '&', 1), array_join({decoded}, '')) else {x} end"
+    sections = d.sub(x, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
+    return [(out, d.strip(f"(case when contains({x}, '<![CDATA[') then {sections} else {plain} end)"))]

@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gleaner import vocabulary as v
 from gleaner.config import EngineConfig
 from gleaner.functions.dialect import SPARK, apply, keep
+from gleaner.functions.text import decode_steps
 from gleaner.functions.url import under_domain, url_steps
 from gleaner.html import parse
 from gleaner.operators.classify import classify_steps, family_steps
 from gleaner.operators.dedup import first_of
 from gleaner.operators.relational import expand_hubs, rank_candidates
+from gleaner.shared import Shared
+
 
 def anchors(pages: DataFrame) -> DataFrame:
     """``pages(domain, url, html)`` -> each ``a[href]`` in order: ``domain, src, pos, dst``, made absolute."""
@@ -44,30 +47,39 @@ def classified(links: DataFrame, url: str = "dst") -> DataFrame:
 
 
 def sitemap_locs(bodies: DataFrame) -> DataFrame:
-    """``bodies(domain, url, body)`` -> ``domain, src, pos, loc``: the locations of sitemaps and whether they are indexes."""
+    """``bodies(domain, url, body)`` -> ``domain, src, is_index, pos, loc``: the locations of sitemaps and whether they are indexes.
+
+    Character references and CDATA sections are decoded. Locations that are empty without white space drop out.
+    """
     head = F.lower(F.substring("body", 1, 4096))
     maps = bodies.where(head.contains("<urlset") | head.contains("<sitemapindex") | head.contains("<loc>"))
-    locs = F.regexp_extract_all("body", F.lit(r"<loc>\s*([^<]*?)\s*</loc>"), F.lit(1))
-    locs = F.transform(locs, lambda x: F.replace(x, F.lit("&amp;"), F.lit("&")))
-    return maps.select("domain", F.col("url").alias("src"), head.contains("<sitemapindex").alias("is_index"), F.posexplode(locs).alias("pos", "loc"))
+    locs = F.regexp_extract_all(F.regexp_replace("body", "(?s)<!--.*?-->", ""), F.lit(v.SITEMAP_LOC), F.lit(1))
+    rows = maps.select("domain", F.col("url").alias("src"), head.contains("<sitemapindex").alias("is_index"), F.posexplode(locs).alias("pos", "raw"))
+    return apply(rows, decode_steps("raw", "loc")).where("loc <> ''").select("domain", "src", "is_index", "pos", "loc")
 
 
 def walk_sitemaps(roots: DataFrame, bodies: DataFrame, depth: int) -> DataFrame:
     """``roots(domain, url, seq)`` over stored sitemaps: page locations in visit order, level by level, ``depth`` levels of indexes.
 
-    Within a level children of indexes with a hint of listings come first, then the shorter ones.
+    Within a level children of indexes with a hint of listings come first, then the
+    shorter ones. Rounds follow indexes alone, over a table of visited maps that grows
+    by a part each round; the maps' page locations join once, at the end.
     """
-    locs = sitemap_locs(bodies)
-    level, seen, found = roots.select("domain", "url", F.col("seq").cast("long").alias("seq")), roots.select("domain", "url"), None
-    for k in range(depth + 1):
-        here = level.join(locs, (level.domain == locs.domain) & (level.url == locs.src)).select(level.domain, "loc", "is_index", "pos", level.seq.alias("up"))
-        out = here.where("not is_index").select("domain", F.col("loc").alias("url"), F.struct(F.lit(k).alias("level"), "up", "pos").alias("order"))
-        found = out if found is None else found.union(out)
-        rank = Window.partitionBy("domain").orderBy(F.desc(F.col("loc").rlike(v.LISTING_HINT)), F.length("loc"), "up", "pos")
-        level = here.where("is_index").withColumn("seq", F.row_number().over(rank).cast("long")).select("domain", F.col("loc").alias("url"), "seq")
-        level = first_of(level.join(seen, ["domain", "url"], "left_anti"), ["domain", "url"], ["seq"])
-        seen = seen.union(level.select("domain", "url"))
-    return first_of(found, ["domain", "url"], ["order"])
+    shared = Shared(roots.sparkSession, "sitemaps")
+    locs = shared.table(sitemap_locs(bodies), "locs")
+    visited, place = "domain string, src string, up bigint", F.min("seq").cast("bigint").alias("up")
+    shared.add(roots.groupBy("domain", F.col("url").alias("src")).agg(place), "visited", 0)
+    for k in range(depth):
+        level = shared.parts("visited", visited).where(F.col("part") == k)
+        if level.isEmpty():
+            break
+        here = level.join(locs.where("is_index"), ["domain", "src"]).select("domain", F.col("loc").alias("src"), "up", "pos")
+        rank = Window.partitionBy("domain").orderBy(F.desc(F.col("src").rlike(v.LISTING_HINT)), F.length("src"), "up", "pos")
+        fresh = here.withColumn("seq", F.row_number().over(rank)).join(shared.parts("visited", visited).select("domain", "src"), ["domain", "src"], "left_anti")
+        shared.add(fresh.groupBy("domain", "src").agg(place), "visited", k + 1)
+    found = shared.parts("visited", visited).join(locs.where("not is_index"), ["domain", "src"])
+    order = F.struct(F.col("part").alias("level"), "up", "pos")
+    return found.groupBy("domain", F.col("loc").alias("url")).agg(F.min(order).alias("order"))
 
 
 def sitemap_candidates(sites: DataFrame) -> DataFrame:

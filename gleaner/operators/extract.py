@@ -23,7 +23,7 @@ from gleaner.functions.dialect import SPARK, apply, keep
 from gleaner.functions.url import url_steps
 from gleaner.html import Node, parse
 from gleaner.operators.classify import publishable
-from gleaner.sources import registrable_domain
+from gleaner.sources.suffixes import with_domain
 
 FIELDS = ["price", "reference_id", "property_type", "surface_area", "rooms", "bedrooms", "dpe_rating", "location", "coordinates", "phone_number", "email", "agent_name"]
 
@@ -588,7 +588,7 @@ def extract_listings(pages: DataFrame, resolvers: dict[str, Resolver] | None = N
     own = pages.withColumn("_agency", agency).withColumn("_domain", F.col("domain") if "domain" in pages.columns else F.lit(""))
     rows = apply(extract_fields(own, resolvers), url_steps(SPARK, "url"))
     rows = rows.withColumn("agency_name", F.col("_agency")).withColumn("source_url", F.when(F.col("u_canonical") == "", F.col("url")).otherwise(F.col("u_canonical")))
-    rows = rows.withColumn("source_domain", F.coalesce(F.nullif(registrable_domain(F.col("u_host")), F.lit("")), F.col("_domain")))
+    rows = with_domain(rows, "u_host", "source_domain").withColumn("source_domain", F.coalesce(F.nullif("source_domain", F.lit("")), F.col("_domain")))
     rows = rows.withColumn("_publishable", F.expr(publishable(SPARK)))
     first = [c for c in pages.columns if c not in v.LISTING_FIELDS]
     return keep(rows, "_publishable").select(*first, *v.LISTING_FIELDS)

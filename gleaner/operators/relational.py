@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner import vocabulary as v
-from gleaner.functions.dialect import SPARK, apply
+from gleaner.functions.dialect import SPARK, apply, keep
 from gleaner.functions.text import clean
 from gleaner.functions.url import url_steps
 from gleaner.operators.dedup import first_of
-from gleaner.sources import registrable_domain
+from gleaner.shared import Shared
+from gleaner.sources.suffixes import with_domain
 
 CONTACTS = ["agency_name", "agent_name", "phone", "city", "postalcode"]
 
@@ -19,19 +20,19 @@ def clean_agencies(agencies: DataFrame) -> DataFrame:
     names = {"company_name": "agency_name", "contact_person_last_name": "agent_name", "phone_1": "phone", "city": "city", "postalcode": "postalcode", "website": "website"}
     rows = agencies.select("seq", *[F.expr(clean(SPARK, old)).alias(new) for old, new in names.items()])
     rows = rows.withColumn("agency_name", F.when(F.col("agency_name") == "", "Unknown Agency").otherwise(F.col("agency_name")))
-    rows = apply(rows, url_steps(SPARK, "website"))
-    return rows.select("seq", *CONTACTS, F.col("u_full").alias("url"), registrable_domain(F.col("u_host")).alias("domain"))
+    rows = with_domain(apply(rows, url_steps(SPARK, "website")))
+    return rows.select("seq", *CONTACTS, F.col("u_full").alias("url"), "domain")
 
 
 def load_jobs(agencies: DataFrame) -> DataFrame:
     """One job per domain: the first row's URL, and of each contact the longest value, the earliest of equal ones."""
-    rows = clean_agencies(agencies).where("domain <> ''")
+    rows = keep(clean_agencies(agencies), "domain <> ''")
     best = [F.max_by(c, F.struct(F.length(c), -F.col("seq"))).alias(c) for c in CONTACTS]
     return rows.groupBy("domain").agg(F.min("seq").alias("job_seq"), F.min_by("url", "seq").alias("url"), *best, F.count("*").alias("rows_merged"))
 
 
 def no_website(agencies: DataFrame) -> DataFrame:
-    return clean_agencies(agencies).where("domain = ''").select("agency_name")
+    return keep(clean_agencies(agencies), "domain = ''").select("agency_name")
 
 
 def pending(jobs: DataFrame, completed: DataFrame, limit: int | None = None) -> DataFrame:
@@ -70,30 +71,46 @@ def rank_candidates(urls: DataFrame, limit: int) -> DataFrame:
 
 
 def expand_hubs(seeds: DataFrame, anchors: DataFrame, depth: int, budget: int) -> DataFrame:
-    """Bounded breadth-first search: ``seeds(domain, url, kind, seq)`` over ``anchors(domain, src, dst, kind, pos)``.
+    """Bounded breadth-first search: ``seeds(domain, url, kind, seq)`` over ``anchors(domain, src, dst, kind, pos)`` -> details as ``domain, url, depth, seq``.
 
     Details are kept at any depth. A hub is fetched once, up to ``depth``, and at
-    most ``budget`` hubs for a domain, first come first served. The loop runs
-    ``depth`` rounds of joins; each round's order is that of its hubs and of the
-    anchors in them.
+    most ``budget`` hubs for a domain, first come first served. A round's order is
+    that of its hubs and of the anchors in them.
+
+    The state is two tables in the shared folder that grow by a part each round: the
+    nodes seen and the hubs opened. A round reads them whole, so its plan has the
+    same size at any depth, and a lost executor costs one round's tasks.
     """
-    level = first_of(seeds, ["domain", "url"], ["seq"]).select("domain", "url", "kind", F.col("seq").cast("bigint").alias("seq"))
-    found, seen = level.where("kind = 'detail'").select("domain", "url", F.lit(1).alias("depth"), "seq"), level.select("domain", "url")
-    spent = None
-    for round_ in range(1, depth + 1):
-        hubs = level.where("kind = 'hub'").withColumn("_n", F.row_number().over(Window.partitionBy("domain").orderBy("seq")))
-        used = F.lit(0)
-        if spent is not None:
-            hubs, used = hubs.join(spent, "domain", "left"), F.coalesce("spent", F.lit(0))
-        hubs = hubs.where(F.col("_n") + used <= budget).select("domain", "url", F.col("seq").alias("hub_seq"))
-        here = hubs.groupBy("domain").agg(F.count("*").alias("spent"))
-        spent = here if spent is None else spent.union(here).groupBy("domain").agg(F.sum("spent").alias("spent"))
-        out = hubs.join(anchors, (hubs.domain == anchors.domain) & (hubs.url == anchors.src)).select(hubs.domain, F.col("dst").alias("url"), "kind", "hub_seq", "pos")
-        level = first_of(out.where("kind <> 'reject'").join(seen, ["domain", "url"], "left_anti"), ["domain", "url"], ["hub_seq", "pos"])
-        level = level.select("domain", "url", "kind", F.row_number().over(Window.partitionBy("domain").orderBy("hub_seq", "pos", "url")).cast("bigint").alias("seq"))
-        seen = seen.union(level.select("domain", "url"))
-        found = found.union(level.where("kind = 'detail'").select("domain", "url", F.lit(round_ + 1).alias("depth"), "seq"))
-    return found
+    shared = Shared(seeds.sparkSession, "hubs")
+    nodes, opened = "domain string, url string, kind string, seq bigint", "domain string, url string, place bigint"
+    shared.add(_first_met(seeds, [F.col("seq").cast("bigint").alias("seq")]), "nodes", 1)
+    edges = anchors.where("kind <> 'reject'").select("domain", F.col("src").alias("hub"), F.col("dst").alias("url"), "kind", F.col("pos").cast("bigint").alias("pos"))
+    for k in range(1, depth + 1):
+        hubs = shared.parts("nodes", nodes).where((F.col("part") == k) & (F.col("kind") == "hub")).select("domain", "url", "seq")
+        # the window is cut to the budget before it is shuffled; what earlier rounds spent is taken off afterwards
+        place = F.row_number().over(Window.partitionBy("domain").orderBy("seq", "url"))
+        hubs = hubs.withColumn("place", place.cast("bigint")).where(F.col("place") <= budget)
+        if k > 1:
+            spent = shared.parts("opened", opened).groupBy("domain").agg(F.count("*").alias("spent"))
+            hubs = hubs.join(spent, "domain", "left").where(F.col("place") + F.coalesce("spent", F.lit(0)) <= budget)
+        shared.add(hubs.select("domain", "url", "place"), "opened", k)
+        hubs = shared.parts("opened", opened).where(F.col("part") == k)
+        if hubs.isEmpty():
+            break
+        out = hubs.select("domain", F.col("url").alias("hub"), "place").join(edges, ["domain", "hub"])
+        fresh = out.join(shared.parts("nodes", nodes).select("domain", "url"), ["domain", "url"], "left_anti")
+        shared.add(_first_met(fresh, [F.shiftleft("place", PLACE_BITS).bitwiseOR(F.col("pos")).alias("seq")]), "nodes", k + 1)
+    return shared.parts("nodes", nodes).where("kind = 'detail'").select("domain", "url", F.col("part").alias("depth"), "seq")
+
+
+#: A node's place in its round is its hub's place above this many bits of its position in the hub.
+PLACE_BITS = 40
+
+
+def _first_met(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Of each URL of a domain the first row: ``domain, url, kind, seq``. An aggregate, so rows of a URL that many pages link meet before the shuffle."""
+    first = rows.select("domain", "url", "kind", *order).groupBy("domain", "url").agg(F.min(F.struct("seq", "kind")).alias("first"))
+    return first.select("domain", "url", "first.kind", "first.seq")
 
 
 def missing_locations(listings: DataFrame, cache: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from gleaner.functions import text as tx, url as ux
 from gleaner.functions.dialect import DUCKDB, SPARK, Dialect, Steps, apply, keep, render
 from gleaner.operators import classify as cl, dedup, relational as rel, resolve as rs
 from gleaner.shared import Shared
-from gleaner.sources import with_domain
+from gleaner.sources.suffixes import with_domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -345,7 +345,7 @@ def _rank(spark, sf_dir):
 def _same_domain(spark, sf_dir):
     rows = apply(_source(spark, sf_dir, ANCHORS), [*_absolute(SPARK), *_url(SPARK), *ux.url_steps(SPARK, "absolute", "a_")])
     rows = with_domain(with_domain(rows.select("page_id", "pos", "absolute", "u_host", "a_host"), "u_host", "own"), "a_host", "other")
-    return rows.where("own = other and own <> ''").select("page_id", "pos", "absolute", "other")
+    return keep(rows, "own = other and own <> ''").select("page_id", "pos", "absolute", "other")
 
 
 # Hosts under suffixes of one and more labels, wildcards and exceptions, and their registrable domains.

@@ -60,5 +60,13 @@ class Shared:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def add(self, df: DataFrame, name: str, part: int) -> None:
+        """Writes a part of a table that grows by rounds; a part that is written again is replaced."""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/part={part}")
+
+    def parts(self, name: str, schema: str) -> DataFrame:
+        """All parts of such a table as one scan, with their numbers in ``part``."""
+        return self.spark.read.schema(f"{schema}, part int").parquet(self.path(name))
+
     def drop(self, name: str) -> None:
         drop_path(self.spark, self.path(name))

@@ -1,13 +1,7 @@
-"""Inputs: agency tables, caches, checkpoints, the public suffix list."""
+"""Inputs: agency tables, caches, checkpoints."""
 
 from __future__ import annotations
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
-
-import pandas as pd
-import pyspark
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -98,51 +92,3 @@ def mark_completed(summary: DataFrame, path: str, reset: bool = False) -> None:
     """Adds the summary's domains to the completed ones, sorted."""
     done = summary.select(F.lower(F.trim("domain")).alias("domain")).where("domain <> ''").distinct()
     done.orderBy("domain").write.mode("overwrite" if reset else "append").parquet(path)
-
-
-@lru_cache(4)
-def public_suffixes(path: str = "") -> frozenset[str]:
-    """Rules of a public suffix list without its private part; by default of the list that one of Spark's own jars holds."""
-    if path:
-        text = Path(path).read_text(encoding="utf-8")
-    else:
-        name = "mozilla/public-suffix-list.txt"
-        for jar in sorted((Path(pyspark.__file__).parent / "jars").glob("httpclient*.jar")):
-            with zipfile.ZipFile(jar) as z:
-                if name in z.namelist():
-                    text = z.read(name).decode()
-                    break
-        else:
-            raise FileNotFoundError("no jar of Spark holds a public suffix list; name a file")
-    lines = text.split("===BEGIN PRIVATE DOMAINS===")[0].splitlines()
-    return frozenset(x.strip() for x in lines if x.strip() and not x.startswith("//"))
-
-
-def registrable(host: str, rules: frozenset[str]) -> str:
-    """The label before a host's longest public suffix, with the suffix; the host itself where there is none."""
-    labels = host.split("@")[-1].split(":")[0].rstrip(".").lower().split(".")
-    for i in range(len(labels)):
-        name = ".".join(labels[i:])
-        if "!" + name in rules:
-            return name
-        if name in rules or "*." + ".".join(labels[i + 1 :]) in rules:
-            return ".".join(labels[i - 1 :]) if i else host
-    return host
-
-
-def with_domain(rows: DataFrame, host: str = "u_host", out: str = "domain") -> DataFrame:
-    """Adds the registrable domain of a host column, found once for each distinct host."""
-    hosts = rows.select(host).distinct()
-    return rows.join(hosts.withColumn(out, registrable_domain(F.col(host))), host, "left")
-
-
-def registrable_domain(host, path: str = ""):
-    """Column of registrable domains; the rules are a table of some ten thousand entries, whatever the input."""
-    rules = public_suffixes(path)
-
-    @F.pandas_udf("string")
-    def run(hosts: pd.Series) -> pd.Series:
-        known: dict[str, str] = {}
-        return hosts.map(lambda h: known.setdefault(h, registrable(h, rules)) if h else "")
-
-    return run(host)

@@ -275,4 +275,5 @@ LD_AGENT_PARENTS = ["author", "seller", "publisher", "provider", "agent"]
 # Places of sitemaps, their line in robots.txt, and words in the URLs of those that list listings.
 SITEMAP_PATHS = ["/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml"]
 SITEMAP_LINE = "(?im)^\\s*sitemap\\s*:\\s*(\\S+)"
+SITEMAP_LOC = r"(?is)<loc(?:\s[^>]*)?>((?:<!\[CDATA\[.*?\]\]>|[^<])*)</loc\s*>"
 LISTING_HINT = "(?i)(annonce|annonces|vente|location|bien|biens|property|properties|listing|listings|maison|appartement|achat|propriete|immobilier)"

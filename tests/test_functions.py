@@ -1,9 +1,11 @@
+import html
+
 import pytest
 
 from gleaner.functions import text, url
 from gleaner.functions.dialect import SPARK, apply
 from gleaner.operators import classify, extract, resolve
-from gleaner.sources import public_suffixes, registrable
+from gleaner.sources.suffixes import public_suffixes, with_domain
 
 
 def run(spark, rows, schema, steps, out):
@@ -17,9 +19,42 @@ def test_urls(spark):
     assert run(spark, rows, "url string", steps, "u_key")[4] == "https://ex.com/path"
 
 
-def test_registrable():
-    assert registrable("www.foo.bar.example.co.uk", public_suffixes()) == "example.co.uk"
-    assert registrable("localhost", public_suffixes()) == "localhost"
+def plain_domain(host: str, rules: frozenset[str]) -> str:
+    """The longest rule by hand, label by label."""
+    labels = host.split("@")[-1].split(":")[0].rstrip(".").lower().split(".")
+    for i in range(len(labels)):
+        name = ".".join(labels[i:])
+        if "!" + name in rules:
+            return name
+        if name in rules or "*." + ".".join(labels[i + 1 :]) in rules:
+            return ".".join(labels[i - 1 :]) if i else host
+    return host
+
+
+def test_registrable(spark):
+    """Every rule of the list, bare and under one and two labels, against a plain search; known cases by hand."""
+    rules = public_suffixes()
+    names = [r.lstrip("!").replace("*", "any") for r in sorted(rules)]
+    hosts = [p + n for n in names for p in ("", "a.", "b.a.")] + ["localhost", "", None, "1.2.3.4", "u@A.Co.UK.:80", "x..com", "example.com:8080"]
+    rows = with_domain(spark.createDataFrame([(h, "kept") for h in hosts], "u_host string, domain_n string"), out="d")
+    got = {r.u_host: r.d for r in rows.collect()}
+    assert rows.columns == ["u_host", "domain_n", "d"] and got == {h: plain_domain(h, rules) if h else "" for h in hosts}
+    cases = {"www.foo.bar.example.co.uk": "example.co.uk", "localhost": "localhost", "site.github.io": "github.io", "www.ck": "www.ck", "a.b.c.ck": "b.c.ck", "x.y.city.kawasaki.jp": "city.kawasaki.jp", "m.xn--fiqs8s": "m.xn--fiqs8s", "a.b.xn--55qx5d.cn": "b.xn--55qx5d.cn", "k.公司.cn": "k.公司.cn"}
+    assert {r.u_host: r.domain for r in with_domain(spark.createDataFrame([(h,) for h in cases], "u_host string")).collect()} == cases
+
+
+def test_another_suffix_list(spark, tmp_path):
+    (tmp_path / "list").write_text("// one\ncom\n*.zz\n// ===BEGIN PRIVATE DOMAINS===\nfoo.com\n")
+    rows = spark.createDataFrame([("a.b.foo.com",), ("a.b.c.zz",), ("a.fr",)], "u_host string")
+    assert [r.domain for r in with_domain(rows, path=str(tmp_path / "list")).collect()] == ["foo.com", "b.c.zz", "a.fr"]
+
+
+def test_character_references(spark):
+    """As the standard library's decoder has it; CDATA sections stand as they are."""
+    raw = ["a&amp;b", "&#38;x&#x26;", "&apos;&eacute;&nbsp;z", "&copy=1&copyx", "&#0;&#xD800;&#1114112;&#128;&#x9f;&#129;", "plain", " &bogus; & &&amp;amp; ", "&notit;", "&#99999999999999999999;", "&NotEqualTilde;", "", None]
+    want = [x and html.unescape(x).strip() for x in raw]
+    assert run(spark, [(x,) for x in raw], "x string", text.decode_steps("x", "y"), "y") == want
+    assert run(spark, [("<![CDATA[ a&amp;b ]]>",)], "x string", text.decode_steps("x", "y"), "y") == ["a&amp;b"]
 
 
 @pytest.mark.parametrize(("raw", "amount"), [("621 000 \xa0€", "621000"), ("170,000 € (Fixe)", "170000"), ("€ 89.000", "89000"), ("200200", "200200"), ("0", ""), ("00", ""), ("abc", ""), ("450000.0", "4500000"), ("450000.00", "")])

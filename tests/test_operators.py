@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +106,68 @@ def test_files_in_order_and_storage_errors(spark, tmp_path):
     for value in ("", "1.0, 2.0"):
         write_geocode_cache(spark.createDataFrame([("Nice", value), ("x", None)], "key string, value string"), cache)
         assert {tuple(r) for r in read_geocode_cache(spark, cache).collect()} == {("nice", value), ("x", "")}
+
+
+def plain_search(seeds, edges, depth, budget):
+    """A queue for each domain: hubs are opened first come first served."""
+    found = {}
+    for domain in {s[0] for s in seeds}:
+        queue, seen, spent = [], set(), 0
+        for _, url, kind, _ in sorted((s for s in seeds if s[0] == domain), key=lambda s: (s[3], s[2])):
+            if url not in seen:
+                seen.add(url)
+                queue.append((url, kind, 1))
+        while queue:
+            url, kind, at = queue.pop(0)
+            if kind == "detail":
+                found[domain, url] = at
+            elif at <= depth and spent < budget:
+                spent += 1
+                for _, _, dst, kind2, _ in sorted((e for e in edges if e[0] == domain and e[1] == url), key=lambda e: (e[4], e[3])):
+                    if kind2 != "reject" and dst not in seen:
+                        seen.add(dst)
+                        queue.append((dst, kind2, at + 1))
+    return found
+
+
+@pytest.mark.parametrize(("depth", "budget", "partitions"), [(1, 3, 4), (2, 6, 4), (4, 100, 4), (4, 5, 200), (6, 0, 4)])
+def test_hub_search_by_hand(spark, depth, budget, partitions):
+    rng = random.Random(depth * 100 + budget)
+    names = [f"h{i}" for i in range(12)] + [f"p{i}" for i in range(30)]
+    kind = lambda n: "hub" if n[0] == "h" else "detail" if rng.random() < 0.9 else "reject"
+    seeds = [(d, n, "hub" if n[0] == "h" else "detail", i) for d in ("a", "b", "c") for i, n in enumerate(rng.sample(names, 4))]
+    edges = [(d, f"h{h}", n, kind(n), i) for d in ("a", "b", "c") for h in range(12) for i, n in enumerate(rng.sample(names, 5))]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        s = spark.createDataFrame(seeds, "domain string, url string, kind string, seq long")
+        e = spark.createDataFrame(edges, "domain string, src string, dst string, kind string, pos int")
+        rows = rel.expand_hubs(s, e, depth, budget).collect()
+        assert {(r.domain, r.url): r.depth for r in rows} == plain_search(seeds, edges, depth, budget) and len({(r.domain, r.url) for r in rows}) == len(rows)
+        assert rel.expand_hubs(s.limit(0), e, depth, budget).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_plans_do_not_grow_with_depth(spark):
+    """The rounds are written, so what the search returns is one scan."""
+    seeds = spark.createDataFrame([("d", "h0", "hub", 1)], "domain string, url string, kind string, seq long")
+    edges = spark.createDataFrame([("d", f"h{i}", f"h{i + 1}", "hub", 0) for i in range(9)] + [("d", "h8", "p", "detail", 1)], "domain string, src string, dst string, kind string, pos int")
+    found = rel.expand_hubs(seeds, edges, 9, 20)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and [(r.url, r.depth) for r in found.collect()] == [("p", 10)]
+
+
+def test_sitemaps_as_they_are_written(spark):
+    """Character references, CDATA, attributes, other cases of letters and comments in sitemaps; an index that names itself."""
+    from gleaner.operators import discovery
+
+    bodies = [
+        ("d", "root", "<SitemapIndex><LOC>root</LOC><loc>maps&#47;a</loc><loc> <![CDATA[b&amp;]]> </loc><!-- <loc>not</loc> --></SitemapIndex>"),
+        ("d", "maps/a", "<urlset><loc >x&#38;y&apos;</loc><loc></loc><loc>\n z&eacute; </loc></urlset>"),
+        ("d", "b&amp;", "<urlset><loc>w</loc><loc>x&amp;y'</loc></urlset>"),
+        ("d", "not", "<urlset><loc>never</loc></urlset>"),
+    ]
+    maps = spark.createDataFrame(bodies, "domain string, url string, body string")
+    rows = discovery.walk_sitemaps(spark.createDataFrame([("d", "root", 1)], "domain string, url string, seq long"), maps, 2).orderBy("order").collect()
+    assert [(r.url, r.order.level) for r in rows] == [("x&y'", 1), ("zé", 1), ("w", 1)]
+    assert discovery.walk_sitemaps(spark.createDataFrame([], "domain string, url string, seq long"), maps, 2).count() == 0
