@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, licenses, linededup, media, quality, shards, simhash, toxicity, urlfilter, winnow
+from gleaner.llm import bpe, centroids, licenses, linededup, media, phrases, quality, shards, simhash, toxicity, urlfilter, weakrules, winnow
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_url_filters": urlfilter.op8_url_filters,
     "op9_benchmark_decontamination": winnow.op9_benchmark_decontamination,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op11_quality_rules": weakrules.op11_quality_rules,
+    "op12_centroid_clustering": centroids.op12_centroid_clustering,
+    "op13_phrase_collocations": phrases.op13_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -22,4 +25,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_url_filters": urlfilter.OP8_SQL,
     "op4_line_dedup": linededup.OP4_SQL,
     "op9_benchmark_decontamination": winnow.OP9_SQL,
+    "op11_quality_rules": weakrules.OP11_SQL,
+    "op12_centroid_clustering": centroids.OP12_SQL,
+    "op13_phrase_collocations": phrases.OP13_SQL,
 }
