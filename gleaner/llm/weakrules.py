@@ -55,8 +55,9 @@ RULES = [
     Rule("repetition", "20 * n_repeat_words <= n_words", "100 * n_repeat_words > 15 * n_words"),
     Rule("lines", "n_dup_lines = 0", "5 * n_dup_lines > n_lines"),
 ]
-#: Rounds of the estimation; and votes that each rule is given in advance, so many of them as its class has it.
-ROUNDS, AHEAD, RIGHT = 50, 10, 8
+#: Rounds of the estimation. Where it starts, and what every rule counts beforehand: of so many votes on
+#: good and as many on bad texts those that say good. A bad text is taken to pass half of the rules.
+ROUNDS, AHEAD, ON_GOOD, ON_BAD = 50, 10, 9, 5
 
 
 def _table(chars: bytes) -> np.ndarray:
@@ -153,20 +154,19 @@ class LabelModel:
 def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> LabelModel:
     """Expectation-maximisation over vote patterns, each of which ``n`` documents have.
 
-    It starts from the share of good ones among each pattern's votes. Every rule
-    counts ``AHEAD`` votes of each class beforehand, ``RIGHT`` of them right, so no
-    estimate is 0 or 1; without documents that is what it gives.
+    Every rule counts ``AHEAD`` votes of each class beforehand, of which ``ON_GOOD`` and
+    ``ON_BAD`` say good, and the first model has those rates and an even prior; so no
+    estimate is 0 or 1, and without documents they are what it gives.
     """
     good, bad = (patterns > 0).astype(float), (patterns < 0).astype(float)
-    post = (1 + good.sum(1)) / (2 + good.sum(1) + bad.sum(1))
 
     def step(post: np.ndarray) -> LabelModel:
         p, q = n * post, n * (1 - post)
-        on_good = (good.T @ p + RIGHT) / ((good + bad).T @ p + AHEAD)
-        on_bad = (good.T @ q + AHEAD - RIGHT) / ((good + bad).T @ q + AHEAD)
+        on_good = (good.T @ p + ON_GOOD) / ((good + bad).T @ p + AHEAD)
+        on_bad = (good.T @ q + ON_BAD) / ((good + bad).T @ q + AHEAD)
         return LabelModel(float((p.sum() + 1) / (n.sum() + 2)), on_good, on_bad)
 
-    model = step(post)
+    model = LabelModel(0.5, np.full(patterns.shape[1], ON_GOOD / AHEAD), np.full(patterns.shape[1], ON_BAD / AHEAD))
     for _ in range(rounds):
         model = step(model.posterior(good, bad))
     return model
@@ -203,15 +203,11 @@ def _sql() -> str:
     """The same in DuckDB: lists and windows for the counts, a recursive table of one row a round for the estimation."""
     k = range(len(RULES))
     votes = ", ".join(f"case when n_words = 0 then 0 when {r.good} then 1 when {r.bad} then -1 else 0 end as v{j}" for j, r in enumerate(RULES))
-    n_good, n_bad = " + ".join(f"(v{j} > 0)::int" for j in k), " + ".join(f"(v{j} < 0)::int" for j in k)
-
-    def step(post: str) -> str:
-        sums = [f"(sum(n * {post}) + 1) / (sum(n) + 2) as prior"]
-        for j in k:
-            sums.append(f"(sum(case when v{j} > 0 then n * {post} else 0 end) + {RIGHT}) / (sum(case when v{j} <> 0 then n * {post} else 0 end) + {AHEAD}) as g{j}")
-            sums.append(f"(sum(case when v{j} > 0 then n * (1 - {post}) else 0 end) + {AHEAD - RIGHT}) / (sum(case when v{j} <> 0 then n * (1 - {post}) else 0 end) + {AHEAD}) as b{j}")
-        return ", ".join(sums)
-
+    first = ", ".join(f"cast({ON_GOOD / AHEAD} as double) as g{j}, cast({ON_BAD / AHEAD} as double) as b{j}" for j in k)
+    step = ["(sum(n * q) + 1) / (sum(n) + 2) as prior"]
+    for j in k:
+        step.append(f"(sum(case when v{j} > 0 then n * q else 0 end) + {ON_GOOD}) / (sum(case when v{j} <> 0 then n * q else 0 end) + {AHEAD}) as g{j}")
+        step.append(f"(sum(case when v{j} > 0 then n * (1 - q) else 0 end) + {ON_BAD}) / (sum(case when v{j} <> 0 then n * (1 - q) else 0 end) + {AHEAD}) as b{j}")
     z = "ln(prior / (1 - prior)) + " + " + ".join(f"case when v{j} > 0 then ln(g{j} / b{j}) when v{j} < 0 then ln((1 - g{j}) / (1 - b{j})) else 0 end" for j in k)
     return f"""
 with recursive d as materialized (select row_number() over () as id, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
@@ -227,11 +223,11 @@ c as materialized (
     len(list_filter(w, lambda x: x in ({', '.join(f"'{x}'" for x in COMMON)}))) as n_common
   from d join lines using (id) left join rep using (id)),
 v as materialized (select *, {votes} from c),
-pat as materialized (select {', '.join(f'v{j}' for j in k)}, cast(count(*) as double) as n, (1.0 + {n_good}) / (2.0 + {n_good} + {n_bad}) as post from v group by {', '.join(f'v{j}' for j in k)}),
+pat as materialized (select {', '.join(f'v{j}' for j in k)}, cast(count(*) as double) as n from v group by {', '.join(f'v{j}' for j in k)}),
 em as (
-  select 0 as round, {step('post')} from pat
+  select 0 as round, cast(0.5 as double) as prior, {first}
   union all
-  select round + 1 as round, {step('q')} from (select pat.*, round, 1 / (1 + exp(-({z}))) as q from pat, em where round < {ROUNDS}) group by round),
+  select round + 1 as round, {', '.join(step)} from (select pat.*, round, 1 / (1 + exp(-({z}))) as q from pat, em where round < {ROUNDS}) group by round),
 last as (select * from em where round = {ROUNDS})
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {z} >= 0 as kept
 from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from v), last
