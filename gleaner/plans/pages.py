@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner.config import EngineConfig
 from gleaner.engine import Engine
 from gleaner.operators import discovery, extract
-from gleaner.plans.queries import ORACLE, QUERIES, _query, _source
+from gleaner.plans.queries import FETCHES, ORACLE, QUERIES, _query, _source
 from gleaner.plans.report import report
 from gleaner.shared import Shared
-from gleaner.streaming import dedup_stream, error_stream
+from gleaner.streaming import breaker_stream, dedup_stream, error_stream
 
 PAGE, DETAIL = "https://agency.example/page", "https://agency.example/bien/maison-12345"
 
@@ -308,3 +308,18 @@ def _error_stream(spark, sf_dir):
     rows = Shared(spark).table(_source(spark, sf_dir, _CHANGES), "changes")
     middle = rows.agg(F.avg("seq")).first()[0] or 0
     return _streamed(spark, rows.withColumn("part", (F.col("seq") > middle).cast("int")), "errors", error_stream).select("domain", "seq", "reason")
+
+
+@_query(
+    "breaker_stream",
+    f"""with f as (select *, case when status between 200 and 399 then 1 else 0 end as ok, case when status in (401, 403, 429) then 1 else 0 end as block from {FETCHES}),
+  i as (select *, sum(ok) over (partition by host order by seq) as island from f),
+  b as (select *, sum(block) over (partition by host, island order by seq) as blocks from i),
+  t as (select *, max(case when blocks >= 3 then 1 else 0 end) over (partition by host order by seq rows between unbounded preceding and 1 preceding) as tripped from b)
+  select host, seq, coalesce(case when tripped = 1 then 403 else status end, 0) as seen from t""",
+)
+def _breaker_stream(spark, sf_dir):
+    """The block breaker as a state machine over two runs: hosts trip in one and stay so in the other."""
+    rows = Shared(spark).table(_source(spark, sf_dir, FETCHES), "fetches")
+    middle = rows.agg(F.avg("seq")).first()[0] or 0
+    return _streamed(spark, rows.withColumn("part", (F.col("seq") > middle).cast("int")), "breaker", breaker_stream).select("host", "seq", F.coalesce("seen_status", F.lit(0)).alias("seen"))
