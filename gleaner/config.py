@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+from collections.abc import Mapping
+from dataclasses import dataclass, fields, replace
 
 
 @dataclass(frozen=True)
@@ -24,3 +26,24 @@ class EngineConfig:
     domain_summary_name: str = "domain_status_summary"
     report_name: str = "report"
     max_files_per_trigger: int = 1
+    #: Seconds that a domain's work may take, and the share of them that must be left to begin with rendered pages.
+    domain_time_budget: float = 120.0
+    fallback_share: float = 0.2
+
+    @classmethod
+    def from_environment(cls, prefix: str = "GLEANER_", environment: Mapping[str, str] | None = None) -> EngineConfig:
+        """Settings as variables in capitals give them: numbers, and 1, true, yes or on for what can be on. An empty ``limit`` is none."""
+        given = os.environ if environment is None else environment
+        made = {}
+        for f in fields(cls):
+            text = given.get(prefix + f.name.upper())
+            if text is None:
+                continue
+            kind = str(f.type)
+            if kind == "bool":
+                made[f.name] = text.strip().lower() in ("1", "true", "yes", "on")
+            elif kind.startswith("int"):
+                made[f.name] = int(text) if text.strip() or "None" not in kind else None
+            else:
+                made[f.name] = float(text) if kind == "float" else text
+        return replace(cls(), **made)

@@ -20,8 +20,8 @@ from gleaner.operators.relational import expand_hubs, rank_candidates
 from gleaner.shared import Shared
 
 
-def anchors(pages: DataFrame) -> DataFrame:
-    """``pages(domain, url, html)`` -> each ``a[href]`` in order: ``domain, src, pos, dst``, made absolute."""
+def anchors(pages: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """``pages(domain, url, html)`` -> each ``a[href]`` in order: ``domain, src, pos, dst``, made absolute, after the columns ``also``."""
 
     @F.pandas_udf("array<string>")
     def hrefs(urls: pd.Series, htmls: pd.Series) -> pd.Series:
@@ -36,7 +36,7 @@ def anchors(pages: DataFrame) -> DataFrame:
 
         return pd.Series([of(u or "", h or "") for u, h in zip(urls, htmls, strict=True)])
 
-    return pages.select("domain", F.col("url").alias("src"), F.posexplode(hrefs("url", "html")).alias("pos", "dst")).where("dst <> ''")
+    return pages.select(*(also or []), "domain", F.col("url").alias("src"), F.posexplode(hrefs("url", "html")).alias("pos", "dst")).where("dst <> ''")
 
 
 def classified(links: DataFrame, url: str = "dst") -> DataFrame:
@@ -106,12 +106,12 @@ def sitemap_roots(sites: DataFrame, bodies: DataFrame, robots: DataFrame | None
     return first_of(stored.join(wanted, ["domain", "place"]), ["domain", "url"], ["seq"]).select("domain", "url", "seq")
 
 
-def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int, known: list | None = None) -> DataFrame:
+def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int, known: list | None = None, html: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Branch hosts of franchise sites: ``sites(domain, host, families)``, with index pages among ``pages(domain, canonical, url, html)``.
 
     The first of a site's families that has index paths counts, of its paths the
     first with a page on the registrable domain, and at most ``most`` other hosts
-    that this page links.
+    that this page links. ``html`` may add that column to chosen pages instead.
     """
     families = v.FAMILIES if known is None else known
     paths = [(name, k, path.rstrip("/")) for name, _, _, _, index in families for k, path in enumerate(index)]
@@ -119,19 +119,24 @@ def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int, known: list |
     named = sites.select("domain", F.posexplode(F.split("families", ",")).alias("nth", "family"))
     named = first_of(named.join(F.broadcast(index.select("family").distinct()), "family"), ["domain"], ["nth"])
     wanted = named.join(F.broadcast(index), "family").withColumn("canonical", F.concat(F.lit("https://"), "domain", "path"))
-    stored = first_of(wanted.join(pages.select("domain", "canonical", "url", "html"), ["domain", "canonical"]), ["domain"], ["k", "url"])
+    stored = first_of(wanted.join(pages, ["domain", "canonical"]), ["domain"], ["k", "url"])
+    stored = html(stored.select("domain", "url", "page")) if html else stored
     rows = apply(anchors(stored.select("domain", "url", "html")), url_steps(SPARK, "dst"))
     rows = rows.join(sites.select("domain", "host"), "domain").where(under_domain("u_host", "domain")).where("u_host <> host")
     hosts = rows.groupBy("domain", "u_host").agg(F.min("pos").alias("pos"))
     return hosts.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy("pos"))).where(F.col("rank") <= most).select("domain", F.col("u_host").alias("host"), "rank")
 
 
-def franchise_candidates(sites: DataFrame, pages: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame], known: list | None = None) -> DataFrame:
-    """Ranked candidates from the homepages of franchise branches, for ``sites(domain, host, html_head, families)`` that have none of their own."""
-    branches = cut(franchise_hosts(sites.where("families <> ''"), pages, config.max_franchise_hosts, known), "branches")
-    homes = branches.select("domain", "rank", F.concat(F.lit("https://"), "host", F.lit("/")).alias("canonical")).join(pages.select("domain", "canonical", "url", "html"), ["domain", "canonical"])
-    homes = first_of(homes, ["domain", "rank"], ["url"])
-    links = cut(anchors(homes.select("domain", "url", "html")).join(homes.select("domain", F.col("url").alias("src"), "rank"), ["domain", "src"]), "branch_links")
+def franchise_candidates(sites: DataFrame, pages: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame], known: list | None, html: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Ranked candidates from the homepages of franchise branches, for ``sites(domain, host, html_head, families)`` that have none of their own.
+
+    ``pages(domain, canonical, url, page)`` are keys alone; ``html`` writes chosen ones
+    and returns them with their html.
+    """
+    branches = cut(franchise_hosts(sites.where("families <> ''"), pages, config.max_franchise_hosts, known, lambda chosen: html(chosen, "index_pages")), "branches")
+    homes = branches.select("domain", "rank", F.concat(F.lit("https://"), "host", F.lit("/")).alias("canonical")).join(pages, ["domain", "canonical"])
+    homes = html(first_of(homes, ["domain", "rank"], ["url"]).select("domain", "url", "rank", "page"), "branch_homes")
+    links = cut(anchors(homes).join(homes.select("domain", F.col("url").alias("src"), "rank"), ["domain", "src"]), "branch_links")
     rows = apply(links.join(sites.select("domain", "host", "html_head"), "domain"), [*classify_steps(SPARK, "dst"), *family_steps(SPARK, "host", "html_head", "dst", known), ("own", under_domain("u_host", "domain"))])
     rows = keep(rows, "own")
     order = F.row_number().over(Window.partitionBy("domain").orderBy("rank", "pos"))
@@ -139,20 +144,30 @@ def franchise_candidates(sites: DataFrame, pages: DataFrame, config: EngineConfi
     return rank_candidates(cut(rows.select("domain", order.alias("seq"), F.col("u_canonical").alias("canonical"), boosted.alias("score")), "branch_scored"), config.max_listing_urls)
 
 
-def discover(sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame], known: list | None = None) -> DataFrame:
+def discover(
+    sites: DataFrame, pages: DataFrame, sitemap_urls: DataFrame, config: EngineConfig, cut: Callable[[DataFrame, str], DataFrame], known: list | None, html: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
     """Ranked candidate pages of each domain: sitemap locations, then homepage anchors, expanded through hubs.
 
-    ``sites(domain, url, host, html_head)``, ``pages(domain, url, html)``, ``sitemap_urls(domain, url, order)``. ``cut``
+    ``sites(domain, page, base, host, html_head)``, ``pages(domain, canonical, url, page, base)``, ``sitemap_urls(domain, url, order)``.
+    Pages are keys alone: only homepages and the hubs that a round opens are read,
+    by ``html``, which writes chosen pages and returns them with their html. ``cut``
     writes a table and reads it again, between the phases.
     """
-    home = anchors(sites.join(pages, ["domain", "url"]).select("domain", "url", "html"))
+    home = anchors(html(sites.where("page is not null").select("domain", F.col("base").alias("url"), "page"), "homes"))
     from_map = sitemap_urls.select("domain", F.col("url").alias("dst"), F.row_number().over(Window.partitionBy("domain").orderBy("order")).alias("seq"))
     home = cut(home, "home")
     both = from_map.unionByName(home.select("domain", "dst", (F.col("pos") + 1_000_000).alias("seq")))
     seeds = cut(classified(both).select("domain", F.col("canonical").alias("url"), "kind", "seq"), "seeds")
-    edges = apply(cut(anchors(pages), "anchors"), url_steps(SPARK, "src", "s_")).withColumn("src", F.col("s_canonical")).select("domain", "src", "pos", "dst")
-    edges = cut(classified(cut(edges, "links")).select("domain", "src", F.col("canonical").alias("dst"), "kind", "pos"), "edges")
-    found = cut(expand_hubs(seeds, edges, config.seed_expansion_depth, config.max_hub_pages), "reached")
+    stored = first_of(pages, ["domain", "canonical"], ["url"])
+
+    def links(hubs: DataFrame, k: int) -> DataFrame:
+        found = hubs.withColumnRenamed("hub", "canonical").join(stored, ["domain", "canonical"])
+        opened = html(found.select("domain", "place", F.col("canonical").alias("hub"), F.col("base").alias("url"), "page"), f"hubs-{k}")
+        out = cut(anchors(opened, ["place", "hub"]), f"hub-links-{k}")
+        return cut(classified(out).select("domain", "hub", "place", F.col("canonical").alias("url"), "kind", "pos"), f"hub-kinds-{k}")
+
+    found = cut(expand_hubs(seeds, links, config.seed_expansion_depth, config.max_hub_pages), "reached")
     scored = apply(found.join(sites.select("domain", "host", "html_head"), "domain"), [*classify_steps(SPARK), *family_steps(SPARK, "host", "html_head", "url", known)])
     order = F.row_number().over(Window.partitionBy("domain").orderBy("depth", "seq"))
     scored = scored.select("domain", order.alias("seq"), F.col("url").alias("canonical"), F.when(F.col("score") > 0, F.col("score") + F.col("boost")).otherwise(F.col("score")).alias("score"))

@@ -550,22 +550,23 @@ RESOLVERS: dict[str, Callable[[Page], Tiers]] = {
 Resolver = Callable[[Page], Tiers]
 
 
-def resolve(page: Page, resolvers: dict[str, Resolver] | None = None) -> dict[str, str]:
-    """All fields of a page; a resolver that fails leaves its field empty. Those given replace or add to the known ones."""
-    out = {}
+def resolve(page: Page, resolvers: dict[str, Resolver] | None = None) -> dict[str, str | list[str]]:
+    """All fields of a page; a resolver that fails leaves its field empty and its name in ``faults``. Those given replace or add to the known ones."""
+    out, faults = {}, []
     for name, resolver in {**RESOLVERS, **(resolvers or {})}.items():
         try:
             out[name] = next((x for x in resolver(page) if x), "")
         except Exception:  # one field's failure must not take the row with it
             out[name] = ""
-    return out
+            faults.append(name)
+    return {**out, "faults": faults}
 
 
 JOB = ["domain", "agency_name", "agent_name", "phone", "city", "postalcode"]
 
 
 def extract_fields(pages: DataFrame, resolvers: dict[str, Resolver] | None = None) -> DataFrame:
-    """``pages(url, html, job fields)`` with a column for each resolved field. Nulls count as empty.
+    """``pages(url, html, job fields)`` with a column for each resolved field and ``faults``, the fields whose resolver failed. Nulls count as empty.
 
     ``resolvers`` are generators of tiers by field: they replace those of known
     fields, and other fields get columns of their own.
@@ -573,22 +574,27 @@ def extract_fields(pages: DataFrame, resolvers: dict[str, Resolver] | None = Non
     job = [c for c in JOB if c in pages.columns]
     names = [*FIELDS, *(f for f in resolvers or {} if f not in FIELDS)]
 
-    @F.pandas_udf(", ".join(f"`{f}` string" for f in names))
+    @F.pandas_udf(", ".join(f"`{f}` string" for f in names) + ", faults array<string>")
     def run(url: pd.Series, html: pd.Series, jobs: pd.DataFrame) -> pd.DataFrame:
         rows = [resolve(Page(u or "", h or "", {k: x or "" for k, x in j.items()}), resolvers) for u, h, j in zip(url, html, jobs.to_dict("records"), strict=True)]
-        return pd.DataFrame(rows, columns=names)
+        return pd.DataFrame(rows, columns=[*names, "faults"])
 
     made = F.struct(*[F.col(c) for c in job]) if job else F.struct(F.lit("").alias("domain"))
-    return pages.withColumn("_fields", run("url", "html", made)).select(*[c for c in pages.columns if c not in names], "_fields.*")
+    return pages.withColumn("_fields", run("url", "html", made)).select(*[c for c in pages.columns if c not in (*names, "faults")], "_fields.*")
 
 
 def extract_listings(pages: DataFrame, resolvers: dict[str, Resolver] | None = None) -> DataFrame:
     """Publishable listings of pages, in the listing's columns after those of the page."""
     agency = F.coalesce("agency_name", F.lit("")) if "agency_name" in pages.columns else F.lit("")
     own = pages.withColumn("_agency", agency).withColumn("_domain", F.col("domain") if "domain" in pages.columns else F.lit(""))
-    rows = apply(extract_fields(own, resolvers), url_steps(SPARK, "url"))
+    first = [c for c in pages.columns if c not in v.LISTING_FIELDS]
+    return publish(extract_fields(own, resolvers), first)
+
+
+def publish(rows: DataFrame, first: list[str]) -> DataFrame:
+    """Publishable ones of extracted pages: the columns ``first``, then those of a listing. ``_agency`` and ``_domain`` are the job's."""
+    rows = apply(rows, url_steps(SPARK, "url"))
     rows = rows.withColumn("agency_name", F.col("_agency")).withColumn("source_url", F.when(F.col("u_canonical") == "", F.col("url")).otherwise(F.col("u_canonical")))
     rows = with_domain(rows, "u_host", "source_domain").withColumn("source_domain", F.coalesce(F.nullif("source_domain", F.lit("")), F.col("_domain")))
     rows = rows.withColumn("_publishable", F.expr(publishable(SPARK)))
-    first = [c for c in pages.columns if c not in v.LISTING_FIELDS]
     return keep(rows, "_publishable").select(*first, *v.LISTING_FIELDS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner import vocabulary as v
@@ -56,6 +58,42 @@ def block_breaker(fetches: DataFrame, trip: int = v.BLOCKS_TO_TRIP) -> DataFrame
     return rows.withColumn("seen_status", F.when(tripped, 403).otherwise(F.col("status"))).drop("_island", "_blocks")
 
 
+def domain_runs(events: DataFrame, budget: float) -> DataFrame:
+    """``events(domain, at, event, name, message)``, a log of each domain's work, folded to a row per domain.
+
+    ``at`` is a time, ``event`` one of start, fingerprint (the site has been looked at), static (its pages have been
+    read), timeout, crash, end; others only tell that time has passed. The first timeout or crash interrupts, and so
+    does the first event of any kind that lies more than ``budget`` seconds after the first one, as a timeout. What comes later doesn't count.
+
+    ``domain, duration_seconds`` (two decimals; to the interruption or the last event), ``interrupted`` (timeout, crash
+    or null), ``fingerprinted`` (before that), ``left_seconds`` (of the budget, once pages were read; null if they weren't), ``name, message`` of a crash.
+    One aggregation after a look at each domain's first event, so a long log is folded before it is shuffled.
+    """
+    rows = events.select(F.lower(F.trim("domain")).alias("domain"), F.col("at").cast("timestamp").alias("at"), F.lower("event").alias("event"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "message")])
+    rows = rows.where("domain <> '' and at is not null")
+    began = rows.groupBy("domain").agg(F.min("at").alias("began"))
+    # a domain's log is short by nature; the join is one by one of its rows with its beginning
+    rows = rows.join(began, "domain").withColumn("after", (F.unix_micros("at") - F.unix_micros("began")) / F.lit(1_000_000.0))
+    stop = F.when(F.col("event").isin("timeout", "crash"), F.col("event")).when(F.col("after") > budget, "timeout")
+    ended = F.struct("after", F.when(F.col("event") == "crash", 1).otherwise(0).alias("kind"), stop.alias("interrupted"), "name", "message")
+    first = rows.withColumn("stop", F.when(stop.isNotNull(), ended)).groupBy("domain").agg(
+        F.min("stop").alias("stop"),
+        F.max("after").alias("last"),
+        F.min(F.when(F.col("event") == "fingerprint", F.col("after"))).alias("fingerprint"),
+        F.min(F.when(F.col("event") == "static", F.col("after"))).alias("static"),
+    )
+    until = F.coalesce("stop.after", "last")
+    return first.select(
+        "domain",
+        F.format_string("%.2f", F.bround(until.cast("decimal(20,6)"), 2)).alias("duration_seconds"),
+        F.col("stop.interrupted").alias("interrupted"),
+        F.coalesce(F.col("fingerprint") <= until, F.lit(False)).alias("fingerprinted"),
+        F.when(F.col("static") <= until, budget - F.col("static")).alias("left_seconds"),
+        F.coalesce("stop.name", F.lit("")).alias("name"),
+        F.coalesce("stop.message", F.lit("")).alias("message"),
+    )
+
+
 def error_log(outcomes: DataFrame) -> DataFrame:
     """``outcomes(domain, seq, status, reason)`` without blank domains and without repetitions of the domain's last reason."""
     rows = outcomes.withColumn("domain", F.lower(F.trim("domain"))).where("domain <> ''")
@@ -70,9 +108,12 @@ def rank_candidates(urls: DataFrame, limit: int) -> DataFrame:
     return unique.withColumn("rank", rank).where(F.col("rank") <= limit)
 
 
-def expand_hubs(seeds: DataFrame, anchors: DataFrame, depth: int, budget: int) -> DataFrame:
+def expand_hubs(seeds: DataFrame, anchors: DataFrame | Callable[[DataFrame, int], DataFrame], depth: int, budget: int) -> DataFrame:
     """Bounded breadth-first search: ``seeds(domain, url, kind, seq)`` over ``anchors(domain, src, dst, kind, pos)`` -> details as ``domain, url, depth, seq``.
 
+    ``anchors`` may be a function of the hubs that a round opens, as ``domain, hub, place``, and its number: it returns
+    them with their links, ``url, kind, pos``, so that no other page is ever read.
+
     Details are kept at any depth. A hub is fetched once, up to ``depth``, and at
     most ``budget`` hubs for a domain, first come first served. A round's order is
     that of its hubs and of the anchors in them.
@@ -84,7 +125,11 @@ def expand_hubs(seeds: DataFrame, anchors: DataFrame, depth: int, budget: int) -
     shared = Shared(seeds.sparkSession, "hubs")
     nodes, opened = "domain string, url string, kind string, seq bigint", "domain string, url string, place bigint"
     shared.add(_first_met(seeds, [F.col("seq").cast("bigint").alias("seq")]), "nodes", 1)
-    edges = anchors.where("kind <> 'reject'").select("domain", F.col("src").alias("hub"), F.col("dst").alias("url"), "kind", F.col("pos").cast("bigint").alias("pos"))
+    if callable(anchors):
+        links = anchors
+    else:
+        edges = anchors.select("domain", F.col("src").alias("hub"), F.col("dst").alias("url"), "kind", "pos")
+        links = lambda hubs, _: hubs.join(edges, ["domain", "hub"])
     for k in range(1, depth + 1):
         hubs = shared.parts("nodes", nodes).where((F.col("part") == k) & (F.col("kind") == "hub")).select("domain", "url", "seq")
         # the window is cut to the budget before it is shuffled; what earlier rounds spent is taken off afterwards
@@ -97,7 +142,7 @@ def expand_hubs(seeds: DataFrame, anchors: DataFrame, depth: int, budget: int) -
         hubs = shared.parts("opened", opened).where(F.col("part") == k)
         if hubs.isEmpty():
             break
-        out = hubs.select("domain", F.col("url").alias("hub"), "place").join(edges, ["domain", "hub"])
+        out = links(hubs.select("domain", F.col("url").alias("hub"), "place"), k).where("kind <> 'reject'").withColumn("pos", F.col("pos").cast("bigint"))
         fresh = out.join(shared.parts("nodes", nodes).select("domain", "url"), ["domain", "url"], "left_anti")
         shared.add(_first_met(fresh, [F.shiftleft("place", PLACE_BITS).bitwiseOR(F.col("pos")).alias("seq")]), "nodes", k + 1)
     return shared.parts("nodes", nodes).where("kind = 'detail'").select("domain", "url", F.col("part").alias("depth"), "seq")
@@ -137,9 +182,24 @@ def field_completeness(listings: DataFrame) -> DataFrame:
     return rows.withColumn("rate", F.expr(percent(SPARK, "filled", "total"))).drop("total")
 
 
+def counted_first(rows: DataFrame, key: Column, name: str, order: str | None = None) -> DataFrame:
+    """``name, n, first``: how often each value of the key occurs, blank ones left out, and its first place.
+
+    Places are those of the column ``order``; without one all are equal. Counts and places are both added up before the shuffle.
+    """
+    place = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
+    return rows.select(key.alias(name), place.alias("_place")).where(F.col(name) != "").groupBy(name).agg(F.count("*").alias("n"), F.min("_place").alias("first"))
+
+
+def most_common(rows: DataFrame, key: Column, name: str, order: str | None = None) -> DataFrame:
+    """Values by how often they occur; of equally frequent ones the first to appear comes first, and of equally early ones the least."""
+    return counted_first(rows, key, name, order).orderBy(F.desc("n"), "first", name)
+
+
 def per_domain(listings: DataFrame) -> DataFrame:
-    return listings.select(F.lower(F.trim("source_domain")).alias("domain")).where("domain <> ''").groupBy("domain").agg(F.count("*").alias("listings"))
+    return counted_first(listings, F.lower(F.trim("source_domain")), "domain").select("domain", F.col("n").alias("listings"))
 
 
-def top_domains(listings: DataFrame, n: int = 25) -> DataFrame:
-    return per_domain(listings).orderBy(F.desc("listings"), "domain").limit(n)
+def top_domains(listings: DataFrame, n: int = 25, order: str | None = None) -> DataFrame:
+    """The domains with most listings, ties by first appearance in the column ``order``."""
+    return most_common(listings, F.lower(F.trim("source_domain")), "domain", order).limit(n).select("domain", F.col("n").alias("listings"))

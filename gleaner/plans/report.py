@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner import vocabulary as v
 from gleaner.functions.dialect import SPARK
 from gleaner.functions.text import escape_cell, percent
-from gleaner.operators.relational import field_completeness, top_domains
+from gleaner.operators.relational import field_completeness, most_common, top_domains
+
 
 def _table(df: DataFrame, headers: list[str]) -> str:
     cells = df.select(*[F.expr(escape_cell(SPARK, f"cast(`{c}` as string)")).alias(c) for c in df.columns])
@@ -21,17 +22,22 @@ def status_counts(summary: DataFrame) -> DataFrame:
     return counts.withColumn("rate", F.expr(percent(SPARK, "success", "total")))
 
 
-def failure_reasons(summary: DataFrame) -> DataFrame:
-    reason = F.trim("reason")
-    return summary.where(reason != "").groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
+def failure_reasons(summary: DataFrame, order: str | None = None) -> DataFrame:
+    """Reasons by frequency, ties by first appearance in the column ``order``."""
+    return most_common(summary, F.trim("reason"), "reason", order).select("reason", "n")
 
 
 def report_head(listings: DataFrame, summary: DataFrame, errors: DataFrame) -> str:
-    """Markdown with an overview, field completeness, top domains, failure reasons, and the heading of the failed domains."""
+    """Markdown with an overview, field completeness, top domains, failure reasons, and the heading of the failed domains.
+
+    Equally frequent domains and reasons stand in the order of their first appearance, if the tables have a column
+    ``place`` that tells it, else by name.
+    """
     counts = status_counts(summary).first()
     filled = field_completeness(listings)
     order = F.array_position(F.array(*[F.lit(f) for f in v.LISTING_FIELDS]), F.col("field"))
-    top, reasons = top_domains(listings), failure_reasons(summary)
+    place = lambda df: "place" if "place" in df.columns else None
+    top, reasons = top_domains(listings, order=place(listings)), failure_reasons(summary, place(summary))
     parts = [
         "# Listing Report\n\n## Overview",
         f"- Total domains processed: `{counts.total}`\n- Successful domains: `{counts.success}`\n- Failed domains: `{counts.failed}`"

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -28,6 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Ids that are broadcast at most; more meet by shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than there are cores, dealt out anew; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    planned = df._jdf.queryExecution().executedPlan().toString()
+    return df.repartition(cores) if "Exchange" not in planned and df.rdd.getNumPartitions() < cores else df
+
+
+def pick(wide: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Rows of ``wide`` whose key a written table ``chosen`` has, with its columns: without a shuffle of ``wide`` if the chosen are few."""
+    few = chosen.count() <= BROADCAST_ROWS
+    return wide.join(F.broadcast(chosen) if few else chosen, key)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table that this run wrote into the shared folder."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

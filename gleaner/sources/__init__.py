@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -27,11 +29,15 @@ def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     for c in AGENCY_COLUMNS:
         if c not in names:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
-    # files in the order of their paths, rows in that of their file, whatever partitions they are read by
+    return in_file_order(rows, "seq").select("seq", *AGENCY_COLUMNS)
+
+
+def in_file_order(rows: DataFrame, out: str) -> DataFrame:
+    """Numbers the rows of a file scan: files in the order of their paths, rows in that of their file, whatever partitions read them."""
     rows = rows.withColumn("_path", F.col("_metadata.file_path")).withColumn("_row", F.monotonically_increasing_id())
     paths = rows.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")) - 1)  # a row for each file
     seq = F.shiftleft(F.col("_file").cast("long"), 33) + F.col("_row") % (1 << 33)
-    return rows.join(F.broadcast(paths), "_path").select(seq.alias("seq"), *AGENCY_COLUMNS)
+    return rows.join(F.broadcast(paths), "_path").withColumn(out, seq).drop("_path", "_row", "_file")
 
 
 def _kind(spark: SparkSession, path: str) -> str:
@@ -52,6 +58,7 @@ def _json_or(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_geocode_cache(spark: SparkSession, path: str) -> DataFrame:
     """``key, value`` of the cache, a JSON file or the folder of JSON lines that ``write_geocode_cache`` makes; an empty value is a known miss."""
+    settle(spark, path)
     lines = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("x")) if _kind(spark, path) == "folder" else _json_or(spark, path, "map<string,string>")
     rows = lines.select(F.explode("x").alias("key", "value"))
     return rows.select(F.lower("key").alias("key"), F.coalesce("value", F.lit("")).alias("value"))
@@ -60,22 +67,54 @@ def read_geocode_cache(spark: SparkSession, path: str) -> DataFrame:
 def write_geocode_cache(cache: DataFrame, path: str) -> None:
     """Replaces the cache: a JSON object a line, in the order of the keys, each with one key."""
     rows = cache.groupBy(F.lower("key").alias("key")).agg(F.max("value").alias("value")).orderBy("key")
-    new = path.rstrip("/") + ".new"
-    rows.select(F.to_json(F.create_map("key", F.coalesce("value", F.lit("")))).alias("value")).write.mode("overwrite").text(new)
-    replace_folder(cache.sparkSession, new, path)
+    lines = rows.select(F.to_json(F.create_map("key", F.coalesce("value", F.lit("")))).alias("value"))
+    replace_folder(cache.sparkSession, lambda new: lines.write.mode("overwrite").text(new), path)
 
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Puts a folder that is written whole in the place of another one."""
+def _hadoop(spark: SparkSession, path: str):
     make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = make(path.rstrip("/") + ".old")
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Ends a replacement that was broken off, so that ``path`` is whole again.
+
+    A crash can leave the new folder beside nothing (it was written whole, so it takes
+    its place), or the old one beside nothing (it goes back). Every reader and writer
+    of a folder that is replaced calls this first.
+    """
+    path = path.rstrip("/")
+    fs, make = _hadoop(spark, path)
     if fs.exists(make(path)):
-        fs.delete(old, True)
-        fs.rename(make(path), old)
-    if not fs.rename(make(new), make(path)):
-        raise OSError(f"{new} can't be renamed to {path}")
-    fs.delete(old, True)
+        return
+    for left in (f"{path}.new/_SUCCESS", f"{path}.old"):
+        if fs.exists(make(left)):
+            # another one may settle it at the same time: whoever is first is enough
+            if not fs.rename(make(left.removesuffix("/_SUCCESS")), make(path)) and not fs.exists(make(path)):
+                raise OSError(f"{left} can't be renamed to {path}")
+            return
+
+
+def replace_folder(spark: SparkSession, write: Callable[[str], None], path: str) -> None:
+    """Puts a folder that ``write`` makes in the place of another one.
+
+    The new one is written whole beside it, with Spark's mark of success, and only then
+    do two renames put it in place. At every moment one whole version is there under
+    its own name, the old one's or the new one's, and ``settle`` finds it; the old
+    one is deleted last. The file system has to rename folders as a whole, as HDFS does.
+    """
+    path = path.rstrip("/")
+    settle(spark, path)
+    fs, make = _hadoop(spark, path)
+    for left in (f"{path}.new", f"{path}.old"):  # the whole version is under its own name now
+        fs.delete(make(left), True)
+    write(f"{path}.new")
+    if not fs.exists(make(f"{path}.new/_SUCCESS")):
+        fs.create(make(f"{path}.new/_SUCCESS")).close()
+    if fs.exists(make(path)) and not fs.rename(make(path), make(f"{path}.old")):
+        raise OSError(f"{path} can't be renamed")
+    settle(spark, path)
+    fs.delete(make(f"{path}.old"), True)
 
 
 def read_completed(spark: SparkSession, path: str, but: str = "") -> DataFrame:
