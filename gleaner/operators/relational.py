@@ -85,7 +85,7 @@ def domain_runs(events: DataFrame, budget: float) -> DataFrame:
     until = F.coalesce("stop.after", "last")
     return first.select(
         "domain",
-        F.format_string("%.2f", F.bround(until.cast("decimal(20,6)"), 2)).alias("duration_seconds"),
+        F.bround(until.cast("decimal(20,6)"), 2).cast("string").alias("duration_seconds"),
         F.col("stop.interrupted").alias("interrupted"),
         F.coalesce(F.col("fingerprint") <= until, F.lit(False)).alias("fingerprinted"),
         F.when(F.col("static") <= until, budget - F.col("static")).alias("left_seconds"),

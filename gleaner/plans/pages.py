@@ -15,7 +15,7 @@ from gleaner.engine import Engine
 from gleaner.operators import discovery, extract
 from gleaner.plans.queries import FETCHES, ORACLE, QUERIES, _query, _source
 from gleaner.plans.report import report
-from gleaner.shared import Shared
+from gleaner.shared import Shared, spread
 from gleaner.streaming import breaker_stream, dedup_stream, error_stream
 
 PAGE, DETAIL = "https://agency.example/page", "https://agency.example/bien/maison-12345"
@@ -75,11 +75,23 @@ CASES: dict[str, list[tuple[str, str, tuple[str, str, str, str], str]]] = {
         ("<p>Maison dans le Bassin, située à Lege Cap Ferret 33950, vue panoramique.</p>", "https://agency.example/biens/86083117", ("Bordeaux", "33000", "", ""), "Lege Cap Ferret 33950"),
         ("", "https://agency.example/listing/12345", ("Toulouse", "31000", "", ""), "Toulouse 31000"),
         ("<title>75011 Paris - Appartement T2</title>", "https://agency.example/biens/86927775", ("Lyon", "69001", "", ""), "Paris 75011"),
+        ('<meta name="geo.placename" content="Arcachon">', PAGE, ("Lyon", "69001", "", ""), "Arcachon"),
+        ('<meta property="og:locality" content="Accueil"><meta property="place:location:locality" content="Royan">', PAGE, ("", "", "", ""), "Royan"),
+        ("", "https://agency.example/vente/1234-saint-jean-de-luz.html", ("Lyon", "69001", "", ""), "Saint Jean De Luz"),
+        ("", "https://agency.example/vente/biarritz/maison-90m2", ("", "", "", ""), "Biarritz"),
+        ("", "https://agency.example/ici/biarritz/maison-90m2", ("", "", "", ""), ""),
+        (_ld(**{"@type": "House", "address": {"addressLocality": "Accueil"}}) + "<title>Maison à Pau - Agence</title>", PAGE, ("", "", "", ""), "Pau"),
+        (_ld(**{"@type": "House", "address": {"addressLocality": "120 m² Gex"}}), PAGE, ("", "", "", ""), ""),
     ],
     "coordinates": [
         (_ld(**{"@type": "House", "geo": {"latitude": 44.84, "longitude": -0.58}}), PAGE, ("", "", "", ""), "44.84, -0.58"),
         ("<script>var lat = 45.1; var lng = -0.6;</script>", PAGE, ("", "", "", ""), "45.1, -0.6"),
         ('<iframe src="https://maps.google.com/?ll=43.7,7.27&z=12"></iframe>', PAGE, ("", "", "", ""), "43.7, 7.27"),
+        ('<meta name="geo.position" content="48.85;2.35"><div data-lat="1.5" data-lng="2.5"></div>', PAGE, ("", "", "", ""), "48.85, 2.35"),
+        ('<meta property="og:latitude" content="47.5"><meta property="og:longitude" content="-2.5">', PAGE, ("", "", "", ""), "47.5, -2.5"),
+        ('<div data-lat="97.2" data-lng="1.5">x</div><div data-latitude="47.2" data-lon="-1.55">y</div>', PAGE, ("", "", "", ""), "47.2, -1.55"),
+        ('<div data-latlng="45.75, 4.85">x</div>', PAGE, ("", "", "", ""), "45.75, 4.85"),
+        ('<div data-lat="0" data-lng="0">x</div>', PAGE, ("", "", "", ""), ""),
         ("<p>nothing</p>", PAGE, ("", "", "", ""), ""),
     ],
     "phone_number": [
@@ -102,11 +114,17 @@ CASES: dict[str, list[tuple[str, str, tuple[str, str, str, str], str]]] = {
         ("<p>DPE : C</p>", PAGE, ("", "", "", ""), "C"),
         ("<p>Classe énergie : D</p>", PAGE, ("", "", "", ""), "D"),
         ('<div class="dpe-badge"><span>B</span></div>', PAGE, ("", "", "", ""), "B"),
+        ('<div data-classe-energie="e">x</div>', PAGE, ("", "", "", ""), "E"),
+        ('<div class="energie classe-f">x</div><p>DPE : C</p>', PAGE, ("", "", "", ""), "F"),
+        ('<img alt="Etiquette energie : B" src="x.png">', PAGE, ("", "", "", ""), "B"),
         ("<p>A B C D E F G</p>", PAGE, ("", "", "", ""), ""),
     ],
     "agent_name": [
         ('<div class="agent-card"><span class="agent-name">Marie Dupont</span></div>', PAGE, ("", "", "", ""), "Marie Dupont"),
         ("", "https://agency.example/bien/12345", ("", "", "", "patrimoine rh"), "Patrimoine Rh"),
+        ("<p>Votre conseiller : Paul Martin.</p>", PAGE, ("", "", "", ""), "Paul Martin"),
+        ("<p>Marie Durand, négociateur.</p>", PAGE, ("", "", "", ""), "Marie Durand"),
+        ("<p>Votre conseiller : service client.</p>", PAGE, ("", "", "", ""), ""),
         ("<p>none</p>", PAGE, ("", "", "", ""), ""),
     ],
 }
@@ -120,11 +138,12 @@ def _extraction(field: str) -> None:
     cases = CASES[field]
 
     def run(spark, sf_dir: str) -> DataFrame:
-        rows = [(k, f"<html><body>{body}</body></html>", url, *job) for k, (body, url, job, _) in enumerate(cases)]
-        made = spark.createDataFrame(rows, "k long, html string, url string, city string, postalcode string, phone string, agent_name string")
-        pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", (F.col("page_id") % len(cases)).alias("k"))
+        """Each case's body stands before a whole supplied page, whose digits are taken out: some of them make phone numbers."""
+        rows = [(k, body, url, *job) for k, (body, url, job, _) in enumerate(cases)]
+        made = spark.createDataFrame(rows, "k long, body string, url string, city string, postalcode string, phone string, agent_name string")
+        pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", (F.col("page_id") % len(cases)).alias("k"), F.regexp_replace("html", "[0-9]+", "").alias("rest")))
         pages = pages.join(F.broadcast(made), "k").withColumn("domain", F.lit("agency.example"))
-        return extract.extract_fields(pages).select("page_id", field)
+        return extract.extract_fields(pages.withColumn("html", F.concat(F.lit("<html><body>"), "body", "rest")).drop("rest", "body")).select("page_id", field)
 
     QUERIES[f"extract_{field}"] = run
     values = ", ".join(f"({k}, {_quoted(want)})" for k, (*_, want) in enumerate(cases))
@@ -135,13 +154,43 @@ for _field in CASES:
     _extraction(_field)
 
 
+#: Whole listings that stand in supplied pages, by kind: what is put before a page, its URL, and the agency's row. ``#`` is the page's number.
+_WHOLE = [
+    (
+        _ld(**{"@graph": [{"@type": "Product", "sku": "REF-1#", "offers": {"price": "25#"}}, {"@type": "House", "address": {"addressLocality": "Pau", "postalCode": "64000"}, "geo": {"latitude": 44.84, "longitude": -0.58}, "telephone": "+33556440607"}]})
+        + '<title>Villa</title><p>Surface : 9#,5 m² Chambres : 2. Pièces : 4. DPE : C</p><a href="mailto:c#@agency.fr">m</a><div class="agent-card"><span class="agent-name">Marie Dupont</span></div>',
+        "https://agency.example/page-#", ("Nice", "06000", "+33240853232", "patrimoine rh"),
+    ),
+    (
+        '<title>Maison</title><meta name="geo.position" content="48.85;2.35"><p>Réf. VP1# Prix : 31# € Surface : 8# m² Chambres : 3. Pièces : 5. Classe énergie : D Tél : 04 78 99 33 11. '
+        "Ecrire : jean# [at] agency [dot] fr. Votre conseiller : Paul Martin.</p>",
+        "https://agency.example/vente/maison-bordeaux-33000", ("Nice", "06000", "+33240853232", "patrimoine rh"),
+    ),
+    (
+        '<h1>Bel appartement T3</h1><span class="price">42# €</span><div data-dpe="E" data-lat="47.2" data-lng="-1.55">x</div><nav class="breadcrumb"><a>Accueil</a><a>Lyon 69001</a></nav><p>Superficie : 7# m2</p>',
+        "https://agency.example/bien/appartement-ref-VP1#", ("Nice", "06000", "+33240853232", "patrimoine rh"),
+    ),
+]
+
+
 @_query(
     "extract_pages",
-    """select page_id, '' as reference_id, '' as coordinates, '' as dpe_rating from pages""",
+    """with p as (select page_id, page_id % 3 as kind, cast(1000 + page_id as varchar) as n from pages)
+  select page_id, (case kind when 0 then '25' when 1 then '31' else '42' end) || n as price, (case kind when 0 then 'REF-1' else 'VP1' end) || n as reference_id,
+    (case kind when 0 then 'villa' when 1 then 'maison' else 'appartement' end) as property_type, (case kind when 0 then '9' || n || '.5' when 1 then '8' || n else '7' || n end) as surface_area,
+    (case kind when 0 then '4' when 1 then '5' else '3' end) as rooms, (case kind when 0 then '2' when 1 then '3' else '2' end) as bedrooms, (case kind when 0 then 'C' when 1 then 'D' else 'E' end) as dpe_rating,
+    (case kind when 0 then 'Pau 64000' when 1 then 'Bordeaux 33000' else 'Lyon 69001' end) as location, (case kind when 0 then '44.84, -0.58' when 1 then '48.85, 2.35' else '47.2, -1.55' end) as coordinates,
+    (case kind when 0 then '0556440607' when 1 then '0478993311' else '0240853232' end) as phone_number, (case kind when 0 then 'c' || n || '@agency.fr' when 1 then 'jean' || n || '@agency.fr' else '' end) as email,
+    (case kind when 0 then 'Marie Dupont' when 1 then 'Paul Martin' else 'Patrimoine Rh' end) as agent_name from p""",
 )
 def _extract_pages(spark, sf_dir):
-    """All twelve fields of the supplied pages, which hold none of these three; its time is that of extraction over whole pages."""
-    return extract.extract_fields(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "reference_id", "coordinates", "dpe_rating")
+    """All twelve fields of whole supplied pages, before each of which a listing is put; digits of the pages themselves, some of which make phone numbers, are taken out."""
+    made = spark.createDataFrame([(k, html, url, *job) for k, (html, url, job) in enumerate(_WHOLE)], "k long, body string, url string, city string, postalcode string, phone string, agent_name string")
+    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", (F.col("page_id") % 3).alias("k"), (1000 + F.col("page_id")).cast("string").alias("n"), F.regexp_replace("html", "[0-9]+", "").alias("rest")))
+    pages = pages.join(F.broadcast(made), "k").withColumn("domain", F.lit("agency.example"))
+    fill = lambda c: F.replace(F.col(c), F.lit("#"), F.col("n"))
+    pages = pages.withColumn("html", F.concat(F.lit("<html><body>"), fill("body"), "rest")).withColumn("url", fill("url")).drop("rest", "body", "n")
+    return extract.extract_fields(pages).select("page_id", *extract.FIELDS)
 
 
 # --- discovery ---------------------------------------------------------------
@@ -181,18 +230,18 @@ def _walk(spark, sf_dir):
     return found.where("url not like '%never'").select("domain", "url", place.alias("place"))
 
 
-_FRANCHISE = "(select cast(s_suppkey as string) as s, 'stephaneplazaimmobilier.com' as own, concat('x', cast(s_suppkey as string), '.stephaneplazaimmobilier.com') as host from supplier where s_suppkey <= 12)"
+_FRANCHISE = "(select cast(s_suppkey as string) as s, concat('g', cast(s_suppkey as string), '.stephaneplazaimmobilier.com') as own from supplier)"
 
 
-@_query("franchise_hosts", f"select 'b' || n || '.stephaneplazaimmobilier.com' as host, n + 1 as rank from (select unnest(range(0, 8)) as n) where exists (select 1 from {_FRANCHISE})")
+@_query("franchise_hosts", f"select own as domain, 'b' || n || '.' || own as host, n + 1 as rank from {_FRANCHISE} cross join (select unnest(range(0, 8)) as n)")
 def _franchise(spark, sf_dir):
-    """An index page on the second known path links ten branches, itself and a stranger; eight branches are taken in order."""
-    some = _source(spark, sf_dir, _FRANCHISE).limit(1)  # one site of the franchise
-    links = "".join(f'<a href="https://b{n}.stephaneplazaimmobilier.com/contact">b</a><a href="https://B{n}.stephaneplazaimmobilier.com/">again</a>' for n in range(10))
-    html = f'<html><body><a href="/">home</a><a href="https://elsewhere.fr/">x</a><a href="https://www.stephaneplazaimmobilier.com/a">own</a>{links}</body></html>'
+    """An index page on the second known path of each site links ten branches, itself and a stranger; eight branches are taken in order."""
+    some = Shared(spark).table(_source(spark, sf_dir, _FRANCHISE), "franchises")
+    links = "".join(f'<a href="https://b{n}.OWN/contact">b</a><a href="https://B{n}.OWN/">again</a>' for n in range(10))
+    html = f'<html><body><a href="/">home</a><a href="https://elsewhere.fr/">x</a><a href="https://www.OWN/a">own</a>{links}</body></html>'
     sites = some.select(F.col("own").alias("domain"), F.col("own").alias("host"), F.lit("apimo,stephane_plaza").alias("families"))
-    pages = some.select(F.col("own").alias("domain"), F.lit("https://stephaneplazaimmobilier.com/nos-agences").alias("canonical"), F.lit("https://www.stephaneplazaimmobilier.com/nos-agences/").alias("url"), F.lit(html).alias("html"))
-    return discovery.franchise_hosts(sites, pages, 8).select("host", F.col("rank").cast("long").alias("rank"))
+    pages = some.select(F.col("own").alias("domain"), F.concat(F.lit("https://"), "own", F.lit("/nos-agences")).alias("canonical"), F.concat(F.lit("https://www."), "own", F.lit("/nos-agences/")).alias("url"), F.replace(F.lit(html), F.lit("OWN"), F.col("own")).alias("html"))
+    return discovery.franchise_hosts(sites, pages, 8).select("domain", "host", F.col("rank").cast("long").alias("rank"))
 
 
 # --- the whole run ------------------------------------------------------------
@@ -200,44 +249,80 @@ def _franchise(spark, sf_dir):
 _HOME = '<html><body><main><a href="/vente/maison-bordeaux-33000-ref-VP{n}">a</a><a href="/vente/maison-bordeaux-33000-ref-VP{n}9">b</a><a href="/contact">c</a></main></body></html>'
 _DETAIL = '<html><head><title>Maison T4</title></head><body><h1>Maison</h1><p>Réf. VP{n} Surface : 120 m² Prix : 250 000 € Pièces : 4</p></body></html>'
 _BRANCH = '<html><body><main><a href="https://paris.orpi.com/">p</a></main></body></html>'
-#: Kinds of sites, by the supplier's key: listings on fetched pages; blocked; no answer; nothing on them; blocked, but rendered; rendered, as fetched pages hold nothing; no website.
-_KINDS = 7
+#: Kinds of sites, by the supplier's key: listings on fetched pages; blocked; no answer; nothing on them; blocked, but rendered; rendered, as fetched pages hold nothing; no website;
+#: then listings that a timeout, a crash or running over the budget cost; a crash or a timeout before the site was looked at; a host that blocks three times, so its listings aren't seen;
+#: a first look that fails where the homepage answers; rendered listings that come too late; a homepage that is an image.
+_KINDS = 16
 _WORLD = f"(select s_suppkey + 1000 as n, s_suppkey % {_KINDS} as kind, concat('agence', cast(s_suppkey as string), case when s_suppkey % 2 = 0 then '.co.uk' else '.fr' end) as domain from supplier)"
 
 
-def _pages_of(world: DataFrame, kinds: list[int], with_home: bool = True) -> DataFrame:
-    fill = lambda html, n: F.replace(F.lit(html), F.lit("{n}"), n.cast("string"))
-    home = F.struct(F.concat(F.lit("https://www."), "domain", F.lit("/")).alias("url"), fill(_HOME, F.col("n")).alias("html"))
-    detail = lambda n: F.struct(F.concat(F.lit("https://"), "domain", F.lit("/vente/maison-bordeaux-33000-ref-VP"), n.cast("string")).alias("url"), fill(_DETAIL, n).alias("html"))
-    every = [home] * with_home + [detail(F.col("n")), detail(F.col("n") * 10 + 9)]
-    return world.where(F.col("kind").isin(kinds)).select(F.explode(F.array(*every)).alias("p")).select("p.*")
+def _pages_of(world: DataFrame, kinds: list[int], charset: str | None = None) -> DataFrame:
+    """Homepage and two details of each site, as html or as bytes in a charset."""
+
+    def fill(html: str, n):
+        if charset is None:
+            return F.replace(F.lit(html), F.lit("{n}"), n.cast("string"))
+        parts = [F.lit(bytearray(x.encode(charset))) for x in html.split("{n}")]
+        joined = [parts[0]]
+        for x in parts[1:]:
+            joined += [n.cast("string").cast("binary"), x]
+        return F.concat(*joined)
+
+    name = "html" if charset is None else "body"
+    home = F.struct(F.concat(F.lit("https://www."), "domain", F.lit("/")).alias("url"), fill(_HOME, F.col("n")).alias(name))
+    detail = lambda n: F.struct(F.concat(F.lit("https://"), "domain", F.lit("/vente/maison-bordeaux-33000-ref-VP"), n.cast("string")).alias("url"), fill(_DETAIL, n).alias(name))
+    every = [home, detail(F.col("n")), detail(F.col("n") * 10 + 9)]
+    return world.where(F.col("kind").isin(kinds)).select("kind", F.posexplode(F.array(*every)).alias("nth", "p")).select("kind", "nth", "p.*")
 
 
-_OUTCOME = "case kind when 0 then '2|success||static' when 1 then '0|failed|blocked_403|none' when 2 then '0|failed|site_not_reachable|none' when 3 then '0|failed|no_listings_found|static' when 4 then '2|success||dynamic' when 5 then '2|success||hybrid' end"
+_OUTCOME = """case kind when 0 then '2|success||static' when 1 then '0|failed|blocked_403|none' when 2 then '0|failed|site_not_reachable|none' when 3 then '0|failed|no_listings_found|static' when 4 then '2|success||dynamic' when 5 then '2|success||hybrid'
+  when 7 then '0|failed|no_listings_found|none' when 8 then '0|failed|parsing_failed|none' when 9 then '0|failed|no_listings_found|none' when 10 then '0|failed|site_not_reachable|none' when 11 then '0|failed|site_not_reachable|none'
+  when 12 then '0|failed|no_listings_found|static' when 13 then '0|failed|site_not_reachable|none' when 14 then '0|failed|no_listings_found|static' when 15 then '0|failed|no_listings_found|static' end"""
+#: Seconds from the beginning to the last event that counts.
+_TOOK = "case when kind in (0, 7, 8) then n % 400 / 4.0 when kind = 9 then 120.5 when kind in (10, 11) then 0.25 when kind = 14 then 100.0 else 0.0 end"
 
 
 @_query(
     "engine_run",
-    f"""with w as (select *, {_OUTCOME} as outcome from {_WORLD}),
+    f"""with w as (select *, {_OUTCOME} as outcome, {_TOOK} as took from {_WORLD}),
   d as (select n, domain, kind, unnest([n, n * 10 + 9]) as ref from w where kind in (0, 4, 5))
-  select 'summary' as what, domain, outcome as value from w where kind < 6
-  union all select 'error', domain, string_split(outcome, '|')[3] from w where kind in (1, 2, 3)
+  select 'summary' as what, domain, outcome || '|' || printf('%.2f', cast(took as double)) as value from w where kind <> 6
+  union all select 'error', domain, string_split(outcome, '|')[3] from w where kind not in (0, 4, 5, 6)
   union all select 'error', 'unknown agency', 'no_website' where exists (select 1 from w where kind = 6)
   union all select 'listing', domain, 'VP' || ref || '|250000|maison|120|4|https://' || domain || '/vente/maison-bordeaux-33000-ref-VP' || ref from d""",
 )
 def _run(spark, sf_dir):
+    """Sites of sixteen kinds, whose bodies come in bytes, with statuses, content types, an order of fetches, first looks, rendered pages and a log of events."""
     cut = Shared(spark).table
     world = cut(_source(spark, sf_dir, _WORLD), "world")
     website = F.when(F.col("kind") == 6, "").otherwise(F.concat(F.lit("www."), "domain"))
     empty = F.lit("")
     agencies = world.select(F.col("n").alias("seq"), F.lit("null").alias("company_name"), empty.alias("contact_person_last_name"), empty.alias("phone_1"), empty.alias("postalcode"), empty.alias("city"), website.alias("website"))
-    answered = lambda df, status: df.withColumn("status", F.lit(status))
-    bare = world.where("kind in (3, 5)").select(F.concat(F.lit("http://"), "domain", F.lit("/")).alias("url"), F.lit(f"<html><body><main>{'text ' * 200}</main></body></html>").alias("html"))
-    blocked = world.where("kind in (1, 4)").select(F.concat(F.lit("https://"), "domain", F.lit("/")).alias("url"), F.lit("").alias("html"))
-    pages = answered(_pages_of(world, [0]), 200).union(answered(bare, 200)).union(answered(blocked, 403))
-    out = Engine(spark, EngineConfig()).run(agencies, cut(pages, "pages"), rendered=cut(_pages_of(world, [4, 5]), "rendered"))
+    columns = ["url", "body", "status", "content_type", "seq"]
+
+    def fetched(df: DataFrame, status: str = "200", kind: str = "'text/html'", seq: str = "0") -> DataFrame:
+        return df.withColumns({"status": F.expr(status), "content_type": F.expr(kind), "seq": F.expr(f"cast({seq} as bigint)")}).select(columns)
+
+    site = lambda kinds, url, body: world.where(f"kind in ({kinds})").select(F.concat(F.lit(url.split("*")[0]), "domain", F.lit(url.split("*")[1])).alias("url"), F.lit(body).cast("binary").alias("body"))
+    plain = f"<html><body><main>{'text ' * 200}</main></body></html>"
+    # the third host blocks three pages before its details, which answer in vain
+    first = _pages_of(world, [0, 7, 8, 9, 10, 12], "windows-1252")
+    pages = fetched(first, "200", "'text/html; charset=\"Windows-1252\"'", "case when nth = 0 then 0 else nth + 10 end").union(fetched(_pages_of(world, [13], "utf-8")))
+    for k in (1, 2, 3):
+        pages = pages.union(fetched(site("12", f"https://*/blocked-{k}", ""), "403", seq=str(k)))
+    pages = pages.union(fetched(site("3, 5, 14", "http://*/", plain))).union(fetched(site("1, 4", "https://*/", ""), "403")).union(fetched(site("15", "https://*/", plain), kind="'image/png'"))
+    probes = world.where("kind = 13").select(F.concat(F.lit("https://www."), "domain", F.lit("/")).alias("url"), F.lit(503).alias("status"))
+    at = lambda seconds: F.expr(f"timestamp '2024-05-01 10:00:00' + make_dt_interval(0, 0, 0, cast({seconds} as decimal(18,6)))")
+    event = lambda where, seconds, what, name="", message="": world.where(where).select("domain", at(seconds).alias("at"), F.lit(what).alias("event"), F.lit(name).alias("name"), F.lit(message).alias("message"))
+    events = event("kind in (0, 7, 8, 9, 10, 11, 14)", "0", "start").union(event("kind in (0, 7, 8, 9, 14)", "0", "fingerprint"))
+    for where, seconds, *what in [
+        ("kind = 0", "n % 400 / 4.0", "end"), ("kind = 7", "n % 400 / 4.0", "timeout"), ("kind = 8", "n % 400 / 4.0", "crash", "KeyError", "no such tier"), ("kind = 9", "120.5", "static"), ("kind = 9", "130", "end"),
+        ("kind = 10", "0.25", "crash", "ConnectError", "dns"), ("kind = 10", "9", "crash", "KeyError", ""), ("kind = 11", "0.25", "timeout"), ("kind = 14", "100", "static"),
+    ]:
+        events = events.union(event(where, seconds, *what))
+    out = Engine(spark, EngineConfig()).run(agencies, cut(pages, "pages"), rendered=cut(_pages_of(world, [4, 5, 14]).select("url", "html"), "rendered"), probes=cut(probes, "probes"), events=cut(events, "events"))
     rows = [
-        out.summary.select(F.lit("summary").alias("what"), "domain", F.concat_ws("|", F.col("listing_count").cast("string"), "status", "reason", "strategy").alias("value")),
+        out.summary.select(F.lit("summary").alias("what"), "domain", F.concat_ws("|", F.col("listing_count").cast("string"), "status", "reason", "strategy", "duration_seconds").alias("value")),
         out.errors.select(F.lit("error"), "domain", "reason"),
         out.listings.select(F.lit("listing"), "source_domain", F.concat_ws("|", "reference_id", "price", "property_type", "surface_area", "rooms", "source_url")),
     ]
