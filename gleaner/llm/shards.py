@@ -6,7 +6,11 @@ a third of all rows is one row. In every round a group that isn't settled is
 drawn to the shard that holds most of its documents among those with room for the
 whole of it (of equal ones a hash decides), or to any with room, and a shard
 takes what is drawn to it up to its quota, large groups first; who finds no place
-there is drawn elsewhere in the next round. Groups larger than a shard fill whole
+there is drawn elsewhere in the next round. Documents in shards that have no room for their group follow their
+neighbours in the others: most of those stay where most were, so this is what being drawn
+to the most frequent open shard amounts to, and labels need no rewriting. Rounds go on as long as one
+settles anything; every round before the last settles a group for good, and in practice most of
+those that are left. Groups larger than a shard fill whole
 ones. Unlinked documents cost no edge wherever they are: they and the groups that
 fit nowhere whole are placed last and fill all shards exactly, so the counts of
 rows differ by one at most (law ``rows``).
@@ -26,8 +30,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gleaner.llm.common import Scratch, table
 
 SHARDS = 8
-#: Rounds end once they settle less than this share of the linked documents.
-GAIN = 0.0005
 #: Parts of a group that are ranked apart, and buckets of the two-level sums, by rows: least, most, rows in each.
 PARTS, BUCKETS = (64, 4096, 1 << 20), (256, 1 << 15, 1 << 18)
 
@@ -63,7 +65,6 @@ def _propagate(groups: DataFrame, quota: list[int], scratch: Scratch) -> list[Da
     """``groups(g, total, labels)`` of linked documents, with counts by shard -> tables ``(g, shard, n)`` of what each round settled, within the quotas."""
     room, settled = list(quota), []
     left = groups.withColumn("left", F.col("total"))
-    linked = groups.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     for k in count():
         tie = lambda x: F.xxhash64("g", x, F.lit(k))
         fits = lambda x: _at(room, x) >= F.col("left")
@@ -79,7 +80,7 @@ def _propagate(groups: DataFrame, quota: list[int], scratch: Scratch) -> list[Da
         taken = {r["to"]: r["n"] for r in drawn.groupBy("to").agg(F.sum("take").alias("n")).collect()}  # a number for each shard
         settled.append(drawn.where("take > 0").select("g", F.col("to").alias("shard"), F.col("take").alias("n")))
         room = [r - taken.get(s, 0) for s, r in enumerate(room)]
-        if sum(taken.values()) <= GAIN * linked:
+        if not any(taken.values()):
             return settled
         left = drawn.where("left > take").select("g", "total", "labels", (F.col("left") - F.col("take")).alias("left"))
 
@@ -138,5 +139,6 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def op3_sharding(spark, sf_dir: str) -> DataFrame:
+    """``shard`` of whole ``documents`` under the law ``rows``."""
     found = shard(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

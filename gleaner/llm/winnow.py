@@ -179,6 +179,7 @@ def decontaminate(
 
 
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    """``decontaminate`` of whole ``documents`` by ``benchmark``, with its lists as digests."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
