@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gleaner import vocabulary as v
 from gleaner.functions import text as tx, url as ux
 from gleaner.functions.dialect import DUCKDB, SPARK, Dialect, Steps, apply, keep, render
 from gleaner.operators import classify as cl, dedup, relational as rel, resolve as rs
 from gleaner.shared import Shared
+from gleaner.sources.fetches import decode_fetches
 from gleaner.sources.suffixes import with_domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,20 +39,14 @@ ANCHORS_DUCKDB = """(select page_id, url, i - 1 as pos, hrefs[i] as href from (s
 TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "events", "pages", "documents"]
 
 
-_MADE: dict[tuple[str, str], DataFrame] = {}
-
-
 def _source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A query in parentheses over the supplied tables, which are read where they are; no view is made or replaced.
 
-    The synthetic listings, which many queries take, are written once in a session.
+    The synthetic listings, a join of three tables with a window, are written before
+    the long chains of steps that follow: anew by each query, so each pays for them.
     """
-    if sql == SYN:
-        key = spark.sparkContext.applicationId, sf_dir
-        if key not in _MADE:
-            _MADE[key] = Shared(spark).table(_read(spark, sf_dir, sql), "listings")
-        return _MADE[key]
-    return _read(spark, sf_dir, sql)
+    rows = _read(spark, sf_dir, sql)
+    return Shared(spark, "listings").table(rows, "listings") if sql == SYN else rows
 
 
 def _read(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -391,3 +386,73 @@ def _bfs(spark, sf_dir):
 )
 def _bfs_deep(spark, sf_dir):
     return rel.expand_hubs(_source(spark, sf_dir, _SEEDS), _source(spark, sf_dir, _EDGES), 4, 100).select("domain", "url", "depth")
+
+
+# --- logs of domains and order of appearance --------------------------------------
+
+#: Each user is a domain; its events come at their times: the budget is half a day, and crashes bring their names.
+_LOG = """(select concat(' Site', cast(user_id as string)) as domain, ts as moment,
+  case event_type when 'signup' then 'fingerprint' when 'view' then 'static' when 'error' then case when event_id % 7 = 0 then 'crash' when event_id % 11 = 0 then 'timeout' else 'fetch' end else 'fetch' end as event,
+  case when event_id % 2 = 0 then 'ConnectError' else 'KeyError' end as name, cast(null as string) as message from events)"""
+_BUDGET = 43_200 * 30
+
+
+@_query(
+    "domain_runs",
+    f"""with e as (select lower(trim(domain)) as domain, moment, event, name from {_LOG}),
+  t as (select *, (epoch_us(moment) - min(epoch_us(moment)) over (partition by domain)) / 1000000.0 as after from e),
+  s as (select *, case when event in ('crash', 'timeout') then event when after > {_BUDGET} then 'timeout' end as stop from t),
+  f as (select domain, min(after) filter (stop is not null) as stopped, max(after) as last, min(after) filter (event = 'fingerprint') as looked, min(after) filter (event = 'static') as read from s group by domain),
+  b as (select s.domain, stop, name from s join f on s.domain = f.domain and s.after = f.stopped and stop is not null)
+  select f.domain, printf('%.2f', round(cast(coalesce(stopped, last) as decimal(20, 6)), 2)) as duration_seconds, coalesce(b.stop, '') as interrupted, coalesce(looked <= coalesce(stopped, last), false) as fingerprinted,
+    read <= coalesce(stopped, last) as read_pages, coalesce(b.name, '') as name,
+    case b.stop when 'timeout' then case when looked <= stopped then 'no_listings_found' else 'site_not_reachable' end
+      when 'crash' then case when looked <= stopped then 'parsing_failed' when b.name = 'ConnectError' then 'site_not_reachable' else 'parsing_failed' end else '' end as reason
+  from f left join b on f.domain = b.domain""",
+)
+def _domain_runs(spark, sf_dir):
+    """Durations and interruptions folded from a log, with the reason that an interrupted domain gets if its site was in order."""
+    rows = rel.domain_runs(_source(spark, sf_dir, _LOG).withColumnRenamed("moment", "at"), _BUDGET)
+    reason = cl.interrupted_reason(SPARK, "interrupted", "case when fingerprinted then true end", "name", "message")
+    return rows.select("domain", "duration_seconds", F.coalesce("interrupted", F.lit("")).alias("interrupted"), "fingerprinted", F.col("left_seconds").isNotNull().alias("read_pages"), "name", F.expr(f"coalesce({reason}, '')").alias("reason"))
+
+
+#: Listings whose domains are equally frequent in many cases, and appear in another order than that of their names.
+_APPEARING = "(select concat('shop', cast((user_id * 7) % 60 as string), '.fr') as source_domain, event_id as place from events where event_id % 3 = 0)"
+
+
+@_query("top_domains_first", f"select domain, listings, row_number() over (order by listings desc, first) as rank from (select source_domain as domain, count(*) as listings, min(place) as first from {_APPEARING} group by 1) order by 2 desc, first limit 25")
+def _top_first(spark, sf_dir):
+    """Ties go by first appearance, not by name."""
+    top = rel.counted_first(_source(spark, sf_dir, _APPEARING), F.lower(F.trim("source_domain")), "domain", "place")
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "first", "domain")).cast("long")).where("rank <= 25")  # a row for each domain
+    return ranked.select("domain", F.col("n").alias("listings"), "rank")
+
+
+_FAILING = "(select case event_type when 'view' then 'site_not_reachable' when 'error' then ' ' when 'click' then 'blocked_403' when 'signup' then 'no_listings_found ' else 'dynamic_js_required' end as reason, event_id % 997 as place from events where event_id % 5 <> 1 or event_type <> 'view')"
+
+
+@_query("failure_reasons_first", f"select trim(reason) as reason, count(*) as n, min(place) as first from {_FAILING} where trim(reason) <> '' group by 1")
+def _reasons_first(spark, sf_dir):
+    return rel.counted_first(_source(spark, sf_dir, _FAILING), F.trim("reason"), "reason", "place")
+
+
+# --- fetched bodies ---------------------------------------------------------------
+
+_FETCHED = "(select doc_id, doc_id % 6 as kind, coalesce(text, '') as t from documents)"
+
+
+@_query(
+    "fetched_bodies",
+    f"""with x as (select doc_id, kind, case when kind in (0, 5) then t when kind = 4 then '' when kind = 2 then regexp_replace(t, '[^\\x00-\\x7F]', '�', 'g') else t end as html from {_FETCHED})
+  select doc_id, md5(html) as digest, length(html) as n, kind in (0, 1, 2, 3) and html <> '' as usable from x""",
+)
+def _bodies(spark, sf_dir):
+    """Texts as bodies in bytes: UTF-8; Latin-1 and windows-1252 that say so; Latin-1 that claims to be ASCII; an answer that isn't good; an image."""
+    rows = _source(spark, sf_dir, _FETCHED)
+    latin = F.col("kind").isin(1, 2, 3)
+    body = F.when(latin, F.encode(F.when(latin, F.col("t")).otherwise(""), "ISO-8859-1")).otherwise(F.encode("t", "UTF-8"))
+    kinds = F.array(*[F.lit(x) for x in ("text/html", "text/html; charset=ISO-8859-1", "text/html; Charset='us-ascii'", 'application/xhtml+xml; charset="windows-1252"', "text/html", "IMAGE/png; charset=utf-8")])
+    fetches = rows.select("doc_id", F.when(F.col("kind") == 4, 404).otherwise(200).alias("status"), F.get(kinds, "kind").alias("content_type"), body.alias("body"))
+    usable = F.expr(cl.usable_response(SPARK, "status", "content_type", "html"))
+    return decode_fetches(fetches).select("doc_id", F.md5(F.col("html").cast("binary")).alias("digest"), F.char_length("html").cast("long").alias("n"), usable.alias("usable"))
