@@ -16,7 +16,7 @@ from gleaner.operators import classify as cl, dedup, discovery, relational as re
 from gleaner.operators.extract import extract_fields, publish
 from gleaner.plans.report import report, report_head
 from gleaner.shared import Shared, pick, spread
-from gleaner.sources import AGENCY_COLUMNS, in_file_order, mark_completed, read_agencies, read_completed, read_geocode_cache, replace_folder, settle, write_geocode_cache
+from gleaner.sources import AGENCY_COLUMNS, in_file_order, mark_completed, read_agencies, read_completed, read_geocode_cache, replace_folder, settle, spans_lines, write_geocode_cache
 from gleaner.sources.fetches import decode_fetches, final_or_own
 from gleaner.sources.suffixes import with_domain
 
@@ -109,8 +109,11 @@ class Engine:
         found = discovery.discover(sites.select("domain", "page", "base", "host", "html_head"), read.select("domain", "canonical", "url", "page", "base"), locations, self.config, cut, self.families, html)
         found = cut(found.select("domain", "canonical", "rank"), "candidates")
         lacking = sites.join(found.select("domain").distinct(), "domain", "left_anti")
-        index = read.select("domain", "canonical", F.col("base").alias("url"), "page")
-        found = cut(found.unionByName(discovery.franchise_candidates(lacking, index, self.config, cut, self.families, html).select("domain", "canonical", "rank")), "all-candidates")
+        lacking = cut(lacking.where("families <> ''"), "lacking")
+        if not lacking.isEmpty():
+            index = read.select("domain", "canonical", F.col("base").alias("url"), "page")
+            branches = discovery.franchise_candidates(lacking, index, self.config, cut, self.families, html)
+            found = cut(found.unionByName(branches.select("domain", "canonical", "rank")), "all-candidates")
         details = dedup.first_of(usable.select("domain", "canonical", "url", "page", "base"), ["domain", "canonical"], ["url"])
         chosen = cut(found.join(details, ["domain", "canonical"]).select("domain", "canonical", "rank", "page", F.col("base").alias("url")), "details")
         if rendered is not None:
@@ -202,7 +205,7 @@ class Engine:
         """A written table, with ``place`` in the order of its files and rows."""
         settle(self.spark, f"{folder}/{name}")
         schema = ", ".join(f"`{c}` {'bigint' if c == 'listing_count' else 'string'}" for c in columns)
-        rows = self.spark.read.schema(schema).option("header", True).option("nullValue", "\0").option("emptyValue", "").option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True)
+        rows = self.spark.read.schema(schema).option("header", True).option("nullValue", "\0").option("emptyValue", "").option("multiLine", spans_lines(self.spark, f"{folder}/{name}")).option("escape", '"').option("recursiveFileLookup", True)
         return in_file_order(rows.csv(f"{folder}/{name}"), "place").na.fill("")
 
     def _save(self, df: DataFrame, path: str, mode: str) -> None:

@@ -25,19 +25,31 @@ def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     if missing:
         raise LoaderError(f"columns are missing: {missing}")
     schema = StructType([StructField(n, StringType()) for n in names])
-    rows = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("multiLine", True).option("escape", '"').option("enforceSchema", True).csv(path)
+    rows = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("multiLine", spans_lines(spark, path)).option("escape", '"').option("enforceSchema", True).csv(path)
     for c in AGENCY_COLUMNS:
         if c not in names:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
     return in_file_order(rows, "seq").select("seq", *AGENCY_COLUMNS)
 
 
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a CSV may have fields with line ends in them: a line with an odd number of quotes. Without any, files can be split among tasks."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.option("recursiveFileLookup", True).text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def in_file_order(rows: DataFrame, out: str) -> DataFrame:
-    """Numbers the rows of a file scan: files in the order of their paths, rows in that of their file, whatever partitions read them."""
-    rows = rows.withColumn("_path", F.col("_metadata.file_path")).withColumn("_row", F.monotonically_increasing_id())
-    paths = rows.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")) - 1)  # a row for each file
-    seq = F.shiftleft(F.col("_file").cast("long"), 33) + F.col("_row") % (1 << 33)
-    return rows.join(F.broadcast(paths), "_path").withColumn(out, seq).drop("_path", "_row", "_file")
+    """Numbers the rows of a file scan: files in the order of their paths, rows in that of their file, whatever partitions read them.
+
+    A row's number is that of its file, then the place where its block of the file
+    begins plus its place in the block: a row takes a byte at least, so blocks don't
+    meet. The blocks, a row for each split of a file, are all that is joined.
+    """
+    rows = rows.withColumns({"_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()})
+    blocks = rows.groupBy("_path", "_block").agg(F.min("_row").alias("_first"))
+    files = blocks.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")) - 1)  # a row for each file
+    seq = F.shiftleft(F.col("_file").cast("long"), 44) + F.col("_block") + F.col("_row") - F.col("_first")
+    return rows.join(F.broadcast(blocks.join(files, "_path")), ["_path", "_block"]).withColumn(out, seq).drop("_path", "_block", "_row", "_file", "_first")
 
 
 def _kind(spark: SparkSession, path: str) -> str:

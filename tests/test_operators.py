@@ -171,3 +171,24 @@ def test_sitemaps_as_they_are_written(spark):
     rows = discovery.walk_sitemaps(spark.createDataFrame([("d", "root", 1)], "domain string, url string, seq long"), maps, 2).orderBy("order").collect()
     assert [(r.url, r.order.level) for r in rows] == [("x&y'", 1), ("zé", 1), ("w", 1)]
     assert discovery.walk_sitemaps(spark.createDataFrame([], "domain string, url string, seq long"), maps, 2).count() == 0
+
+
+def test_agencies_in_splits(spark, tmp_path):
+    """Files without line ends in fields are read in splits, numbered as they stand; those with them whole."""
+    from gleaner.sources import read_agencies, spans_lines
+
+    head = "company_name,contact_person_last_name,siren,siret,phone_1,postalcode,street,city,website\n"
+    for k in (1, 2):
+        (tmp_path / f"plain{k}.csv").write_text(head + "".join(f'"{k}, ""{i:04d}""",,,,,,,,\n' for i in range(1500)))
+    (tmp_path / "lines.csv").write_text(head + '"a\nb",x,,,,,,,\nc,,,,,,,,\n')
+    assert not spans_lines(spark, str(tmp_path / "plain*.csv")) and spans_lines(spark, str(tmp_path / "lines.csv"))
+    assert [r.company_name for r in read_agencies(spark, str(tmp_path / "lines.csv")).orderBy("seq").collect()] == ["a\nb", "c"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = read_agencies(spark, str(tmp_path / "plain*.csv"))
+        assert rows.rdd.getNumPartitions() > 8
+        assert [r.company_name for r in rows.orderBy("seq").collect()] == [f'{k}, "{i:04d}"' for k in (1, 2) for i in range(1500)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
