@@ -1,9 +1,9 @@
 """Connected components by alternating star operations over an edge table.
 
 Each round is two aggregations and two joins on the edges alone. Their results
-are written to the shared folder, so lineage and plans stay short, and a join
-meets two written tables: partitions with a large star's centre are split by the
-adaptive plan. Nothing is collected but two numbers that tell whether a round
+are written to the shared folder, so lineage and plans stay short. A large
+star's centre is a key that many edges have: such keys are counted beforehand and
+broadcast, so no task gathers a star. Nothing is collected but two numbers that tell whether a round
 changed anything.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.llm.common import Scratch
+from gleaner.llm.common import Scratch, join_counted
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
@@ -31,12 +31,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         seen, k = tuple(state), k + 1
         # large star: every larger neighbour of u, and u, point to u's least neighbour
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-least-{k}")
-        star = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")).where("n > 0"), f"{name}-least-{k}")
+        star = join_counted(both.where("v > u"), least, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         star = scratch.table(star.distinct(), f"{name}-star-{k}")
         # small star: u (the larger end of each edge) and its smaller neighbours point to the least of them
-        lower = scratch.table(star.groupBy("u").agg(F.min("v").alias("m")), f"{name}-lower-{k}")
-        moved = star.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        lower = scratch.table(star.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), f"{name}-lower-{k}")
+        moved = join_counted(star, lower, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = scratch.table(moved.union(lower.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{name}-{k}")
         for used in (f"{name}-{k - 1}", f"{name}-least-{k}", f"{name}-star-{k}", f"{name}-lower-{k}"):
             scratch.drop(used)
