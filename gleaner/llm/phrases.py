@@ -55,11 +55,38 @@ def _joined(names: pa.Array, ids: np.ndarray, starts: np.ndarray, length: int) -
     return pc.binary_join_element_wise(*[names.take(pa.array(ids[starts + j])) for j in range(length)], " ") if length > 1 else names.take(pa.array(ids[starts]))
 
 
-def _holds(table: np.ndarray, lang: str, phrases: pa.Array) -> np.ndarray:
-    """Whether a bit table may hold the language's phrases."""
-    head, mask = lang.encode("utf-8", "surrogatepass") + b"\n", len(table) * 64 - 1
-    h = np.fromiter((xxhash.xxh64_intdigest(head + p, 42) & mask for p in phrases.cast(pa.binary()).to_pylist()), np.int64, len(phrases))
-    return (table[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) > 0
+#: Odd numbers that mix the hashes of words by their places in a part.
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 42)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of the words of each part, from those of the words."""
+    out = np.zeros(len(columns[0]), np.uint64)
+    for j, c in enumerate(columns):
+        out = (out ^ (out >> np.uint64(29))) * _MIX[j % 4] + c
+    return out ^ (out >> np.uint64(32))
+
+
+def _bits(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether a bit table may hold the parts with the hashes."""
+    h = hashes & np.uint64(len(table) * 64 - 1)
+    return (table[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _codes(ids: np.ndarray, places: np.ndarray, length: int, many: int) -> np.ndarray:
+    """A number for the n-gram at each place, equal for equal ones; numbers that would pass 63 bits are counted through anew."""
+    code, bound = ids[places], many
+    for j in range(1, length):
+        if bound * many >= 1 << 63:
+            distinct, code = np.unique(code, return_inverse=True)
+            bound = len(distinct)
+        code, bound = code * many + ids[places + j], bound * many
+    return code
 
 
 def _count(lang: str, texts: list[str], lengths: tuple[int, ...], table: np.ndarray | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
@@ -69,33 +96,26 @@ def _count(lang: str, texts: list[str], lengths: tuple[int, ...], table: np.ndar
     """
     words: dict[bytes, int] = {_END: 0}
     ids = np.fromiter((words.setdefault(w, len(words)) for w in _tokens(texts)), np.int64)
-    names, many = pa.array([b"", *list(words)[1:]], pa.binary()).cast(pa.string()), len(words)
+    listed, many = list(words), len(words)
     del words
+    names = pa.array([b"", *listed[1:]], pa.binary()).cast(pa.string())
     if lengths[0] == 1:
         n = np.bincount(ids, minlength=many)[1:]
         yield 0, pa.array([""]), np.array([n.sum()])
         yield 1, names.slice(1), n
         return
     size = lengths[0] - 1
-    # parts of ``size`` words by their places: a number that equal ones share, and whether they lie in a piece
-    code, ok = ids, ids > 0
-    for j in range(1, size):
-        code = np.unique(code[:-1] * many + ids[j:], return_inverse=True)[1]
-        ok = ok[:-1] & (ids[j:] > 0)
-    places = np.flatnonzero(ok)
-    which, first = np.unique(code[places], return_index=True)
-    passes = np.zeros(int(code.max(initial=0)) + 1, bool)
-    passes[which] = _holds(table, lang, _joined(names, ids, places[first], size))
-    ok &= passes[code]
+    hashes, n_parts = _word_hashes(lang, listed)[ids], max(0, len(ids) - size + 1)
+    # parts of ``size`` words by their places: those that lie in a piece and may be frequent
+    ok = _bits(table, _mixed([hashes[j : j + n_parts] for j in range(size)]))
+    for j in range(size):
+        ok &= ids[j : j + n_parts] > 0
+    del hashes
     for length in lengths:
-        # a gram of one word more is left if both of its parts are
-        ok = ok[:-1] & ok[1:]
-        code = code[:-1] * many + ids[length - 1 :]
+        ok = ok[:-1] & ok[1:]  # a gram of one word more is left if both of its parts are
         places = np.flatnonzero(ok)
-        _, first, n = np.unique(code[places], return_index=True, return_counts=True)
+        _, first, n = np.unique(_codes(ids, places, length, many), return_index=True, return_counts=True)
         yield length, _joined(names, ids, places[first], length), n
-        if length < lengths[-1]:
-            code = np.unique(code, return_inverse=True)[1]
 
 
 def _grams(lengths: tuple[int, ...], table, chunk: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -129,8 +149,16 @@ def _table(frequent: DataFrame) -> bytes:
     """A bit table of phrases, 64 bits of it a row: at most 2 ** 21 rows whatever the input, as few bits as ``BITS`` allows beyond that."""
     count = frequent.count()
     bits = min(max(BITS[0], (count * BITS_EACH).bit_length()), BITS[1])
-    h = F.xxhash64(F.concat("lang", F.lit("\n"), "phrase")).bitwiseAND((1 << bits) - 1)
-    rows = frequent.select(F.shiftright(h, 6).alias("at"), h.bitwiseAND(63).cast("int").alias("bit"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = []
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+                words = _word_hashes(lang, phrase.encode("utf-8", "surrogatepass").split(b" "))
+                h.append(int(_mixed([words[j : j + 1] for j in range(len(words))])[0]) & ((1 << bits) - 1))
+            yield pa.record_batch([pa.array([x >> 6 for x in h], pa.int64()), pa.array([x & 63 for x in h], pa.int32())], names=["at", "bit"])
+
+    rows = frequent.select("lang", "phrase").mapInArrow(hashed, "at long, bit int")
     rows = rows.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("word")).toPandas()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[rows["at"].to_numpy(np.int64)] = rows["word"].to_numpy(np.int64).view(np.uint64)
