@@ -180,3 +180,13 @@ def test_stage_columns(docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "bpe"]
     out = corpus_pipeline.dedup_lines(None, docs, "")
     assert out.columns == docs.columns and {r.n_chars for r in out.where("doc_id = 8").collect()} == {0}
+
+
+def test_clashing_names_of_the_other_tables(spark, docs, labels, bench):
+    """Benchmark and labels may hold any other columns, named as the documents' or the operators' own."""
+    odd = {c: F.lit("x") for c in ("text_hash", "n", "h", "g", "key", "set", "a", "b", "row", "item", "doc_id", "lang")}
+    got = {(r.doc_id, r.n_hit, tuple(r["items"])) for r in winnow.decontaminate(docs, bench.withColumns(odd)).collect()}
+    assert got == {(r.doc_id, r.n_hit, tuple(r["items"])) for r in winnow.decontaminate(docs, bench).collect()}
+    more = labels.withColumns({c: F.lit("x") for c in ("text", "label", "terms", "row", "score", "lang", "n_chars")})
+    for run in (toxicity.toxicity, quality.quality):
+        assert sorted(map(str, run(docs, more).collect())) == sorted(map(str, run(docs, labels).collect()))
