@@ -65,7 +65,7 @@ def domain_runs(events: DataFrame, budget: float) -> DataFrame:
     read), timeout, crash, end; others only tell that time has passed. The first timeout or crash interrupts, and so
     does the first event of any kind that lies more than ``budget`` seconds after the first one, as a timeout. What comes later doesn't count.
 
-    ``domain, duration_seconds`` (two decimals; to the interruption or the last event), ``interrupted`` (timeout, crash
+    ``domain, duration_seconds`` (two decimals, halves away from zero; to the interruption or the last event), ``interrupted`` (timeout, crash
     or null), ``fingerprinted`` (before that), ``left_seconds`` (of the budget, once pages were read; null if they weren't), ``name, message`` of a crash.
     One aggregation after a look at each domain's first event, so a long log is folded before it is shuffled.
     """
@@ -85,7 +85,7 @@ def domain_runs(events: DataFrame, budget: float) -> DataFrame:
     until = F.coalesce("stop.after", "last")
     return first.select(
         "domain",
-        F.bround(until.cast("decimal(20,6)"), 2).cast("string").alias("duration_seconds"),
+        F.round(until.cast("decimal(20,6)"), 2).cast("string").alias("duration_seconds"),
         F.col("stop.interrupted").alias("interrupted"),
         F.coalesce(F.col("fingerprint") <= until, F.lit(False)).alias("fingerprinted"),
         F.when(F.col("static") <= until, budget - F.col("static")).alias("left_seconds"),
