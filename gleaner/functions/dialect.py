@@ -20,6 +20,24 @@ SPACES = "".join(c for i in range(0x3001) if (c := chr(i)).isspace())
 _OTHER = r"\t\n\f\r" + SPACE.removeprefix(r"\s")
 
 
+
+def any_of(words) -> str:
+    """A pattern that any of the words matches: those that hold another one are left out, the others share their beginnings."""
+    words = set(words)
+    tree: dict = {}
+    for w in sorted(w for w in words if not any(x != w and x in w for x in words)):
+        node = tree
+        for c in w:
+            node = node.setdefault(c, {})
+
+    def pattern(node: dict) -> str:
+        # no word holds another, so none ends where a longer one goes on
+        parts = [re.escape(c) + pattern(below) for c, below in node.items()]
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})" if parts else ""
+
+    return pattern(tree)
+
+
 @dataclass(frozen=True)
 class Dialect:
     name: str
@@ -48,7 +66,7 @@ class Dialect:
         """Whether any of the words occurs in x; many words are one pattern, so that generated code stays small."""
         words = list(words)
         if len(words) > 12:
-            return self.has(x, "|".join(re.escape(w) for w in words))
+            return self.has(x, any_of(words) if self.spark else "|".join(re.escape(w) for w in words))
         return "(" + " or ".join(f"contains({x}, {self.lit(w)})" for w in words) + ")"
 
     def among(self, x: str, words) -> str:

@@ -70,15 +70,18 @@ def _identifier(d: Dialect, x: str) -> str:
 def reference_steps(d: Dialect, text: str = "text", url: str = "url") -> Steps:
     trim = lambda x: d.sub(x, "^[.,;:]+|[.,;:]+$")
     steps: Steps = []
+    # an earlier tier's value spares the later ones
+    late = (lambda filled, x: unless(filled, x)) if d.spark else (lambda filled, x: x)
     for k, pattern in enumerate(v.REFERENCE_LABELS):
         x = f"ref_label{k}"
-        steps += [(f"{x}_raw", trim(d.ext(text, pattern, 1))), (x, f"case when not {_junk(d, x + '_raw')} and {_identifier(d, x + '_raw')} and {_slug_shaped(d, x + '_raw')} then {x}_raw else '' end")]
+        raw = trim(d.ext(text, pattern, 1))
+        steps += [(f"{x}_raw", late("ref_label0", raw) if k else raw), (x, f"case when not {_junk(d, x + '_raw')} and {_identifier(d, x + '_raw')} and {_slug_shaped(d, x + '_raw')} then {x}_raw else '' end")]
     verb = lambda x: d.among(f"lower({d.ext(x, '^([^-]*)', 1)})", v.UI_VERBS)
     return [
         *steps,
-        ("ref_code", d.ext(url, v.REFERENCE_CODE, 1)),
-        *[(f"ref_tail{k}", d.ext(url, p, 1)) for k, p in enumerate(v.REFERENCE_TAILS)],
-        ("ref_last", d.ext(d.sub(d.ext(url, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), "/+$"), "([^/]*)$", 1)),
+        ("ref_code", late("concat(ref_label0, ref_label1)", d.ext(url, v.REFERENCE_CODE, 1))),
+        *[(f"ref_tail{k}", late("concat(ref_label0, ref_label1, ref_code)", d.ext(url, p, 1))) for k, p in enumerate(v.REFERENCE_TAILS)],
+        ("ref_last", late("concat(ref_label0, ref_label1, ref_code)", d.ext(d.sub(d.ext(url, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), "/+$"), "([^/]*)$", 1))),
         ("ref_stem", trim(d.ext("ref_last", "^(.*),[^,]*$", 1))),
         ("ref_end", trim(d.ext("ref_last", ",([^,]*)$", 1))),
         ("ref_bare", trim("ref_last")),
@@ -102,7 +105,9 @@ def _best_type(d: Dialect, x: str) -> str:
 
 def property_steps(d: Dialect, title: str = "title", h1: str = "h1", url: str = "url") -> Steps:
     path = d.ext(url, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-    segments = f"case when not {d.has('p_path', '|'.join(p for p, _ in v.PROPERTY_SEGMENTS))} then '' " + " ".join(f"when {d.has('p_path', p)} then {d.lit(name)}" for p, name in v.PROPERTY_SEGMENTS) + " else '' end"
+    # all segments begin as the first pattern has it, which is found sooner than any of them
+    some = v.SEGMENT_HEAD if d.spark else "|".join(p for p, _ in v.PROPERTY_SEGMENTS)
+    segments = f"case when not {d.has('p_path', some)} then '' " + " ".join(f"when {d.has('p_path', p)} then {d.lit(name)}" for p, name in v.PROPERTY_SEGMENTS) + " else '' end"
     texts = [("p_title", title), ("p_h1", h1), ("p_url", url)]
     return [
         ("p_path", f"lower({path})"),
@@ -143,14 +148,17 @@ def email_steps(d: Dialect, text: str = "text", html: str = "html") -> Steps:
     def good(x: str) -> str:
         return f"not {d.within(f'lower({x})', v.EMAIL_REJECTS)} and not {d.has(f'lower({x})', '^(noreply|no-reply)@')}"
 
+    # what follows a run can't be in it, so none is given back
+    pattern = v.OBFUSCATED.replace("{1,64})", "{1,64}+)") if d.spark else v.OBFUSCATED
+
     def spelled(x: str) -> str:
-        return f"lower({d.sub(x, '^' + v.OBFUSCATED + '$', '$1@$2.$3')})"
+        return f"lower({d.sub(x, '^' + pattern + '$', '$1@$2.$3')})"
 
     steps: Steps = []
     for k, source in enumerate((text, html)):
         # the mark in brackets is looked for first, as it starts with a rare character
         steps.append((f"em_head{k}", f"substring({source}, 1, {v.OBFUSCATED_CHARS})"))
-        found = d.first(d.where(d.each(d.every(f"em_head{k}", v.OBFUSCATED), spelled), good))
+        found = d.first(d.where(d.each(d.every(f"em_head{k}", pattern), spelled), good))
         value = f"case when {d.has(f'em_head{k}', v.OBFUSCATED_MARK)} then {found} else '' end"
         steps.append((f"em_spelled{k}", unless("em_spelled0", value) if k else value))
     steps.append(("em_head", f"substring({html}, 1, {v.EMAIL_CHARS})"))

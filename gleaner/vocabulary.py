@@ -107,6 +107,9 @@ PROPERTY_SEGMENTS = [
     ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/garages?\\b", "garage"), ("/(?:vente|location)/[0-9]*-?[a-z\\-]+/parkings?\\b", "parking"),
 ]
 
+#: How all of these begin.
+SEGMENT_HEAD = "/(?:vente|location)(?:s?-|/[^/]*/)"
+
 # Prices.
 PER_AREA = "(?i)((?:€|eur|euro[s]?)\\s*(?:/|par)\\s*m\\s*[²2]|prix\\s*(?:au|/|-)\\s*m\\s*[²2]|prix-rues|cost\\s*per\\s*m\\s*[²2])"
 ON_REQUEST = "(?i)(sur\\s+demande|on\\s+request|prix\\s+sur\\s+demande|nous\\s+consulter)"
