@@ -58,6 +58,10 @@ class Dialect:
     def every(self, x: str, pattern: str, group: int = 0) -> str:
         return f"regexp_extract_all({x}, {self.lit(pattern)}, {group})"
 
+    def begun(self, pattern: str, heads: str) -> str:
+        """The same pattern, which in Spark is tried only at the characters (without regard to case) that all of its matches begin with."""
+        return f"(?i)(?=[{heads}])(?:{pattern.removeprefix('(?i)')})" if self.spark else pattern
+
     def sub(self, x: str, pattern: str, by: str = "") -> str:
         """``by`` refers to groups as $1."""
         return f"regexp_replace({x}, {self.lit(pattern)}, {self.lit(by)})" if self.spark else f"regexp_replace({x}, {self.lit(pattern)}, {self.lit(by.replace('$', chr(92)))}, 'g')"
@@ -115,7 +119,8 @@ class Dialect:
         return f"substring_index({x}, {self.lit(sep)}, -1)" if self.spark else f"split_part({x}, {self.lit(sep)}, -1)"
 
     def int(self, x: str) -> str:
-        return f"try_cast({x} as bigint)"
+        # a failed cast is an exception in Spark, so the text that fails most isn't cast
+        return f"case when {x} <> '' then try_cast({x} as bigint) end" if self.spark else f"try_cast({x} as bigint)"
 
 
 SPARK, DUCKDB = Dialect("spark"), Dialect("duckdb")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from gleaner import vocabulary as v
 from gleaner.functions.dialect import Dialect, Steps
 from gleaner.functions.url import url_steps
 
 
 def _asset(d: Dialect, x: str) -> str:
+    if d.spark:
+        return d.has(x, "\\.(?:" + "|".join(e.removeprefix(".") for e in v.BAD_EXTENSIONS) + ")$")
     return d.has(x, "(" + "|".join(e.replace(".", "\\.") for e in v.BAD_EXTENSIONS) + ")$")
 
 
@@ -15,10 +19,13 @@ def classify_steps(d: Dialect, url: str = "url") -> Steps:
     """``score`` and ``reason`` of a URL, and ``seed_kind``: detail, hub or reject."""
     full, path = "u_lowfull", "u_lowpath"
     positive = "case " + " ".join(f"when contains({full}, {d.lit(t)}) then {d.lit(t)}" for t in v.POSITIVE_TERMS) + " else '' end"
+    if d.spark:  # a short expression, where generated code of many branches would be interpreted
+        positive = d.first(d.where(d.array(map(d.lit, v.POSITIVE_TERMS)), lambda s: f"contains({full}, {s})"))
     signals = [
         ("c_term <> ''", 2, "c_term"),
-        (d.has(full, v.REFERENCE_HINT), 8, "'ref'"),
-        (d.has(full, v.QUERY_HINT), 1, "'query'"),
+        (d.has(full, d.begun(v.REFERENCE_HINT, "ri/\\-")), 8, "'ref'"),
+        # the URL is in lower case, where the words say the same as the pattern
+        (d.within(full, v.QUERY_WORDS) if d.spark else d.has(full, v.QUERY_HINT), 1, "'query'"),
         (d.has(full, v.T_HINT), 2, "'t-notation'"),
         (f"{d.count('c_segments')} >= 3", 2, "'deep_path'"),
         (d.has("c_last", "[0-9]{4,}"), 2, "'numeric_slug'"),
@@ -27,9 +34,13 @@ def classify_steps(d: Dialect, url: str = "url") -> Steps:
     flags: Steps = [(f"c_on{k}", test) for k, (test, _, _) in enumerate(signals)]
     total = " + ".join(f"case when c_on{k} then {points} else 0 end" for k, (_, points, _) in enumerate(signals))
     bits = ", ".join(f"case when c_on{k} then {name} end" for k, (_, _, name) in enumerate(signals))
-    seed = f"{d.has(url, '^https?://')} and not {_asset(d, 'lower(' + url + ')')} and not {d.within(f'lower({url})', v.SOCIAL_HOSTS)} and not {d.within(f'lower({url})', v.SEED_REJECTS)}"
+    lower: Steps = [("c_url", f"lower({url})")] if d.spark else []
+    small = "c_url" if d.spark else f"lower({url})"
+    seed = f"{d.has(url, '^https?://')} and not {_asset(d, small)} and not {d.within(small, v.SOCIAL_HOSTS)} and not {d.within(small, v.SEED_REJECTS)}"
+    hub = f"({d.within(full, v.HUB_WORDS)} and {d.has(full, v.HUB_PATTERN)})" if d.spark else d.has(full, v.HUB_PATTERN)
     return [
         *url_steps(d, url),
+        *lower,
         ("c_low", f"lower({d.strip(url)})"),
         ("c_bare", d.sub(path, "/+$")),
         ("c_segments", d.where(d.split(path, "/"), lambda s: f"{s} <> ''")),
@@ -42,7 +53,7 @@ def classify_steps(d: Dialect, url: str = "url") -> Steps:
             f"case when coalesce({url}, '') = '' then 'empty' when {d.has('c_low', '^(' + '|'.join(v.BAD_SCHEMES) + ')')} then 'bad_scheme' "
             f"when {d.within('c_low', v.SOCIAL_HOSTS)} then 'social' when {_asset(d, 'c_low')} then 'asset_extension' when {path} = '/' then 'root' "
             f"when {d.within(full, v.NON_LISTING_TERMS)} then 'non_listing_term' when {d.among('c_bare', v.HUB_PATHS)} then 'hub_path' "
-            f"when {d.has(full, v.HUB_PATTERN)} then 'hub_pattern' when {d.has('c_last', v.PAGE_TAIL)} and not {d.has('c_bare', v.REFERENCE_TAIL)} then 'pagination_index' "
+            f"when {hub} then 'hub_pattern' when {d.has('c_last', v.PAGE_TAIL)} and not {d.has('c_bare', v.REFERENCE_TAIL)} then 'pagination_index' "
             f"when c_points <= 0 and {d.count('c_segments')} <= 2 then 'shallow_no_signal' else coalesce(nullif(concat_ws(',', {bits}), ''), 'none') end",
         ),
         (
@@ -55,12 +66,27 @@ def classify_steps(d: Dialect, url: str = "url") -> Steps:
     ]
 
 
+def _begin(patterns: list[str]) -> list[str] | None:
+    """The plain words that the patterns begin with, of which every match holds one, in lower case; None if a pattern begins with none."""
+    found = [re.match(r"(?:\\b|\\\.|/)*([A-Za-z0-9-]{2,})(?![A-Za-z0-9-])", p) for p in patterns]
+    if any(m is None or "|" in re.sub(r"\([^()]*\)", "", p) for m, p in zip(found, patterns, strict=True)):
+        return None
+    # a sign after the word may make its last letter optional
+    return sorted({m[1].lower()[: -1 if p[m.end() : m.end() + 1] in ("?", "*", "{") else None] for m, p in zip(found, patterns, strict=True)})
+
+
 def family_steps(d: Dialect, host: str, html: str, url: str, known: list | None = None) -> Steps:
     """``families`` of a site by host or markers, comma-joined in their order, and ``boost`` of a URL from them. ``known`` replaces the families of the vocabulary."""
-    steps, boost = [], []
+    steps, boost = [("f_host", f"lower({host})"), ("f_html", f"lower({html})")] if d.spark else [], []
     known = v.FAMILIES if known is None else known
+
+    def any_has(x: str, small: str, patterns: list[str]) -> str:
+        test = d.has(x, "(?i)(" + "|".join(patterns) + ")")
+        words = _begin(patterns) if d.spark else None
+        return f"({d.within(small, words)} and {test})" if words else test
+
     for name, hosts, markers, urls, _ in known:
-        tests = ([d.has(host, "(?i)(" + "|".join(hosts) + ")")] if hosts else []) + [d.has(html, "(?i)(" + "|".join(markers) + ")")]
+        tests = ([any_has(host, "f_host", hosts)] if hosts else []) + [any_has(html, "f_html", markers)]
         steps.append((f"f_{name}", f"({' or '.join(tests)})"))
         boost.append(f"case when f_{name} and {d.has(url, '(?i)(' + '|'.join(urls) + ')')} then {v.FAMILY_BOOST} else 0 end")
     names = ", ".join(f"case when f_{f[0]} then '{f[0]}' end" for f in known)

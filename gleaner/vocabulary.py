@@ -38,6 +38,8 @@ HUB_PATTERN = (
     "(?i)(achat-immobilier|vente-immobilier|listing-categorie|prix-m2|prix-rues|/search(?:/|$)|/recherche(?:/|$)|/result(?:/|$)|/results(?:/|$)|/biens/result|"
     "/produits/all|^/annonces/?$|^/annonce/?$|^/proprietes/?$|^/properties/?$|listing-vente\\.html|listing-location\\.html)"
 )
+#: Of these every index page's URL holds one.
+HUB_WORDS = ["-immobilier", "listing-", "prix-", "/search", "/recherche", "/result", "/produits/all", "/annonce", "/propriete", "/properties"]
 HUB_REASONS = ["hub_path", "hub_pattern", "pagination_index"]
 PAGE_TAIL = "^[0-9]{1,3}$"
 REFERENCE_TAIL = "(?i)(?:-vp[0-9]+|-vm[0-9]+|,[A-Z]{1,3}[0-9]+|/[0-9]{4,}|ref-?[0-9]+)\\s*$"
@@ -50,6 +52,7 @@ POSITIVE_TERMS = [
 ]
 REFERENCE_HINT = "(?i)(ref-?[a-z0-9]{3,}|reference[-_=][a-z0-9]{3,}|id[-_=][0-9]{3,}|-vp[0-9]{3,}|-vm[0-9]{3,}|/[0-9]{6,}(?:[/?,]|$)|/[a-z0-9-]{12,}-[0-9]{3,}(?:[/?]|$))"
 QUERY_HINT = "(?i)(page=|rooms=|budget=|zipcode=|loc=vente|type=all|piece|chambre)"
+QUERY_WORDS = ["page=", "rooms=", "budget=", "zipcode=", "loc=vente", "type=all", "piece", "chambre"]
 T_HINT = "(?i)\\bt[0-9]\\b"
 BARE_TAILS = [
     "maison", "maisons", "appartement", "appartements", "villa", "villas", "terrain", "terrains", "studio", "studios", "loft", "lofts",
@@ -178,6 +181,8 @@ PHONE_LABELS = [
 PHONE_FREE = "((?:0|\\+33|0033)[\\s.\\-]?[1-9](?:[\\s.\\-]?[0-9]{2}){4})"
 EMAIL = "[A-Za-z0-9._%+\\-]{1,64}@[A-Za-z0-9.\\-]{1,253}\\.[A-Za-z]{2,24}"
 OBFUSCATED = "(?i)([A-Za-z0-9._%+\\-]{1,64})\\s*[\\[(]\\s*\\bat\\b\\s*[\\])]\\s*([A-Za-z0-9.\\-]{1,64})\\s*[\\[(]\\s*\\bdot\\b\\s*[\\])]\\s*([A-Za-z]{2,8})"
+#: What comes before the first bracket of such an address, read backwards.
+OBFUSCATED_RUN = "^\\s*[A-Za-z0-9._%+\\-]{0,64}"
 OBFUSCATED_MARK = "(?i)[\\[(]\\s*at\\b"
 EMAIL_REJECTS = [".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", "x320", "x640", "x1024", "sentry", "example.com"]
 OBFUSCATED_CHARS, EMAIL_CHARS = 32_000, 256_000
