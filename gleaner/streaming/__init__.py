@@ -32,6 +32,7 @@ class _Dedup(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.maps = [handle.getMapState(kind, "key string", "seq bigint") for kind in self.KINDS]
 
+    # names are plain objects: text columns of their own kind come in chunks once several groups are joined, which Spark doesn't take
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         # entries that this batch has asked for or added, so none is asked for twice
         known: list[dict[str, bool]] = [{}, {}, {}]
@@ -51,7 +52,7 @@ class _Dedup(StatefulProcessor):
                     self.maps[kind].updateValue((value,), (int(r.seq),))
                     known[kind][value] = True
             kept.append(int(r.seq))
-        yield pd.DataFrame({"domain": [key[0]] * len(kept), "seq": pd.Series(kept, dtype="int64")})
+        yield pd.DataFrame({"domain": pd.Series([key[0]] * len(kept), dtype=object), "seq": pd.Series(kept, dtype="int64")})
 
     def close(self) -> None:
         pass

@@ -1,7 +1,9 @@
 import random
 
+import pandas as pd
+
 from gleaner.operators import dedup, relational as rel
-from gleaner.streaming import breaker_stream, dedup_stream, error_stream
+from gleaner.streaming import _Dedup, breaker_stream, dedup_stream, error_stream
 
 SCHEMA = "domain string, seq long, ref string, url_key string, content string"
 
@@ -46,3 +48,17 @@ def test_breaker_across_runs(spark, tmp_path):
     got = _run(spark, tmp_path, [rows[:60], rows[60:61], rows[61:]], schema, breaker_stream, ["host", "seq", "status", "seen_status"])
     want = rel.block_breaker(spark.createDataFrame(rows, schema)).select("host", "seq", "status", "seen_status")
     assert sorted(map(str, got)) == sorted(map(str, map(tuple, want.collect()))) and any(r[3] == 403 != r[2] for r in got)
+
+
+def test_dedup_gives_names_as_plain_objects():
+    """Text columns of pandas' own kind are chunked once outputs of groups are joined, which Spark rejects."""
+
+    class Held(dict):
+        containsKey = dict.__contains__  # noqa: N815
+        updateValue = dict.__setitem__  # noqa: N815
+
+    fold = _Dedup()
+    fold.maps = [Held(), Held(), Held()]
+    rows = pd.DataFrame({"seq": [2, 1], "ref": ["r", "R"], "url_key": ["u", "x"], "content": ["", ""]})
+    (out,) = fold.handleInputRows(("d",), iter([rows]), None)
+    assert out["seq"].tolist() == [1] and out["domain"].tolist() == ["d"] and out["domain"].dtype == object
