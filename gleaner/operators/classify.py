@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from gleaner import vocabulary as v
 from gleaner.functions.dialect import Dialect, Steps
@@ -147,14 +148,38 @@ def empty_reason(reason: str, suggested: str, renderer: str) -> str:
     return f"case when {reason} = 'blocked_403' then 'blocked_403' when {suggested} = 'dynamic' and not {renderer} then 'dynamic_js_required' when {reason} = 'site_not_reachable' then 'site_not_reachable' else 'no_listings_found' end"
 
 
-def publishable(d: Dialect) -> str:
-    """Whether a row with the listing fields carries enough of a listing."""
-    on = {f: f"({d.strip(f'coalesce({f}, {chr(39) * 2})')} <> '')" for f in v.INFORMATIVE_FIELDS}
+def _listing_url(d: Dialect) -> str:
     path = d.sub("lower(coalesce(source_url, ''))", "[?].*$")
     info = d.count(d.where(d.split(path, "/"), lambda s: d.among(s, v.INFO_SEGMENTS)))
+    return f"not {d.within(path, v.INFO_COMPOUNDS)} and {info} = 0"
+
+
+def _enough(d: Dialect, known: list[str]) -> str:
+    """Whether the known fields are enough for a listing; a further field that is filled never takes that back."""
+    on = {f: f"({d.strip(f'coalesce({f}, {chr(39) * 2})')} <> '')" if f in known else "false" for f in v.INFORMATIVE_FIELDS}
     filled = " + ".join(f"case when {x} then 1 else 0 end" for x in on.values())
     anchor = (
         f"({on['price']} or ({on['reference_id']} and ({on['surface_area']} or {on['rooms']} or {on['property_type']})) "
         f"or ({on['surface_area']} and ({on['rooms']} or {on['location']} or {on['property_type']})))"
     )
-    return f"(not {d.within(path, v.INFO_COMPOUNDS)} and {info} = 0 and ({filled}) >= 2 and {anchor})"
+    return f"({filled}) >= 2 and {anchor}"
+
+
+def publishable(d: Dialect) -> str:
+    """Whether a row with the listing fields carries enough of a listing."""
+    return f"({_listing_url(d)} and {_enough(d, v.INFORMATIVE_FIELDS)})"
+
+
+def publishable_steps(d: Dialect, known: list[str], tiers: list[tuple[list[str], Callable[..., Steps]]], sources: list[str]) -> Steps:
+    """``publishable`` of rows with the fields ``known``: the others are resolved only as far as they decide it.
+
+    A tier names the fields that its steps yield, and is given the columns that stand for
+    ``sources``: they are empty in rows that are decided, which leaves its fields empty.
+    """
+    steps: Steps = [("v_listing", _listing_url(d)), ("v_enough", _enough(d, known))]
+    for k, (fields, resolver) in enumerate(tiers):
+        known = [*known, *fields]
+        held = [f"v_{x}{k}" for x in sources]
+        steps += [(h, f"case when v_listing and not v_enough{k or ''} then {x} else '' end") for h, x in zip(held, sources, strict=True)]
+        steps += [*resolver(*held), (f"v_enough{k + 1}", f"v_enough{k or ''} or ({_enough(d, known)})")]
+    return [*steps, ("publishable", f"v_listing and v_enough{len(tiers) or ''}")]

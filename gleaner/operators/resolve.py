@@ -100,6 +100,9 @@ def reference_steps(d: Dialect, text: str = "text", url: str = "url") -> Steps:
 def _best_type(d: Dialect, x: str) -> str:
     """Canonical type of the best synonym in x: least rank, then longest, then first."""
     terms = sorted((rank, -len(s), s, name) for name, rank, synonyms in v.PROPERTY_TYPES for s in synonyms)
+    if d.spark:  # a list that is gone through: code of as many branches is too long to be compiled
+        pairs = d.array(f"named_struct('term', {d.lit(s)}, 'name', {d.lit(name)})" for _, _, s, name in terms)
+        return f"case when {x} = '' then '' else coalesce(get(filter({pairs}, s -> contains({x}, s.term)), 0).name, '') end"
     return "case " + " ".join(f"when contains({x}, {d.lit(s)}) then {d.lit(name)}" for _, _, s, name in terms) + " else '' end"
 
 
