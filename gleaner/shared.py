@@ -39,6 +39,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if "Exchange" not in planned and df.rdd.getNumPartitions() < cores else df
 
 
+def deal(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a key for a costly pass: four parts a core, or as many as there are if that is more.
+
+    The parts of a scan say little of where its rows are: a file is cut by bytes, but a
+    row group, which may hold all of them, goes to one part.
+    """
+    return df.repartition(max(4 * df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()), key)
+
+
 def pick(wide: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
     """Rows of ``wide`` whose key a written table ``chosen`` has, with its columns: without a shuffle of ``wide`` if the chosen are few."""
     few = chosen.count() <= BROADCAST_ROWS
