@@ -121,7 +121,9 @@ def franchise_hosts(sites: DataFrame, pages: DataFrame, most: int, known: list |
     wanted = named.join(F.broadcast(index), "family").withColumn("canonical", F.concat(F.lit("https://"), "domain", "path"))
     stored = first_of(wanted.join(pages, ["domain", "canonical"]), ["domain"], ["k", "url"])
     stored = html(stored.select("domain", "url", "page")) if html else stored
-    rows = apply(anchors(stored.select("domain", "url", "html")), url_steps(SPARK, "dst"))
+    # parsing costs far more than its input's size says, by which parts are joined
+    dealt = stored.select("domain", "url", "html").repartition(4 * sites.sparkSession.sparkContext.defaultParallelism, "domain")
+    rows = apply(anchors(dealt), url_steps(SPARK, "dst"))
     rows = rows.join(sites.select("domain", "host"), "domain").where(under_domain("u_host", "domain")).where("u_host <> host")
     hosts = rows.groupBy("domain", "u_host").agg(F.min("pos").alias("pos"))
     return hosts.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy("pos"))).where(F.col("rank") <= most).select("domain", F.col("u_host").alias("host"), "rank")
